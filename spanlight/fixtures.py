@@ -321,26 +321,3 @@ class Tables:
 
 def duckdb_view(name: str) -> str:
     return render(VIEWS[name][0], "duckdb").replace("{{", "{").replace("}}", "}")
-
-
-def duckdb_with(sql: str) -> str:
-    """Prefix an oracle query with the derived views it mentions, in dependency order."""
-    wanted: list[str] = []
-
-    def add(name: str) -> None:
-        for need in VIEWS[name][1]:
-            add(need)
-        if name not in wanted:
-            wanted.append(name)
-
-    for name in VIEWS:
-        if re.search(rf"\b(FROM|JOIN) {name}\b", sql):
-            add(name)
-    if not wanted:
-        return sql
-    ctes = ",\n".join(f"{name} AS ({duckdb_view(name)})" for name in wanted)
-    body = sql.strip()
-    if body[:5].upper() == "WITH ":
-        recursive = "RECURSIVE " if body[5:15].upper().startswith("RECURSIVE") else ""
-        return f"WITH {recursive}{ctes},\n{body[5 + len(recursive):]}"
-    return f"WITH {ctes}\n{body}"
