@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["enrichment"]
+MODULES = ["enrichment", "rollup_queries"]
 
 
 def load_all() -> None:

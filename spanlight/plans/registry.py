@@ -163,7 +163,7 @@ def _with_views(sql: str) -> str:
             wanted.append(name)
 
     for name in fixtures_views:
-        if re.search(rf"\b(FROM|JOIN) {name}\b", sql):
+        if re.search(rf"\b(FROM|JOIN)\s+{name}\b", sql):
             add(name)
     body = sql.strip()
     if not wanted:
