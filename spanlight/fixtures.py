@@ -164,7 +164,7 @@ ORDER_SPEND = """
 SELECT concat('cust-', CAST(o.o_custkey % 40 AS STRING)) AS application_id,
        concat('brand-', CAST(l.l_partkey % 5 AS STRING)) AS model_name,
        concat('li-', CAST(l.l_orderkey AS STRING), '-', CAST(l.l_linenumber AS STRING), '-', CAST(l.l_partkey AS STRING),
-              '-', CAST(l.l_suppkey AS STRING), '-', CAST(CAST(l.l_extendedprice * 100 AS BIGINT) AS STRING)) AS event_id,
+              '-', CAST(l.l_suppkey AS STRING), '-', CAST(CAST(round(l.l_extendedprice * 100) AS BIGINT) AS STRING)) AS event_id,
        l.l_shipdate AS event_ts, CAST(l.l_extendedprice AS DECIMAL(14,2)) AS cost_usd
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 """

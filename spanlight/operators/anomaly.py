@@ -29,7 +29,8 @@ def baselines(values: DataFrame, keys: Sequence[str], value: str, days: int = BA
 def score(value: Column, p95: Column, p99: Column) -> Column:
     """0..1: nothing up to p95, rising linearly to 1 at twice p99; 0 without a baseline."""
     over = (value / F.greatest(p95, F.lit(1.0)) - 1.0) + (value / F.greatest(p99, F.lit(1.0)) - 1.0)
-    return F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), over / 2.0)), F.lit(0.0))
+    known = p95.isNotNull() & p99.isNotNull()  # greatest() would skip a missing baseline
+    return F.when(known, F.greatest(F.lit(0.0), F.least(F.lit(1.0), over / 2.0))).otherwise(0.0)
 
 
 def scored(values: DataFrame, keys: Sequence[str], value: str, days: int = BASELINE_DAYS) -> DataFrame:

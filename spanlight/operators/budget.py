@@ -44,11 +44,11 @@ def alert_line() -> Column:
 
 def _refine(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
     """Per key and bucket of `order`: the bucket in which the running total reaches the line."""
-    sums = rows.groupBy(*keys, "line", "before", order).agg(F.sum("cost_usd").alias("_s"))
+    sums = rows.groupBy(*keys, "line", "before", order).agg(F.sum("cost_usd").cast(money.TOTAL).alias("_s"))
     upto = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    run = sums.withColumn("_upto", F.col("before") + F.sum("_s").over(upto))
+    run = sums.withColumn("_upto", (F.col("before") + F.sum("_s").over(upto).cast(money.TOTAL)).cast(money.TOTAL))
     return run.where((F.col("_upto") >= F.col("line")) & (F.col("_upto") - F.col("_s") < F.col("line"))).select(
-        *keys, "line", (F.col("_upto") - F.col("_s")).alias("before"), order)
+        *keys, "line", (F.col("_upto") - F.col("_s")).cast(money.TOTAL).alias("before"), order)
 
 
 def crossings(costed: DataFrame, limits: DataFrame, opening: DataFrame | None = None) -> DataFrame:
@@ -70,7 +70,7 @@ def crossings(costed: DataFrame, limits: DataFrame, opening: DataFrame | None =
     kinds = F.explode(F.array(
         F.struct(F.lit("alert").alias("kind"), alert_line().cast(money.TOTAL).alias("line")),
         F.struct(F.lit("cap").alias("kind"), F.col("max_spend_usd").cast(money.TOTAL).alias("line"))))
-    per_minute = rows.groupBy(*KEYS, "max_spend_usd", "alert_at_pct", "before", "minute").agg(F.sum("cost_usd").alias("cost_usd"))
+    per_minute = rows.groupBy(*KEYS, "max_spend_usd", "alert_at_pct", "before", "minute").agg(F.sum("cost_usd").cast(money.TOTAL).alias("cost_usd"))
     lined = per_minute.select("*", kinds.alias("k")).select("*", "k.kind", "k.line").where("before < line")
     keys = [*KEYS, "kind"]
     hit_minute = _refine(lined, keys, "minute")
@@ -78,7 +78,7 @@ def crossings(costed: DataFrame, limits: DataFrame, opening: DataFrame | None =
     hit_second = _refine(in_minute, keys, "second")
     in_second = in_minute.drop("before", "line").join(hit_second, [*keys, "second"])
     upto = Window.partitionBy(*keys).orderBy("event_ts", "event_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    spend = (F.col("before") + F.sum("cost_usd").over(upto)).cast(money.TOTAL)
+    spend = (F.col("before") + F.sum("cost_usd").over(upto).cast(money.TOTAL)).cast(money.TOTAL)
     return in_second.withColumn("new_spend_usd", spend).where(
         (F.col("new_spend_usd") >= F.col("line")) & (F.col("new_spend_usd") - F.col("cost_usd") < F.col("line"))
     ).select(*KEYS, "kind", "event_id", "event_ts", "new_spend_usd", "limit_usd")

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _BINS_PER_E = 256  # value bins per factor of e: a bin is about 0.4 % wide
 
@@ -118,15 +119,18 @@ def running_sums(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequenc
     (key, bucket) give each bucket its starting value, so the row-level window only spans one bucket.
     """
     keys = list(keys)
-    totals = df.groupBy(*keys, bucket).agg(*[F.sum(m).alias(f"_t_{n}") for n, m in measures.items()])
+    kinds = {n: df.schema[m].dataType for n, m in measures.items()}
+    kinds = {n: T.DecimalType(30, k.scale) if isinstance(k, T.DecimalType) else T.DoubleType() if isinstance(
+        k, (T.DoubleType, T.FloatType)) else T.LongType() for n, k in kinds.items()}  # sums keep their scale
+    totals = df.groupBy(*keys, bucket).agg(*[F.sum(m).cast(kinds[n]).alias(f"_t_{n}") for n, m in measures.items()])
     before = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(
-        *keys, bucket, *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_s_{n}") for n in measures]
+        *keys, bucket, *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).cast(kinds[n]).alias(f"_s_{n}") for n in measures]
     )
     upto = Window.partitionBy(*keys, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     joined = df.join(starts, [*keys, bucket])
     return joined.withColumns(
-        {n: F.col(f"_s_{n}") + F.sum(m).over(upto) for n, m in measures.items()}
+        {n: (F.col(f"_s_{n}") + F.sum(m).over(upto).cast(kinds[n])).cast(kinds[n]) for n, m in measures.items()}
     ).drop(*[f"_s_{n}" for n in measures])
 
 

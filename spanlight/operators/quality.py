@@ -31,7 +31,7 @@ def token_entropy(rows: DataFrame, keys: Sequence[str], body: str) -> DataFrame:
     totals = counts.groupBy(*keys).agg(
         F.sum("c").alias("tokens"), F.count(F.lit(1)).alias("distinct_tokens"),
         F.sum(F.round(F.col("c") * F.log2(F.col("c")), 9).cast("decimal(28,9)")).cast("double").alias("_w"))
-    return totals.withColumn("entropy_bits", F.log2("tokens") - F.col("_w") / F.col("tokens")).drop("_w")
+    return totals.withColumn("entropy_bits", F.round(F.log2("tokens") - F.col("_w") / F.col("tokens"), 9)).drop("_w")
 
 
 def entropy_flag(entropy: Column, low: float, high: float) -> Column:

@@ -42,7 +42,7 @@ def hypotheses(events: DataFrame) -> DataFrame:
     keys = ["application_id", "day"]
     rows = events.withColumn("day", F.col("event_ts").cast("date"))
     tools = percentiles(rows.where(F.col("event_type").startswith("TOOL_")), [*keys, "tool_id"], "latency_ms", {"p95": 0.95})
-    tool = tools.groupBy(*keys).agg(F.least(F.lit(1.0), F.max("p95") / F.lit(10000.0)).alias("tool_degradation"))
+    tool = tools.groupBy(*keys).agg(F.when(F.max("p95").isNotNull(), F.least(F.lit(1.0), F.max("p95") / F.lit(10000.0))).alias("tool_degradation"))
     versions = rows.where(F.col("event_type").startswith("LLM_")).groupBy(*keys, "prompt_template_id", "prompt_version").agg(
         F.count(F.lit(1)).alias("n"))
     main = versions.groupBy(*keys, "prompt_template_id").agg(

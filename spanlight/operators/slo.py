@@ -83,7 +83,7 @@ def error_budget(compliance: DataFrame) -> DataFrame:
     used = F.lit(100.0) * bad / allowed
     return joined.withColumns({
         "error_budget_consumed_pct": used,
-        "error_budget_remaining_pct": F.greatest(F.lit(100.0) - used, F.lit(0.0)),
+        "error_budget_remaining_pct": F.when(used.isNotNull(), F.greatest(F.lit(100.0) - used, F.lit(0.0))),
     }).withColumn(
         "exhausted_on",
         F.when(F.col("error_budget_remaining_pct") <= 0, F.col("day")).when(

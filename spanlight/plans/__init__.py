@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["enrichment", "rollup_queries"]
+MODULES = ["enrichment", "rollup_queries", "reliability", "records"]
 
 
 def load_all() -> None:
