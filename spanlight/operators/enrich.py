@@ -36,11 +36,11 @@ class Settings:
 
 
 def payload_text(key: str) -> Column:
-    return F.expr(f"try_variant_get(payload['{key}'], '$', 'string')")
+    return F.col("payload")[key].try_cast("string")
 
 
 def payload_as(key: str, sql_type: str) -> Column:
-    return F.expr(f"try_variant_get(payload['{key}'], '$', '{sql_type}')")
+    return F.col("payload")[key].try_cast(sql_type)
 
 
 def is_text(v: Column) -> Column:

@@ -10,6 +10,7 @@ from ..functions import ids
 from ..session import computed_once
 
 STAGE = "stage1-validate"
+_BROKEN = "_refused"
 _VOCABULARIES = {
     "event_type": contract.EVENT_TYPES,
     "service_name": contract.SERVICE_NAMES,
@@ -17,30 +18,25 @@ _VOCABULARIES = {
 }
 
 
-def _numeric_kind(kind: Column) -> Column:
-    return kind.isin("BIGINT", "DOUBLE", "FLOAT", "BOOLEAN") | kind.startswith("DECIMAL")
-
-
-def _violation(field: str, kind_wanted: str, rule: str, vocabularies: dict[str, list[str]]) -> Column:
-    """The first broken rule of a member. Its kind is VOID for JSON null and NULL when absent."""
-    kind, text = F.col(f"_kinds.{field}"), F.col(f"_texts.{field}")
-    missing = F.when(kind.isNull(), f"{field}: missing") if rule == "required" else F.lit(None).cast("string")
-    number = text.try_cast("double")
-    if kind_wanted == "string":
-        well_typed = kind == "STRING"
-    elif kind_wanted == "object":
-        well_typed = kind.startswith("OBJECT")
-    elif kind_wanted == "number":
-        well_typed = _numeric_kind(kind) | ((kind == "STRING") & F.trim(text).try_cast("double").isNotNull())
-    else:  # integer: whole numbers, also as text
-        well_typed = (_numeric_kind(kind) & (number == F.floor(number))) | (
-            (kind == "STRING") & text.rlike(r"^\s*[+-]?[0-9]+(\.0*)?\s*$"))
-    null_ok = F.lit(rule == "optional") & (kind == "VOID")
-    wrong = F.when(kind.isNotNull() & ~well_typed & ~null_ok, f"{field}: must be {kind_wanted}")
-    checks = [missing, wrong]
+def _violation(field: str, wanted: str, rule: str, vocabularies: dict[str, list[str]]) -> str:
+    """SQL for the first broken rule of a member. Its kind is VOID for JSON null, NULL when absent."""
+    kind, text = f"_read.kinds.{field}", f"_read.texts.{field}"
+    number = f"({kind} IN ('BIGINT', 'DOUBLE', 'FLOAT', 'BOOLEAN') OR startswith({kind}, 'DECIMAL'))"
+    well_typed = {
+        "string": f"{kind} = 'STRING'",
+        "object": f"startswith({kind}, 'OBJECT')",
+        "number": f"{number} OR ({kind} = 'STRING' AND try_cast(trim({text}) AS double) IS NOT NULL)",
+        # Whole numbers, also as text.
+        "integer": f"({number} AND try_cast({text} AS double) = floor(try_cast({text} AS double)))"
+                   f" OR ({kind} = 'STRING' AND {text} RLIKE '^[ ]*[+-]?[0-9]+([.]0*)?[ ]*$')",
+    }[wanted]
+    null_ok = f" AND {kind} <> 'VOID'" if rule == "optional" else ""
+    arms = [f"WHEN {kind} IS NULL THEN '{field}: missing'"] if rule == "required" else []
+    arms.append(f"WHEN {kind} IS NOT NULL{null_ok} AND NOT ({well_typed}) THEN '{field}: must be {wanted}'")
     if field in vocabularies:
-        checks.append(F.when((kind == "STRING") & ~text.isin(vocabularies[field]), f"{field}: not in vocabulary"))
-    return F.coalesce(*checks)
+        known = ", ".join(f"'{v}'" for v in vocabularies[field])
+        arms.append(f"WHEN {kind} = 'STRING' AND {text} NOT IN ({known}) THEN '{field}: not in vocabulary'")
+    return f"CASE {' '.join(arms)} END"
 
 
 def validate(raw: DataFrame, event_types: list[str] | None = None, strict: bool = False,
@@ -57,19 +53,23 @@ def validate(raw: DataFrame, event_types: list[str] | None = None, strict: bool
         (f, k, "required" if strict and f == "correlation_id" else r) for f, k, r in contract.ENVELOPE_RULES
     ]
     body = F.col("value").cast("string")
-    member = {f: F.expr(f"try_variant_get(_doc, '$.{f}', 'variant')") for f, _, _ in rules}
-    parsed = computed_once(
-        computed_once(raw, _doc=F.try_parse_json(body)),
-        _root=F.expr("schema_of_variant(_doc)"),
-        _kinds=F.struct(*[F.schema_of_variant(m).alias(f) for f, m in member.items()]),
-        _texts=F.struct(*[F.expr(f"try_variant_get(_doc, '$.{f}', 'string')").alias(f) for f in member if f != "payload"]),
-        payload=F.coalesce(F.expr("try_variant_get(_doc, '$.payload', 'map<string,variant>')"),
-                           F.expr("CAST(map() AS map<string,variant>)")),
-    )
-    found = F.array_compact(F.array(*[_violation(f, k, r, vocabularies) for f, k, r in rules]))
+    # Members are read as variants: that keeps a JSON null, a number and a numeric text apart, which
+    # plain typed columns would not.
+    members = ", ".join(f"{f} variant" for f, _, _ in rules) + f", {_BROKEN} string"
+    document = computed_once(raw, _doc=F.from_json(
+        body, members, {"columnNameOfCorruptRecord": _BROKEN, "allowSingleQuotes": "false"}))
+    kinds = ", ".join(f"'{f}', schema_of_variant(_doc.{f})" for f, _, _ in rules)
+    texts = ", ".join(f"'{f}', try_cast(_doc.{f} AS string)" for f, kind, _ in rules if kind != "object")
+    parsed = computed_once(document, _read=F.expr(
+        f"named_struct('kinds', named_struct({kinds}), 'texts', named_struct({texts}))"))
+    # Only what the member reader refused is parsed a second time, to tell why.
+    # The readers stop after the first value, so text behind it is looked for by counting values.
+    one_value = F.coalesce(F.json_array_length(F.concat(F.lit("["), body, F.lit("]"))) == 1, F.lit(False))
+    refused = F.col("_doc").isNull() | F.col(f"_doc.{_BROKEN}").isNotNull() | ~one_value
+    other_json = one_value & F.try_parse_json(body).isNotNull()
+    found = F.expr(f"array_compact(array({', '.join(_violation(f, k, r, vocabularies) for f, k, r in rules)}))")
     checked = computed_once(parsed, violations=(
-        F.when(F.col("_root").isNull(), F.array(F.lit("not JSON")))
-        .when(~F.col("_root").startswith("OBJECT"), F.array(F.lit("contract violation: not an object")))
+        F.when(refused, F.array(F.when(other_json, "contract violation: not an object").otherwise("not JSON")))
         .otherwise(F.transform(found, lambda v: F.concat(F.lit("contract violation: "), v)))
     ))
     now = F.current_timestamp() if now is None else now
@@ -77,7 +77,7 @@ def validate(raw: DataFrame, event_types: list[str] | None = None, strict: bool
     origin = [F.col(c).cast("string") for c in ("value", "topic", "partition", "offset") if c in raw.columns]
 
     def text(f: str) -> Column:
-        return F.col(f"_texts.{f}")
+        return F.col(f"_read.texts.{f}")
 
     values = {
         "event_id": ids.stable_event_id(text("event_id"), *origin),
@@ -91,7 +91,10 @@ def validate(raw: DataFrame, event_types: list[str] | None = None, strict: bool
     envelope = [values.get(f, text(f)).alias(f) for f, _ in contract.ENVELOPE_FIELDS]
     names = {f for f, _ in contract.ENVELOPE_FIELDS} | {"payload", "violations"}
     carried = [F.col(c).alias(f"source_{c}") if c in names else F.col(c) for c in raw.columns]
-    return checked.select(*carried, *envelope, "payload", "violations")
+    payload = F.coalesce(
+        F.when(F.col("_read.kinds.payload").startswith("OBJECT"), F.col("_doc.payload").try_cast("map<string,variant>")),
+        F.expr("CAST(map() AS map<string,variant>)"))
+    return checked.select(*carried, *envelope, payload.alias("payload"), "violations")
 
 
 def good(validated: DataFrame) -> DataFrame:

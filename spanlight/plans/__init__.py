@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["enrichment", "rollup_queries", "reliability", "records"]
+MODULES = ["enrichment", "rollup_queries", "reliability", "records", "streams"]
 
 
 def load_all() -> None:

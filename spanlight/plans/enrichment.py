@@ -177,19 +177,19 @@ def _sql_redact(column: str, rules, label: str) -> str:
 @query("redact_documents", "C2")
 def _(c: Context):
     clean = text.redact(F.col("text"))
-    return c.documents.select("doc_id", F.sha2(clean, 256).alias("redacted_hash"), (clean != F.col("text")).alias("changed"))
+    return c.text("documents").select("doc_id", F.sha2(clean, 256).alias("redacted_hash"), (clean != F.col("text")).alias("changed"))
 
 
 @query("redact_folded_documents", "C2", f"""
 SELECT doc_id, sha256({_sql_redact('text', _RE2, '[REDACTED:{}]')}) AS redacted_hash FROM ascii_documents""")
 def _(c: Context):
-    return c.ascii_documents.select("doc_id", F.sha2(text.redact(F.col("text")), 256).alias("redacted_hash"))
+    return c.text("ascii_documents").select("doc_id", F.sha2(text.redact(F.col("text")), 256).alias("redacted_hash"))
 
 
 @query("redact_extended", "C3", f"""
 SELECT doc_id, sha256({_sql_redact('text', text.EXTENDED_REDACTIONS, '[{}]')}) AS redacted_hash FROM ascii_documents""")
 def _(c: Context):
-    return c.ascii_documents.select("doc_id", F.sha2(text.redact_extended(F.col("text")), 256).alias("redacted_hash"))
+    return c.text("ascii_documents").select("doc_id", F.sha2(text.redact_extended(F.col("text")), 256).alias("redacted_hash"))
 
 
 @query("prompt_hashes", "C4 C8", "SELECT n(conv_id) AS conv_id, n(turn) AS turn, substr(sha256(text), 1, 16) AS prompt_hash FROM conversations")

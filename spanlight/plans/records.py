@@ -323,7 +323,7 @@ c AS (SELECT doc_id, t, count(*) AS k FROM w WHERE t <> '' GROUP BY ALL),
 s AS (SELECT doc_id, sum(k) AS tokens, count(*) AS d, sum(k * log2(k)) AS x FROM c GROUP BY ALL)
 SELECT n(doc_id) AS doc_id, n(tokens) AS tokens, CASE WHEN round(log2(tokens) - x / tokens, 9) < 3 THEN 'repetitive' WHEN round(log2(tokens) - x / tokens, 9) > 9 THEN 'incoherent' ELSE 'normal' END AS flag FROM s""")
 def _(c: Context):
-    e = quality.token_entropy(c.ascii_documents, ["doc_id"], "text")
+    e = quality.token_entropy(c.text("ascii_documents"), ["doc_id"], "text")
     return e.select("doc_id", "tokens", quality.entropy_flag(F.col("entropy_bits"), 3.0, 9.0).alias("flag"))
 
 

@@ -11,11 +11,16 @@ from pyspark.sql import functions as F
 
 from .. import catalogs, fixtures
 from ..operators import enrich, lookups, validate
+from ..session import spread
 
 
 class Context(fixtures.Tables):
     """The tables and views of one data folder, plus events at the usual stages of enrichment."""
 
+    def text(self, name: str) -> DataFrame:
+        """A table of long texts, spread over the cores when its files cannot be split."""
+        return spread(self.view(name) if name in fixtures.VIEWS else self.base(name))
+
     @property
     def costed(self) -> DataFrame:
         return lookups.with_cost(self.obs, self.prices)
@@ -34,7 +39,7 @@ class Context(fixtures.Tables):
 
     @property
     def validated(self) -> DataFrame:
-        return validate.validate(self.raw_events.select("seq", "value"), now=F.lit("2024-02-01 00:00:00").cast("timestamp"))
+        return validate.validate(spread(self.raw_events.select("seq", "value")), now=F.lit("2024-02-01 00:00:00").cast("timestamp"))
 
     @property
     def enriched(self) -> DataFrame:

@@ -23,21 +23,37 @@ def storable(df: DataFrame) -> DataFrame:
     return df.withColumn("payload", F.to_json("payload")) if kinds.get("payload", "").startswith("map") else df
 
 
+ROWS_PER_FILE = 2_000_000
+
+
+def laid_out(df: DataFrame, partition: str, spread: str = "event_id", rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+    """One task per partition value, several for a large one: as many as its rows need files.
+
+    The row counts per value reach the driver: calendar days of one batch, a handful.
+    """
+    files = {r[0]: -(-r[1] // rows_per_file) for r in df.groupBy(partition).count().collect()}
+    large = {value: n for value, n in files.items() if n > 1}
+    if not large:
+        return df.repartition(partition)
+    share = F.lit(1)
+    for value, n in large.items():
+        share = F.when(F.col(partition) == F.lit(value), F.lit(n)).otherwise(share)
+    return df.repartition(sum(files.values()), partition, F.pmod(F.hash(spread), share))
+
+
 def append_events(events: DataFrame, path: str, keys: Sequence[str] = ("event_id", "event_ts")) -> None:
     """Insert, ignoring keys already stored; the first of several copies in the batch wins.
 
-    Only the partitions the batch touches are read, and one batch writes one set of files per
-    partition. The write goes through a sort inside partitions so that application filters skip
-    row groups.
+    Only the months the batch touches are read back. Rows are sorted inside each file, so filters on
+    the application skip row groups.
     """
     spark = events.sparkSession
     batch = first_per_key(storable(events), list(keys), ["emitted_at"])
     if _exists(spark, path):
-        months = [r[0] for r in batch.select("event_month").distinct().collect()]  # calendar months: a handful
+        months = [r[0] for r in events.select("event_month").distinct().collect()]  # calendar months: a handful
         stored = spark.read.parquet(path).where(F.col("event_month").isin(months))
         batch = not_yet_stored(batch, stored, list(keys))
-    (batch.repartition("event_month", "event_date", F.pmod(F.hash("event_id"), F.lit(16)))
-     .sortWithinPartitions("application_id", "event_ts")
+    (laid_out(batch, "event_date").sortWithinPartitions("event_date", "application_id", "event_ts")
      .write.mode("append").partitionBy("event_month", "event_date").parquet(path))
 
 
@@ -49,12 +65,13 @@ def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[
 def write_domain_tables(events: DataFrame, root: str, batch_id: int) -> None:
     """One filtered projection per domain table from the same (cached) batch."""
     for name, df in domain_tables(events).items():
-        write_batch(df.withColumn("event_date", F.col("event_ts").cast("date")), f"{root}/{name}", batch_id, ["event_date"])
+        dated = df.withColumn("event_date", F.col("event_ts").cast("date"))
+        write_batch(laid_out(dated, "event_date"), f"{root}/{name}", batch_id, ["event_date"])
 
 
 def replace_buckets(rollup: DataFrame, path: str, partition: str) -> None:
     """Recomputed rollup rows replace exactly the partitions they belong to."""
-    (rollup.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path))
+    (rollup.repartition(partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path))
 
 
 def recompute_touched(batch: DataFrame, stored_events: DataFrame, rollup, path: str) -> None:
