@@ -65,6 +65,7 @@ def validate(raw: DataFrame, event_types: list[str] | None = None, strict: bool
     # Only what the member reader refused is parsed a second time, to tell why.
     # The readers stop after the first value, so text behind it is looked for by counting values.
     one_value = F.coalesce(F.json_array_length(F.concat(F.lit("["), body, F.lit("]"))) == 1, F.lit(False))
+    one_value = one_value & F.is_valid_utf8(body)
     refused = F.col("_doc").isNull() | F.col(f"_doc.{_BROKEN}").isNotNull() | ~one_value
     other_json = one_value & F.try_parse_json(body).isNotNull()
     found = F.expr(f"array_compact(array({', '.join(_violation(f, k, r, vocabularies) for f, k, r in rules)}))")
@@ -105,7 +106,7 @@ def dead_letters(validated: DataFrame, now: Column | None = None) -> DataFrame:
     """Quarantined messages as (key, value): value is JSON {reason, failed_at, original}."""
     now = F.current_timestamp() if now is None else now
     bad = validated.where(F.size("violations") > 0)
-    body = F.decode("value", F.lit("UTF-8")) if dict(validated.dtypes)["value"] == "binary" else F.col("value")
+    body = F.make_valid_utf8(F.col("value").cast("string"))
     fallback = F.to_json(F.struct(body.alias("_unparseable")))
     parsed = F.try_parse_json(body)
     original = F.coalesce(parsed, F.try_parse_json(fallback))
