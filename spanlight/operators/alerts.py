@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..catalogs import LATENCY_BUCKETS_S
 from ..functions.times import epoch_second
 from ..session import small_side
-from .order_stats import exact_avg, ratio
+from .order_stats import ratio, with_percentiles
 
 
 def compare(value: Column, comparator: Column, threshold: Column) -> Column:
@@ -142,8 +142,25 @@ def named_metrics(events: DataFrame) -> DataFrame:
         "rag_no_result_rate_pct": share(t == "RAG_NO_RESULT", t.startswith("RAG_")),
         "negative_feedback_pct": share((t == "FEEDBACK_SUBMITTED") & (F.col("rating") <= 2), t == "FEEDBACK_SUBMITTED"),
         "agent_loops_at_max": F.count_if(t.startswith("AGENT_") & (F.col("loop_count") >= 3)).cast("double"),
-        "llm_avg_latency_ms": exact_avg(F.when(t.startswith("LLM_"), F.col("latency_ms"))),
+        "prompt_template_errors": F.count_if(t.startswith("LLM_") & (F.col("error_code") == "GR005")).cast("double"),
     }
     wide = events.groupBy("application_id").agg(*[c.alias(n) for n, c in metrics.items()])
-    pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("metric_id"), F.col(n).alias("value")) for n in metrics]))
+    wide = with_percentiles(wide, events.where(t.startswith("LLM_")), ["application_id"], "latency_ms", {"llm_p95_latency_ms": 0.95})
+    names = [*metrics, "llm_p95_latency_ms"]
+    pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("metric_id"), F.col(n).alias("value")) for n in names]))
     return wide.select(F.col("application_id").alias("scope"), pairs.alias("m")).select("m.metric_id", "scope", "m.value")
+
+
+def spike_metrics(daily: DataFrame, metric_id: str, measure: str, previous: str) -> DataFrame:
+    """A day's measure over the previous day's, as (metric_id, scope, value) for the alert rules."""
+    return daily.where(F.col(previous) > 0).select(
+        F.lit(metric_id).alias("metric_id"), F.concat_ws("/", "application_id", "day").alias("scope"),
+        (F.col(measure).cast("double") / F.col(previous)).alias("value"))
+
+
+def missing_hours(events: DataFrame, rollup: DataFrame) -> DataFrame:
+    """Hours that have events but no rollup row: the missing-rollup check, as (metric_id, scope, value)."""
+    hours = events.select(F.date_trunc("hour", "event_ts").cast("timestamp_ntz").alias("hour")).distinct()
+    gaps = hours.join(rollup.select("hour").distinct(), "hour", "left_anti")
+    return gaps.agg(F.count(F.lit(1)).cast("double").alias("value")).select(
+        F.lit("missing_rollup_hours").alias("metric_id"), F.lit("*").alias("scope"), "value")

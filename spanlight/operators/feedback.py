@@ -63,7 +63,7 @@ def daily_trend(feedback: DataFrame) -> DataFrame:
 def page(feedback: DataFrame, number: int = 1, size: int = 50) -> DataFrame:
     """One page, newest first, with the total and whether more follow.
 
-    The total is a separate count joined as one row; offset and limit are pushed into the sort.
+    The total is a scalar subquery; offset and limit are pushed into the sort.
     """
     if not 1 <= size <= MAX_PAGE_SIZE or number < 1:
         raise ValueError(f"page numbers start at 1 and sizes lie in 1..{MAX_PAGE_SIZE}")
@@ -72,7 +72,7 @@ def page(feedback: DataFrame, number: int = 1, size: int = 50) -> DataFrame:
     listed = rows.withColumns({
         "has_comments": F.col("comments").isNotNull(),
     }).drop("prompt", "comments")
-    return listed.join(F.broadcast(total)).withColumn("has_next", F.lit(number * size) < F.col("total"))
+    return listed.withColumn("total", total.scalar()).withColumn("has_next", F.lit(number * size) < F.col("total"))
 
 
 def problems(feedback: DataFrame, number: int = 1, size: int = 50) -> DataFrame:
@@ -104,9 +104,12 @@ def anonymise(feedback: DataFrame, subjects: DataFrame) -> DataFrame:
 def attribution(feedback: DataFrame, events: DataFrame) -> DataFrame:
     """Feedback by the agent, model, tool and knowledge base involved in the same correlation id.
 
-    The involved components are distinct per correlation id before the join, so one feedback counts
-    once per component.
+    Both sides are reduced to one row per correlation id (and component) before the join, so a busy
+    correlation id costs its components, not feedback times components.
     """
+    given = feedback.groupBy("correlation_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("rating") <= 2).alias("neg"),
+        F.sum("rating").alias("stars"), F.count("rating").alias("rated"))
     parts = F.explode(F.array(*[
         F.struct(F.lit(kind).alias("kind"), F.when(cond, F.col(col)).alias("component")) for kind, cond, col in (
             ("agent", F.col("event_type").startswith("AGENT_"), "agent_id"),
@@ -115,9 +118,9 @@ def attribution(feedback: DataFrame, events: DataFrame) -> DataFrame:
             ("knowledge_base", F.col("event_type").startswith("RAG_"), "rag_id"))]))
     involved = events.select("correlation_id", parts.alias("p")).select("correlation_id", "p.kind", "p.component").where(
         "component IS NOT NULL").distinct()
-    return feedback.join(involved, "correlation_id").groupBy("kind", "component").agg(
-        F.count(F.lit(1)).alias("feedback_count"),
-        F.count_if(F.col("rating") <= 2).alias("negative_count"), exact_avg("rating").alias("avg_rating"))
+    return given.join(involved, "correlation_id").groupBy("kind", "component").agg(
+        F.sum("n").alias("feedback_count"), F.sum("neg").alias("negative_count"),
+        ratio(F.sum("stars"), F.sum("rated")).alias("avg_rating"))
 
 
 def case_state(history: DataFrame) -> DataFrame:

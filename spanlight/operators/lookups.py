@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -130,25 +128,19 @@ def scoped(events: DataFrame, policies: DataFrame, subject: str,
     """
     own = grants(policies, subject)
 
-    def permitted(extra: Column) -> dict[str, DataFrame]:
-        base = own.where(extra)
-        return {
-            "lob": base.where(F.col("lob").isNotNull()).select(F.col("lob").alias("_lob")).distinct(),
-            "app": base.where(F.col("application_id").isNotNull()).select(F.col("application_id").alias("_app")).distinct(),
-            "all": base.where("permission = 'admin' AND lob IS NULL AND application_id IS NULL").select(F.lit(True).alias("_all")).limit(1),
-        }
-
-    def flag(df: DataFrame, sides: dict[str, DataFrame], name: str) -> DataFrame:
+    def flag(df: DataFrame, permitted: DataFrame, name: str) -> DataFrame:
+        lobs = permitted.where("lob IS NOT NULL").select(F.col("lob").alias("_lob")).distinct()
+        apps = permitted.where("application_id IS NOT NULL").select(F.col("application_id").alias("_app")).distinct()
+        everything = permitted.where("permission = 'admin' AND lob IS NULL AND application_id IS NULL").agg(F.count(F.lit(1)) > 0)
         out = (
-            df.join(small_side(sides["lob"]), F.col("lob") == F.col("_lob"), "left")
-            .join(small_side(sides["app"]), F.col("application_id") == F.col("_app"), "left")
-            .join(F.broadcast(sides["all"]), F.lit(True), "left")  # at most one row
+            df.join(small_side(lobs), F.col("lob") == F.col("_lob"), "left")
+            .join(small_side(apps), F.col("application_id") == F.col("_app"), "left")
         )
-        seen = F.col("_lob").isNotNull() | F.col("_app").isNotNull() | F.coalesce("_all", F.lit(False))
-        return out.withColumn(name, seen).drop("_lob", "_app", "_all")
+        seen = F.col("_lob").isNotNull() | F.col("_app").isNotNull() | everything.scalar()
+        return out.withColumn(name, seen).drop("_lob", "_app")
 
-    visible = flag(events, permitted(F.lit(True)), "_see").where("_see").drop("_see")
-    clear = flag(visible, permitted(F.col("permission").isin("read_payloads", "admin")), "_read")
+    visible = flag(events, own, "_see").where("_see").drop("_see")
+    clear = flag(visible, own.where(F.col("permission").isin("read_payloads", "admin")), "_read")
     blanked = {c: F.when(F.col("_read"), F.col(c)) for c in payload_columns if c in events.columns}
     return clear.withColumns(blanked).drop("_read") if blanked else clear.drop("_read")
 
@@ -161,10 +153,8 @@ def with_cheaper_model(costed: DataFrame, catalog: list[tuple[str, str, str]]) -
     }).drop("_o")
 
 
-def attach(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
-    """Equi-join of event-sized sides; adaptive execution chooses and splits skewed partitions."""
-    return left.join(right, keys, how)
-
-
 def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions, F.lit(False))
+    out = F.lit(False)
+    for condition in conditions:
+        out = out | condition
+    return out

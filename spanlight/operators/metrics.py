@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import catalogs
 from ..functions import money
+from . import lookups
 from .order_stats import exact_avg, percentiles, ratio
 
 
@@ -97,6 +98,16 @@ def lookup(catalog: DataFrame, words: str) -> DataFrame:
     return catalog.where(hit).select("metric_id", "metric_name", "unit")
 
 
+def matching_ids(words: Column) -> Column:
+    """Metric ids whose synonyms occur in a text column; the catalog is folded into the expression."""
+    spaced = F.concat(F.lit(" "), F.lower(words), F.lit(" "))
+    hits = [
+        F.when(lookups.any_of([F.contains(spaced, F.lit(f" {s} ")) for s in synonyms.split(",")]), F.lit(metric_id))
+        for metric_id, _, _, _, _, synonyms in catalogs.METRIC_CATALOG
+    ]
+    return F.array_compact(F.array(*hits))
+
+
 def rollup_ratios(application: DataFrame, agent: DataFrame, tool: DataFrame, llm: DataFrame, rag: DataFrame,
                   feedback: DataFrame) -> DataFrame:
     """The second metric set: ratios of sums over the rollup tables, long form."""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text, vectors
 from ..functions.times import hours_between
-from ..session import small_side
+from ..session import computed_once, small_side
 from .order_stats import exact_avg, top_per_group
 
 
@@ -22,16 +22,19 @@ def answer_quality(pairs: DataFrame) -> DataFrame:
 
 
 def token_entropy(rows: DataFrame, keys: Sequence[str], body: str) -> DataFrame:
-    """Shannon entropy in bits of each row's tokens.
+    """Shannon entropy in bits of each row's tokens: log2(n) - sum(c * log2(c)) / n.
 
-    Tokens are counted per (row, token), so a very long text is spread over tasks.
+    Counted inside the row over its sorted tokens, run by run, so no token is shuffled.
     """
-    counts = rows.select(*keys, F.explode(text.tokens(F.col(body))).alias("t")).groupBy(*keys, "t").agg(
-        F.count(F.lit(1)).alias("c"))
-    totals = counts.groupBy(*keys).agg(
-        F.sum("c").alias("tokens"), F.count(F.lit(1)).alias("distinct_tokens"),
-        F.sum(F.round(F.col("c") * F.log2(F.col("c")), 9).cast("decimal(28,9)")).cast("double").alias("_w"))
-    return totals.withColumn("entropy_bits", F.round(F.log2("tokens") - F.col("_w") / F.col("tokens"), 9)).drop("_w")
+    words = rows.select(*keys, F.array_sort(text.tokens(F.col(body))).alias("_t")).where(F.size("_t") > 0)
+    cut = "CASE WHEN a.run > 1 THEN a.w + a.run * log2(a.run) ELSE a.w END"
+    runs = F.expr(f"""aggregate(_t, named_struct('prev', CAST(NULL AS STRING), 'run', 0, 'kinds', 0, 'w', CAST(0 AS DOUBLE)),
+        (a, t) -> CASE WHEN t <=> a.prev THEN named_struct('prev', a.prev, 'run', a.run + 1, 'kinds', a.kinds, 'w', a.w)
+                  ELSE named_struct('prev', t, 'run', 1, 'kinds', a.kinds + 1, 'w', {cut}) END,
+        a -> named_struct('kinds', a.kinds, 'w', {cut}))""")
+    counted = computed_once(words, _r=runs, tokens=F.size("_t"))
+    bits = F.log2("tokens") - F.col("_r.w") / F.col("tokens")
+    return counted.select(*keys, "tokens", F.col("_r.kinds").alias("distinct_tokens"), F.round(bits, 9).alias("entropy_bits"))
 
 
 def entropy_flag(entropy: Column, low: float, high: float) -> Column:

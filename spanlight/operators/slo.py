@@ -109,9 +109,21 @@ def history_snapshot(compliance: DataFrame, apps: DataFrame) -> DataFrame:
         F.round("burn_rate_6h", 4).alias("burn_rate_6h"), "breached")
 
 
-def sliding_counts(events: DataFrame, definitions: DataFrame, window: str, slide: str = "1 minute") -> DataFrame:
-    """Good and total per objective in sliding windows; also runs on a stream with a watermark."""
+def minute_counts(events: DataFrame, definitions: DataFrame) -> DataFrame:
+    """Good and total per objective and minute; also runs on a stream with a watermark."""
     rows = slo_events(events, definitions)
-    return rows.groupBy("slo_id", F.window("event_ts", window, slide).alias("w")).agg(
+    return rows.groupBy("slo_id", F.window("event_ts", "1 minute").alias("w")).agg(
         F.sum("good").alias("good"), F.sum("one").alias("total")
-    ).select("slo_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "good", "total")
+    ).select("slo_id", F.floor(F.unix_seconds(F.col("w.start").cast("timestamp")) / 60).cast("long").alias("minute"), "good", "total")
+
+
+def sliding_counts(minutes: DataFrame, length: int) -> DataFrame:
+    """Counts in windows of `length` minutes that slide by one minute, from counts per minute.
+
+    Minutes, not events, are copied into the windows that cover them.
+    """
+    spread = minutes.withColumn("_m", F.explode(F.sequence(F.col("minute") - (length - 1), F.col("minute"))))
+    start = F.timestamp_seconds(F.col("_m") * 60).cast("timestamp_ntz")
+    end = F.timestamp_seconds((F.col("_m") + length) * 60).cast("timestamp_ntz")
+    return spread.groupBy("slo_id", "_m").agg(F.sum("good").alias("good"), F.sum("total").alias("total")).select(
+        "slo_id", start.alias("window_start"), end.alias("window_end"), "good", "total")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import contract
+from ..session import small_side
 
 # Named row filters that the stored tables were indexed for.
 NAMED_FILTERS = {
@@ -96,8 +97,13 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
 
 
 def not_yet_stored(batch: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of a batch whose key is not in the stored rows."""
-    return batch.join(stored.select(*keys), keys, "left_anti")
+    """Rows of a batch whose key is not in the stored rows.
+
+    The stored side is first reduced to the batch's keys; for a batch of checked small size that is
+    a broadcast filter, so the stored rows are never shuffled.
+    """
+    hits = stored.select(*keys).join(small_side(batch.select(*keys)), keys, "left_semi")
+    return batch.join(hits, keys, "left_anti")
 
 
 def with_replay_state(dead: DataFrame, replayed: DataFrame) -> DataFrame:

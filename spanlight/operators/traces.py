@@ -38,24 +38,25 @@ def tree(spans: DataFrame, max_rounds: int = 24, with_path: bool = True) -> Data
     ids = spans.select(*keys).distinct().withColumnRenamed("span_id", "parent_span_id").withColumn("_known", F.lit(True))
     linked = spans.select(*keys, "parent_span_id").join(ids, ["correlation_id", "parent_span_id"], "left").select(
         *keys, F.when(F.col("_known"), F.col("parent_span_id")).alias("parent"))
+    path = ["path"] if with_path else []
     state = cut_lineage(linked.select(
         *keys, F.col("parent").alias("up"), F.col("parent").isNotNull().cast("int").alias("hops"),
-        F.coalesce("parent", "span_id").alias("top"),
-        *([F.col("span_id").alias("path")] if with_path else [])))
+        F.coalesce("parent", "span_id").alias("top"), *[F.col("span_id").alias(p) for p in path]))
+    finished, moving = state.where("up IS NULL"), state.where("up IS NOT NULL")
     for _ in range(max_rounds):
-        if state.where("up IS NOT NULL").isEmpty():
+        if moving.isEmpty():
             break
-        above = state.select(
+        above = finished.unionByName(moving).select(
             "correlation_id", F.col("span_id").alias("up"), F.col("up").alias("_up"), F.col("hops").alias("_hops"),
-            F.col("top").alias("_top"), *([F.col("path").alias("_path")] if with_path else []))
-        # Only unfinished spans join; finished ones are carried over as they are.
-        moved = state.where("up IS NOT NULL").join(above, ["correlation_id", "up"]).select(
+            F.col("top").alias("_top"), *[F.col(p).alias("_path") for p in path])
+        # Only spans still moving are joined and written again; finished ones stay where they are.
+        moved = cut_lineage(moving.join(above, ["correlation_id", "up"]).select(
             *keys, F.col("_up").alias("up"), (F.col("hops") + F.col("_hops")).alias("hops"), F.col("_top").alias("top"),
-            *([F.concat("_path", F.lit("/"), "path").alias("path")] if with_path else []))
-        state = cut_lineage(state.where("up IS NULL").unionByName(moved))
-    done = state.select(
+            *[F.concat("_path", F.lit("/"), "path").alias(p) for p in path]))
+        finished, moving = finished.unionByName(moved.where("up IS NULL")), moved.where("up IS NOT NULL")
+    done = finished.unionByName(moving).select(
         *keys, F.col("hops").alias("depth"), F.when(F.col("up").isNull(), F.col("top")).alias("root_span_id"),
-        F.col("up").isNotNull().alias("on_cycle"), *(["path"] if with_path else []))
+        F.col("up").isNotNull().alias("on_cycle"), *path)
     children = spans.where(F.col("parent_span_id").isNotNull()).groupBy(
         "correlation_id", F.col("parent_span_id").alias("span_id")).agg(
         F.count(F.lit(1)).alias("child_count"), F.sum(F.col("latency_ms").cast("decimal(18,3)")).alias("_child_ms"))

@@ -119,7 +119,7 @@ WITH e AS (SELECT s.slo_id, CASE WHEN s.sli_type = 'availability' THEN o.status
 SELECT slo_id, window_start, window_start + INTERVAL 1 HOUR AS window_end, n(count(*) FILTER (good)) AS good, n(count(*)) AS total
 FROM (SELECT slo_id, good, m - to_minutes(unnest(range(0, 60))) AS window_start FROM e) GROUP BY slo_id, window_start""")
 def _(c: Context):
-    return slo.sliding_counts(c.obs, c.slos, "1 hour")
+    return slo.sliding_counts(slo.minute_counts(c.obs, c.slos), 60)
 
 
 _RATES = """p AS (SELECT service_name, CAST(floor(epoch(event_ts) / 60) AS BIGINT) AS m, count(*) FILTER (http_status >= 500) AS failed, count(*) AS total FROM obs GROUP BY ALL),
@@ -156,14 +156,20 @@ WITH v AS (SELECT application_id AS scope, 100.0 * count(*) FILTER (event_type =
   100.0 * count(*) FILTER (event_type = 'TOOL_CALL_FAILED') / nullif(count(*) FILTER (event_type LIKE 'TOOL%'), 0) AS tool_failure_rate_pct,
   100.0 * count(*) FILTER (event_type = 'RAG_NO_RESULT') / nullif(count(*) FILTER (event_type LIKE 'RAG%'), 0) AS rag_no_result_rate_pct,
   100.0 * count(*) FILTER (event_type = 'FEEDBACK_SUBMITTED' AND rating <= 2) / nullif(count(*) FILTER (event_type = 'FEEDBACK_SUBMITTED'), 0) AS negative_feedback_pct,
-  CAST(count(*) FILTER (event_type LIKE 'AGENT%' AND loop_count >= 3) AS DOUBLE) AS agent_loops_at_max FROM obs GROUP BY ALL)
+  CAST(count(*) FILTER (event_type LIKE 'AGENT%' AND loop_count >= 3) AS DOUBLE) AS agent_loops_at_max,
+  quantile_cont(latency_ms, 0.95) FILTER (event_type LIKE 'LLM%') AS llm_p95 FROM obs GROUP BY ALL),
+d AS (SELECT application_id, CAST(event_ts AS DATE) AS day, CAST(sum(cost_usd) AS DOUBLE) AS s FROM spend GROUP BY ALL),
+x AS (SELECT application_id || '/' || day AS scope, s / lag(s) OVER (PARTITION BY application_id ORDER BY day) AS r FROM d)
 SELECT 'high_error_rate' AS alert_id, scope, r6(request_error_rate_pct) AS value FROM v WHERE request_error_rate_pct > 5
 UNION ALL SELECT 'tool_failure_spike', scope, r6(tool_failure_rate_pct) FROM v WHERE tool_failure_rate_pct > 10
 UNION ALL SELECT 'rag_no_result_spike', scope, r6(rag_no_result_rate_pct) FROM v WHERE rag_no_result_rate_pct > 20
 UNION ALL SELECT 'negative_feedback_spike', scope, r6(negative_feedback_pct) FROM v WHERE negative_feedback_pct > 20
+UNION ALL SELECT 'llm_latency_spike', scope, r6(llm_p95) FROM v WHERE llm_p95 > 700
+UNION ALL SELECT 'token_cost_anomaly', scope, r6(r) FROM x WHERE r >= 2
 UNION ALL SELECT 'loop_agent_stuck', scope, r6(agent_loops_at_max) FROM v WHERE agent_loops_at_max >= 3""")
 def _(c: Context):
-    return alerts.evaluate_rules(alerts.named_metrics(c.obs), catalogs.alert_rule_table(c.spark)).select("alert_id", "scope", "value")
+    costs = alerts.spike_metrics(budget.daily_spend_trend(c.spend, ["application_id"]), "cost_vs_previous_day", "spend_usd", "previous_usd")
+    return alerts.evaluate_rules(alerts.named_metrics(c.obs).unionByName(costs), catalogs.alert_rule_table(c.spark)).select("alert_id", "scope", "value")
 
 
 @query("guardrail_block_spikes", "W6", """

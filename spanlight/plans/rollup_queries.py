@@ -161,13 +161,10 @@ WITH c(metric_id, metric_name, unit, syn) AS (VALUES """ + ", ".join(
 t AS (SELECT DISTINCT error_message AS words FROM obs UNION SELECT 'slow usage and spend per failure rate')
 SELECT words, metric_id, unit FROM t JOIN c ON len(list_filter(syn, lambda s: contains(' ' || lower(words) || ' ', ' ' || s || ' '))) > 0""")
 def _(c: Context):
-    catalog = metrics.catalog_table(c.spark)
     words = c.obs.select(F.col("error_message").alias("words")).distinct().union(
         c.spark.sql("SELECT 'slow usage and spend per failure rate'")).distinct()
-    syn = catalog.select("metric_id", "unit", F.explode("synonyms").alias("syn"))
-    spaced = F.concat(F.lit(" "), F.lower("words"), F.lit(" "))
-    return words.join(F.broadcast(syn), F.contains(spaced, F.concat(F.lit(" "), F.col("syn"), F.lit(" ")))).select(
-        "words", "metric_id", "unit").distinct()
+    ids = words.select("words", F.explode(metrics.matching_ids(F.col("words"))).alias("metric_id"))
+    return ids.join(F.broadcast(metrics.catalog_table(c.spark).select("metric_id", "unit")), "metric_id")
 
 
 @query("document_metrics", "A17", """

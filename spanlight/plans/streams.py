@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import catalogs
-from ..operators import enrich
+from ..operators import enrich, slo
 from ..session import shared_dir
 from ..streaming import jobs
 from . import reliability
@@ -47,8 +47,8 @@ def _(c: Context):
 @query("stream_sliding_slo", "R6 J6", QUERIES["sliding_slo_counts"].sql)
 def _(c: Context):
     run = _run_folder(c)
-    _finish(jobs.sliding_slo(StreamContext(c.spark, c.sf_dir).obs, c.slos, "1 hour", f"{run}/out", f"{run}/checkpoint", available_now=True))
-    return jobs.latest_rows(c.spark, f"{run}/out", ["slo_id", "window_start"])
+    _finish(jobs.slo_minutes(StreamContext(c.spark, c.sf_dir).obs, c.slos, f"{run}/out", f"{run}/checkpoint", available_now=True))
+    return slo.sliding_counts(jobs.latest_rows(c.spark, f"{run}/out", ["slo_id", "minute"]), 60)
 
 
 @query("stream_budget_crossings", "R7 W2", QUERIES["budget_crossings"].sql)
@@ -96,7 +96,8 @@ def _(c: Context):
         F.struct("model_name", "input_tokens", "output_tokens").alias("payload")))
     copies = F.when(F.col("seq") % 20 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     messages = stream.select(body.alias("value"), copies.alias("_c")).select("value", F.explode("_c")).drop("col")
-    _finish(jobs.storage(messages, f"{run}/events", f"{run}/domain", f"{run}/hourly", f"{run}/checkpoint", available_now=True))
+    _finish(jobs.storage(messages, f"{run}/events", f"{run}/domain", f"{run}/touched", f"{run}/checkpoint", available_now=True))
+    jobs.rebuild_rollup(c.spark, f"{run}/events", f"{run}/touched", f"{run}/hourly")
     stored = c.spark.read.parquet(f"{run}/events").groupBy("application_id", F.date_trunc("day", "event_ts").alias("day")).agg(F.count(F.lit(1)).alias("events"))
     hourly = c.spark.read.parquet(f"{run}/hourly").groupBy("application_id", F.date_trunc("day", "hour").alias("day")).agg(F.sum("success_count").alias("completed"))
     return stored.join(hourly, ["application_id", "day"], "left").fillna(0, ["completed"])

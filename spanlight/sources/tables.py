@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.store import domain_tables, first_per_key, not_yet_stored
+from ..session import small_side
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -26,34 +27,38 @@ def storable(df: DataFrame) -> DataFrame:
 ROWS_PER_FILE = 2_000_000
 
 
-def laid_out(df: DataFrame, partition: str, spread: str = "event_id", rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
-    """One task per partition value, several for a large one: as many as its rows need files.
+def files_per_value(df: DataFrame, partition: str, rows_per_file: int = ROWS_PER_FILE) -> dict:
+    """Files each partition value needs. Row counts per calendar day of one batch: a handful of rows."""
+    return {r[0]: -(-r[1] // rows_per_file) for r in df.groupBy(partition).count().collect()}
 
-    The row counts per value reach the driver: calendar days of one batch, a handful.
-    """
-    files = {r[0]: -(-r[1] // rows_per_file) for r in df.groupBy(partition).count().collect()}
-    large = {value: n for value, n in files.items() if n > 1}
-    if not large:
-        return df.repartition(partition)
+
+def laid_out(df: DataFrame, partition: str, files: dict, spread: str = "event_id") -> DataFrame:
+    """One task per partition value, several for a large one: as many as it needs files."""
     share = F.lit(1)
-    for value, n in large.items():
-        share = F.when(F.col(partition) == F.lit(value), F.lit(n)).otherwise(share)
-    return df.repartition(sum(files.values()), partition, F.pmod(F.hash(spread), share))
+    for value, n in files.items():
+        if n > 1:
+            share = F.when(F.col(partition) == F.lit(value), F.lit(n)).otherwise(share)
+    return df.repartition(max(1, sum(files.values())), partition, F.pmod(F.hash(spread), share))
 
 
-def append_events(events: DataFrame, path: str, keys: Sequence[str] = ("event_id", "event_ts")) -> None:
+def append_events(events: DataFrame, path: str, files: dict | None = None, keys: Sequence[str] = ("event_id", "event_ts")) -> None:
     """Insert, ignoring keys already stored; the first of several copies in the batch wins.
 
-    Only the months the batch touches are read back. Rows are sorted inside each file, so filters on
-    the application skip row groups.
+    A copy has the same time, so only stored files whose days and times overlap the batch are read,
+    and of these only the key columns. Rows are sorted inside each file, so filters on the
+    application skip row groups.
     """
     spark = events.sparkSession
+    files = files_per_value(events, "event_date") if files is None else files
+    if not files:
+        return
     batch = first_per_key(storable(events), list(keys), ["emitted_at"])
     if _exists(spark, path):
-        months = [r[0] for r in events.select("event_month").distinct().collect()]  # calendar months: a handful
-        stored = spark.read.parquet(path).where(F.col("event_month").isin(months))
+        first, last = events.agg(F.min("event_ts"), F.max("event_ts")).first()
+        stored = spark.read.parquet(path).where(
+            F.col("event_date").isin(list(files)) & F.col("event_ts").between(first, last))
         batch = not_yet_stored(batch, stored, list(keys))
-    (laid_out(batch, "event_date").sortWithinPartitions("event_date", "application_id", "event_ts")
+    (laid_out(batch, "event_date", files).sortWithinPartitions("event_date", "application_id", "event_ts")
      .write.mode("append").partitionBy("event_month", "event_date").parquet(path))
 
 
@@ -62,23 +67,29 @@ def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/batch={batch_id}")
 
 
-def write_domain_tables(events: DataFrame, root: str, batch_id: int) -> None:
+def write_domain_tables(events: DataFrame, root: str, batch_id: int, files: dict) -> None:
     """One filtered projection per domain table from the same (cached) batch."""
     for name, df in domain_tables(events).items():
         dated = df.withColumn("event_date", F.col("event_ts").cast("date"))
-        write_batch(laid_out(dated, "event_date"), f"{root}/{name}", batch_id, ["event_date"])
+        write_batch(laid_out(dated, "event_date", files), f"{root}/{name}", batch_id, ["event_date"])
 
 
-def replace_buckets(rollup: DataFrame, path: str, partition: str) -> None:
-    """Recomputed rollup rows replace exactly the partitions they belong to."""
-    (rollup.repartition(partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path))
+def replace_hours(rollup: DataFrame, path: str) -> None:
+    """Recomputed rollup rows replace exactly the hours they belong to."""
+    dated = rollup.withColumns({"event_date": F.col("hour").cast("date"), "event_hour": F.hour("hour")})
+    (dated.repartition("event_date", "event_hour").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("event_date", "event_hour").parquet(path))
 
 
-def recompute_touched(batch: DataFrame, stored_events: DataFrame, rollup, path: str) -> None:
-    """Rebuild the days a batch touches from all stored events of these days, then replace them."""
-    days = [r[0] for r in batch.select("event_date").distinct().collect()]  # calendar days: a handful
-    whole_days = stored_events.where(F.col("event_date").isin(days))
-    replace_buckets(rollup(whole_days).withColumn("event_date", F.col("hour").cast("date")), path, "event_date")
+def recompute_hours(hours: DataFrame, stored_events: DataFrame, rollup: Callable[[DataFrame], DataFrame], path: str) -> None:
+    """Rebuild these hours from all stored events of them, then replace them.
+
+    The days prune partitions, the hours are matched by a join with the short list of hours.
+    """
+    days = [r[0] for r in hours.select(F.col("hour").cast("date")).distinct().collect()]  # calendar days: a handful
+    rows = stored_events.where(F.col("event_date").isin(days)).withColumn("_h", F.date_trunc("hour", "event_ts").cast("timestamp_ntz"))
+    touched = rows.join(small_side(hours.select(F.col("hour").alias("_h")).distinct()), "_h", "left_semi").drop("_h")
+    replace_hours(rollup(touched), path)
 
 
 def expired_months(spark: SparkSession, path: str, today: date, keep_months: int = 3) -> list[str]:

@@ -55,9 +55,9 @@ def enrichment(messages: DataFrame, dims: Callable[[SparkSession], enrich.Dimens
     return _start(messages, work, checkpoint, available_now=available_now)
 
 
-def storage(processed: DataFrame, events_path: str, domain_root: str, rollup_path: str | None, checkpoint: str,
+def storage(processed: DataFrame, events_path: str, domain_root: str, touched_path: str, checkpoint: str,
             watermark: str = WATERMARK, available_now: bool = False) -> StreamingQuery:
-    """Processed messages into the event table, the domain tables and the rebuilt hourly rollup.
+    """Processed messages into the event table and the domain tables, noting the hours they touch.
 
     Copies within the watermark are dropped by the state store, older ones by the keys already stored.
     """
@@ -70,17 +70,31 @@ def storage(processed: DataFrame, events_path: str, domain_root: str, rollup_pat
     def work(batch: DataFrame, batch_id: int) -> None:
         rows = batch.drop("source_value", "value").persist()
         try:
-            tables.append_events(rows, events_path)
-            tables.write_domain_tables(rows, domain_root, batch_id)
-            if rollup_path:
-                stored = batch.sparkSession.read.parquet(events_path)
-                tables.recompute_touched(rows, stored, lambda days: hourly_application(promoted(days)), rollup_path)
+            files = tables.files_per_value(rows, "event_date")
+            tables.append_events(rows, events_path, files)
+            tables.write_domain_tables(rows, domain_root, batch_id, files)
+            hours = rows.select(F.date_trunc("hour", "event_ts").cast("timestamp_ntz").alias("hour")).distinct()
+            tables.write_batch(hours, touched_path, batch_id)
         finally:
             rows.unpersist()
 
     return _start(unique, work, checkpoint, available_now=available_now)
 
 
+def rebuild_rollup(spark: SparkSession, events_path: str, touched_path: str, rollup_path: str, after_batch: int = -1) -> int:
+    """Rebuild the hours touched since a batch from all stored events, late ones included.
+
+    Meant to run every few minutes, apart from the micro-batches; returns the last batch it covered.
+    """
+    notes = spark.read.option("basePath", touched_path).parquet(touched_path).where(F.col("batch") > after_batch)
+    last = notes.agg(F.max("batch")).first()[0]
+    if last is None:
+        return after_batch
+    tables.recompute_hours(notes.select("hour").distinct(), spark.read.parquet(events_path),
+                           lambda rows: hourly_application(promoted(rows)), rollup_path)
+    return last
+
+
 def promoted(stored: DataFrame) -> DataFrame:
     """The payload columns the rollups use, typed, from stored events."""
     doc = F.try_parse_json("payload")
@@ -113,11 +127,12 @@ def latest_rows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     return last.select(*keys, "_r.*").drop("batch")
 
 
-def sliding_slo(events: DataFrame, definitions: DataFrame, window: str, out: str, checkpoint: str,
+def slo_minutes(events: DataFrame, definitions: DataFrame, out: str, checkpoint: str,
                 watermark: str = WATERMARK, available_now: bool = False) -> StreamingQuery:
-    """Good and total per objective in sliding windows."""
+    """Good and total per objective and minute. The state is minutes; the sliding windows of one and
+    six hours are read off the minute table with `slo.sliding_counts`."""
     stamped = events.withColumn("event_ts", F.col("event_ts").cast("timestamp")).withWatermark("event_ts", watermark)
-    counts = slo.sliding_counts(stamped, definitions, window)
+    counts = slo.minute_counts(stamped, definitions)
 
     def work(batch: DataFrame, batch_id: int) -> None:
         tables.write_batch(batch, out, batch_id)
@@ -167,8 +182,8 @@ def budgets(costed: DataFrame, limits: Callable[[SparkSession], DataFrame], root
             added = budget.totals(rows, known).select(*budget.KEYS, F.col("spend_usd").alias("opening_usd"))
             both = added if opening is None else opening.unionByName(added)
             newest = both.groupBy(*budget.KEYS).agg(F.sum("opening_usd").cast(money.TOTAL).alias("opening_usd"))
-            horizon = newest.agg(F.date_sub(F.max("period_start"), keep_days).alias("_h"))
-            alive = newest.join(F.broadcast(horizon), F.col("period_start") >= F.col("_h")).drop("_h")  # one row
+            horizon = newest.agg(F.date_sub(F.max("period_start"), keep_days)).scalar()
+            alive = newest.where(F.col("period_start") >= horizon)
             tables.write_batch(alive, f"{root}/totals", batch_id)
         finally:
             rows.unpersist()

@@ -45,11 +45,13 @@ def test_storage_stream_ignores_copies_and_rebuilds_late_hours(spark, tmp_path):
     raw, store = str(tmp_path / "processed"), str(tmp_path / "events")
 
     def go():
-        jobs.storage(messages.read_files(spark, raw), store, str(tmp_path / "domain"), str(tmp_path / "hourly"), str(tmp_path / "ck"),
+        jobs.storage(messages.read_files(spark, raw), store, str(tmp_path / "domain"), str(tmp_path / "touched"), str(tmp_path / "ck"),
                      watermark="2 days", available_now=True).awaitTermination()
+        return jobs.rebuild_rollup(spark, store, str(tmp_path / "touched"), str(tmp_path / "hourly"), rebuilt)
 
     _write(spark, raw, [_event(i, "2026-02-01T10:00:00Z") for i in range(4)] + [_event(1, "2026-02-01T10:00:00Z")], 0)
-    go()
+    rebuilt = -1
+    rebuilt = go()
     _write(spark, raw, [_event(2, "2026-02-01T10:00:00Z"), _event(7, "2026-02-01T10:30:00Z"),
                         _event(8, "2026-02-02T01:00:00Z", event_type="LLM_CALL_COMPLETED", payload={"model_name": "m", "input_tokens": 5})], 1)
     go()
@@ -76,7 +78,8 @@ def test_append_is_idempotent_and_retention_archives(spark, tmp_path):
 
 def test_layout_splits_only_large_days(spark):
     rows = spark.range(1000).select(F.col("id").cast("string").alias("event_id"), F.when(F.col("id") < 900, "hot").otherwise("cold").alias("d"))
-    parts = tables.laid_out(rows, "d", rows_per_file=100).withColumn("p", F.spark_partition_id()).groupBy("d").agg(F.count_distinct("p").alias("n")).collect()
+    files = tables.files_per_value(rows, "d", 100)
+    parts = tables.laid_out(rows, "d", files).withColumn("p", F.spark_partition_id()).groupBy("d").agg(F.count_distinct("p").alias("n")).collect()
     assert {r["d"]: r["n"] for r in parts}["hot"] > 1 and {r["d"]: r["n"] for r in parts}["cold"] == 1
 
 
