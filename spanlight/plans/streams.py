@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .. import catalogs
 from ..operators import enrich, slo
 from ..session import shared_dir
+from ..sources import tables
 from ..streaming import jobs
 from . import reliability
 from .registry import QUERIES, Context, query
@@ -41,14 +42,14 @@ SELECT application_id, date_trunc('hour', event_ts) AS hour, n(count(*)) AS even
 def _(c: Context):
     run = _run_folder(c)
     _finish(jobs.hourly_usage(StreamContext(c.spark, c.sf_dir).costed, f"{run}/out", f"{run}/checkpoint", available_now=True))
-    return jobs.latest_rows(c.spark, f"{run}/out", ["application_id", "hour"]).drop("p95_latency_ms")
+    return tables.latest_rows(c.spark, f"{run}/out", ["application_id", "hour"]).drop("p95_latency_ms")
 
 
 @query("stream_sliding_slo", "R6 J6", QUERIES["sliding_slo_counts"].sql)
 def _(c: Context):
     run = _run_folder(c)
     _finish(jobs.slo_minutes(StreamContext(c.spark, c.sf_dir).obs, c.slos, f"{run}/out", f"{run}/checkpoint", available_now=True))
-    return slo.sliding_counts(jobs.latest_rows(c.spark, f"{run}/out", ["slo_id", "minute"]), 60)
+    return slo.sliding_counts(tables.latest_rows(c.spark, f"{run}/out", ["slo_id", "minute"]), 60)
 
 
 @query("stream_budget_crossings", "R7 W2", QUERIES["budget_crossings"].sql)
@@ -99,5 +100,5 @@ def _(c: Context):
     _finish(jobs.storage(messages, f"{run}/events", f"{run}/domain", f"{run}/touched", f"{run}/checkpoint", available_now=True))
     jobs.rebuild_rollup(c.spark, f"{run}/events", f"{run}/touched", f"{run}/hourly")
     stored = c.spark.read.parquet(f"{run}/events").groupBy("application_id", F.date_trunc("day", "event_ts").alias("day")).agg(F.count(F.lit(1)).alias("events"))
-    hourly = c.spark.read.parquet(f"{run}/hourly").groupBy("application_id", F.date_trunc("day", "hour").alias("day")).agg(F.sum("success_count").alias("completed"))
+    hourly = tables.latest_rows(c.spark, f"{run}/hourly", ["application_id", "hour"]).groupBy("application_id", F.date_trunc("day", "hour").alias("day")).agg(F.sum("success_count").alias("completed"))
     return stored.join(hourly, ["application_id", "day"], "left").fillna(0, ["completed"])

@@ -74,22 +74,29 @@ def write_domain_tables(events: DataFrame, root: str, batch_id: int, files: dict
         write_batch(laid_out(dated, "event_date", files), f"{root}/{name}", batch_id, ["event_date"])
 
 
-def replace_hours(rollup: DataFrame, path: str) -> None:
-    """Recomputed rollup rows replace exactly the hours they belong to."""
-    dated = rollup.withColumns({"event_date": F.col("hour").cast("date"), "event_hour": F.hour("hour")})
-    (dated.repartition("event_date", "event_hour").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("event_date", "event_hour").parquet(path))
+def recompute_hours(hours: DataFrame, stored_events: DataFrame, rollup: Callable[[DataFrame], DataFrame], path: str,
+                    version: int) -> None:
+    """Rebuild these hours from all stored events of them, as a new version of their rollup rows.
 
-
-def recompute_hours(hours: DataFrame, stored_events: DataFrame, rollup: Callable[[DataFrame], DataFrame], path: str) -> None:
-    """Rebuild these hours from all stored events of them, then replace them.
-
-    The days prune partitions, the hours are matched by a join with the short list of hours.
+    The days prune partitions, the hours are matched by a join with the short list of hours. A
+    repeated rebuild replaces its own version; `latest_rows` reads the newest one of each row.
     """
     days = [r[0] for r in hours.select(F.col("hour").cast("date")).distinct().collect()]  # calendar days: a handful
     rows = stored_events.where(F.col("event_date").isin(days)).withColumn("_h", F.date_trunc("hour", "event_ts").cast("timestamp_ntz"))
     touched = rows.join(small_side(hours.select(F.col("hour").alias("_h")).distinct()), "_h", "left_semi").drop("_h")
-    replace_hours(rollup(touched), path)
+    write_batch(rollup(touched), path, version)
+
+
+def latest_rows(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """Current rows of a table written batch by batch: the last batch that wrote a key wins."""
+    rows = spark.read.option("basePath", path).parquet(path)
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in rows.columns if c not in keys]), "batch").alias("_r"))
+    return last.select(*keys, "_r.*").drop("batch")
+
+
+def compact(spark: SparkSession, path: str, keys: Sequence[str], target: str) -> None:
+    """Write only the current rows of a batch-by-batch table, as batch 0 of a new table."""
+    write_batch(latest_rows(spark, path, keys), target, 0)
 
 
 def expired_months(spark: SparkSession, path: str, today: date, keep_months: int = 3) -> list[str]:

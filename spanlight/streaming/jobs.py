@@ -91,7 +91,7 @@ def rebuild_rollup(spark: SparkSession, events_path: str, touched_path: str, rol
     if last is None:
         return after_batch
     tables.recompute_hours(notes.select("hour").distinct(), spark.read.parquet(events_path),
-                           lambda rows: hourly_application(promoted(rows)), rollup_path)
+                           lambda rows: hourly_application(promoted(rows)), rollup_path, last)
     return last
 
 
@@ -104,7 +104,7 @@ def promoted(stored: DataFrame) -> DataFrame:
 
 def hourly_usage(events: DataFrame, out: str, checkpoint: str, watermark: str = WATERMARK,
                  available_now: bool = False) -> StreamingQuery:
-    """Hourly counts, tokens and cost per application in update mode; read with `latest_rows`."""
+    """Hourly counts, tokens and cost per application in update mode; read with `tables.latest_rows`."""
     rows = events.withColumn("_at", F.col("event_ts").cast("timestamp")).withWatermark("_at", watermark)
     t = F.col("event_type")
     rollup = rows.groupBy("application_id", F.window("_at", "1 hour").alias("w")).agg(
@@ -120,13 +120,6 @@ def hourly_usage(events: DataFrame, out: str, checkpoint: str, watermark: str =
     return _start(rollup, work, checkpoint, "update", available_now)
 
 
-def latest_rows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Current rows of an update-mode table: the last batch that touched a key wins."""
-    rows = spark.read.option("basePath", path).parquet(path)
-    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in rows.columns if c not in keys]), "batch").alias("_r"))
-    return last.select(*keys, "_r.*").drop("batch")
-
-
 def slo_minutes(events: DataFrame, definitions: DataFrame, out: str, checkpoint: str,
                 watermark: str = WATERMARK, available_now: bool = False) -> StreamingQuery:
     """Good and total per objective and minute. The state is minutes; the sliding windows of one and
@@ -156,7 +149,7 @@ def minute_rates(events: DataFrame, out: str, checkpoint: str, watermark: str =
 
 def held_alerts(spark: SparkSession, path: str, share: float = 0.05, rate_minutes: int = 5, hold_minutes: int = 10) -> DataFrame:
     """Services over the error share for the hold time, from the minute table."""
-    minutes = latest_rows(spark, path, ["service_name", "minute"])
+    minutes = tables.latest_rows(spark, path, ["service_name", "minute"])
     spread = minutes.withColumn("minute", F.explode(F.sequence(F.col("minute"), F.col("minute") + rate_minutes - 1)))
     rates = spread.groupBy("service_name", "minute").agg(F.sum("failed").alias("failed"), F.sum("total").alias("total"))
     over: Column = F.col("failed") / F.greatest(F.col("total").cast("double"), F.lit(0.001 * rate_minutes * 60)) > share

@@ -56,8 +56,10 @@ def test_storage_stream_ignores_copies_and_rebuilds_late_hours(spark, tmp_path):
                         _event(8, "2026-02-02T01:00:00Z", event_type="LLM_CALL_COMPLETED", payload={"model_name": "m", "input_tokens": 5})], 1)
     go()
     assert spark.read.parquet(store).count() == 6
-    hourly = {str(r["hour"]): r["request_count"] for r in spark.read.parquet(str(tmp_path / "hourly")).collect()}
+    hourly = {str(r["hour"]): r["request_count"] for r in tables.latest_rows(spark, str(tmp_path / "hourly"), ["application_id", "hour"]).collect()}
     assert hourly["2026-02-01 10:00:00"] == 5
+    tables.compact(spark, str(tmp_path / "hourly"), ["application_id", "hour"], str(tmp_path / "compacted"))
+    assert spark.read.parquet(str(tmp_path / "compacted")).count() == len(hourly)
     calls = spark.read.parquet(str(tmp_path / "domain" / "llm_events")).collect()
     assert [(r["model_name"], r["input_tokens"]) for r in calls] == [("m", 5)]
 
