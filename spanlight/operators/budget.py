@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import money
 from ..functions.times import bucket, period_start
+from ..session import cut_lineage
 from .lookups import match_budgets
 from .order_stats import ratio, running_sums
 
@@ -74,7 +75,8 @@ def crossings(costed: DataFrame, limits: DataFrame, opening: DataFrame | None =
     lined = per_minute.select("*", kinds.alias("k")).select("*", "k.kind", "k.line").where("before < line")
     keys = [*KEYS, "kind"]
     hit_minute = _refine(lined, keys, "minute")
-    in_minute = rows.drop("before").join(hit_minute, [*KEYS, "minute"])
+    # A few rows per crossing are left; kept aside so that the events are not read again for them.
+    in_minute = cut_lineage(rows.drop("before").join(hit_minute, [*KEYS, "minute"]))
     hit_second = _refine(in_minute, keys, "second")
     in_second = in_minute.drop("before", "line").join(hit_second, [*keys, "second"])
     upto = Window.partitionBy(*keys).orderBy("event_ts", "event_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -68,6 +68,12 @@ def put_all(events: DataFrame, values: dict[str, Column]) -> DataFrame:
     return named.withColumn("payload", F.map_concat(kept, F.map_from_entries("_new"))).drop("_new", "_names")
 
 
+def hash_prompts(events: DataFrame, field: str = "prompt_text") -> DataFrame:
+    """Raw prompt text leaves the payload; its hash stays under `prompt_hash`."""
+    hashed = put_all(events, {"prompt_hash": F.when(is_text(F.col("payload")[field]), text.short_hash(payload_text(field)))})
+    return hashed.withColumn("payload", F.map_filter("payload", lambda k, _: k != field))
+
+
 def oversized(events: DataFrame, settings: Settings) -> DataFrame:
     """Side table (archive_key, event_id, field, body) of payload texts beyond the threshold."""
     fields = F.explode(F.array(*[

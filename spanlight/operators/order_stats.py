@@ -52,10 +52,11 @@ def percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str,
     )
     histogram = counted.groupBy(*keys, "_bin").agg(F.sum("_c").alias("_bc"))
     part = [F.col(k) for k in keys] or [F.lit(1)]
-    by_bin = Window.partitionBy(*part)
-    upto = by_bin.orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    by_bin = Window.partitionBy(*part).orderBy("_bin")
+    upto = by_bin.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = by_bin.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     binned = histogram.select(
-        *keys, "_bin", F.sum("_bc").over(by_bin).alias("_n"), (F.sum("_bc").over(upto) - F.col("_bc")).alias("_base"), "_bc"
+        *keys, "_bin", F.sum("_bc").over(whole).alias("_n"), (F.sum("_bc").over(upto) - F.col("_bc")).alias("_base"), "_bc"
     )
     inside = F.lit(False)
     for p in probs.values():
@@ -64,7 +65,9 @@ def percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str,
             inside = inside | ((rank >= F.col("_base")) & (rank < F.col("_base") + F.col("_bc")))
     wanted = binned.where(inside).select(
         *[F.col(k).alias(f"_w_{k}") for k in keys], F.col("_bin").alias("_w_bin"), "_n", "_base")
-    condition = F.col("_bin") == F.col("_w_bin")
+    # Null-safe equality keeps Spark from adding a filter to one use of `counted` only; both uses then
+    # share one scan and one shuffle.
+    condition = F.col("_bin").eqNullSafe(F.col("_w_bin"))
     for k in keys:
         condition = condition & F.col(k).eqNullSafe(F.col(f"_w_{k}"))
     hits = counted.join(wanted, condition).select(*keys, "_bin", "_v", "_c", "_n", "_base")

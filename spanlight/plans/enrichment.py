@@ -192,7 +192,26 @@ def _(c: Context):
     return c.text("ascii_documents").select("doc_id", F.sha2(text.redact_extended(F.col("text")), 256).alias("redacted_hash"))
 
 
-@query("prompt_hashes", "C4 C8", "SELECT n(conv_id) AS conv_id, n(turn) AS turn, substr(sha256(text), 1, 16) AS prompt_hash FROM conversations")
+@query("redact_nested_payloads", "C3", f"""
+SELECT doc_id, sha256({_sql_redact('text', text.EXTENDED_REDACTIONS, '[{}]')}) AS deep_hash, sha256(text) AS skipped_hash FROM ascii_documents""")
+def _(c: Context):
+    body = F.to_json(F.struct(F.col("text").alias("event_id"), F.struct(F.array(F.struct(F.col("text").alias("note"))).alias("steps")).alias("detail")))
+    clean = c.text("ascii_documents").select("doc_id", F.try_parse_json(text.redact_nested(body)).alias("d"))
+    deep, skipped = (F.try_variant_get("d", p, "string") for p in ("$.detail.steps[0].note", "$.event_id"))
+    return clean.select("doc_id", F.sha2(deep, 256).alias("deep_hash"), F.sha2(skipped, 256).alias("skipped_hash"))
+
+
+@query("stripped_prompts", "C8", """
+SELECT n(conv_id) AS conv_id, n(turn) AS turn, substr(sha256(text), 1, 16) AS prompt_hash, FALSE AS raw_left, n(turn) AS kept FROM conversations""")
+def _(c: Context):
+    events = c.conversations.withColumn("payload", F.create_map(
+        F.lit("prompt_text"), F.col("text").cast("variant"), F.lit("turn"), F.col("turn").cast("variant")))
+    return enrich.hash_prompts(events).select(
+        "conv_id", "turn", enrich.payload_text("prompt_hash").alias("prompt_hash"),
+        F.map_contains_key("payload", F.lit("prompt_text")).alias("raw_left"), enrich.payload_as("turn", "bigint").alias("kept"))
+
+
+@query("prompt_hashes", "C4", "SELECT n(conv_id) AS conv_id, n(turn) AS turn, substr(sha256(text), 1, 16) AS prompt_hash FROM conversations")
 def _(c: Context):
     return c.conversations.select("conv_id", "turn", text.short_hash(F.col("text")).alias("prompt_hash"))
 

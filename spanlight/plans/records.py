@@ -9,6 +9,7 @@ from ..operators import feedback, governance, quality, rca, store, traces
 from ..sources import logs
 from . import pages
 from .registry import Context, query
+from .reliability import _SCORES
 
 def _n():
     return F.count(F.lit(1))
@@ -297,6 +298,16 @@ def _(c: Context):
     return feedback.case_state(history)
 
 
+@query("case_resolution_times", "A36 K6", f"""
+WITH h AS ({_CASES.format(s='VARCHAR')} orders),
+s AS (SELECT case_id, min(changed_at) AS opened_at, arg_max(status, (changed_at, change_id)) AS status, max(changed_at) FILTER (status = 'fixed') AS closed FROM h GROUP BY ALL),
+d AS (SELECT status, CASE WHEN status = 'fixed' THEN (epoch_us(closed) - epoch_us(opened_at)) / 3.6e9 END AS hours FROM s)
+SELECT status, n(count(*)) AS cases, r6(CAST(sum(CAST(hours AS DECIMAL(18,6))) AS DOUBLE) / nullif(count(hours), 0)) AS mttr_hours FROM d GROUP BY ALL""")
+def _(c: Context):
+    history = c.spark.sql(_CASES.format(s="STRING") + "{orders}", orders=c.orders)
+    return feedback.mean_time_to_resolve(feedback.case_state(history))
+
+
 # ------------------------------------------------------------------ quality
 _TOK = r"list_distinct(list_filter(regexp_split_to_array(lower({}), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda t: t <> ''))"
 
@@ -581,7 +592,8 @@ def _(c: Context):
     return pages.get_cost_summary(c.costed, [(m, i, o) for m, i, o, _ in MODEL_PRICES]).drop("cheaper_usd")
 
 
-@query("top_anomalies_page", "Q12")
+@query("top_anomalies_page", "Q12", f"""WITH {_SCORES}
+SELECT event_id, application_id, r6(raw_score) AS anomaly_score FROM s WHERE NOT none AND raw_score > 0 ORDER BY raw_score DESC, event_id LIMIT 20""")
 def _(c: Context):
     return pages.get_top_anomalies(c.obs.where("event_type LIKE 'REQUEST%'")).select("event_id", "application_id", "anomaly_score")
 
