@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .. import catalogs, contract
 from ..functions import ids, money, sampling, text, times
 from ..operators import enrich, lookups, store, validate
+from ..session import spread
 from .registry import Context, query
 
 _T = ", ".join(f"'{t}'" for t in contract.EVENT_TYPES)
@@ -52,6 +53,17 @@ def _(c: Context):
     return fields.groupBy("field").agg(F.count(F.lit(1)).alias("messages"))
 
 
+@query("strict_validation", "B12", f"""
+SELECT CASE WHEN json_type(value, '$.status') IS NULL THEN 'missing' ELSE 'unknown' END AS status, n(count(*)) AS messages FROM raw_checked
+WHERE is_json AND root = 'OBJECT' AND coalesce(json_extract_string(value, '$.status'), 'failed') = 'failed' GROUP BY ALL""")
+def _(c: Context):
+    odd = F.replace(F.col("value"), F.lit('"status":"failed"'), F.lit('"status":"odd"')).alias("value")
+    checked = validate.validate(spread(c.raw_events.select("seq", odd)), strict=True)
+    kinds = checked.select(F.explode("violations").alias("v")).where(F.col("v").contains(": status: "))
+    return kinds.groupBy(F.when(F.col("v").endswith("missing"), "missing").otherwise("unknown").alias("status")).agg(
+        F.count(F.lit(1)).alias("messages"))
+
+
 @query("dead_letters_by_stage", "B2 S3 A31", f"""
 SELECT 'stage1-validate' AS stage, CASE WHEN is_json AND root = 'OBJECT' THEN 'parsed' WHEN is_json THEN 'parsed' ELSE 'unparseable' END AS original_kind,
   n(count(*)) AS letters FROM raw_checked WHERE NOT coalesce({_GOOD}, FALSE) GROUP BY ALL""")

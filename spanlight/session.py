@@ -21,7 +21,8 @@ def build_session(app_name: str = "spanlight", master: str | None = None, **conf
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.parquet.filterPushdown": "true",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         **conf,
     }
     for key, value in settings.items():

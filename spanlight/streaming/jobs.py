@@ -23,9 +23,24 @@ WATERMARK = "10 minutes"
 FLUSH = "5 seconds"
 
 
+def _adaptive(work: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """Run a batch's own queries adaptively (skew, partition sizes). Streaming plans keep their fixed
+    partitions: the setting is put back before the next batch is planned."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        conf = batch.sparkSession.conf
+        before = conf.get("spark.sql.adaptive.enabled")
+        conf.set("spark.sql.adaptive.enabled", "true")
+        try:
+            work(batch, batch_id)
+        finally:
+            conf.set("spark.sql.adaptive.enabled", before)
+
+    return run
+
+
 def _start(stream: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append",
            available_now: bool = False, interval: str = FLUSH) -> StreamingQuery:
-    writer = stream.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint).outputMode(mode)
+    writer = stream.writeStream.foreachBatch(_adaptive(work)).option("checkpointLocation", checkpoint).outputMode(mode)
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
     return writer.trigger(**trigger).start()
 
