@@ -11,6 +11,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from . import catalogs
+from .session import spread
 
 _DIALECT = {
     "spark": {
@@ -293,7 +294,7 @@ class Tables:
         self._views: dict[str, DataFrame] = {}
 
     def base(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return spread(self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
 
     def view(self, name: str) -> DataFrame:
         if name not in self._views:

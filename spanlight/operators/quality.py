@@ -26,7 +26,7 @@ def token_entropy(rows: DataFrame, keys: Sequence[str], body: str) -> DataFrame:
 
     Counted inside the row over its sorted tokens, run by run, so no token is shuffled.
     """
-    words = rows.select(*keys, F.array_sort(text.tokens(F.col(body))).alias("_t")).where(F.size("_t") > 0)
+    words = rows.select(*keys, F.sort_array(text.tokens(F.col(body))).alias("_t")).where(F.size("_t") > 0)
     cut = "CASE WHEN a.run > 1 THEN a.w + a.run * log2(a.run) ELSE a.w END"
     runs = F.expr(f"""aggregate(_t, named_struct('prev', CAST(NULL AS STRING), 'run', 0, 'kinds', 0, 'w', CAST(0 AS DOUBLE)),
         (a, t) -> CASE WHEN t <=> a.prev THEN named_struct('prev', a.prev, 'run', a.run + 1, 'kinds', a.kinds, 'w', a.w)

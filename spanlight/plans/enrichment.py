@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from .. import catalogs, contract
 from ..functions import ids, money, sampling, text, times
 from ..operators import enrich, lookups, store, validate
-from ..session import spread
 from .registry import Context, query
 
 _T = ", ".join(f"'{t}'" for t in contract.EVENT_TYPES)
@@ -58,7 +57,7 @@ SELECT CASE WHEN json_type(value, '$.status') IS NULL THEN 'missing' ELSE 'unkno
 WHERE is_json AND root = 'OBJECT' AND coalesce(json_extract_string(value, '$.status'), 'failed') = 'failed' GROUP BY ALL""")
 def _(c: Context):
     odd = F.replace(F.col("value"), F.lit('"status":"failed"'), F.lit('"status":"odd"')).alias("value")
-    checked = validate.validate(spread(c.raw_events.select("seq", odd)), strict=True)
+    checked = validate.validate(c.raw_events.select("seq", odd), strict=True)
     kinds = checked.select(F.explode("violations").alias("v")).where(F.col("v").contains(": status: "))
     return kinds.groupBy(F.when(F.col("v").endswith("missing"), "missing").otherwise("unknown").alias("status")).agg(
         F.count(F.lit(1)).alias("messages"))
@@ -189,26 +188,26 @@ def _sql_redact(column: str, rules, label: str) -> str:
 @query("redact_documents", "C2")
 def _(c: Context):
     clean = text.redact(F.col("text"))
-    return c.text("documents").select("doc_id", F.sha2(clean, 256).alias("redacted_hash"), (clean != F.col("text")).alias("changed"))
+    return c.documents.select("doc_id", F.sha2(clean, 256).alias("redacted_hash"), (clean != F.col("text")).alias("changed"))
 
 
 @query("redact_folded_documents", "C2", f"""
 SELECT doc_id, sha256({_sql_redact('text', _RE2, '[REDACTED:{}]')}) AS redacted_hash FROM ascii_documents""")
 def _(c: Context):
-    return c.text("ascii_documents").select("doc_id", F.sha2(text.redact(F.col("text")), 256).alias("redacted_hash"))
+    return c.ascii_documents.select("doc_id", F.sha2(text.redact(F.col("text")), 256).alias("redacted_hash"))
 
 
 @query("redact_extended", "C3", f"""
 SELECT doc_id, sha256({_sql_redact('text', text.EXTENDED_REDACTIONS, '[{}]')}) AS redacted_hash FROM ascii_documents""")
 def _(c: Context):
-    return c.text("ascii_documents").select("doc_id", F.sha2(text.redact_extended(F.col("text")), 256).alias("redacted_hash"))
+    return c.ascii_documents.select("doc_id", F.sha2(text.redact_extended(F.col("text")), 256).alias("redacted_hash"))
 
 
 @query("redact_nested_payloads", "C3", f"""
 SELECT doc_id, sha256({_sql_redact('text', text.EXTENDED_REDACTIONS, '[{}]')}) AS deep_hash, sha256(text) AS skipped_hash FROM ascii_documents""")
 def _(c: Context):
     body = F.to_json(F.struct(F.col("text").alias("event_id"), F.struct(F.array(F.struct(F.col("text").alias("note"))).alias("steps")).alias("detail")))
-    clean = c.text("ascii_documents").select("doc_id", F.try_parse_json(text.redact_nested(body)).alias("d"))
+    clean = c.ascii_documents.select("doc_id", F.try_parse_json(text.redact_nested(body)).alias("d"))
     deep, skipped = (F.try_variant_get("d", p, "string") for p in ("$.detail.steps[0].note", "$.event_id"))
     return clean.select("doc_id", F.sha2(deep, 256).alias("deep_hash"), F.sha2(skipped, 256).alias("skipped_hash"))
 
