@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import DataFrame, SparkSession
 
 # --------------------------------------------------------------------------
@@ -135,7 +136,16 @@ def error_rules_from_table(df: DataFrame) -> list[ErrorRule]:
     """Active rules of a catalog table (configuration: tens of rows reach the driver)."""
     cols = ["error_code", "category", "pattern", "priority", "severity", "retryable"]
     active = df.where("status = 'active'") if "status" in df.columns else df
-    return error_rules(tuple(r) for r in active.select(*cols).collect())
+    compiler = df.sparkSession._jvm.java.util.regex.Pattern
+
+    def usable(pattern: str) -> bool:  # one bad catalog row must not stop enrichment
+        try:
+            compiler.compile(pattern)
+            return True
+        except IllegalArgumentException:
+            return False
+
+    return error_rules(tuple(r) for r in active.select(*cols).collect() if usable(r["pattern"]))
 
 
 def literal_table(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:

@@ -128,13 +128,16 @@ def running_sums(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequenc
     totals = df.groupBy(*keys, bucket).agg(*[F.sum(m).cast(kinds[n]).alias(f"_t_{n}") for n, m in measures.items()])
     before = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(
-        *keys, bucket, *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).cast(kinds[n]).alias(f"_s_{n}") for n in measures]
+        *[F.col(k).alias(f"_k_{k}") for k in [*keys, bucket]], *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).cast(kinds[n]).alias(f"_s_{n}") for n in measures]
     )
     upto = Window.partitionBy(*keys, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    joined = df.join(starts, [*keys, bucket])
+    condition = F.lit(True)
+    for k in [*keys, bucket]:  # a null key is a group like any other
+        condition = condition & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    joined = df.join(starts, condition)
     return joined.withColumns(
         {n: (F.col(f"_s_{n}") + F.sum(m).over(upto).cast(kinds[n])).cast(kinds[n]) for n, m in measures.items()}
-    ).drop(*[f"_s_{n}" for n in measures])
+    ).drop(*[f"_s_{n}" for n in measures], *[f"_k_{k}" for k in [*keys, bucket]])
 
 
 def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, rank: str = "rank") -> DataFrame:

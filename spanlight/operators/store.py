@@ -24,7 +24,7 @@ def named_filter(df: DataFrame, name: str) -> DataFrame:
 
 def typed(events: DataFrame) -> DataFrame:
     """Envelope rows with parsed times and partition columns; unparseable times fall back to ingest time."""
-    ts = F.coalesce(F.try_to_timestamp("timestamp"), F.try_to_timestamp("emitted_at")).cast("timestamp_ntz")
+    ts = F.coalesce(F.try_to_timestamp("timestamp"), F.try_to_timestamp("emitted_at"), F.current_timestamp()).cast("timestamp_ntz")
     return events.withColumn("event_ts", ts).withColumns({
         "event_date": F.col("event_ts").cast("date"),
         "event_month": F.date_format("event_ts", "yyyy-MM"),

@@ -2,8 +2,8 @@
 
 Delivery is at least once: a micro-batch is committed after its sinks were written, and every sink
 either replaces its own batch directory or ignores keys it already has, so a repeated batch leaves
-no trace. Event time comes with a watermark (10 minutes unless given); rows later than that still
-reach the event table, and the rollup rows they belong to are rebuilt from it.
+no trace. Windowed counts have a watermark on event time (10 minutes unless given). Rows later than that
+still reach the event table, and the rollup rows they belong to are rebuilt from it.
 """
 
 from __future__ import annotations
@@ -74,13 +74,13 @@ def storage(processed: DataFrame, events_path: str, domain_root: str, touched_pa
             watermark: str = WATERMARK, available_now: bool = False) -> StreamingQuery:
     """Processed messages into the event table and the domain tables, noting the hours they touch.
 
-    Copies within the watermark are dropped by the state store, older ones by the keys already stored.
+    Copies that arrive within the watermark are dropped by the state store, older ones by the keys
+    already stored. The watermark follows arrival, not event time, so a late event is stored all the same.
     """
-    typed = store.typed(validate.good(validate.validate(processed.select("value"))))
-    unique = (
-        typed.withColumn("_at", F.col("event_ts").cast("timestamp")).withWatermark("_at", watermark)
-        .dropDuplicatesWithinWatermark(["event_id"]).drop("_at")
-    )
+    arrival = F.col("timestamp") if dict(processed.dtypes).get("timestamp") == "timestamp" else F.current_timestamp()
+    arrived = processed.select("value", arrival.alias("_at")).withWatermark("_at", watermark)
+    typed = store.typed(validate.good(validate.validate(arrived)))
+    unique = typed.dropDuplicatesWithinWatermark(["event_id"]).drop("_at")
 
     def work(batch: DataFrame, batch_id: int) -> None:
         rows = batch.drop("source_value", "value").persist()

@@ -41,11 +41,11 @@ def test_null_keys_keep_their_percentile(spark):
 
 def test_running_sums(spark):
     rnd = random.Random(1)
-    rows = [("hot" if rnd.random() < 0.8 else "b", rnd.randrange(50), i, rnd.randrange(100)) for i in range(2000)]
+    rows = [("hot" if rnd.random() < 0.8 else None, rnd.randrange(50), i, rnd.randrange(100)) for i in range(2000)]
     df = spark.createDataFrame(rows, "k string, bucket int, i int, x int")
     got = {r["i"]: r["run"] for r in order_stats.running_sums(df, ["k"], "bucket", ["i"], {"run": "x"}).collect()}
     totals = {}
-    for k, _, i, x in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
+    for k, _, i, x in sorted(rows, key=lambda r: (r[0] or "", r[1], r[2])):
         totals[k] = totals.get(k, 0) + x
         assert got[i] == totals[k]
 

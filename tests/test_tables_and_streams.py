@@ -53,11 +53,11 @@ def test_storage_stream_ignores_copies_and_rebuilds_late_hours(spark, tmp_path):
     rebuilt = -1
     rebuilt = go()
     _write(spark, raw, [_event(2, "2026-02-01T10:00:00Z"), _event(7, "2026-02-01T10:30:00Z"),
-                        _event(8, "2026-02-02T01:00:00Z", event_type="LLM_CALL_COMPLETED", payload={"model_name": "m", "input_tokens": 5})], 1)
+                        _event(9, "2026-01-03T04:00:00Z"), _event(8, "2026-02-02T01:00:00Z", event_type="LLM_CALL_COMPLETED", payload={"model_name": "m", "input_tokens": 5})], 1)
     go()
-    assert spark.read.parquet(store).count() == 6
+    assert spark.read.parquet(store).count() == 7
     hourly = {str(r["hour"]): r["request_count"] for r in tables.latest_rows(spark, str(tmp_path / "hourly"), ["application_id", "hour"]).collect()}
-    assert hourly["2026-02-01 10:00:00"] == 5
+    assert hourly["2026-02-01 10:00:00"] == 5 and hourly["2026-01-03 04:00:00"] == 1
     tables.compact(spark, str(tmp_path / "hourly"), ["application_id", "hour"], str(tmp_path / "compacted"))
     assert spark.read.parquet(str(tmp_path / "compacted")).count() == len(hourly)
     calls = spark.read.parquet(str(tmp_path / "domain" / "llm_events")).collect()
@@ -100,6 +100,13 @@ def test_budget_stream_equals_batch(spark, tmp_path, data_dir):
     assert got == sorted(map(key, budget.crossings(spend, c.budgets).collect())) and got
 
 
+def test_bad_rule_rows_are_skipped(spark):
+    table = spark.createDataFrame(
+        [("B1", "x", "(unclosed", "error", False, 1, "active"), ("B2", "x", "ok", "error", False, 2, "active"), ("B3", "x", "no", "error", True, 0, "retired")],
+        "error_code string, category string, pattern string, severity string, retryable boolean, priority int, status string")
+    assert [r.error_code for r in catalogs.error_rules_from_table(table)] == ["B2"]
+
+
 def test_log_lines(spark):
     lines = spark.createDataFrame([
         ('2026-01-01T00:00:00Z stdout F {"correlation_id":"c1","password":"p","n":3}',), ("2026-01-01T00:00:00Z stderr P plain",), ("odd line",)], "value string")
