@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, simhash
-from .common import table
+from . import bpe, decontaminate, exact_dedup, language_id, license_scan, lm_score, packing, quality, simhash, url_filter
+from .common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -28,6 +29,55 @@ def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
 
+@_query("op2_token_packing")
+def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packs = packing.pack(table(spark, sf_dir, "documents"), bpe.rank_file(spark))
+    return packs.select("pack_id", "n_tokens", "doc_ids", "starts", "cu_seqlens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2("position_ids", 256).alias("positions_sha256"))
+
+
+@_query("op3_language_id")
+def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = crc_mod(F.col("doc_id"), 4) == 2
+    found = language_id.identify(table(spark, sf_dir, "documents"), ~held_out)
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col("prediction.lang").alias("lang_pred"),
+                        F.col("prediction.score").alias("score"))
+
+
+@_query("op4_license_scan", license_scan.sql())
+def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@_query("op5_url_filter")
+def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+@_query("op6_benchmark_decontamination")
+def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_query("op7_quality_classifier")
+def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query("op8_byte_bpe")
+def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.rank_file(spark)
+    encoded = table(spark, sf_dir, "documents").select("doc_id", bpe.encode(F.col("text"), ranks).alias("e"))
+    decoded = encoded.select("doc_id", "e", bpe.decode(F.col("e.ids"), ranks).alias("decoded"))
+    return decoded.select("doc_id", F.col("e.n_tokens").alias("n_tokens"), F.sha2("e.ids", 256).alias("ids_sha256"),
+                          F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@_query("op9_lm_score")
+def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 7) == 2)
+
+
 EXACT_SQL = r"""
 WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
 SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
