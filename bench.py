@@ -51,7 +51,7 @@ def main() -> None:
         times = []
         for _ in range(4):
             started = time.perf_counter()
-            run(name, spark, data).write.format("noop").mode("overwrite").save()
+            run(name, spark, data, partitions=int(cpus)).write.format("noop").mode("overwrite").save()
             times.append(time.perf_counter() - started)
         seconds[name] = round(statistics.median(times[1:]), 3)
     print(json.dumps({

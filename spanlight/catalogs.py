@@ -185,7 +185,10 @@ def price_table(spark: SparkSession, rows: Sequence[Sequence] | None = None) ->
 
 
 def alert_rule_table(spark: SparkSession, rows: Sequence[Sequence] = ALERT_RULES) -> DataFrame:
+    """Alert rules; a row may go on with application, line of business, severity and whether it is enabled."""
+    defaults = (None, None, "warning", True)
     return literal_table(
-        spark, rows,
-        "alert_id string, metric_id string, comparator string, threshold double, window_minutes int",
+        spark, [(*r, *defaults[len(r) - 5:]) for r in rows],
+        "alert_id string, metric_id string, comparator string, threshold double, window_minutes int, "
+        "scope_application_id string, scope_lob string, severity string, enabled boolean",
     )

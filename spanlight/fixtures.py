@@ -11,7 +11,6 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from . import catalogs
-from .session import spread
 
 _DIALECT = {
     "spark": {
@@ -288,13 +287,16 @@ _BASE_TABLES = (
 class Tables:
     """Lazy access to the given tables and to the derived views of one data folder."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, partitions: int | None = None):
+        """`partitions` deals the tables out anew, for a caller who knows that their files cannot be split."""
         self.spark = spark
         self.sf_dir = sf_dir
+        self.partitions = partitions
         self._views: dict[str, DataFrame] = {}
 
     def base(self, name: str) -> DataFrame:
-        return spread(self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
+        table = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return table.repartition(self.partitions) if self.partitions else table
 
     def view(self, name: str) -> DataFrame:
         if name not in self._views:
@@ -317,8 +319,5 @@ class Tables:
         raise AttributeError(name)
 
 
-
-
-
 def duckdb_view(name: str) -> str:
     return render(VIEWS[name][0], "duckdb").replace("{{", "{").replace("}}", "}")

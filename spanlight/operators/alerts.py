@@ -22,9 +22,18 @@ def compare(value: Column, comparator: Column, threshold: Column) -> Column:
 
 
 def evaluate_rules(values: DataFrame, rules: DataFrame) -> DataFrame:
-    """Metric values (metric_id, scope, value) against alert rules: rows that fire."""
-    joined = values.join(small_side(rules), "metric_id")
-    return joined.where(compare(F.col("value"), F.col("comparator"), F.col("threshold")))
+    """Metric values per window against the enabled alert rules of that window: rows that fire.
+
+    `values` is (metric_id, window_minutes, window_start, application_id, lob, scope, value); a rule without
+    an application or line of business in its scope holds for all.
+    """
+    active = rules.where("enabled").select(
+        "alert_id", "metric_id", "window_minutes", "comparator", "threshold", "severity",
+        F.col("scope_application_id").alias("_app"), F.col("scope_lob").alias("_lob"))
+    joined = values.join(small_side(active), ["metric_id", "window_minutes"])
+    in_scope = (F.col("_app").isNull() | F.coalesce(F.col("_app") == F.col("application_id"), F.lit(False))) & (
+        F.col("_lob").isNull() | F.coalesce(F.col("_lob") == F.col("lob"), F.lit(False)))
+    return joined.where(in_scope & compare(F.col("value"), F.col("comparator"), F.col("threshold"))).drop("_app", "_lob")
 
 
 def rate_windows(events: DataFrame, keys: Sequence[str], counters: dict[str, Column], minutes: int = 5) -> DataFrame:
@@ -130,8 +139,16 @@ def day_over_day(events: DataFrame, keys: Sequence[str], counted: Column, factor
         "spike", F.coalesce((F.col("previous") > 0) & (F.col("n") >= F.lit(factor) * F.col("previous")), F.lit(False)))
 
 
-def named_metrics(events: DataFrame) -> DataFrame:
-    """The event-derived metrics behind the named alerts, one pass: (metric_id, scope, value)."""
+VALUE_COLUMNS = ["metric_id", "window_minutes", "window_start", "application_id", "lob", "scope", "value"]
+
+
+def _windowed(rows: DataFrame, minutes: int) -> DataFrame:
+    start = F.window(F.col("event_ts").cast("timestamp"), f"{minutes} minutes").getField("start")
+    return rows.withColumn("window_start", start.cast("timestamp_ntz"))
+
+
+def named_metrics(events: DataFrame, minutes: int) -> DataFrame:
+    """The event-derived metrics behind the named alerts per application and window of so many minutes, one pass."""
     def share(num: Column, den: Column) -> Column:
         return ratio(F.count_if(num), F.count_if(den), 100.0)
 
@@ -144,23 +161,55 @@ def named_metrics(events: DataFrame) -> DataFrame:
         "agent_loops_at_max": F.count_if(t.startswith("AGENT_") & (F.col("loop_count") >= 3)).cast("double"),
         "prompt_template_errors": F.count_if(t.startswith("LLM_") & (F.col("error_code") == "GR005")).cast("double"),
     }
-    wide = events.groupBy("application_id").agg(*[c.alias(n) for n, c in metrics.items()])
-    wide = with_percentiles(wide, events.where(t.startswith("LLM_")), ["application_id"], "latency_ms", {"llm_p95_latency_ms": 0.95})
+    rows, keys = _windowed(events, minutes), ["application_id", "window_start"]
+    wide = rows.groupBy(*keys).agg(F.max("lob").alias("lob"), *[c.alias(n) for n, c in metrics.items()])
+    wide = with_percentiles(wide, rows.where(t.startswith("LLM_")), keys, "latency_ms", {"llm_p95_latency_ms": 0.95})
     names = [*metrics, "llm_p95_latency_ms"]
     pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("metric_id"), F.col(n).alias("value")) for n in names]))
-    return wide.select(F.col("application_id").alias("scope"), pairs.alias("m")).select("m.metric_id", "scope", "m.value")
+    return wide.select("application_id", "window_start", "lob", pairs.alias("m")).select(
+        "m.metric_id", F.lit(minutes).alias("window_minutes"), "window_start", "application_id", "lob",
+        F.col("application_id").alias("scope"), "m.value")
+
+
+def _values(rows: DataFrame, metric_id: str, minutes: int, value: Column, scope: Column, application: Column | None = None) -> DataFrame:
+    return rows.select(F.lit(metric_id).alias("metric_id"), F.lit(minutes).alias("window_minutes"), "window_start",
+                       (F.lit(None).cast("string") if application is None else application).alias("application_id"),
+                       F.lit(None).cast("string").alias("lob"), scope.alias("scope"), value.cast("double").alias("value"))
 
 
 def spike_metrics(daily: DataFrame, metric_id: str, measure: str, previous: str) -> DataFrame:
-    """A day's measure over the previous day's, as (metric_id, scope, value) for the alert rules."""
-    return daily.where(F.col(previous) > 0).select(
-        F.lit(metric_id).alias("metric_id"), F.concat_ws("/", "application_id", "day").alias("scope"),
-        (F.col(measure).cast("double") / F.col(previous)).alias("value"))
-
-
-def missing_hours(events: DataFrame, rollup: DataFrame) -> DataFrame:
-    """Hours that have events but no rollup row: the missing-rollup check, as (metric_id, scope, value)."""
-    hours = events.select(F.date_trunc("hour", "event_ts").cast("timestamp_ntz").alias("hour")).distinct()
-    gaps = hours.join(rollup.select("hour").distinct(), "hour", "left_anti")
-    return gaps.agg(F.count(F.lit(1)).cast("double").alias("value")).select(
-        F.lit("missing_rollup_hours").alias("metric_id"), F.lit("*").alias("scope"), "value")
+    """A day's measure over the previous day's."""
+    rows = daily.where(F.col(previous) > 0).withColumn("window_start", F.col("day").cast("timestamp_ntz"))
+    return _values(rows, metric_id, 1440, F.col(measure).cast("double") / F.col(previous), F.col("application_id"), F.col("application_id"))
+
+
+def lag_metric(readings: DataFrame, minutes: int) -> DataFrame:
+    """Lag per consumer group and topic in a window: the sum over partitions of the last reading of each."""
+    last = _windowed(readings, minutes).groupBy("group_id", "topic", "partition_id", "window_start").agg(
+        F.max_by("lag", F.struct("event_ts", "seq")).alias("lag"))
+    summed = last.groupBy("group_id", "topic", "window_start").agg(F.sum("lag").alias("lag"))
+    return _values(summed, "kafka_consumer_lag", minutes, F.col("lag"), F.concat_ws("/", "group_id", "topic"))
+
+
+def stage_error_metric(stage_errors: DataFrame, minutes: int, metric_id: str = "archive_failures", stage: str = "stage7-s3") -> DataFrame:
+    """Events of an application whose enrichment failed in a stage, from (event_ts, application_id, stage)."""
+    counted = _windowed(stage_errors.where(F.col("stage") == stage), minutes).groupBy("application_id", "window_start").agg(
+        F.count(F.lit(1)).alias("n"))
+    return _values(counted, metric_id, minutes, F.col("n"), F.col("application_id"), F.col("application_id"))
+
+
+def missing_hours(events: DataFrame, rollup: DataFrame, minutes: int = 120) -> DataFrame:
+    """Hours that have events but no rollup row, counted per window."""
+    hours = events.select(F.date_trunc("hour", "event_ts").cast("timestamp_ntz").alias("event_ts")).distinct()
+    gaps = hours.join(rollup.select(F.col("hour").alias("event_ts")).distinct(), "event_ts", "left_anti")
+    counted = _windowed(gaps, minutes).groupBy("window_start").agg(F.count(F.lit(1)).alias("n"))
+    return _values(counted, "missing_rollup_hours", minutes, F.col("n"), F.lit("*"))
+
+
+def sink_gaps(source: DataFrame, target: DataFrame, minutes: int = 60) -> DataFrame:
+    """Events of a window that the sink does not hold, from (event_id, event_ts) of both sides."""
+    both = source.select("event_id", "event_ts", F.lit(0).alias("stored")).unionByName(
+        target.select("event_id", "event_ts", F.lit(1).alias("stored")))
+    lost = both.groupBy("event_id").agg(F.max("stored").alias("stored"), F.min("event_ts").alias("event_ts")).where("stored = 0")
+    counted = _windowed(lost, minutes).groupBy("window_start").agg(F.count(F.lit(1)).alias("n"))
+    return _values(counted, "sink_missing_rows", minutes, F.col("n"), F.lit("*"))

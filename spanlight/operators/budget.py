@@ -18,16 +18,21 @@ from .order_stats import ratio, running_sums
 KEYS = ["application_id", "limit_model", "period", "period_start"]
 
 
-def matched_spend(costed: DataFrame, limits: DataFrame) -> DataFrame:
-    """One row per event and limit, with the period it counts into. Costless events do not count."""
+def counted(costed: DataFrame, unique: bool) -> DataFrame:
+    """Events that count: with cost and application, each identifier once. `unique` tells that no copies are there."""
     spend = costed.where("cost_usd > 0 AND application_id IS NOT NULL")
+    return spend if unique else spend.dropDuplicates(["event_id"])
+
+
+def matched_spend(spend: DataFrame, limits: DataFrame) -> DataFrame:
+    """One row per event and limit, with the period it counts into."""
     return match_budgets(spend, limits).withColumn("period_start", period_start("event_ts", F.col("period")))
 
 
-def totals(costed: DataFrame, limits: DataFrame) -> DataFrame:
+def totals(costed: DataFrame, limits: DataFrame, unique: bool = False) -> DataFrame:
     """Accumulated spend per limit and period: pre-aggregated per day and model before the limits join."""
     daily = (
-        costed.where("cost_usd > 0 AND application_id IS NOT NULL")
+        counted(costed, unique)
         .groupBy("application_id", "model_name", F.col("event_ts").cast("date").alias("event_ts"))
         .agg(F.sum("cost_usd").alias("cost_usd"))
     )
@@ -52,13 +57,13 @@ def _refine(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
         *keys, "line", (F.col("_upto") - F.col("_s")).cast(money.TOTAL).alias("before"), order)
 
 
-def crossings(costed: DataFrame, limits: DataFrame, opening: DataFrame | None = None) -> DataFrame:
+def crossings(costed: DataFrame, limits: DataFrame, opening: DataFrame | None = None, unique: bool = False) -> DataFrame:
     """The events on which a limit's alert share or cap was reached, one row per crossing.
 
     Order is (event_ts, event_id). `opening` carries spend per KEYS accumulated earlier, as
     (KEYS, opening_usd); a line it already reached is not crossed again.
     """
-    rows = matched_spend(costed, limits).withColumns({
+    rows = matched_spend(counted(costed, unique), limits).withColumns({
         "minute": bucket("event_ts", "minute"),
         "second": bucket("event_ts", "second"),
         "limit_usd": F.col("max_spend_usd"),
@@ -86,9 +91,20 @@ def crossings(costed: DataFrame, limits: DataFrame, opening: DataFrame | None =
     ).select(*KEYS, "kind", "event_id", "event_ts", "new_spend_usd", "limit_usd")
 
 
-def utilisation(costed: DataFrame, limits: DataFrame) -> DataFrame:
+def flags(costed: DataFrame, limits: DataFrame, opening: DataFrame | None = None, unique: bool = False) -> DataFrame:
+    """Per event that reached a line: budget_alert (period, spend_usd, limit_usd) of the alert with the largest
+    limit, ties by period, and budget_cap_breached. A handful of rows, to be joined to the events by id."""
+    found = crossings(costed, limits, opening, unique)
+    alert = F.struct(F.col("period"), F.col("new_spend_usd").cast("double").alias("spend_usd"), F.col("limit_usd").cast("double").alias("limit_usd"))
+    is_alert = F.col("kind") == "alert"
+    return found.groupBy("event_id").agg(
+        F.max_by(F.when(is_alert, alert), F.when(is_alert, F.struct("limit_usd", "period"))).alias("budget_alert"),
+        F.max(F.col("kind") == "cap").alias("budget_cap_breached"))
+
+
+def utilisation(costed: DataFrame, limits: DataFrame, unique: bool = False) -> DataFrame:
     """Running spend and its share of the limit at every event."""
-    rows = matched_spend(costed, limits).withColumn("minute", bucket("event_ts", "minute"))
+    rows = matched_spend(counted(costed, unique), limits).withColumn("minute", bucket("event_ts", "minute"))
     run = running_sums(rows, KEYS, "minute", ["event_ts", "event_id"], {"running_usd": "cost_usd"})
     return run.withColumn("utilisation_pct", ratio(F.col("running_usd").cast("double"), F.col("max_spend_usd").cast("double"), 100.0))
 

@@ -31,7 +31,7 @@ class Settings:
     redact_exclude: tuple[str, ...] = ()
     archive_threshold_bytes: int = catalogs.ARCHIVE_THRESHOLD_BYTES
     archive_fields: tuple[str, ...] = tuple(catalogs.ARCHIVE_FIELDS)
-    archive_root: str | None = "archive://payloads"
+    archive_root: str | None = None  # where the bodies are stored; without it every text stays in its event
     quality_sample_pct: float = 5.0
 
 
@@ -89,7 +89,7 @@ def oversized(events: DataFrame, settings: Settings) -> DataFrame:
 
 
 def pointer_values(settings: Settings) -> dict[str, Column]:
-    """Pointers into the archive for oversized payload texts, and their size in bytes."""
+    """Pointers into the archive for oversized payload texts, and their size in bytes; none without an archive."""
     if not settings.archive_root:
         return {}
     updates: dict[str, Column] = {}
@@ -131,7 +131,8 @@ def enrich(valid: DataFrame, dims: Dimensions, settings: Settings | None = None,
     updates: dict[str, Column] = {}
     if dims.apps is not None:
         out = lookups.with_registry(out, dims.apps)
-        known = F.col("app_registered")
+        # An event without an application is not looked up, so nothing is said about it.
+        known = F.when(F.nullif("application_id", F.lit("")).isNotNull(), F.col("app_registered"))
         updates |= {
             "usecase_id": F.when(known & ~F.map_contains_key("payload", F.lit("usecase_id")), F.col("usecase_id")),
             "app_owner_team": F.when(known, F.col("app_owner_team")),

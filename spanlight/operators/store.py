@@ -49,8 +49,7 @@ def routed(events: DataFrame, day: str = "event_date") -> DataFrame:
 def _promoted(family: str) -> list[Column]:
     """One typed column per promoted payload key; the first alias present wins."""
     columns = []
-    for part in contract.FAMILY_COLUMNS[family].replace("decimal(12,8)", "decimal(12;8)").split(","):
-        name, sql_type = part.strip().replace(";", ",").split(" ", 1)
+    for name, sql_type in contract.FAMILY_COLUMNS[family]:
         reads = [F.expr(f"try_variant_get(payload['{key}'], '$', '{sql_type}')") for key in contract.COLUMN_ALIASES.get(name, [name])]
         columns.append(F.coalesce(*reads).alias(name))
     return columns

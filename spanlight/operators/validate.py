@@ -10,6 +10,7 @@ from ..functions import ids
 from ..session import computed_once
 
 STAGE = "stage1-validate"
+TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 _BROKEN = "_refused"
 _VOCABULARIES = {
     "event_type": contract.EVENT_TYPES,
@@ -74,7 +75,7 @@ def validate(raw: DataFrame, event_types: list[str] | None = None, strict: bool
         .otherwise(F.transform(found, lambda v: F.concat(F.lit("contract violation: "), v)))
     ))
     now = F.current_timestamp() if now is None else now
-    now_text = F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+    now_text = F.date_format(now, TIME_FORMAT)
     origin = [F.col(c).cast("string") for c in ("value", "topic", "partition", "offset") if c in raw.columns]
 
     def text(f: str) -> Column:
@@ -113,7 +114,7 @@ def dead_letters(validated: DataFrame, now: Column | None = None) -> DataFrame:
     reason = F.concat(F.lit(f"{STAGE}: "), F.concat_ws("; ", "violations"))
     record = F.to_json(F.struct(
         reason.alias("reason"),
-        F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("failed_at"),
+        F.date_format(now, TIME_FORMAT).alias("failed_at"),
         original.alias("original"),
     ))
     key = F.col("key") if "key" in validated.columns else F.lit(None).cast("string")
@@ -133,8 +134,8 @@ def replay(dead: DataFrame, reason_contains: str | None = None, limit: int | Non
     }).where(F.expr("schema_of_variant(_orig)").startswith("OBJECT"))
     if reason_contains:
         doc = doc.where(F.contains("_reason", F.lit(reason_contains)))
-    if limit:
-        doc = doc.limit(limit)
+    if limit:  # the oldest letters first, ties by content
+        doc = doc.orderBy(F.expr("coalesce(try_variant_get(_w, '$.failed_at', 'string'), '')"), "value").limit(limit)
     part = lambda f: F.expr(f"try_variant_get(_orig, '$.{f}', 'string')")
     header = F.struct(F.lit("dlq_replayed").alias("key"), F.lit("true").cast("binary").alias("value"))
     return doc.select(

@@ -175,9 +175,6 @@ def _(c: Context):
     return rows.select("event_id", F.nullif(trace, F.lit("")).alias("trace_id"), parent.alias("parent_span_id"))
 
 
-_RE2 = [("email", r"\b[\w.+-]+@[\w-]+\.[\w.-]+\b"), ("card", r"\b(?:\d[ -]?){13,16}\b"), ("ssn", r"\b\d{3}-\d{2}-\d{4}\b"),
-        ("phone", r"\+?\d{1,3}[ -.]?\(?\d{2,4}\)?(?:[ -.]?\d{2,4}){2,3}\b")]
-
 
 def _sql_redact(column: str, rules, label: str) -> str:
     for name, pattern in rules:
@@ -192,7 +189,7 @@ def _(c: Context):
 
 
 @query("redact_folded_documents", "C2", f"""
-SELECT doc_id, sha256({_sql_redact('text', _RE2, '[REDACTED:{}]')}) AS redacted_hash FROM ascii_documents""")
+SELECT doc_id, sha256({_sql_redact('text', text.REDACTIONS, '[REDACTED:{}]')}) AS redacted_hash FROM ascii_documents""")
 def _(c: Context):
     return c.ascii_documents.select("doc_id", F.sha2(text.redact(F.col("text")), 256).alias("redacted_hash"))
 

@@ -118,7 +118,7 @@ def get_rag_quality_metrics(events, **window):
 def get_agent_trace(spans, correlation_id: str):
     """Tree and waterfall of one trace."""
     one = spans.where(F.col("correlation_id") == correlation_id)
-    shape = traces.tree(one).select("correlation_id", "span_id", "depth", "root_span_id", "child_count", "path", "self_ms")
+    shape = traces.tree(one, with_path=True).select("correlation_id", "span_id", "depth", "root_span_id", "child_count", "path", "self_ms")
     return traces.waterfall(one).join(shape, ["correlation_id", "span_id"])
 
 

@@ -178,7 +178,7 @@ SELECT t.correlation_id, t.span_id, n(t.depth) AS depth, t.root_span_id, t.path,
   r6(CAST(l.latency_ms AS DECIMAL(18,3)) - coalesce(k.ms, 0)) AS self_ms
 FROM t JOIN linked l ON l.correlation_id = t.correlation_id AND l.span_id = t.span_id LEFT JOIN k ON k.correlation_id = t.correlation_id AND k.parent = t.span_id""")
 def _(c: Context):
-    return traces.tree(c.spans).select("correlation_id", "span_id", "depth", "root_span_id", "path", "child_count", "self_ms")
+    return traces.tree(c.spans, with_path=True).select("correlation_id", "span_id", "depth", "root_span_id", "path", "child_count", "self_ms")
 
 
 @query("waterfall", "W10 Q8", """

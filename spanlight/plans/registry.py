@@ -81,8 +81,8 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(QUERIES[name].build(Context(spark, sf_dir)))
+def run(name: str, spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+    return plain(QUERIES[name].build(Context(spark, sf_dir, partitions)))
 
 
 # --------------------------------------------------------------------------

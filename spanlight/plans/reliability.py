@@ -151,25 +151,71 @@ def _(c: Context):
     return alerts.dead_letter_rate(messages)
 
 
-@query("alert_evaluation", "K1 K2", """
-WITH v AS (SELECT application_id AS scope, 100.0 * count(*) FILTER (event_type = 'REQUEST_FAILED') / nullif(count(*) FILTER (event_type IN ('REQUEST_COMPLETED', 'REQUEST_FAILED')), 0) AS request_error_rate_pct,
-  100.0 * count(*) FILTER (event_type = 'TOOL_CALL_FAILED') / nullif(count(*) FILTER (event_type LIKE 'TOOL%'), 0) AS tool_failure_rate_pct,
-  100.0 * count(*) FILTER (event_type = 'RAG_NO_RESULT') / nullif(count(*) FILTER (event_type LIKE 'RAG%'), 0) AS rag_no_result_rate_pct,
-  100.0 * count(*) FILTER (event_type = 'FEEDBACK_SUBMITTED' AND rating <= 2) / nullif(count(*) FILTER (event_type = 'FEEDBACK_SUBMITTED'), 0) AS negative_feedback_pct,
-  CAST(count(*) FILTER (event_type LIKE 'AGENT%' AND loop_count >= 3) AS DOUBLE) AS agent_loops_at_max,
-  quantile_cont(latency_ms, 0.95) FILTER (event_type LIKE 'LLM%') AS llm_p95 FROM obs GROUP BY ALL),
-d AS (SELECT application_id, CAST(event_ts AS DATE) AS day, CAST(sum(cost_usd) AS DOUBLE) AS s FROM spend GROUP BY ALL),
-x AS (SELECT application_id || '/' || day AS scope, s / lag(s) OVER (PARTITION BY application_id ORDER BY day) AS r FROM d)
-SELECT 'high_error_rate' AS alert_id, scope, r6(request_error_rate_pct) AS value FROM v WHERE request_error_rate_pct > 5
-UNION ALL SELECT 'tool_failure_spike', scope, r6(tool_failure_rate_pct) FROM v WHERE tool_failure_rate_pct > 10
-UNION ALL SELECT 'rag_no_result_spike', scope, r6(rag_no_result_rate_pct) FROM v WHERE rag_no_result_rate_pct > 20
-UNION ALL SELECT 'negative_feedback_spike', scope, r6(negative_feedback_pct) FROM v WHERE negative_feedback_pct > 20
-UNION ALL SELECT 'llm_latency_spike', scope, r6(llm_p95) FROM v WHERE llm_p95 > 700
-UNION ALL SELECT 'token_cost_anomaly', scope, r6(r) FROM x WHERE r >= 2
-UNION ALL SELECT 'loop_agent_stuck', scope, r6(agent_loops_at_max) FROM v WHERE agent_loops_at_max >= 3""")
+_EXTRA_RULES = [("app_3_errors", "request_error_rate_pct", ">", 20.0, 60, "app-3", None, "critical", True),
+                ("lob_1_loops", "agent_loops_at_max", ">=", 1.0, 60, None, "lob-1", "info", True),
+                ("off", "request_error_rate_pct", ">", 0.0, 15, None, None, "info", False)]
+
+
+def _rule_sql() -> str:
+    rows = [(*r, None, None, "warning", True) if len(r) == 5 else r for r in [*catalogs.ALERT_RULES, *_EXTRA_RULES]]
+    text = lambda v: "NULL" if v is None else f"'{v}'" if isinstance(v, str) else str(v)
+    return "(VALUES " + ", ".join("(" + ", ".join(text(v) for v in r) + ")" for r in rows) + ") r(alert_id, metric_id, cmp, threshold, window_minutes, app, rlob, severity, enabled)"
+
+
+def _window_sql(minutes: int) -> str:
+    at = f"SELECT *, time_bucket(INTERVAL {minutes} MINUTE, event_ts) AS window_start FROM coded_obs"
+    names = {
+        "request_error_rate_pct": "100.0 * count(*) FILTER (event_type = 'REQUEST_FAILED') / nullif(count(*) FILTER (event_type IN ('REQUEST_COMPLETED', 'REQUEST_FAILED')), 0)",
+        "tool_failure_rate_pct": "100.0 * count(*) FILTER (event_type = 'TOOL_CALL_FAILED') / nullif(count(*) FILTER (event_type LIKE 'TOOL%'), 0)",
+        "rag_no_result_rate_pct": "100.0 * count(*) FILTER (event_type = 'RAG_NO_RESULT') / nullif(count(*) FILTER (event_type LIKE 'RAG%'), 0)",
+        "negative_feedback_pct": "100.0 * count(*) FILTER (event_type = 'FEEDBACK_SUBMITTED' AND rating <= 2) / nullif(count(*) FILTER (event_type = 'FEEDBACK_SUBMITTED'), 0)",
+        "agent_loops_at_max": "CAST(count(*) FILTER (event_type LIKE 'AGENT%' AND loop_count >= 3) AS DOUBLE)",
+        "prompt_template_errors": "CAST(count(*) FILTER (event_type LIKE 'LLM%' AND error_code = 'GR005') AS DOUBLE)",
+        "llm_p95_latency_ms": "quantile_cont(latency_ms, 0.95) FILTER (event_type LIKE 'LLM%')",
+    }
+    return " UNION ALL ".join(
+        f"SELECT '{n}' AS metric_id, {minutes} AS window_minutes, window_start, application_id, max(lob) AS lob, application_id AS scope, {e} AS value FROM ({at}) GROUP BY application_id, window_start"
+        for n, e in names.items())
+
+
+_NO_LOB = "CAST(NULL AS VARCHAR) AS application_id, CAST(NULL AS VARCHAR) AS lob"
+
+
+@query("alert_evaluation", "K1 K2", f"""
+WITH coded_obs AS (SELECT * REPLACE (CASE WHEN event_type LIKE 'LLM%' AND seq % 33 = 0 THEN 'GR005' ELSE error_code END AS error_code) FROM obs),
+daily AS (SELECT application_id, CAST(event_ts AS DATE) AS day, CAST(sum(cost_usd) AS DOUBLE) AS s FROM spend GROUP BY ALL),
+costs AS (SELECT application_id, day, s, lag(s) OVER (PARTITION BY application_id ORDER BY day) AS p FROM daily),
+blocked AS (SELECT application_id, event_date AS day, count(*) FILTER (event_type = 'GUARDRAIL_BLOCKED') AS n FROM obs GROUP BY ALL),
+blocks AS (SELECT *, lag(n) OVER (PARTITION BY application_id ORDER BY day) AS p FROM blocked),
+lags AS (SELECT group_id, topic, partition_id, time_bucket(INTERVAL 10 MINUTE, event_ts) AS window_start, arg_max(lag, (event_ts, seq)) AS lag FROM lag_readings GROUP BY ALL),
+vals AS ({_window_sql(15)} UNION ALL {_window_sql(60)}
+  UNION ALL SELECT 'cost_vs_previous_day', 1440, CAST(day AS TIMESTAMP), application_id, NULL, application_id, s / p FROM costs WHERE p > 0
+  UNION ALL SELECT 'guardrail_blocks_vs_previous_day', 1440, CAST(day AS TIMESTAMP), application_id, NULL, application_id, CAST(n AS DOUBLE) / p FROM blocks WHERE p > 0
+  UNION ALL SELECT 'kafka_consumer_lag', 10, window_start, {_NO_LOB}, group_id || '/' || topic, CAST(sum(lag) AS DOUBLE) FROM lags GROUP BY group_id, topic, window_start
+  UNION ALL SELECT 'archive_failures', 60, time_bucket(INTERVAL 60 MINUTE, event_ts) AS w, application_id, NULL, application_id, CAST(count(*) AS DOUBLE) FROM obs WHERE seq % 97 = 0 GROUP BY w, application_id
+  UNION ALL SELECT 'missing_rollup_hours', 120, time_bucket(INTERVAL 120 MINUTE, h) AS w, {_NO_LOB}, '*', CAST(count(*) AS DOUBLE)
+    FROM (SELECT DISTINCT date_trunc('hour', event_ts) AS h FROM obs WHERE hour(event_ts) % 7 = 0) GROUP BY w
+  UNION ALL SELECT 'sink_missing_rows', 60, time_bucket(INTERVAL 60 MINUTE, event_ts) AS w, {_NO_LOB}, '*', CAST(count(*) AS DOUBLE) FROM obs WHERE seq % 41 = 0 GROUP BY w)
+SELECT r.alert_id, v.scope, v.window_start, n(v.window_minutes) AS window_minutes, r.severity, r6(v.value) AS value
+FROM vals v JOIN {_rule_sql()} ON r.metric_id = v.metric_id AND r.window_minutes = v.window_minutes AND r.enabled
+WHERE (r.app IS NULL OR r.app = v.application_id) AND (r.rlob IS NULL OR r.rlob = v.lob)
+  AND CASE r.cmp WHEN '>' THEN v.value > r.threshold ELSE v.value >= r.threshold END""")
 def _(c: Context):
-    costs = alerts.spike_metrics(budget.daily_spend_trend(c.spend, ["application_id"]), "cost_vs_previous_day", "spend_usd", "previous_usd")
-    return alerts.evaluate_rules(alerts.named_metrics(c.obs).unionByName(costs), catalogs.alert_rule_table(c.spark)).select("alert_id", "scope", "value")
+    broken = (F.col("event_type").startswith("LLM_")) & (F.col("seq") % 33 == 0)
+    events = c.obs.withColumn("error_code", F.when(broken, "GR005").otherwise(F.col("error_code")))
+    blocks = alerts.day_over_day(c.obs, ["application_id"], F.col("event_type") == "GUARDRAIL_BLOCKED", 3.0)
+    failed = c.obs.where("seq % 97 = 0").select("event_ts", "application_id", F.lit("stage7-s3").alias("stage"))
+    rolled = c.obs.where(F.hour("event_ts") % 7 != 0).select(F.date_trunc("hour", "event_ts").cast("timestamp_ntz").alias("hour"))
+    values = alerts.named_metrics(events, 15)
+    for more in (
+            alerts.named_metrics(events, 60),
+            alerts.spike_metrics(budget.daily_spend_trend(c.spend, ["application_id"]), "cost_vs_previous_day", "spend_usd", "previous_usd"),
+            alerts.spike_metrics(blocks, "guardrail_blocks_vs_previous_day", "n", "previous"),
+            alerts.lag_metric(c.lag_readings, 10), alerts.stage_error_metric(failed, 60),
+            alerts.missing_hours(c.obs, rolled, 120), alerts.sink_gaps(c.obs, c.obs.where("seq % 41 <> 0"), 60)):
+        values = values.unionByName(more)
+    rules = catalogs.alert_rule_table(c.spark, [*catalogs.ALERT_RULES, *_EXTRA_RULES])
+    return alerts.evaluate_rules(values, rules).select("alert_id", "scope", "window_start", "window_minutes", "severity", "value")
 
 
 @query("guardrail_block_spikes", "W6", """

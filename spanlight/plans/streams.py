@@ -19,13 +19,19 @@ del reliability  # imported for its registered SQL
 
 
 class StreamContext(Context):
-    """The same views over a streaming read of the event table."""
+    """The same views over a streaming read of one given table."""
+
+    streamed = "events"
 
     def base(self, name: str) -> DataFrame:
-        if name != "events":
+        if name != self.streamed:
             return super().base(name)
         schema = super().base(name).schema
-        return self.spark.readStream.schema(schema).parquet(f"{self.sf_dir}/events.parque[t]")
+        return self.spark.readStream.schema(schema).parquet(f"{self.sf_dir}/{name}.parque[t]")
+
+
+class DocumentStream(StreamContext):
+    streamed = "documents"
 
 
 def _run_folder(c: Context) -> str:
@@ -36,36 +42,106 @@ def _finish(q) -> None:
     q.awaitTermination()
 
 
+def _late(c: Context, events: DataFrame, run: str, job, rebuild) -> None:
+    """Feed events out of order: the second half of the month first, then the days before, which are
+    beyond every watermark. The event table holds them all; the hours of the late ones are rebuilt."""
+    first, feed = F.col("event_date") >= F.lit("2024-01-15").cast("date"), f"{run}/feed"
+    for part in (events.where(first), events.where(~first)):
+        part.write.mode("append").parquet(feed)
+        _finish(job(c.spark.readStream.schema(events.schema).parquet(feed)))
+    payload = F.to_json(F.struct("model_name", "input_tokens", "output_tokens", "estimated_cost_usd"))
+    stored = events.withColumns({"payload": payload, "emitted_at": F.col("event_ts"), "event_month": F.date_format("event_ts", "yyyy-MM")})
+    tables.append_events(stored.drop("model_name", "input_tokens", "output_tokens", "estimated_cost_usd"), f"{run}/events")
+    hours = events.where(~first).select(F.date_trunc("hour", "event_ts").cast("timestamp_ntz").alias("hour")).distinct()
+    tables.write_batch(hours, f"{run}/touched", 0)
+    rebuild(f"{run}/events", f"{run}/touched")
+
+
+def _usage_events(c: Context) -> DataFrame:
+    return c.costed.select("event_id", "event_ts", "event_date", "event_type", "status", "application_id", "service_name", "http_status",
+                           "latency_ms", "model_name", F.col("input_tokens").cast("bigint").alias("input_tokens"),
+                           F.col("output_tokens").cast("bigint").alias("output_tokens"), F.col("estimated_cost_usd").cast("decimal(20,8)").alias("estimated_cost_usd"))
+
+
 @query("stream_hourly_usage", "R5 R9 S6", """
 SELECT application_id, date_trunc('hour', event_ts) AS hour, n(count(*)) AS events, n(count(*) FILTER (status = 'failed')) AS failures,
-  n(sum(input_tokens + output_tokens) FILTER (event_type LIKE 'LLM%')) AS tokens, dbl(sum(estimated_cost_usd)) AS cost_usd FROM costed GROUP BY ALL""")
+  n(sum(input_tokens + output_tokens) FILTER (event_type LIKE 'LLM%')) AS tokens, dbl(sum(estimated_cost_usd)) AS cost_usd,
+  r6(list_sort(list(latency_ms))[CAST(ceil(0.95 * count(*)) AS INT)]) AS p95_latency_ms FROM costed GROUP BY ALL""")
 def _(c: Context):
-    run = _run_folder(c)
-    _finish(jobs.hourly_usage(StreamContext(c.spark, c.sf_dir).costed, f"{run}/out", f"{run}/checkpoint", available_now=True))
-    return tables.latest_rows(c.spark, f"{run}/out", ["application_id", "hour"]).drop("p95_latency_ms")
+    run, out = _run_folder(c), "usage"
+    _late(c, _usage_events(c), run,
+          lambda stream: jobs.hourly_usage(stream, f"{run}/{out}", f"{run}/checkpoint", available_now=True),
+          lambda events, touched: jobs.rebuild_usage(c.spark, events, touched, f"{run}/{out}"))
+    return jobs.current_rows(c.spark, f"{run}/{out}", ["application_id", "hour"])
 
 
-@query("stream_sliding_slo", "R6 J6", QUERIES["sliding_slo_counts"].sql)
+_SLIDING = QUERIES["sliding_slo_counts"].sql
+
+
+@query("stream_sliding_slo", "R6 J6", f"""
+SELECT 60 AS minutes, * FROM ({_SLIDING}) a UNION ALL
+SELECT 360 AS minutes, * FROM ({_SLIDING.replace("range(0, 60)", "range(0, 360)").replace("INTERVAL 1 HOUR", "INTERVAL 6 HOUR")}) b""")
 def _(c: Context):
     run = _run_folder(c)
-    _finish(jobs.slo_minutes(StreamContext(c.spark, c.sf_dir).obs, c.slos, f"{run}/out", f"{run}/checkpoint", available_now=True))
-    return slo.sliding_counts(tables.latest_rows(c.spark, f"{run}/out", ["slo_id", "minute"]), 60)
+    _late(c, _usage_events(c), run,
+          lambda stream: jobs.slo_minutes(stream, c.slos, f"{run}/out", f"{run}/checkpoint", available_now=True),
+          lambda events, touched: jobs.rebuild_slo_minutes(c.spark, events, touched, c.slos, f"{run}/out"))
+    minutes = jobs.current_rows(c.spark, f"{run}/out", ["slo_id", "minute"])
+    windows = [slo.sliding_counts(minutes, n).withColumn("minutes", F.lit(n)) for n in (60, 360)]
+    return windows[0].unionByName(windows[1])
 
 
 @query("stream_budget_crossings", "R7 W2", QUERIES["budget_crossings"].sql)
 def _(c: Context):
+    """Every twentieth event comes twice and every fiftieth also with a date far ahead; neither changes the result."""
     run = _run_folder(c)
-    _finish(jobs.budgets(StreamContext(c.spark, c.sf_dir).spend, lambda _: c.budgets, f"{run}/ledger", f"{run}/checkpoint", available_now=True))
+    spend = StreamContext(c.spark, c.sf_dir).spend
+    ahead = F.struct(F.lit("-ahead").alias("mark"), F.lit("2099-01-01").cast("timestamp_ntz").alias("ts"))
+    plain = F.struct(F.lit("").alias("mark"), F.col("event_ts").alias("ts"))
+    copies = F.concat(F.array(plain), F.when(F.col("seq") % 20 == 0, F.array(plain)).otherwise(F.slice(F.array(plain), 1, 0)),
+                      F.when(F.col("seq") % 50 == 0, F.array(ahead)).otherwise(F.slice(F.array(ahead), 1, 0)))
+    noisy = spend.withColumn("_c", F.explode(copies)).withColumns({
+        "event_id": F.concat("event_id", "_c.mark"), "event_ts": F.col("_c.ts")}).drop("_c")
+    _finish(jobs.budgets(noisy, lambda _: c.budgets, f"{run}/ledger", f"{run}/checkpoint", available_now=True))
     return jobs.crossings(c.spark, f"{run}/ledger")
 
 
 @query("stream_held_alerts", "R8 W11", QUERIES["held_error_rate_alerts"].sql)
 def _(c: Context):
     run = _run_folder(c)
-    _finish(jobs.minute_rates(StreamContext(c.spark, c.sf_dir).obs, f"{run}/out", f"{run}/checkpoint", available_now=True))
+    _late(c, _usage_events(c), run,
+          lambda stream: jobs.minute_rates(stream, f"{run}/out", f"{run}/checkpoint", available_now=True),
+          lambda events, touched: jobs.rebuild_minute_rates(c.spark, events, touched, f"{run}/out"))
     return jobs.held_alerts(c.spark, f"{run}/out")
 
 
+@query("stream_archive", "S9 C12 R1", """
+WITH t AS (SELECT doc_id, regexp_replace(text, '[0-9@]', '', 'g') AS body FROM documents)
+SELECT concat('doc-', CAST(doc_id AS VARCHAR)) AS event_id, sha256(body) AS body_hash, strlen(body) > 2048 AS archived,
+  CASE WHEN strlen(body) > 2048 THEN concat('redacted-prompts/doc-', CAST(doc_id AS VARCHAR), '/prompt.txt') END AS archive_key,
+  CASE WHEN strlen(body) > 2048 THEN n(strlen(body)) END AS bytes FROM t""")
+def _(c: Context):
+    """Texts of documents as prompts (without digits and @, so that nothing in them is redacted): what is left in
+    the event and what its pointer leads to, together again."""
+    run = _run_folder(c)
+    body = F.to_json(F.struct(
+        F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("event_id"), F.lit("REQUEST_RECEIVED").alias("event_type"),
+        F.lit("gssp-gs").alias("service_name"), F.lit("dev").alias("environment"), F.lit("success").alias("status"),
+        F.struct(F.regexp_replace("text", "[0-9@]", "").alias("prompt")).alias("payload")))
+    messages = DocumentStream(c.spark, c.sf_dir).documents.select(F.lit("").alias("key"), body.alias("value"))
+    archive = f"{run}/archive"
+    _finish(jobs.enrichment(messages, lambda _: enrich.Dimensions(), f"{run}/processed", f"{run}/dead", f"{run}/checkpoint",
+                            archive=archive, available_now=True))
+    doc = F.try_parse_json("value")
+    read = lambda path, kind="string": F.try_variant_get(doc, path, kind)
+    done = c.spark.read.parquet(f"{run}/processed").select(
+        read("$.event_id").alias("event_id"), read("$.payload.prompt").alias("pointer"), read("$.payload.prompt_bytes", "bigint").alias("bytes"))
+    found = tables.read_archived(c.spark, archive, done)
+    moved = F.col("body").isNotNull()
+    return found.select("event_id", F.sha2(F.coalesce("body", "pointer"), 256).alias("body_hash"), moved.alias("archived"),
+                        F.when(moved, F.substr("pointer", F.lit(len(archive) + 2))).alias("archive_key"), "bytes")
+
+
 @query("stream_enrichment", "R1 R2 S1 S2 S3", """
 SELECT 'dead' AS kind, 'stage1-validate' AS label, n(count(*)) AS messages FROM raw_checked r WHERE NOT is_json OR root <> 'OBJECT'
 UNION ALL SELECT 'known application', coalesce(json_extract_string(value, '$.application_id'), ''), n(count(*)) FROM raw_checked

@@ -76,15 +76,3 @@ def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
     packed = F.explode(F.array(F.struct(*[c.alias(name) for name, c in columns.items()])))
     kept = [F.col(c) for c in df.columns if c not in columns]
     return df.select("*", packed.alias("_once")).select(*kept, *[F.col(f"_once.{n}").alias(n) for n in columns])
-
-
-def spread(df: DataFrame, min_bytes: int = 1024 * 1024) -> DataFrame:
-    """Spread a scan with fewer partitions than cores before costly per-row work.
-
-    A table of many files is left alone, and so is a tiny one; only a larger input that cannot be
-    split is moved.
-    """
-    if df.isStreaming or estimated_bytes(df) < min_bytes:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

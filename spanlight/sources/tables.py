@@ -12,7 +12,7 @@ from ..operators.store import domain_tables, first_per_key, not_yet_stored
 from ..session import small_side
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
@@ -25,11 +25,14 @@ def storable(df: DataFrame) -> DataFrame:
 
 
 ROWS_PER_FILE = 2_000_000
+# Dates come from messages. So many distinct days of a batch are listed by value; beyond, days share files by hash.
+MAX_LISTED_DAYS = 400
 
 
 def files_per_value(df: DataFrame, partition: str, rows_per_file: int = ROWS_PER_FILE) -> dict:
-    """Files each partition value needs. Row counts per calendar day of one batch: a handful of rows."""
-    return {r[0]: -(-r[1] // rows_per_file) for r in df.groupBy(partition).count().collect()}
+    """Files each of the largest partition values needs: at most MAX_LISTED_DAYS + 1 values reach the driver."""
+    largest = df.groupBy(partition).count().orderBy(F.col("count").desc(), partition).limit(MAX_LISTED_DAYS + 1)
+    return {r[0]: -(-r[1] // rows_per_file) for r in largest.collect()}
 
 
 def laid_out(df: DataFrame, partition: str, files: dict, spread: str = "event_id") -> DataFrame:
@@ -38,30 +41,58 @@ def laid_out(df: DataFrame, partition: str, files: dict, spread: str = "event_id
     for value, n in files.items():
         if n > 1:
             share = F.when(F.col(partition) == F.lit(value), F.lit(n)).otherwise(share)
-    return df.repartition(max(1, sum(files.values())), partition, F.pmod(F.hash(spread), share))
+    target = (partition, F.pmod(F.hash(spread), share))
+    return df.repartition(max(1, sum(files.values())), *target) if files else df.repartition(*target)
 
 
 def append_events(events: DataFrame, path: str, files: dict | None = None, keys: Sequence[str] = ("event_id", "event_ts")) -> None:
     """Insert, ignoring keys already stored; the first of several copies in the batch wins.
 
-    A copy has the same time, so only stored files whose days and times overlap the batch are read,
-    and of these only the key columns. Rows are sorted inside each file, so filters on the
-    application skip row groups.
+    A copy of an event that carries its time has the same time, so only stored files whose days and times
+    overlap the batch are read, and of these only the key columns. Where `time_given` is false the time is
+    that of arrival and moves with each delivery: such events are matched by identifier against the stored events
+    without a time of their own. Rows are sorted inside each file, so filters on the application skip row groups.
     """
     spark = events.sparkSession
     files = files_per_value(events, "event_date") if files is None else files
     if not files:
         return
-    batch = first_per_key(storable(events), list(keys), ["emitted_at"])
-    if _exists(spark, path):
+    dated = "time_given" not in events.columns
+    timed = storable(events) if dated else storable(events).where("time_given")
+    fresh = [first_per_key(timed, list(keys), ["emitted_at"])]
+    if not dated:
+        fresh.append(first_per_key(storable(events).where("NOT time_given"), ["event_id"], ["event_ts", "emitted_at"]))
+    if exists(spark, path):
+        stored = spark.read.parquet(path)
         first, last = events.agg(F.min("event_ts"), F.max("event_ts")).first()
-        stored = spark.read.parquet(path).where(
-            F.col("event_date").isin(list(files)) & F.col("event_ts").between(first, last))
-        batch = not_yet_stored(batch, stored, list(keys))
+        overlap = stored.where(F.col("event_date").between(first.date(), last.date()) & F.col("event_ts").between(first, last))
+        if len(files) <= MAX_LISTED_DAYS:  # else the range of days prunes well enough
+            overlap = overlap.where(F.col("event_date").isin(list(files)))
+        fresh[0] = not_yet_stored(fresh[0], overlap, list(keys))
+        if not dated:
+            fresh[1] = not_yet_stored(fresh[1], stored.where("NOT time_given"), ["event_id"])
+    batch = fresh[0] if dated else fresh[0].unionByName(fresh[1])
     (laid_out(batch, "event_date", files).sortWithinPartitions("event_date", "application_id", "event_ts")
      .write.mode("append").partitionBy("event_month", "event_date").parquet(path))
 
 
+def stored_batch(spark: SparkSession, path: str, batch_id: int, days: Sequence) -> DataFrame:
+    """What one batch left in the event table, with its payload as a map again."""
+    rows = spark.read.parquet(path).where(F.col("ingest_batch") == batch_id)
+    if len(days) <= MAX_LISTED_DAYS:
+        rows = rows.where(F.col("event_date").isin(list(days)))
+    return with_payload(rows)
+
+
+def with_payload(stored: DataFrame) -> DataFrame:
+    return stored.withColumn("payload", F.try_parse_json("payload").try_cast("map<string,variant>"))
+
+
+def backfill_domain_tables(spark: SparkSession, events_path: str, root: str) -> None:
+    """All domain tables anew from the stored events."""
+    write_domain_tables(with_payload(spark.read.parquet(events_path)), root, 0, {})
+
+
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
     """A micro-batch in its own directory: a retried batch replaces itself."""
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/batch={batch_id}")
@@ -81,8 +112,9 @@ def recompute_hours(hours: DataFrame, stored_events: DataFrame, rollup: Callable
     The days prune partitions, the hours are matched by a join with the short list of hours. A
     repeated rebuild replaces its own version; `latest_rows` reads the newest one of each row.
     """
-    days = [r[0] for r in hours.select(F.col("hour").cast("date")).distinct().collect()]  # calendar days: a handful
-    rows = stored_events.where(F.col("event_date").isin(days)).withColumn("_h", F.date_trunc("hour", "event_ts").cast("timestamp_ntz"))
+    days = [r[0] for r in hours.select(F.col("hour").cast("date")).distinct().limit(MAX_LISTED_DAYS + 1).collect()]
+    rows = stored_events if len(days) > MAX_LISTED_DAYS else stored_events.where(F.col("event_date").isin(days))
+    rows = rows.withColumn("_h", F.date_trunc("hour", "event_ts").cast("timestamp_ntz"))
     touched = rows.join(small_side(hours.select(F.col("hour").alias("_h")).distinct()), "_h", "left_semi").drop("_h")
     write_batch(rollup(touched), path, version)
 
@@ -121,6 +153,14 @@ def archive_and_drop(spark: SparkSession, path: str, archive: str, today: date,
     return dropped
 
 
+def read_archived(spark: SparkSession, archive: str, pointers: DataFrame, pointer: str = "pointer") -> DataFrame:
+    """The archived texts that pointers name: their rows with the `body`, null where nothing is stored."""
+    bodies = spark.read.option("basePath", archive).parquet(archive).select(
+        F.concat(F.lit(archive.rstrip("/") + "/"), "archive_key").alias(pointer), "body", "batch")
+    last = bodies.groupBy(pointer).agg(F.max_by("body", "batch").alias("body"))
+    return pointers.join(last, pointer, "left")
+
+
 def export_incident(tables: dict[str, DataFrame], target: str) -> None:
     """One directory per incident with every table's rows."""
     for name, df in tables.items():

@@ -1,6 +1,7 @@
 """Stores and streaming jobs: repeated batches, several batches, late rows, batch = stream."""
 
 import json
+import time
 from datetime import date
 
 import pytest
@@ -37,6 +38,9 @@ def test_enrichment_stream_over_several_batches(spark, tmp_path):
     assert done.count() == 9 and spark.read.parquet(str(tmp_path / "dead")).count() == 3
     assert json.loads(done.first()["value"])["payload"]["prompt_bytes"] == 3000
     assert spark.read.parquet(str(tmp_path / "archive")).count() == 9
+    pointers = done.select(F.get_json_object("value", "$.payload.prompt").alias("pointer"))
+    bodies = tables.read_archived(spark, str(tmp_path / "archive"), pointers).collect()
+    assert len(bodies) == 9 and all(r["body"] == "p" * 3000 for r in bodies)
     again = jobs.replay_dead_letters(spark, str(tmp_path / "dead"), raw, reason="vocabulary")
     assert again.count() == 3 and messages.read_files(spark, raw, streaming=False).count() == 15
 
@@ -46,7 +50,7 @@ def test_storage_stream_ignores_copies_and_rebuilds_late_hours(spark, tmp_path):
 
     def go():
         jobs.storage(messages.read_files(spark, raw), store, str(tmp_path / "domain"), str(tmp_path / "touched"), str(tmp_path / "ck"),
-                     watermark="2 days", available_now=True).awaitTermination()
+                     watermark="1 second", available_now=True).awaitTermination()
         return jobs.rebuild_rollup(spark, store, str(tmp_path / "touched"), str(tmp_path / "hourly"), rebuilt)
 
     _write(spark, raw, [_event(i, "2026-02-01T10:00:00Z") for i in range(4)] + [_event(1, "2026-02-01T10:00:00Z")], 0)
@@ -62,6 +66,18 @@ def test_storage_stream_ignores_copies_and_rebuilds_late_hours(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "compacted")).count() == len(hourly)
     calls = spark.read.parquet(str(tmp_path / "domain" / "llm_events")).collect()
     assert [(r["model_name"], r["input_tokens"]) for r in calls] == [("m", 5)]
+    # Copies far beyond the watermark, one of an event that never had a time: neither store takes them again.
+    timeless = {k: v for k, v in _event(20, None, event_type="LLM_CALL_COMPLETED").items() if k != "timestamp"}
+    late_copy = _event(8, "2026-02-02T01:00:00Z", event_type="LLM_CALL_COMPLETED", payload={"model_name": "m", "input_tokens": 5})
+    for n in (2, 3):
+        time.sleep(1.1)
+        _write(spark, raw, [timeless, late_copy], n)
+        go()
+    assert spark.read.parquet(store).where("event_id = 'e20'").count() == 1
+    assert spark.read.parquet(store).count() == 8
+    assert sorted(r["event_id"] for r in spark.read.parquet(str(tmp_path / "domain" / "llm_events")).collect()) == ["e20", "e8"]
+    tables.backfill_domain_tables(spark, store, str(tmp_path / "again"))
+    assert spark.read.parquet(str(tmp_path / "again" / "llm_events")).count() == 2
 
 
 def test_append_is_idempotent_and_retention_archives(spark, tmp_path):
@@ -95,6 +111,17 @@ def test_budget_stream_equals_batch(spark, tmp_path, data_dir):
         spend.where((days > low) & (days <= high)).coalesce(1).write.mode("append").parquet(parts)
         stream = spark.readStream.schema(spend.schema).parquet(parts)
         jobs.budgets(stream, lambda _: c.budgets, ledger, str(tmp_path / "ck"), available_now=True).awaitTermination()
+    # A copy counts once, a date far ahead is set aside and wipes nothing, and lost totals are an error.
+    hot = spend.orderBy("event_ts").limit(3)
+    wild = hot.withColumns({"event_id": F.concat("event_id", F.lit("-w")), "event_ts": F.lit("2099-01-01").cast("timestamp_ntz")})
+    hot.unionByName(hot).unionByName(wild).coalesce(1).write.mode("append").parquet(parts)
+    before = jobs._totals_before(spark, ledger, 3).count()
+    jobs.budgets(spark.readStream.schema(spend.schema).parquet(parts), lambda _: c.budgets, ledger, str(tmp_path / "ck"), available_now=True).awaitTermination()
+    assert spark.read.parquet(f"{ledger}/future").count() == 3 and jobs._totals_before(spark, ledger, 4).count() == before
+    with pytest.raises(RuntimeError):
+        jobs._totals_before(spark, ledger, 9)
+    doubled = budget.totals(spend.unionByName(hot), c.budgets).agg(F.sum("spend_usd")).first()
+    assert doubled == budget.totals(spend, c.budgets).agg(F.sum("spend_usd")).first()
     key = lambda r: (r["application_id"], r["limit_model"], r["period"], str(r["period_start"]), r["kind"], r["event_id"], r["new_spend_usd"])
     got = sorted(map(key, jobs.crossings(spark, ledger).collect()))
     assert got == sorted(map(key, budget.crossings(spend, c.budgets).collect())) and got

@@ -10,10 +10,11 @@ def _spans(spark, edges):
 def test_deep_chain_orphan_and_cycle(spark):
     chain = [("s0", None)] + [(f"s{i}", f"s{i - 1}") for i in range(1, 300)]
     odd = [("o", "lost"), ("o2", "o"), ("x", "y"), ("y", "x"), ("self", "self"), ("z", "x")]
-    got = {r["span_id"]: r for r in traces.tree(_spans(spark, chain + odd), max_rounds=10).collect()}
+    got = {r["span_id"]: r for r in traces.tree(_spans(spark, chain + odd), with_path=True).collect()}
     assert got["s299"]["depth"] == 299 and got["s299"]["root_span_id"] == "s0" and got["s299"]["path"].startswith("s0/s1/s2/")
     assert got["o"]["root_span_id"] == "o" and got["o2"]["depth"] == 1
     assert all(got[s]["on_cycle"] and got[s]["root_span_id"] is None for s in ("x", "y", "self", "z"))
+    assert all(got[s]["path"] is None and got[s]["depth"] is None for s in ("x", "y", "self", "z"))
     assert got["s0"]["child_count"] == 1 and got["s0"]["self_ms"] == 0.0
 
 
