@@ -219,10 +219,11 @@ DIMENSIONS = {
         "model_name STRING; effective_from DATE; input_usd_per_1k DECIMAL(12,8); output_usd_per_1k DECIMAL(12,8)", PRICE_ROWS
     ),
     "slos": _values(
-        "slo_id STRING; application_id STRING; sli_type STRING; target_pct DECIMAL(6,3); latency_target_ms INT; window_days INT; enabled BOOLEAN",
+        "slo_id STRING; application_id STRING; sli_type STRING; target_pct DECIMAL(6,3); latency_target_ms INT; window_days INT; enabled BOOLEAN; filter_type STRING; filter_service STRING",
         [(f"slo-{i}", f"app-{i}", "latency" if i % 2 else "availability", 100.0 if i == 8 else (80.0 if i % 4 == 1 else 99.0),
-          1000 if i % 2 else None, 7, i != 10) for i in range(12)]
-        + [("slo-q", "app-1", "quality", 95.0, None, 30, True)],
+          1000 if i % 2 else None, 7, i != 10, None, None) for i in range(12)]
+        + [("slo-q", "app-1", "quality", 95.0, None, 30, True, None, None), ("slo-done", "app-1", "latency", 90.0, 900, 7, True, "REQUEST_COMPLETED", None),
+           ("slo-part", "app-2", "availability", 50.0, None, 7, True, "REQUEST_FAILED", "gssp-gs")],
     ),
     "budgets": _values(
         "application_id STRING; model_name STRING; period STRING; max_spend_usd DECIMAL(12,2); alert_at_pct INT",
@@ -242,10 +243,12 @@ DIMENSIONS = {
          ("tpl-2", 1, "Sum <q>", "x", "active", None, 100), ("tpl-2", 2, "Sum up <q>", "x", "active", None, 100)],
     ),
     "access_policy": _values(
-        "policy_id STRING; subject_id STRING; application_id STRING; lob STRING; permission STRING; active_flag BOOLEAN",
-        [("p1", "ann", None, "lob-1", "read_metrics", True), ("p2", "ann", "app-2", None, "read_metrics", True),
-         ("p3", "ann", "app-3", None, "read_metrics", False), ("p4", "bob", "app-4", None, "read_payloads", True),
-         ("p5", "root", None, None, "admin", True)],
+        "policy_id STRING; subject_id STRING; application_id STRING; lob STRING; permission STRING; active_flag BOOLEAN; agent_id STRING",
+        [("p1", "ann", None, "lob-1", "read_metrics", True, None), ("p2", "ann", "app-2", None, "read_metrics", True, None),
+         ("p3", "ann", "app-3", None, "read_metrics", False, None), ("p4", "bob", "app-4", None, "read_payloads", True, None),
+         ("p5", "root", None, None, "admin", True, None), ("p6", "cy", None, None, "read_metrics", True, "agent-2"),
+         ("p7", "cy", None, None, "read_payloads", True, "agent-3"), ("p8", "dee", "app-5", None, "read_logs", True, None),
+         ("p9", "dee", "app-6", None, "read_metrics", True, None)],
     ),
     "kpi_thresholds": _values(
         "metric_id STRING; warning DOUBLE; breached DOUBLE; higher_is_worse BOOLEAN",

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from .. import catalogs
 from ..functions import ids, money, sampling, text
-from ..contract import ENVELOPE_FIELDS
-from ..session import computed_once
-from . import lookups
+from ..contract import ENVELOPE_FIELDS, TERMINAL_REQUEST_EVENTS
+from ..session import computed_once, small_side
+from . import budget, lookups
 
 VARIANT_MAP = "map<string,variant>"
 
@@ -106,7 +106,9 @@ def enrich(valid: DataFrame, dims: Dimensions, settings: Settings | None = None,
     """The stages in their fixed order: trace, redact, metadata, errors, cost, archive, sample.
 
     No stage can lose an event: lookups are left joins and all casts are try-casts. A stage whose
-    input was unusable is named in `stage_errors` and leaves its part of the event as it was.
+    input was unusable is named in `stage_errors` and leaves its part of the event as it was: a broken trace
+    header, a text left unredacted for its length, unreadable token counts, a bulky payload value that is no text,
+    a negative latency. Lookup and error rules have no such case: what they do not know they leave alone.
     """
     settings = settings or Settings()
     out, carried = valid, [*valid.columns, "stage_errors"]
@@ -123,10 +125,18 @@ def enrich(valid: DataFrame, dims: Dimensions, settings: Settings | None = None,
     for side in ("input_tokens", "output_tokens"):
         present = F.map_contains_key("payload", F.lit(side)) & (F.schema_of_variant(F.col("payload")[side]) != "VOID")
         unreadable_tokens = unreadable_tokens | (F.coalesce(present, F.lit(False)) & F.col(side).isNull())
+    payload, archives = F.col("payload"), settings.archive_root is not None
+    bulky = [~is_text(payload[f]) & (F.octet_length(F.to_json(payload[f])) > settings.archive_threshold_bytes) for f in settings.archive_fields]
+    too_long = F.lit(False) if settings.redact_max_chars is None else F.exists(
+        F.map_values("payload"), lambda v: is_text(v) & (F.length(v.try_cast("string")) > settings.redact_max_chars))
     problems = {
-        "stage2-trace": F.coalesce(F.size(F.split(header, "-", -1)) != 4, F.lit(False)),
+        "stage2-trace": F.size(F.split(header, "-", -1)) != 4,
+        "stage3-pii": too_long,
         "stage6-cost": F.col("event_type").startswith("LLM_") & unreadable_tokens,
+        "stage7-s3": lookups.any_of([F.coalesce(b, F.lit(False)) for b in bulky]) if archives else F.lit(False),
+        "stage8-slo": F.col("event_type").isin(TERMINAL_REQUEST_EVENTS) & F.col("application_id").isNotNull() & (F.col("latency_ms") < 0),
     }
+    problems = {name: F.coalesce(c, F.lit(False)) for name, c in problems.items()}
     out = out.withColumn("stage_errors", F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in problems.items()])))
     updates: dict[str, Column] = {}
     if dims.apps is not None:
@@ -156,6 +166,29 @@ def enrich(valid: DataFrame, dims: Dimensions, settings: Settings | None = None,
     return put_all(out, updates).select(*carried)
 
 
+def charged(enriched: DataFrame) -> DataFrame:
+    """What an enriched event costs, as the budgets count it."""
+    return enriched.where(F.col("event_type").startswith("LLM_")).select(
+        "event_id", F.try_to_timestamp("timestamp").cast("timestamp_ntz").alias("event_ts"), "application_id",
+        payload_text("model_name").alias("model_name"), payload_as("estimated_cost_usd", "decimal(28,8)").alias("cost_usd"))
+
+
+def with_budget_flags(enriched: DataFrame, limits: DataFrame, opening: DataFrame | None = None, unique: bool = False) -> DataFrame:
+    """Events on which a limit's alert share or cap was reached carry `budget_alert` and `budget_cap_breached`."""
+    flags = budget.flags(charged(enriched), limits, opening, unique)
+    joined = enriched.join(small_side(flags), "event_id", "left")
+    return put_all(joined, {
+        "budget_alert": F.when(F.col("budget_alert").isNotNull(), F.to_variant_object("budget_alert")),
+        "budget_cap_breached": F.when(F.col("budget_cap_breached"), F.lit(True)),
+    }).select(*enriched.columns)
+
+
+def stage_error_rows(enriched: DataFrame) -> DataFrame:
+    """(event_id, event_ts, application_id, stage): one row per stage an event was unusable for."""
+    return enriched.select("event_id", F.try_to_timestamp("timestamp").cast("timestamp_ntz").alias("event_ts"), "application_id",
+                           F.explode("stage_errors").alias("stage"))
+
+
 def to_message(enriched: DataFrame) -> DataFrame:
     """Processed messages: key, JSON value, headers."""
     key = F.col("key").cast("string") if "key" in enriched.columns else F.lit(None).cast("string")

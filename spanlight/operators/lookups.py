@@ -121,28 +121,34 @@ def grants(policies: DataFrame, subject: str) -> DataFrame:
 
 
 def scoped(events: DataFrame, policies: DataFrame, subject: str,
-           payload_columns: tuple[str, ...] = ("payload", "error_message")) -> DataFrame:
-    """Rows the subject may see: all for an admin, otherwise by line of business or application.
+           payload_columns: tuple[str, ...] = ("payload", "error_message"), log_columns: tuple[str, ...] = ("message", "log")) -> DataFrame:
+    """Rows the subject may see: all for an admin, otherwise by line of business, application or agent.
 
-    Payload columns are blanked unless the subject holds read_payloads on the row or is an admin.
+    Payload columns are blanked unless the subject holds read_payloads on the row or is an admin; columns of
+    log text unless it holds read_logs, read_payloads or is an admin.
     """
     own = grants(policies, subject)
+    scopes = [k for k in ("lob", "application_id", "agent_id") if k in events.columns and k in policies.columns]
 
     def flag(df: DataFrame, permitted: DataFrame, name: str) -> DataFrame:
-        lobs = permitted.where("lob IS NOT NULL").select(F.col("lob").alias("_lob")).distinct()
-        apps = permitted.where("application_id IS NOT NULL").select(F.col("application_id").alias("_app")).distinct()
-        everything = permitted.where("permission = 'admin' AND lob IS NULL AND application_id IS NULL").agg(F.count(F.lit(1)) > 0)
-        out = (
-            df.join(small_side(lobs), F.col("lob") == F.col("_lob"), "left")
-            .join(small_side(apps), F.col("application_id") == F.col("_app"), "left")
-        )
-        seen = F.col("_lob").isNotNull() | F.col("_app").isNotNull() | everything.scalar()
-        return out.withColumn(name, seen).drop("_lob", "_app")
-
-    visible = flag(events, own, "_see").where("_see").drop("_see")
-    clear = flag(visible, own.where(F.col("permission").isin("read_payloads", "admin")), "_read")
-    blanked = {c: F.when(F.col("_read"), F.col(c)) for c in payload_columns if c in events.columns}
-    return clear.withColumns(blanked).drop("_read") if blanked else clear.drop("_read")
+        nowhere = F.lit(True)
+        for k in ("lob", "application_id", "agent_id"):
+            nowhere = nowhere & (F.col(k).isNull() if k in policies.columns else F.lit(True))
+        everything = permitted.where((F.col("permission") == "admin") & nowhere).agg(F.count(F.lit(1)) > 0)
+        seen, out = everything.scalar(), df
+        for k in scopes:
+            side = permitted.where(F.col(k).isNotNull()).select(F.col(k).alias(f"_{k}")).distinct()
+            out = out.join(small_side(side), F.col(k) == F.col(f"_{k}"), "left")
+            seen = seen | F.col(f"_{k}").isNotNull()
+        return out.withColumn(name, seen).drop(*[f"_{k}" for k in scopes])
+
+    out = flag(events, own, "_see").where("_see").drop("_see")
+    for columns, rights in ((payload_columns, ("read_payloads", "admin")), (log_columns, ("read_logs", "read_payloads", "admin"))):
+        present = [c for c in columns if c in events.columns]
+        if present:
+            out = flag(out, own.where(F.col("permission").isin(*rights)), "_read")
+            out = out.withColumns({c: F.when(F.col("_read"), F.col(c)) for c in present}).drop("_read")
+    return out
 
 
 def with_cheaper_model(costed: DataFrame, catalog: list[tuple[str, str, str]]) -> DataFrame:

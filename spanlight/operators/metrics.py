@@ -32,6 +32,7 @@ class Metric:
     rows: Column | None = None
     value: Column | None = None
     percentile: tuple[str, float] | None = None
+    daily: Column | None = None  # the value over rows of any kind, its own ones picked inside
 
 
 def registry() -> dict[str, Metric]:
@@ -51,10 +52,16 @@ def registry() -> dict[str, Metric]:
         "feedback_avg_rating": (F.col("event_type").startswith("FEEDBACK_"), exact_avg("rating"), None),
         "kafka_consumer_lag": (None, F.max_by("lag", F.struct("event_ts", "seq")), None),
     }
+    inside = {
+        "request_count": F.count_if(_type("REQUEST_COMPLETED")),
+        "error_rate_pct": built["error_rate_pct"][1],
+        "llm_cost_usd": F.sum(F.when(_calls(), F.col("estimated_cost_usd"))).cast(money.TOTAL),
+        "llm_tokens_total": F.sum(F.when(_calls(), tokens)),
+    }
     out = {}
     for metric_id, name, unit, _, dims, synonyms in catalogs.METRIC_CATALOG:
         rows, value, pct = built[metric_id]
-        out[metric_id] = Metric(metric_id, name, unit, tuple(dims.split(",")), tuple(synonyms.split(",")), rows, value, pct)
+        out[metric_id] = Metric(metric_id, name, unit, tuple(dims.split(",")), tuple(synonyms.split(",")), rows, value, pct, inside.get(metric_id))
     out["request_error_rate_pct"] = Metric(
         "request_error_rate_pct", "Request error rate", "pct", ("application_id", "lob", "service_name"), (),
         _type("REQUEST_COMPLETED", "REQUEST_FAILED"), ratio(F.count_if(_type("REQUEST_FAILED")), every, 100.0))
@@ -84,6 +91,22 @@ def metric(events: DataFrame, metric_id: str, dims: Sequence[str] = (), filters:
     return out.select(F.lit(metric_id).alias("metric_id"), *keys, "value")
 
 
+def daily_values(events: DataFrame, metric_ids: Sequence[str]) -> DataFrame:
+    """Catalog metrics per application and day, (metric_id, application_id, day, value): the same expressions as
+    `metric`, all in one pass. A metric has no value on a day without rows of its kind."""
+    known = registry()
+    aggregates = []
+    for i, metric_id in enumerate(metric_ids):
+        m = known[metric_id]
+        if m.percentile or m.daily is None or "application_id" not in m.dimensions:
+            raise ValueError(f"{metric_id} has no daily value per application")
+        rows = F.lit(True) if m.rows is None else m.rows
+        aggregates += [F.when(F.count_if(rows) > 0, m.daily.cast("double")).alias(f"m{i}")]
+    wide = events.groupBy("application_id", F.col("event_ts").cast("date").alias("day")).agg(*aggregates)
+    pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("metric_id"), F.col(f"m{i}").alias("value")) for i, n in enumerate(metric_ids)]))
+    return wide.select("application_id", "day", pairs.alias("p")).select("p.metric_id", "application_id", "day", "p.value").where("value IS NOT NULL")
+
+
 def catalog_table(spark: SparkSession) -> DataFrame:
     rows = catalogs.METRIC_CATALOG
     flat = catalogs.literal_table(
@@ -108,30 +131,53 @@ def matching_ids(words: Column) -> Column:
     return F.array_compact(F.array(*hits))
 
 
-def rollup_ratios(application: DataFrame, agent: DataFrame, tool: DataFrame, llm: DataFrame, rag: DataFrame,
-                  feedback: DataFrame) -> DataFrame:
-    """The second metric set: ratios of sums over the rollup tables, long form."""
-    def pct(part: str, whole: str) -> Column:
-        return ratio(F.sum(part), F.sum(whole), 100.0)
-
-    plans = [
-        (application, {
-            "Request Count": F.sum("request_count").cast("double"), "Success Rate": pct("success_count", "request_count"),
-            "Error Rate": pct("error_count", "request_count"), "Peak P95 Latency": F.max("p95_latency_ms")}),
-        (agent, {"Agent Success Rate": pct("success_count", "run_count"),
-                 "Agent Failure Rate": ratio(F.sum("failure_count") + F.sum("timeout_count"), F.sum("run_count"), 100.0)}),
-        (tool, {"Tool Failure Rate": pct("failure_count", "call_count"), "Tool Timeout Rate": pct("timeout_count", "call_count")}),
-        (llm, {"LLM Total Tokens": (F.sum("input_tokens") + F.sum("output_tokens")).cast("double"),
-               "LLM Cost": F.sum("total_cost_usd").cast("double"), "LLM Error Rate": pct("failure_count", "call_count")}),
-        (rag, {"RAG No Result Rate": pct("no_result_count", "retrieval_count")}),
-        (feedback, {"Positive Feedback Rate": pct("positive_count", "feedback_count"),
-                    "Negative Feedback Rate": pct("negative_count", "feedback_count")}),
+def document_metrics(events: DataFrame, application: DataFrame, scores: DataFrame, spend: DataFrame, compliance: DataFrame) -> DataFrame:
+    """The second metric set, long form: (metric_name, value).
+
+    Ratios of sums need no rollup in between and come from one pass over the events. `application` is the
+    hourly application rollup (mean and worst hourly latency), `scores` has (faithfulness), `spend` is `budget.totals`,
+    `compliance` the daily compliance of objectives.
+    """
+    t = F.col("event_type")
+
+    def n(*names: str) -> Column:
+        return F.count_if(_type(*names))
+
+    def family(prefix: str) -> Column:
+        return F.count_if(t.startswith(prefix))
+
+    tokens = F.coalesce("input_tokens", F.lit(0)).cast("long") + F.coalesce("output_tokens", F.lit(0)).cast("long")
+    requests = n("REQUEST_COMPLETED", "REQUEST_FAILED")
+    runs = n("AGENT_COMPLETED", "AGENT_FAILED", "AGENT_TIMEOUT")
+    tool_calls = n("TOOL_CALL_COMPLETED", "TOOL_CALL_FAILED", "TOOL_CALL_TIMEOUT")
+    retrievals = n("RAG_RETRIEVAL_COMPLETED", "RAG_RETRIEVAL_FAILED", "RAG_NO_RESULT")
+    feedback = n("FEEDBACK_SUBMITTED")
+    given = t == "FEEDBACK_SUBMITTED"
+    passes = [
+        (events, {
+            "Request Count": requests.cast("double"),
+            "Success Rate": ratio(n("REQUEST_COMPLETED"), requests, 100.0),
+            "Error Rate": ratio(n("REQUEST_FAILED"), requests, 100.0),
+            "Agent Success Rate": ratio(n("AGENT_COMPLETED"), runs, 100.0),
+            "Agent Failure Rate": ratio(n("AGENT_FAILED", "AGENT_TIMEOUT"), runs, 100.0),
+            "Tool Failure Rate": ratio(n("TOOL_CALL_FAILED"), tool_calls, 100.0),
+            "Tool Timeout Rate": ratio(n("TOOL_CALL_TIMEOUT"), tool_calls, 100.0),
+            "LLM Total Tokens": F.sum(F.when(t.startswith("LLM_"), tokens)).cast("double"),
+            "LLM Cost": F.sum(F.when(t.startswith("LLM_"), F.col("estimated_cost_usd"))).cast("double"),
+            "LLM Error Rate": ratio(n("LLM_CALL_FAILED"), n("LLM_CALL_COMPLETED", "LLM_CALL_FAILED"), 100.0),
+            "RAG No Result Rate": ratio(n("RAG_NO_RESULT"), retrievals, 100.0),
+            "Positive Feedback Rate": ratio(F.count_if(given & (F.col("rating") >= 4)), feedback, 100.0),
+            "Negative Feedback Rate": ratio(F.count_if(given & (F.col("rating") <= 2)), feedback, 100.0)}),
+        (application, {"Avg Latency": exact_avg("avg_latency_ms", 6), "P95 Latency": F.max("p95_latency_ms")}),
+        (scores, {"RAG Faithfulness Score": exact_avg("faithfulness", 9)}),
+        (spend, {"Budget Utilization": ratio(F.sum("spend_usd").cast("double"), F.sum("max_spend_usd").cast("double"), 100.0)}),
+        (compliance, {"SLO Compliance": ratio(F.count_if(F.col("sli_pct") >= F.col("target_pct").cast("double")), F.count("sli_pct"), 100.0)}),
     ]
     out = None
-    for df, metrics in plans:
+    for df, metrics in passes:
         one = df.agg(*[c.alias(f"m{i}") for i, c in enumerate(metrics.values())])
         pairs = F.explode(F.array(*[
-            F.struct(F.lit(n).alias("metric_name"), F.col(f"m{i}").alias("value")) for i, n in enumerate(metrics)]))
+            F.struct(F.lit(name).alias("metric_name"), F.col(f"m{i}").alias("value")) for i, name in enumerate(metrics)]))
         rows = one.select(pairs.alias("p")).select("p.metric_name", "p.value")
         out = rows if out is None else out.unionByName(rows)
     return out

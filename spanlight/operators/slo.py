@@ -17,13 +17,22 @@ from .lookups import match_slos
 from .order_stats import ratio, running_sums
 
 
+FILTER_COLUMNS = ["event_type", "service_name", "status", "lob", "agent_id", "tool_id", "model_name", "http_status"]
+
+
 def slo_events(events: DataFrame, definitions: DataFrame) -> DataFrame:
     """Terminal request events per objective with their good flag. Other SLI kinds are computed elsewhere."""
     terminal = events.where(F.col("event_type").isin(TERMINAL_REQUEST_EVENTS))
     per_event = definitions.where(F.col("sli_type").isin("availability", "latency"))
+    if "event_filter" not in per_event.columns:
+        per_event = per_event.withColumn("event_filter", F.lit(None).cast("map<string,string>"))
+    # Every entry of an objective's filter must equal the event's column of that name; an unknown name matches nothing.
+    own = F.create_map(*[x for c in FILTER_COLUMNS if c in terminal.columns for x in (F.lit(c), F.col(c).cast("string"))])
+    passes = F.forall(F.map_entries("event_filter"), lambda e: F.coalesce(F.element_at(own, e["key"]) == e["value"], F.lit(False)))
     good = F.when(F.col("sli_type") == "availability", F.col("status") == "success").otherwise(
         F.coalesce(F.col("latency_ms") <= F.col("latency_target_ms"), F.lit(False)))
-    return match_slos(terminal, per_event).withColumns({
+    matched = match_slos(terminal, per_event).where(F.col("event_filter").isNull() | passes).drop("event_filter")
+    return matched.withColumns({
         "good": good.cast("int"), "one": F.lit(1), "minute": epoch_minute("event_ts"),
         "second": bucket("event_ts", "second"),
     })

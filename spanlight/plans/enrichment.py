@@ -8,6 +8,7 @@ from .. import catalogs, contract
 from ..functions import ids, money, sampling, text, times
 from ..operators import enrich, lookups, store, validate
 from .registry import Context, query
+from .reliability import _matched
 
 _T = ", ".join(f"'{t}'" for t in contract.EVENT_TYPES)
 _S = ", ".join(f"'{s}'" for s in contract.SERVICE_NAMES)
@@ -84,36 +85,47 @@ def _(c: Context):
     return validate.replay(dead, "payload: must be object").groupBy("key").agg(F.count(F.lit(1)).alias("messages"))
 
 
-@query("dead_letters_reprocessed", "S16", """
+@query("dead_letters_reprocessed", "S16", f"""
 SELECT n(seq) AS dead_id, seq % 4 = 0 AS reprocessed,
   CASE WHEN seq % 4 = 0 THEN TIMESTAMP '2024-02-01 00:00:00' END AS reprocessed_at
-FROM raw_checked WHERE NOT is_json""")
+FROM raw_checked WHERE NOT coalesce({_GOOD}, FALSE)""")
 def _(c: Context):
-    dead = c.validated.where(F.get("violations", 0) == "not JSON").select(F.col("seq").alias("dead_id"))
+    dead = c.validated.where(F.size("violations") > 0).select(F.col("seq").alias("dead_id"))
     replayed = c.raw_events.where("seq % 4 = 0").select(
         F.col("seq").alias("dead_id"), F.lit("2024-02-01 00:00:00").cast("timestamp_ntz").alias("replayed_at"))
     return store.with_replay_state(dead, replayed)
 
 
-@query("enriched_messages", "R1 R3 C16 J1 J4 J3 C6", f"""
+@query("enriched_messages", "R1 R3 C16 J1 J4 J3 C6 W2", f"""
 WITH good AS (SELECT * FROM raw_checked WHERE {_GOOD}),
 p AS (SELECT seq, json_extract_string(value, '$.event_type') AS event_type, json_extract_string(value, '$.status') AS status,
         json_extract_string(value, '$.application_id') AS application_id, json_extract_string(value, '$.payload.error_message') AS error_message,
         CAST(NULL AS VARCHAR) AS error_code, json_extract_string(value, '$.payload.model_name') AS model_name,
         CAST(json_extract_string(value, '$.payload.input_tokens') AS INT) AS input_tokens,
         CAST(json_extract_string(value, '$.payload.output_tokens') AS INT) AS output_tokens,
-        CAST(substr(json_extract_string(value, '$.timestamp'), 1, 10) AS DATE) AS event_date FROM good)
-SELECT o.seq, o.event_type, r.lob, r.owner_team AS app_owner_team,
+        CAST(substr(json_extract_string(value, '$.timestamp'), 1, 10) AS DATE) AS event_date, json_extract_string(value, '$.event_id') AS event_id FROM good),
+e AS (SELECT o.seq, o.event_type, r.lob, r.owner_team AS app_owner_team,
   CASE WHEN o.status = 'failed' THEN CASE {" ".join(f"WHEN regexp_matches(concat(': ', coalesce(o.error_message, '')), '(?i){r.pattern}') THEN '{r.error_code}'" for r in catalogs.error_rules())} END END AS error_code,
   CASE WHEN o.event_type LIKE 'LLM\\_%' ESCAPE '\\' AND o.input_tokens IS NOT NULL THEN dbl(round((CAST(o.input_tokens AS DECIMAL(12,0)) * pr.input_usd_per_1k
      + CAST(o.output_tokens AS DECIMAL(12,0)) * pr.output_usd_per_1k) * CAST(0.001 AS DECIMAL(3,3)), 8)) END AS estimated_cost_usd,
-  CASE WHEN o.model_name IS NOT NULL THEN 'mail [REDACTED:email] or [REDACTED:phone]' END AS note
+  CASE WHEN o.model_name IS NOT NULL THEN 'mail [REDACTED:email] or [REDACTED:phone]' END AS note, o.event_id, o.model_name, o.application_id, o.event_date
 FROM p o LEFT JOIN app_registry r ON o.application_id = r.application_id
-ASOF LEFT JOIN prices pr ON o.model_name = pr.model_name AND o.event_date >= pr.effective_from""")
-def _(c: Context):
-    return c.enriched.select(
+ASOF LEFT JOIN prices pr ON o.model_name = pr.model_name AND o.event_date >= pr.effective_from),
+enriched_spend AS (SELECT application_id, model_name, event_id, CAST(event_date AS TIMESTAMP) AS event_ts, CAST(estimated_cost_usd AS DECIMAL(28,8)) AS cost_usd FROM e WHERE estimated_cost_usd IS NOT NULL),
+{_matched('budgets', 'enriched_spend')},
+k AS (SELECT event_id, period, max_spend_usd, running, running >= line AND running - cost_usd < line AS alerts, running >= max_spend_usd AND running - cost_usd < max_spend_usd AS caps
+  FROM (SELECT *, CAST(max_spend_usd * alert_at_pct AS DECIMAL(28,8)) * CAST(0.01 AS DECIMAL(3,2)) AS line FROM r)),
+f AS (SELECT event_id, arg_max(period, (max_spend_usd, period)) FILTER (alerts) AS budget_alert_period, arg_max(dbl(running), (max_spend_usd, period)) FILTER (alerts) AS budget_alert_spend_usd,
+  bool_or(caps) AS budget_cap_breached FROM k WHERE alerts OR caps GROUP BY event_id)
+SELECT e.seq, e.event_type, e.lob, e.app_owner_team, e.error_code, e.estimated_cost_usd, e.note, f.budget_alert_period, f.budget_alert_spend_usd, coalesce(f.budget_cap_breached, FALSE) AS budget_cap_breached
+FROM e LEFT JOIN f ON f.event_id = e.event_id""")
+def _(c: Context):
+    alert = F.col("payload")["budget_alert"]
+    return enrich.with_budget_flags(c.enriched, c.budgets).select(
         "seq", "event_type", "lob", enrich.payload_text("app_owner_team").alias("app_owner_team"), "error_code",
-        enrich.payload_as("estimated_cost_usd", "decimal(20,8)").alias("estimated_cost_usd"), enrich.payload_text("note").alias("note"))
+        enrich.payload_as("estimated_cost_usd", "decimal(20,8)").alias("estimated_cost_usd"), enrich.payload_text("note").alias("note"),
+        F.try_variant_get(alert, "$.period", "string").alias("budget_alert_period"), F.try_variant_get(alert, "$.spend_usd", "double").alias("budget_alert_spend_usd"),
+        F.coalesce(enrich.payload_as("budget_cap_breached", "boolean"), F.lit(False)).alias("budget_cap_breached"))
 
 
 @query("registry_context", "J1 S10", """
@@ -341,3 +353,16 @@ def _(c: Context):
 @query("visible_payloads", "K5", "SELECT event_id, error_message FROM obs WHERE application_id = 'app-4'")
 def _(c: Context):
     return lookups.scoped(c.obs, c.access_policy, "bob").select("event_id", "error_message")
+
+
+@query("visible_to_agent_owner", "K5", """
+SELECT event_id, agent_id, CASE WHEN agent_id = 'agent-3' THEN error_message END AS error_message FROM obs WHERE agent_id IN ('agent-2', 'agent-3')""")
+def _(c: Context):
+    return lookups.scoped(c.obs, c.access_policy, "cy").select("event_id", "agent_id", "error_message")
+
+
+@query("visible_logs", "K5", """
+SELECT event_id, CASE WHEN application_id = 'app-5' THEN concat('line ', event_id) END AS log FROM obs WHERE application_id IN ('app-5', 'app-6')""")
+def _(c: Context):
+    lines = c.obs.select("event_id", "application_id", "lob", F.concat(F.lit("line "), "event_id").alias("log"))
+    return lookups.scoped(lines, c.access_policy, "dee").select("event_id", "log")

@@ -156,5 +156,6 @@ def get_service_health(events, **window):
 
 def nightly_report(events):
     """Ranked causes per application and day, and the weekly digest built on them."""
-    ranked = rca.hypotheses(events)
-    return {"incidents": rca.incidents(events), "hypotheses": ranked, "digest": rca.weekly_digest(rca.incidents(events), ranked)}
+    facts = rca.day_facts(events)
+    ranked, found = rca.hypotheses(events, facts), rca.incidents(facts)
+    return {"incidents": found, "hypotheses": ranked, "digest": rca.weekly_digest(found, ranked)}

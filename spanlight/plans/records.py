@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import catalogs, contract
+from ..catalogs import MODEL_PRICES
 from ..functions import text, vectors
-from ..operators import feedback, governance, quality, rca, store, traces
+from ..operators import feedback, governance, lookups, metrics, quality, rca, store, traces
 from ..sources import logs
 from . import pages
 from .registry import Context, query
@@ -60,15 +62,49 @@ def _(c: Context):
     return store.domain_tables(_payload_events(c))["feedback_events"].select("event_id", "agent_id", "rating")
 
 
-@query("family_projections", "B4", """
-SELECT 'tool-calls' AS family, tool_id AS key, n(count(*)) AS rows FROM obs WHERE event_type LIKE 'TOOL%' GROUP BY ALL
-UNION ALL SELECT 'errors', CAST(truncation_flag AS VARCHAR), n(count(*)) FROM obs WHERE status = 'failed' GROUP BY ALL""")
-def _(c: Context):
-    events = _payload_events(c)
-    tools = store.domain_projection(events.where(F.col("event_type").startswith("TOOL_")), "tool-calls")
-    errors = store.domain_projection(events.where("status = 'failed'"), "errors")
-    return tools.groupBy(F.lit("tool-calls").alias("family"), F.col("tool_id").alias("key")).agg(_n().alias("rows")).unionByName(
-        errors.groupBy(F.lit("errors").alias("family"), F.col("retryable").cast("string").alias("key")).agg(_n().alias("rows")))
+def _family_value(name: str, sql_type: str) -> str:
+    """A value for a promoted column, in SQL that both engines run."""
+    if sql_type == "string":
+        return f"concat('{name}-', CAST(seq % 7 AS STRING))"
+    if sql_type == "boolean":
+        return "seq % 2 = 0"
+    if sql_type in ("double", "float") or sql_type.startswith("decimal"):
+        return "CAST(seq % 8 AS DOUBLE) / 8e0"
+    return "CAST(seq % 100 AS INT)"
+
+
+def _family_sql(columns: list) -> str:
+    shown = {"double": "r6({})", "float": "r6({})", "boolean": "{}", "string": "{}"}
+    out = []
+    for name, kind in columns:
+        value = "concat('a', CAST(seq % 3 AS STRING), ',b')" if kind.startswith("array") else _family_value(name, kind)
+        form = shown.get(kind, "dbl({})" if kind.startswith("decimal") else "{}" if kind.startswith("array") else "n({})")
+        lost = "seq % 5 = 0" if kind in ("string",) or kind.startswith("array") else "seq % 5 = 0 OR seq % 11 = 0"
+        out.append(f"CASE WHEN NOT ({lost}) THEN {form.format(value)} END AS {name}")
+    return "SELECT event_id, " + ", ".join(out) + " FROM obs"
+
+
+def _family_payload(columns: list):
+    """Payload with every key of a family: missing on each fifth event, a text where a number belongs on each eleventh."""
+    entries = []
+    for name, kind in columns:
+        key = contract.COLUMN_ALIASES.get(name, [name])[-1]
+        value = F.expr("array(concat('a', CAST(seq % 3 AS STRING)), 'b')" if kind.startswith("array") else _family_value(name, kind)).cast("variant")
+        if kind != "string" and not kind.startswith("array"):
+            value = F.when(F.col("seq") % 11 == 0, F.lit("many").cast("variant")).otherwise(value)
+        entries += [F.lit(key), F.when(F.col("seq") % 5 != 0, value)]
+    return F.create_map(*entries)
+
+
+def _register_family(family: str, columns: list) -> None:
+    @query(f"family_{family.replace('-', '_')}", "B4 B3", _family_sql(columns))
+    def _(c: Context):
+        rows = store.domain_projection(c.obs.select("event_id", "seq").withColumn("payload", _family_payload(columns)), family)
+        return rows.select("event_id", *[F.array_join(n, ",").alias(n) if k.startswith("array") else F.col(n) for n, k in columns])
+
+
+for _family, _columns in contract.FAMILY_COLUMNS.items():
+    _register_family(_family, _columns)
 
 
 @query("signal_tables", "S13", """
@@ -86,12 +122,14 @@ def _(c: Context):
 SELECT 'errors' AS name, n(count(*)) AS rows FROM full_events WHERE error_code IS NOT NULL
 UNION ALL SELECT 'no_result', n(count(*)) FROM obs WHERE event_type = 'RAG_NO_RESULT'
 UNION ALL SELECT 'negative_feedback', n(count(*)) FROM feedback WHERE thumbs = 'down' OR (rating <= 2 AND thumbs IS DISTINCT FROM 'up')
-UNION ALL SELECT 'bad_quality', n(count(*)) FROM obs WHERE event_type LIKE 'RAG%' AND (avg_relevance_score < 0.5e0 OR truncation_flag)""")
+UNION ALL SELECT 'bad_quality', n(count(*)) FROM obs WHERE event_type LIKE 'RAG%' AND (avg_relevance_score < 0.5e0 OR truncation_flag)
+UNION ALL SELECT 'breached', n(count(*)) FROM obs WHERE latency_ms > 1500""")
 def _(c: Context):
     rag = c.obs.where("event_type LIKE 'RAG%'").withColumns({
         "no_result_flag": F.col("event_type") == "RAG_NO_RESULT", "score": F.col("avg_relevance_score"), "hallucination_flag": F.col("truncation_flag")})
     fb = c.feedback.withColumn("sentiment", text.sentiment(F.col("rating"), F.col("thumbs")))
-    sides = {"errors": c.coded, "no_result": rag, "negative_feedback": fb, "bad_quality": rag}
+    slow = c.obs.withColumn("breached", F.col("latency_ms") > 1500)
+    sides = {"errors": c.coded, "no_result": rag, "negative_feedback": fb, "bad_quality": rag, "breached": slow}
     out = None
     for name, df in sides.items():
         one = store.named_filter(df, name).agg(F.lit(name).alias("name"), _n().alias("rows"))
@@ -147,16 +185,9 @@ def _(c: Context):
         "correlation_id", "seq", F.lit("s3cret").alias("password"), F.lit("k").alias("api_key"), F.lit("Bearer x").alias("authorization"))))
     line = F.concat_ws(" ", F.date_format("event_ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.when(F.col("seq") % 2 == 0, "stdout").otherwise("stderr"), F.lit("F"), body)
     lines = c.obs.select("seq", F.when(F.col("seq") % 13 == 0, "broken").otherwise(line).alias("value"))
-    parsed = logs.parse(lines)
     secret = F.coalesce(F.exists(F.map_keys("fields"), lambda k: k.isin(logs.SECRET_KEYS)), F.lit(False))
-    joined = parsed.select(
-        F.coalesce(logs.field("seq", "bigint"), F.lit(-1)).alias("seq"), "stream", logs.field("correlation_id").alias("correlation_id"), "log",
-        secret.alias("has_secret"), "event_ts")
-    # Plain lines carry no number of their own; the time finds it again.
-    by_time = c.obs.where("seq % 11 = 0").select(F.date_trunc("second", "event_ts").cast("timestamp_ntz").alias("event_ts"),
-                                                 F.col("seq").alias("_seq"), F.when(F.col("seq") % 2 == 0, "stdout").otherwise("stderr").alias("stream"))
-    plain_lines = joined.where("seq = -1").join(by_time.where("_seq % 13 <> 0"), ["event_ts", "stream"]).withColumn("seq", F.col("_seq")).drop("_seq")
-    return joined.where("seq <> -1").unionByName(plain_lines.select(*joined.columns))
+    return logs.parse(lines).select(
+        "seq", "stream", logs.field("correlation_id").alias("correlation_id"), "log", secret.alias("has_secret"), "event_ts")
 
 
 # ------------------------------------------------------------------ traces
@@ -441,7 +472,7 @@ _INC = """i AS (SELECT e.application_id, e.event_date AS day, e.error_code, coun
 SELECT i.application_id, i.day, i.error_code, n(errors) AS errors, n(traces) AS traces, n(day_events) AS day_events, r6(100.0 * errors / day_events) AS impact_pct
 FROM i JOIN d ON d.application_id = i.application_id AND d.day = i.day""")
 def _(c: Context):
-    return rca.incidents(c.coded)
+    return rca.incidents(rca.day_facts(c.coded))
 
 
 _HYP = """tl AS (SELECT application_id, event_date AS day, tool_id, quantile_cont(latency_ms, 0.95) AS p FROM obs WHERE event_type LIKE 'TOOL%' GROUP BY ALL),
@@ -475,21 +506,28 @@ def _(c: Context):
 
 
 # ------------------------------------------------------------------ governance
-@query("check_report", "B8", """
-SELECT 'tool_registry' AS table_name, 'tool_type_known' AS rule, n(count(*)) AS row_count, n(count(*) FILTER (tool_type NOT IN ('REST','DB','ServiceNow','RAG','InternalAPI'))) AS bad_rows FROM tool_registry
-UNION ALL SELECT 'prompt_registry', 'status_known', n(count(*)), n(0) FROM prompt_registry
-UNION ALL SELECT 'prompt_registry', 'traffic_pct_range', n(count(*)), n(count(*) FILTER (traffic_pct > 100)) FROM prompt_registry
-UNION ALL SELECT 'budget_limits', 'period_known', n(count(*)), n(0) FROM budgets
-UNION ALL SELECT 'budget_limits', 'max_spend_positive', n(count(*)), n(count(*) FILTER (max_spend_usd <= 0)) FROM budgets
-UNION ALL SELECT 'budget_limits', 'alert_pct_range', n(count(*)), n(0) FROM budgets
-UNION ALL SELECT 'feedback_case', 'rating_range', n(count(*)), n(count(*) FILTER (rating < 1 OR rating > 5)) FROM feedback
-UNION ALL SELECT 'feedback_case', 'status_known', n(count(*)), n(0) FROM feedback
-UNION ALL SELECT 'slo_definitions', 'sli_type_known', n(count(*)), n(0) FROM slos
-UNION ALL SELECT 'slo_definitions', 'target_range', n(count(*)), n(count(*) FILTER (target_pct <= 0 OR target_pct > 100)) FROM slos""")
-def _(c: Context):
-    return governance.check_report({
-        "tool_registry": c.tool_registry, "prompt_registry": c.prompt_registry, "budget_limits": c.budgets,
-        "feedback_case": c.feedback, "slo_definitions": c.slos})
+_CHECKED = {
+    "prompt_audit": ("obs", """SELECT seq AS audit_id, CASE WHEN seq % 97 = 0 THEN 'deleted' WHEN seq % 7 = 0 THEN 'rolled_back' ELSE 'activated' END AS action FROM obs"""),
+    "dashboard_config": ("pages", "SELECT page_id AS widget_id, CASE page_id % 5 WHEN 0 THEN 'platform' WHEN 1 THEN 'lob' WHEN 2 THEN 'team' WHEN 3 THEN 'public' END AS visibility FROM pages"),
+    "feedback_events": ("obs", "SELECT event_id, CASE WHEN seq % 13 = 0 THEN 9 ELSE rating END AS rating FROM obs WHERE event_type LIKE 'FEEDBACK%'"),
+    "quality_scores": ("conversations", "SELECT conv_id, turn, CASE turn % 3 WHEN 0 THEN 'faithfulness' WHEN 1 THEN 'hallucination' ELSE 'style' END AS eval_type FROM conversations"),
+    "metric_catalog": ("obs", "SELECT DISTINCT model_name AS metric_id, CASE WHEN model_name = 'unpriced-model' THEN 'spreadsheet' ELSE 'obs_events' END AS source_system FROM obs"),
+    "alert_rules": ("obs", "SELECT DISTINCT tool_id AS alert_id, CASE WHEN tool_id = 'tool-1' THEN '=>' ELSE '>=' END AS comparator FROM obs"),
+}
+_NAMED = {"tool_registry": "tool_registry", "prompt_registry": "prompt_registry", "budget_limits": "budgets", "feedback_case": "feedback", "slo_definitions": "slos"}
+
+
+def _checked_sql() -> str:
+    source = {**{t: v for t, v in _NAMED.items()}, **{t: f"({text})" for t, (_, text) in _CHECKED.items()}}
+    return "\nUNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{rule}' AS rule, n(count(*)) AS row_count, n(count(*) FILTER (NOT ({predicate}))) AS bad_rows FROM {source[table]}"
+        for table, rule, predicate in contract.CHECK_RULES)
+
+
+@query("check_report", "B8", _checked_sql())
+def _(c: Context):
+    derived = {t: c.spark.sql(text.replace(f"FROM {base}", f"FROM {{{base}}}"), **{base: getattr(c, base)}) for t, (base, text) in _CHECKED.items()}
+    return governance.check_report({**{t: getattr(c, v) for t, v in _NAMED.items()}, **derived})
 
 
 @query("duplicate_keys", "B9", """
@@ -506,13 +544,22 @@ def _(c: Context):
 SELECT 'event application' AS reference, application_id AS missing_key, n(count(*)) AS rows FROM obs WHERE application_id NOT IN (SELECT application_id FROM app_registry) GROUP BY ALL
 UNION ALL SELECT 'order customer', CAST(o_custkey AS VARCHAR), n(count(*)) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer) GROUP BY ALL
 UNION ALL SELECT 'agent application', application_id, n(count(*)) FROM agent_registry WHERE application_id NOT IN (SELECT application_id FROM app_registry) GROUP BY ALL
-UNION ALL SELECT 'budget application', application_id, n(count(*)) FROM budgets WHERE application_id NOT IN (SELECT application_id FROM app_registry) GROUP BY ALL""")
+UNION ALL SELECT 'budget application', application_id, n(count(*)) FROM budgets WHERE application_id NOT IN (SELECT application_id FROM app_registry) GROUP BY ALL
+UNION ALL SELECT 'slo application', application_id, n(count(*)) FROM slos WHERE application_id NOT IN (SELECT application_id FROM app_registry) GROUP BY ALL
+UNION ALL SELECT 'compliance slo', slo_id, n(count(*)) FROM (SELECT concat('slo-', seq % 17) AS slo_id FROM obs) x WHERE slo_id NOT IN (SELECT slo_id FROM slos) GROUP BY ALL
+UNION ALL SELECT 'alert metric', metric_id, n(count(*)) FROM (VALUES """ + ", ".join(f"('{r[1]}')" for r in catalogs.ALERT_RULES) + """) a(metric_id) WHERE metric_id NOT IN (""" + ", ".join(f"'{m[0]}'" for m in catalogs.METRIC_CATALOG) + """) GROUP BY ALL
+UNION ALL SELECT 'kpi metric', metric_id, n(count(*)) FROM (SELECT CASE seq % 4 WHEN 0 THEN 'made_up' ELSE 'request_count' END AS metric_id FROM obs) k WHERE metric_id <> 'request_count' GROUP BY ALL""")
 def _(c: Context):
     checks = [("event application", c.obs, c.app_registry, "application_id", "application_id"),
               ("order customer", c.orders.withColumn("o_custkey", F.col("o_custkey").cast("string")),
                c.customer.withColumn("c_custkey", F.col("c_custkey").cast("string")), "o_custkey", "c_custkey"),
               ("agent application", c.agent_registry, c.app_registry, "application_id", "application_id"),
-              ("budget application", c.budgets, c.app_registry, "application_id", "application_id")]
+              ("budget application", c.budgets, c.app_registry, "application_id", "application_id"),
+              ("slo application", c.slos, c.app_registry, "application_id", "application_id"),
+              ("compliance slo", c.obs.select(F.concat(F.lit("slo-"), F.col("seq") % 17).alias("slo_id")), c.slos, "slo_id", "slo_id"),
+              ("alert metric", catalogs.alert_rule_table(c.spark), metrics.catalog_table(c.spark), "metric_id", "metric_id"),
+              ("kpi metric", c.obs.select(F.when(F.col("seq") % 4 == 0, "made_up").otherwise("request_count").alias("metric_id")),
+               metrics.catalog_table(c.spark), "metric_id", "metric_id")]
     out = None
     for name, child, parent, ck, pk in checks:
         one = governance.unresolved(child, parent, ck, pk).select(F.lit(name).alias("reference"), "missing_key", "rows")
@@ -530,6 +577,31 @@ def _(c: Context):
     return governance.catalog_differences(used, listed, "model_name", ["v"]).select("model_name", "state")
 
 
+@query("service_vocabulary", "B11", """
+WITH u AS (SELECT DISTINCT CASE WHEN seq % 19 = 0 THEN 'shadow-service' ELSE service_name END AS service_name FROM obs WHERE service_name <> 'gssp-rs'),
+k(service_name) AS (VALUES """ + ", ".join(f"('{s}')" for s in contract.SERVICE_NAMES) + """)
+SELECT coalesce(u.service_name, k.service_name) AS service_name, CASE WHEN k.service_name IS NULL THEN 'left only' ELSE 'right only' END AS state
+FROM u FULL JOIN k ON u.service_name = k.service_name WHERE u.service_name IS NULL OR k.service_name IS NULL""")
+def _(c: Context):
+    used = c.obs.where("service_name <> 'gssp-rs'").select(
+        F.when(F.col("seq") % 19 == 0, "shadow-service").otherwise(F.col("service_name")).alias("service_name")).distinct()
+    known = catalogs.literal_table(c.spark, [(s,) for s in contract.SERVICE_NAMES], "service_name string")
+    return governance.catalog_differences(used, known, "service_name", []).select("service_name", "state")
+
+
+@query("price_drift", "B11", """
+WITH l AS (SELECT model_name, input_usd_per_1k AS i, output_usd_per_1k AS o FROM prices QUALIFY row_number() OVER (PARTITION BY model_name ORDER BY effective_from DESC) = 1),
+r(model_name, i, o) AS (VALUES """ + ", ".join(f"('{m}', CAST({i} AS DECIMAL(12,8)), CAST({o} AS DECIMAL(12,8)))" for m, i, o, _ in MODEL_PRICES) + """),
+u AS (SELECT DISTINCT model_name FROM obs)
+SELECT l.model_name, 'different' AS state FROM l JOIN r ON l.model_name = r.model_name JOIN u ON u.model_name = l.model_name WHERE l.i <> r.i OR l.o <> r.o""")
+def _(c: Context):
+    """Latest control-plane prices of the models in use against the producer's table."""
+    prices = ["input_usd_per_1k", "output_usd_per_1k"]
+    latest = lookups.price_intervals(c.prices).where("effective_to IS NULL").join(c.obs.select("model_name").distinct(), "model_name", "left_semi")
+    producer = catalogs.price_table(c.spark).join(latest.select("model_name"), "model_name", "left_semi")
+    return governance.catalog_differences(latest, producer, "model_name", prices).select("model_name", "state")
+
+
 @query("lifecycle_plan", "K8 S14", """
 SELECT event_date, n(count(*)) AS events, n(DATE '2024-02-01' - event_date) AS age_days,
   CASE WHEN DATE '2024-02-01' - event_date >= 30 THEN 'delete' WHEN DATE '2024-02-01' - event_date >= 2 THEN 'warm' ELSE 'hot' END AS action FROM obs GROUP BY ALL""")
@@ -568,6 +640,24 @@ def _(c: Context):
     return governance.active_version_at(c.spark.sql(_AUDIT + "{obs}", obs=c.obs), F.lit("2024-01-20").cast("timestamp_ntz"))
 
 
+@query("prompt_version_history", "K10", f"""
+WITH a AS ({_AUDIT} obs)
+SELECT template_id, n(version) AS version, action, occurred_at AS valid_from, lead(occurred_at) OVER (PARTITION BY template_id ORDER BY occurred_at, audit_id) AS valid_to
+FROM a WHERE action IN ('activated', 'rolled_back')""")
+def _(c: Context):
+    return governance.version_history(c.spark.sql(_AUDIT + "{obs}", obs=c.obs))
+
+
+@query("index_freshness", "C20", """
+SELECT rag_id, max(event_ts) AS last_indexed_at, r6((epoch_us(TIMESTAMP '2024-02-01 00:00:00') - epoch_us(max(event_ts))) / 3.6e9) AS hours_since_indexed,
+  (epoch_us(TIMESTAMP '2024-02-01 00:00:00') - epoch_us(max(event_ts))) / 3.6e9 > CASE rag_id WHEN 'kb-0' THEN 1 WHEN 'kb-1' THEN 2000 ELSE 24 END AS freshness_breach
+FROM obs WHERE event_type LIKE 'RAG%' AND seq % 4 <> 3 GROUP BY rag_id""")
+def _(c: Context):
+    indexed = c.obs.where("event_type LIKE 'RAG%' AND seq % 4 <> 3").groupBy("rag_id").agg(F.max("event_ts").alias("last_indexed_at"))
+    limits = catalogs.literal_table(c.spark, [("kb-0", 1), ("kb-1", 2000)], "rag_id string, freshness_sla_hours int")
+    return quality.freshness(indexed, limits, F.lit("2024-02-01").cast("timestamp_ntz")).drop("freshness_sla_hours")
+
+
 @query("prompt_hash_integrity", "K12", """
 SELECT n(conv_id) AS conv_id, n(turn) AS turn, substr(sha256(text), 1, 16) AS expected_hash FROM conversations WHERE turn % 3 = 0""")
 def _(c: Context):
@@ -585,11 +675,14 @@ def _(c: Context):
 
 
 @query("cost_summary_page", "Q10", """
-SELECT application_id, model_name, n(count(*)) AS calls, dbl(sum(estimated_cost_usd)) AS cost_usd FROM spend GROUP BY ALL""")
-def _(c: Context):
-    from ..catalogs import MODEL_PRICES
-
-    return pages.get_cost_summary(c.costed, [(m, i, o) for m, i, o, _ in MODEL_PRICES]).drop("cheaper_usd")
+WITH o AS (""" + "\nUNION ALL\n".join(
+    f"SELECT event_id, '{m}' AS m, round((input_tokens * CAST({i} AS DECIMAL(12,8)) + output_tokens * CAST({o} AS DECIMAL(12,8))) * CAST(0.001 AS DECIMAL(3,3)), 8) AS c FROM spend"
+    for m, i, o, _ in MODEL_PRICES) + """),
+a AS (SELECT s.event_id, max(o.c) AS c FROM spend s JOIN o ON o.event_id = s.event_id AND o.c < s.estimated_cost_usd GROUP BY ALL)
+SELECT s.application_id, s.model_name, n(count(*)) AS calls, dbl(sum(s.estimated_cost_usd)) AS cost_usd, dbl(sum(coalesce(a.c, s.estimated_cost_usd))) AS cheaper_usd
+FROM spend s LEFT JOIN a ON a.event_id = s.event_id GROUP BY ALL""")
+def _(c: Context):
+    return pages.get_cost_summary(c.costed, [(m, i, o) for m, i, o, _ in MODEL_PRICES])
 
 
 @query("top_anomalies_page", "Q12", f"""WITH {_SCORES}

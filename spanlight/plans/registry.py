@@ -16,6 +16,13 @@ from ..operators import enrich, lookups, validate
 class Context(fixtures.Tables):
     """The tables and views of one data folder, plus events at the usual stages of enrichment."""
 
+    @property
+    def slos(self) -> DataFrame:
+        """Objectives with their event filter as a map; null filters are left out."""
+        names = {"filter_type": "event_type", "filter_service": "service_name"}
+        pairs = F.filter(F.array(*[F.struct(F.lit(n).alias("key"), F.col(c).alias("value")) for c, n in names.items()]), lambda e: e["value"].isNotNull())
+        return self.view("slos").withColumn("event_filter", F.map_from_entries(pairs)).drop(*names)
+
     @property
     def costed(self) -> DataFrame:
         return lookups.with_cost(self.obs, self.prices)

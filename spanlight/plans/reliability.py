@@ -65,7 +65,8 @@ def _(c: Context):
 _BURN = """e AS (SELECT s.slo_id, o.application_id, o.event_id, o.event_ts, o.seq, s.target_pct, s.window_days, CAST(floor(epoch(o.event_ts) / 60) AS BIGINT) AS minute,
     CASE WHEN s.sli_type = 'availability' THEN o.status = 'success' ELSE coalesce(o.latency_ms <= s.latency_target_ms, FALSE) END AS good
   FROM obs o JOIN slos s ON s.application_id = o.application_id WHERE s.enabled AND s.sli_type IN ('availability', 'latency')
-    AND o.event_type IN ('REQUEST_COMPLETED', 'REQUEST_FAILED')),
+    AND o.event_type IN ('REQUEST_COMPLETED', 'REQUEST_FAILED')
+    AND coalesce(s.filter_type, o.event_type) = o.event_type AND coalesce(s.filter_service, o.service_name) = o.service_name),
 w AS (SELECT x.slo_id, x.event_id, count(*) FILTER (y.minute > x.minute - 60) AS t1, count(*) FILTER (y.minute > x.minute - 60 AND y.good) AS g1, count(*) AS t6, count(*) FILTER (y.good) AS g6
   FROM e x JOIN e y ON y.slo_id = x.slo_id AND y.minute > x.minute - 360 AND (y.minute < x.minute OR (y.minute = x.minute AND (y.event_ts, y.event_id) <= (x.event_ts, x.event_id)))
   GROUP BY x.slo_id, x.event_id),
@@ -93,10 +94,11 @@ def _(c: Context):
 @query("error_budget", "A25 Q25", f"""WITH {_BURN}, d AS ({_DAILY}),
 s AS (SELECT x.slo_id, x.day, sum(y.good_events) AS wg, sum(y.total_events) AS wt FROM d x JOIN d y ON y.slo_id = x.slo_id AND y.day <= x.day AND y.day > x.day - x.window_days GROUP BY ALL),
 u AS (SELECT d.*, 100.0 * (s.wt - s.wg) / nullif((1.0 - CAST(target_pct AS DOUBLE) / 100.0) * s.wt, 0) AS used FROM d JOIN s ON s.slo_id = d.slo_id AND s.day = d.day)
-SELECT slo_id, day, r6(used) AS error_budget_consumed_pct, r6(CASE WHEN used IS NOT NULL THEN greatest(100.0 - used, 0.0) END) AS error_budget_remaining_pct FROM u""")
+SELECT slo_id, day, r6(used) AS error_budget_consumed_pct, r6(CASE WHEN used IS NOT NULL THEN greatest(100.0 - used, 0.0) END) AS error_budget_remaining_pct,
+  CASE WHEN used >= 100.0 THEN day WHEN used IS NOT NULL AND burn_rate_6h > 0 THEN day + CAST(ceil(greatest(100.0 - used, 0.0) / 100.0 * window_days / burn_rate_6h) AS INT) END AS exhausted_on FROM u""")
 def _(c: Context):
     return slo.error_budget(slo.daily_compliance(slo.burn_rates(c.obs, c.slos))).select(
-        "slo_id", "day", "error_budget_consumed_pct", "error_budget_remaining_pct")
+        "slo_id", "day", "error_budget_consumed_pct", "error_budget_remaining_pct", "exhausted_on")
 
 
 @query("burn_alerts", "W14", f"""WITH {_BURN}
@@ -115,7 +117,8 @@ def _(c: Context):
 
 @query("sliding_slo_counts", "R6", """
 WITH e AS (SELECT s.slo_id, CASE WHEN s.sli_type = 'availability' THEN o.status = 'success' ELSE coalesce(o.latency_ms <= s.latency_target_ms, FALSE) END AS good, date_trunc('minute', o.event_ts) AS m
-  FROM obs o JOIN slos s ON s.application_id = o.application_id WHERE s.enabled AND s.sli_type IN ('availability', 'latency') AND o.event_type IN ('REQUEST_COMPLETED', 'REQUEST_FAILED'))
+  FROM obs o JOIN slos s ON s.application_id = o.application_id WHERE s.enabled AND s.sli_type IN ('availability', 'latency') AND o.event_type IN ('REQUEST_COMPLETED', 'REQUEST_FAILED')
+  AND coalesce(s.filter_type, o.event_type) = o.event_type AND coalesce(s.filter_service, o.service_name) = o.service_name)
 SELECT slo_id, window_start, window_start + INTERVAL 1 HOUR AS window_end, n(count(*) FILTER (good)) AS good, n(count(*)) AS total
 FROM (SELECT slo_id, good, m - to_minutes(unnest(range(0, 60))) AS window_start FROM e) GROUP BY slo_id, window_start""")
 def _(c: Context):

@@ -6,8 +6,11 @@ from pyspark.sql import functions as F
 
 from .. import catalogs
 
-from ..operators import alerts, anomaly, metrics, rollups
+from ..operators import alerts, anomaly, budget, metrics, quality, rollups, slo
 from .registry import Context, query
+from .reliability import _BURN, _DAILY, _matched
+
+_WORDS = r"list_distinct(list_filter(regexp_split_to_array(lower({}), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda t: t <> ''))"
 
 _HOUR = "date_trunc('hour', event_ts) AS hour"
 _RUN = "event_type IN ('AGENT_COMPLETED', 'AGENT_FAILED', 'AGENT_TIMEOUT')"
@@ -82,20 +85,14 @@ def _(c: Context):
 
 
 _KPIS = """
-SELECT 'request_count' AS metric_id, application_id, event_date AS day, CAST(count(*) FILTER (event_type = 'REQUEST_COMPLETED') AS DOUBLE) AS value FROM costed GROUP BY ALL
-UNION ALL SELECT 'error_rate_pct', application_id, event_date, 100.0 * count(*) FILTER (event_type = 'REQUEST_FAILED') / nullif(count(*) FILTER (event_type LIKE 'REQUEST%'), 0) FROM costed GROUP BY ALL
-UNION ALL SELECT 'llm_cost_usd', application_id, event_date, CAST(coalesce(sum(estimated_cost_usd), 0) AS DOUBLE) FROM costed GROUP BY ALL"""
+SELECT 'request_count' AS metric_id, application_id, event_date AS day, CAST(count(*) AS DOUBLE) AS value FROM costed WHERE event_type = 'REQUEST_COMPLETED' GROUP BY ALL
+UNION ALL SELECT 'error_rate_pct', application_id, event_date, 100.0 * count(*) FILTER (event_type = 'REQUEST_FAILED') / count(*) FROM costed GROUP BY ALL
+UNION ALL SELECT 'llm_cost_usd', application_id, event_date, CAST(sum(estimated_cost_usd) AS DOUBLE) FROM costed WHERE event_type LIKE 'LLM%' GROUP BY ALL
+UNION ALL SELECT 'llm_tokens_total', application_id, event_date, CAST(sum(CAST(coalesce(input_tokens, 0) AS BIGINT) + coalesce(output_tokens, 0)) AS DOUBLE) FROM costed WHERE event_type LIKE 'LLM%' GROUP BY ALL"""
 
 
 def _kpi_values(c: Context):
-    t = F.col("event_type")
-    wide = c.costed.groupBy("application_id", F.col("event_date").alias("day")).agg(
-        F.count_if(t == "REQUEST_COMPLETED").cast("double").alias("request_count"),
-        (F.lit(100.0) * F.count_if(t == "REQUEST_FAILED") / F.nullif(F.count_if(t.startswith("REQUEST")), F.lit(0))).alias("error_rate_pct"),
-        F.coalesce(F.sum("estimated_cost_usd"), F.lit(0)).cast("double").alias("llm_cost_usd"))
-    pairs = F.explode(F.array(*[
-        F.struct(F.lit(m).alias("metric_id"), F.col(m).alias("value")) for m in ("request_count", "error_rate_pct", "llm_cost_usd")]))
-    return wide.select("application_id", "day", pairs.alias("p")).select("p.metric_id", "application_id", "day", "p.value")
+    return metrics.daily_values(c.costed, ["request_count", "error_rate_pct", "llm_cost_usd", "llm_tokens_total"])
 
 
 @query("daily_kpi_status", "A7 K3", f"""
@@ -103,7 +100,7 @@ WITH v AS ({_KPIS})
 SELECT v.metric_id, v.application_id, v.day, r6(v.value) AS value,
   CASE WHEN t.higher_is_worse THEN CASE WHEN v.value >= t.breached THEN 'breached' WHEN v.value >= t.warning THEN 'warning' ELSE 'ok' END
        ELSE CASE WHEN v.value <= t.breached THEN 'breached' WHEN v.value <= t.warning THEN 'warning' ELSE 'ok' END END AS threshold_status
-FROM v JOIN kpi_thresholds t ON v.metric_id = t.metric_id""")
+FROM v LEFT JOIN kpi_thresholds t ON v.metric_id = t.metric_id""")
 def _(c: Context):
     return rollups.daily_kpi(_kpi_values(c), c.kpi_thresholds)
 
@@ -167,12 +164,19 @@ def _(c: Context):
     return ids.join(F.broadcast(metrics.catalog_table(c.spark).select("metric_id", "unit")), "metric_id")
 
 
-@query("document_metrics", "A17", """
-WITH e AS (SELECT * FROM costed)
+_ROLLED = f"""SELECT application_id, date_trunc('hour', event_ts) AS hour, davg(CASE WHEN {_REQ} THEN latency_ms END) AS a, quantile_cont(latency_ms, 0.95) FILTER ({_REQ}) AS p
+  FROM costed WHERE {_REQ} OR event_type LIKE 'LLM%' GROUP BY ALL"""
+
+
+@query("document_metrics", "A17", f"""
+WITH RECURSIVE e AS (SELECT * FROM costed), h AS ({_ROLLED}), {_matched('budgets', 'spend')}, {_BURN}, dc AS ({_DAILY}),
+bt AS (SELECT max_spend_usd, sum(cost_usd) AS spend_usd FROM m GROUP BY application_id, limit_model, period, period_start, max_spend_usd, alert_at_pct),
+qa AS (SELECT {_WORDS.format('context')} AS c, {_WORDS.format('response')} AS r FROM qa_pairs), qf AS (SELECT len(list_intersect(c, r)) / nullif(len(r), 0) AS f FROM qa)
 SELECT 'Request Count' AS metric_name, dbl(count(*) FILTER (event_type IN ('REQUEST_COMPLETED', 'REQUEST_FAILED'))) AS value FROM e
 UNION ALL SELECT 'Success Rate', r6(100.0 * count(*) FILTER (event_type = 'REQUEST_COMPLETED') / count(*) FILTER (event_type IN ('REQUEST_COMPLETED', 'REQUEST_FAILED'))) FROM e
 UNION ALL SELECT 'Error Rate', r6(100.0 * count(*) FILTER (event_type = 'REQUEST_FAILED') / count(*) FILTER (event_type IN ('REQUEST_COMPLETED', 'REQUEST_FAILED'))) FROM e
-UNION ALL SELECT 'Peak P95 Latency', r6(max(p)) FROM (SELECT quantile_cont(latency_ms, 0.95) AS p FROM e WHERE event_type IN ('REQUEST_COMPLETED', 'REQUEST_FAILED') GROUP BY application_id, date_trunc('hour', event_ts)) x
+UNION ALL SELECT 'Avg Latency', r6(CAST(sum(CAST(a AS DECIMAL(18,6))) AS DOUBLE) / count(a)) FROM h
+UNION ALL SELECT 'P95 Latency', r6(max(p)) FROM h
 UNION ALL SELECT 'Agent Success Rate', r6(100.0 * count(*) FILTER (event_type = 'AGENT_COMPLETED') / count(*)) FROM e WHERE event_type LIKE 'AGENT%'
 UNION ALL SELECT 'Agent Failure Rate', r6(100.0 * count(*) FILTER (event_type <> 'AGENT_COMPLETED') / count(*)) FROM e WHERE event_type LIKE 'AGENT%'
 UNION ALL SELECT 'Tool Failure Rate', r6(100.0 * count(*) FILTER (event_type = 'TOOL_CALL_FAILED') / count(*)) FROM e WHERE event_type LIKE 'TOOL%'
@@ -181,13 +185,16 @@ UNION ALL SELECT 'LLM Total Tokens', dbl(sum(input_tokens + output_tokens)) FROM
 UNION ALL SELECT 'LLM Cost', r6(sum(estimated_cost_usd)) FROM e WHERE event_type LIKE 'LLM%'
 UNION ALL SELECT 'LLM Error Rate', r6(100.0 * count(*) FILTER (event_type = 'LLM_CALL_FAILED') / count(*)) FROM e WHERE event_type LIKE 'LLM_CALL%'
 UNION ALL SELECT 'RAG No Result Rate', r6(100.0 * count(*) FILTER (event_type = 'RAG_NO_RESULT') / count(*)) FROM e WHERE event_type LIKE 'RAG%'
+UNION ALL SELECT 'RAG Faithfulness Score', r6(CAST(sum(CAST(f AS DECIMAL(18,9))) AS DOUBLE) / count(f)) FROM qf
 UNION ALL SELECT 'Positive Feedback Rate', r6(100.0 * count(*) FILTER (rating >= 4) / count(*)) FROM e WHERE event_type LIKE 'FEEDBACK%'
-UNION ALL SELECT 'Negative Feedback Rate', r6(100.0 * count(*) FILTER (rating <= 2) / count(*)) FROM e WHERE event_type LIKE 'FEEDBACK%'""")
+UNION ALL SELECT 'Negative Feedback Rate', r6(100.0 * count(*) FILTER (rating <= 2) / count(*)) FROM e WHERE event_type LIKE 'FEEDBACK%'
+UNION ALL SELECT 'Budget Utilization', r6(100.0 * CAST(sum(spend_usd) AS DOUBLE) / CAST(sum(max_spend_usd) AS DOUBLE)) FROM bt
+UNION ALL SELECT 'SLO Compliance', r6(100.0 * count(*) FILTER (100.0 * good_events / total_events >= CAST(target_pct AS DOUBLE)) / count(*)) FROM dc""".replace("WITH RECURSIVE e", "WITH e").replace("e AS (SELECT s.slo_id", "se AS (SELECT s.slo_id").replace("FROM e x JOIN e y", "FROM se x JOIN se y").replace("b AS (SELECT e.*,", "b AS (SELECT se.*,").replace("FROM e JOIN w ON w.slo_id = e.slo_id AND w.event_id = e.event_id", "FROM se JOIN w ON w.slo_id = se.slo_id AND w.event_id = se.event_id"))
 def _(c: Context):
     e = c.costed
-    return metrics.rollup_ratios(
-        rollups.hourly_application(e), rollups.hourly_agent(e), rollups.hourly_tool(e, top_error=False),
-        rollups.hourly_llm(e), rollups.hourly_rag(e), rollups.daily_feedback(e))
+    return metrics.document_metrics(
+        e, rollups.hourly_application(e), quality.answer_quality(c.qa_pairs), budget.totals(c.spend, c.budgets),
+        slo.daily_compliance(slo.burn_rates(c.obs, c.slos)))
 
 
 @query("guardrail_block_rate", "A18", """

@@ -20,9 +20,11 @@ def parse(lines: DataFrame) -> DataFrame:
     """Lines of the format as time, stream, tag and a field map without secret keys.
 
     A body that is no JSON object stays readable under `log`; lines of another format are dropped,
-    as the collector does.
+    as the collector does. Other columns of the lines (a file name, an offset) are carried along.
     """
+    made = ("value", "time", "stream", "logtag", "log", "fields", "event_ts")
     hit = lines.where(F.col("value").rlike(LINE)).select(
+        *[c for c in lines.columns if c not in made],
         F.regexp_extract("value", LINE, 1).alias("time"), F.regexp_extract("value", LINE, 2).alias("stream"),
         F.regexp_extract("value", LINE, 3).alias("logtag"), F.regexp_extract("value", LINE, 4).alias("log"))
     parsed = computed_once(hit, _doc=F.try_parse_json("log"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,9 +31,12 @@ def read_files(spark: SparkSession, path: str, streaming: bool = True, files_per
     return spark.read.schema(MESSAGE_DDL).parquet(path)
 
 
-def write_kafka(messages: DataFrame, servers: str, topic: str, **options: str) -> None:
-    """Batch write, for use inside foreachBatch; keys keep their order within a partition."""
-    messages.write.format("kafka").options(**{"kafka.bootstrap.servers": servers, "topic": topic, **options}).save()
+def kafka_sink(servers: str, topic: str = TOPICS["processed"], **options: str) -> Callable[[DataFrame, int], None]:
+    """A sink for the streaming jobs: each batch as messages, keyed, so that a key keeps its order."""
+    def send(rows: DataFrame, batch_id: int) -> None:
+        rows.write.format("kafka").options(**{"kafka.bootstrap.servers": servers, "topic": topic, **options}).save()
+
+    return send
 
 
 def from_lines(lines: DataFrame) -> DataFrame:

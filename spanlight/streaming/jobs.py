@@ -49,13 +49,27 @@ def _start(stream: DataFrame, work: Callable[[DataFrame, int], None], checkpoint
     return writer.trigger(**trigger).start()
 
 
-def enrichment(messages: DataFrame, dims: Callable[[SparkSession], enrich.Dimensions], processed: str, dead: str,
+Sink = str | Callable[[DataFrame, int], None]
+
+
+def _send(rows: DataFrame, sink: Sink, batch_id: int) -> None:
+    """Into a table of batches, or to what the caller passed, such as `messages.kafka_sink`."""
+    if isinstance(sink, str):
+        tables.write_batch(rows, sink, batch_id)
+    else:
+        sink(rows, batch_id)
+
+
+def enrichment(messages: DataFrame, dims: Callable[[SparkSession], enrich.Dimensions], processed: Sink, dead: Sink,
                checkpoint: str, archive: str | None = None, settings: enrich.Settings | None = None,
-               available_now: bool = False) -> StreamingQuery:
+               available_now: bool = False, limits: Callable[[SparkSession], DataFrame] | None = None,
+               ledger: str | None = None, errors: str | None = None) -> StreamingQuery:
     """Raw messages to processed messages, dead letters and archived texts.
 
     The registries are read again for each batch, so a changed registry needs no restart. With an
     `archive` oversized texts move there and their pointers name it; without one they stay in the event.
+    With `limits` and a `ledger` of spend the events that reach a budget line are marked; stages that found
+    their input unusable are noted in the table `errors`.
     """
     settings = replace(settings or enrich.Settings(), archive_root=archive)
 
@@ -64,8 +78,14 @@ def enrichment(messages: DataFrame, dims: Callable[[SparkSession], enrich.Dimens
         try:
             valid = validate.good(checked)
             out = enrich.enrich(valid, dims(batch.sparkSession), settings, now=F.current_timestamp())
-            tables.write_batch(enrich.to_message(out), processed, batch_id)
-            tables.write_batch(validate.dead_letters(checked), dead, batch_id)
+            if limits is not None and ledger is not None:
+                known = limits(batch.sparkSession)
+                opening = _charge(batch.sparkSession, enrich.charged(out), known, ledger, batch_id, unique=False)
+                out = enrich.with_budget_flags(out, known, opening)
+            _send(enrich.to_message(out), processed, batch_id)
+            if errors:
+                tables.write_batch(enrich.stage_error_rows(out), errors, batch_id)
+            _send(validate.dead_letters(checked), dead, batch_id)
             if archive:
                 clean = valid.withColumn("payload", enrich.redacted_payload(settings))
                 tables.write_batch(enrich.oversized(clean, settings), archive, batch_id, ["prefix"])
@@ -245,21 +265,27 @@ def budgets(costed: DataFrame, limits: Callable[[SparkSession], DataFrame], root
         try:
             tables.write_batch(rows.where("_future").drop("_future"), f"{root}/future", batch_id)
             dated = rows.where("NOT _future").drop("_future")
-            before = _totals_before(spark, root, batch_id)
-            added = budget.totals(dated, known, unique=True).select(*budget.KEYS, F.col("spend_usd").alias("opening_usd"))
-            opening = None if before is None else before.join(added.select(*budget.KEYS), budget.KEYS, "left_semi")
+            opening = _charge(spark, dated, known, root, batch_id, unique=True)
             tables.write_batch(budget.crossings(dated, known, opening, unique=True), f"{root}/crossings", batch_id)
-            both = added if opening is None else opening.unionByName(added)
-            changed = both.groupBy(*budget.KEYS).agg(F.sum("opening_usd").cast(money.TOTAL).alias("opening_usd"))
-            tables.write_batch(changed, f"{root}/totals", batch_id)
-            if batch_id % SNAPSHOT == SNAPSHOT - 1:
-                tables.write_batch(_totals_before(spark, root, batch_id + 1), f"{root}/snapshots", batch_id)
         finally:
             rows.unpersist()
 
     return _start(unique, work, checkpoint, available_now=available_now)
 
 
+def _charge(spark: SparkSession, spend: DataFrame, known: DataFrame, root: str, batch_id: int, unique: bool) -> DataFrame | None:
+    """Add a batch's spend to the ledger; returns the totals that its limits opened with."""
+    before = _totals_before(spark, root, batch_id)
+    added = budget.totals(spend, known, unique=unique).select(*budget.KEYS, F.col("spend_usd").alias("opening_usd"))
+    opening = None if before is None else before.join(added.select(*budget.KEYS), budget.KEYS, "left_semi")
+    both = added if opening is None else opening.unionByName(added)
+    changed = both.groupBy(*budget.KEYS).agg(F.sum("opening_usd").cast(money.TOTAL).alias("opening_usd"))
+    tables.write_batch(changed, f"{root}/totals", batch_id)
+    if batch_id % SNAPSHOT == SNAPSHOT - 1:
+        tables.write_batch(_totals_before(spark, root, batch_id + 1), f"{root}/snapshots", batch_id)
+    return opening
+
+
 def _totals_before(spark: SparkSession, root: str, batch_id: int) -> DataFrame | None:
     """All totals before a batch: the last snapshot and the batches after it."""
     if batch_id == 0:

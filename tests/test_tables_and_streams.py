@@ -8,12 +8,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from spanlight import catalogs
-from spanlight.operators import budget, enrich, metrics, validate
+from spanlight.operators import budget, enrich, metrics, store, validate
 from spanlight.plans import pages
-from spanlight.plans.registry import Context
+from spanlight.plans import load_all
+from spanlight.plans.registry import Context, run
 from spanlight.sources import logs, messages, tables
 from spanlight.streaming import jobs
 
+load_all()
+
 
 def _event(i, ts, **more):
     return {"event_id": f"e{i}", "event_type": "REQUEST_COMPLETED", "service_name": "gssp-gs", "environment": "dev",
@@ -162,3 +165,46 @@ def test_validation_vocabulary_is_a_parameter(spark):
     df = spark.createDataFrame([(json.dumps(_event(1, "2026-01-01T00:00:00Z", event_type="MEMORY_READ")),)], "value string")
     assert validate.good(validate.validate(df)).count() == 0
     assert validate.good(validate.validate(df, event_types=["MEMORY_READ"])).count() == 1
+
+
+def test_incident_export_and_log_lines_from_files(spark, tmp_path):
+    rows = spark.createDataFrame([("c1", 1), ("c2", 2)], "correlation_id string, n int")
+    found = store.incident_rows({"events": rows, "calls": rows.where("n = 1")}, rows.where("n = 1"))
+    tables.export_incident(found, str(tmp_path / "incident"))
+    assert [spark.read.parquet(str(tmp_path / "incident" / t)).collect() for t in ("events", "calls")] == [[("c1", 1)], [("c1", 1)]]
+    (tmp_path / "pod.log").write_text('2026-01-01T00:00:00Z stdout F {"correlation_id":"c1"}\nbroken\n')
+    lines = logs.read_lines(spark, str(tmp_path / "pod.log"))
+    assert logs.parse(lines).select(logs.field("correlation_id")).collect() == [("c1",)]
+    raw = messages.from_lines(lines)
+    assert raw.columns == ["key", "value", "headers"] and validate.validate(raw).where(F.size("violations") > 0).count() == 2
+
+
+def test_enrichment_marks_budgets_and_notes_stage_errors(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    dims = lambda s: enrich.Dimensions(None, catalogs.price_table(s), [])
+    limits = lambda s: catalogs.literal_table(
+        s, [("app-1", "*", "daily", 0.02, 50)], "application_id string, model_name string, period string, max_spend_usd decimal(12,2), alert_at_pct int")
+    sent = []
+    for n in range(4):
+        call = _event(n, f"2026-02-01T10:0{n}:00Z", event_type="LLM_CALL_COMPLETED", payload={"model_name": "claude-sonnet-4-5", "input_tokens": 2000, "output_tokens": 0 if n else "x"})
+        _write(spark, raw, [call], n)
+        jobs.enrichment(messages.read_files(spark, raw), dims, lambda rows, batch: sent.extend(rows.collect()), str(tmp_path / "dead"), str(tmp_path / "ck"),
+                        limits=limits, ledger=str(tmp_path / "ledger"), errors=str(tmp_path / "errors"), available_now=True).awaitTermination()
+    payloads = [json.loads(r["value"])["payload"] for r in sent]
+    assert [p.get("budget_alert") for p in payloads] == [None, {"limit_usd": 0.02, "period": "daily", "spend_usd": 0.012}, None, None]
+    assert [p.get("budget_cap_breached", False) for p in payloads] == [False, False, False, True]
+    assert [(r["event_id"], r["stage"]) for r in spark.read.parquet(str(tmp_path / "errors")).collect()] == [("e0", "stage6-cost")]
+
+
+def test_no_query_deals_its_table_out_anew(spark, data_dir):
+    """Scans keep their own partitions: no plan has a round-robin exchange."""
+    for name in ("processed_by_type", "enriched_messages", "document_metrics", "weekly_digest", "hourly_summary"):
+        plan = run(name, spark, data_dir)._jdf.queryExecution().executedPlan().toString()
+        assert "RoundRobin" not in plan, name
+
+
+def test_weekly_digest_scans_the_events_twice(spark, data_dir):
+    df = run("weekly_digest", spark, data_dir)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("Scan parquet") + final.count("FileScan parquet") <= 2
