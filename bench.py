@@ -35,6 +35,10 @@ HEADLINE = [
     "cause_hypotheses",
     "embedding_drift",
     "document_entropy",
+    "weekly_digest",
+    "document_metrics",
+    "redact_nested_payloads",
+    "stream_enrichment",
 ]
 
 

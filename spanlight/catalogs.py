@@ -132,6 +132,9 @@ def error_rules(rows: Iterable[Sequence] = ERROR_RULES) -> list[ErrorRule]:
     return sorted((ErrorRule(*r) for r in rows), key=lambda r: (r.priority, r.error_code))
 
 
+MAX_RULES = 1000
+
+
 def error_rules_from_table(df: DataFrame) -> list[ErrorRule]:
     """Active rules of a catalog table (configuration: tens of rows reach the driver)."""
     cols = ["error_code", "category", "pattern", "priority", "severity", "retryable"]
@@ -145,7 +148,10 @@ def error_rules_from_table(df: DataFrame) -> list[ErrorRule]:
         except IllegalArgumentException:
             return False
 
-    return error_rules(tuple(r) for r in active.select(*cols).collect() if usable(r["pattern"]))
+    rows = active.select(*cols).limit(MAX_RULES + 1).collect()
+    if len(rows) > MAX_RULES:
+        raise ValueError(f"more than {MAX_RULES} active error rules: they are folded into one expression")
+    return error_rules(tuple(r) for r in rows if usable(r["pattern"]))
 
 
 def literal_table(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:

@@ -269,6 +269,14 @@ FAMILY_COLUMNS = {
         ("rationale_s3_key", "string"),
         ("sampled_pct", "float"),
     ],
+    "slo-history": [
+        ("slo_id", "string"),
+        ("sli_pct", "decimal(6,3)"),
+        ("burn_rate_1h", "decimal(10,4)"),
+        ("burn_rate_6h", "decimal(10,4)"),
+        ("error_budget_consumed_pct", "decimal(6,2)"),
+        ("breached", "boolean"),
+    ],
     "anomalies": [
         ("detector", "string"),
         ("anomaly_score", "double"),
@@ -288,7 +296,8 @@ COLUMN_ALIASES = {
     "citation_coverage": ["citation_coverage", "citation_coverage_pct"],
     "truncation_flag": ["truncation_flag", "context_truncation_flag"],
 }
-# Event-type prefix -> domain table.
+# Event-type prefix -> domain table. Scores and objective history are written by their own jobs,
+# with the columns of the families quality-scores and slo-history.
 DOMAIN_TABLES = {
     "llm_events": ("LLM_", "llm-calls"),
     "agent_events": ("AGENT_", "agent-steps"),

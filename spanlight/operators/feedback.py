@@ -75,6 +75,17 @@ def page(feedback: DataFrame, number: int = 1, size: int = 50) -> DataFrame:
     return listed.withColumn("total", total.scalar()).withColumn("has_next", F.lit(number * size) < F.col("total"))
 
 
+def page_after(feedback: DataFrame, created_at: Column | None = None, feedback_id: Column | None = None, size: int = 50) -> DataFrame:
+    """The page behind a record, newest first; without one the first page. Costs a page however far back it lies."""
+    if not 1 <= size <= MAX_PAGE_SIZE:
+        raise ValueError(f"page sizes lie in 1..{MAX_PAGE_SIZE}")
+    rows = feedback
+    if created_at is not None:
+        rows = rows.where((F.col("created_at") < created_at) | ((F.col("created_at") == created_at) & (F.col("feedback_id") > feedback_id)))
+    return rows.orderBy(F.col("created_at").desc(), "feedback_id").limit(size).withColumn(
+        "has_comments", F.col("comments").isNotNull()).drop("prompt", "comments")
+
+
 def problems(feedback: DataFrame, number: int = 1, size: int = 50) -> DataFrame:
     return page(feedback.where(~F.col("correctness")), number, size)
 

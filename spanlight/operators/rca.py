@@ -55,9 +55,10 @@ def _when_sum(condition: Column) -> Column:
 def incidents(facts: DataFrame) -> DataFrame:
     """Per application, error code and day: failures, traces, failed share of the day's events. Takes `day_facts`."""
     per_code = facts.groupBy("application_id", "day", "error_code", "correlation_id").agg(F.sum("n").alias("n")).groupBy(
-        "application_id", "day", "error_code").agg(F.sum("n").alias("errors"), F.count("correlation_id").alias("traces"))
+        "application_id", "day", "error_code").agg(F.sum("n").alias("errors"), F.count("correlation_id").alias("traces"),
+                                                   _when_sum(F.col("error_code").isNotNull()).alias("named"))
     whole = Window.partitionBy("application_id", "day")  # a day's error codes
-    return per_code.withColumn("day_events", F.sum("errors").over(whole)).where("error_code IS NOT NULL").withColumn(
+    return per_code.withColumn("day_events", F.sum("errors").over(whole)).where("named > 0").drop("named").withColumn(
         "impact_pct", ratio(F.col("errors"), F.col("day_events"), 100.0))
 
 

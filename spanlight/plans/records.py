@@ -78,7 +78,7 @@ def _family_sql(columns: list) -> str:
     out = []
     for name, kind in columns:
         value = "concat('a', CAST(seq % 3 AS STRING), ',b')" if kind.startswith("array") else _family_value(name, kind)
-        form = shown.get(kind, "dbl({})" if kind.startswith("decimal") else "{}" if kind.startswith("array") else "n({})")
+        form = shown.get(kind, f"dbl(CAST({{}} AS {kind}))" if kind.startswith("decimal") else "{}" if kind.startswith("array") else "n({})")
         lost = "seq % 5 = 0" if kind in ("string",) or kind.startswith("array") else "seq % 5 = 0 OR seq % 11 = 0"
         out.append(f"CASE WHEN NOT ({lost}) THEN {form.format(value)} END AS {name}")
     return "SELECT event_id, " + ", ".join(out) + " FROM obs"
@@ -282,6 +282,13 @@ def _(c: Context):
     return feedback.by_type(known).join(unknown, "feedback_type").withColumnRenamed("feedback_type", "kind")
 
 
+@query("feedback_page_after", "T1", """
+SELECT feedback_id, created_at FROM feedback WHERE created_at < TIMESTAMP '2024-01-20 00:00:00' OR (created_at = TIMESTAMP '2024-01-20 00:00:00' AND feedback_id > 'fb-3')
+ORDER BY created_at DESC, feedback_id LIMIT 40""")
+def _(c: Context):
+    return feedback.page_after(c.feedback, F.lit("2024-01-20").cast("timestamp_ntz"), F.lit("fb-3"), 40).select("feedback_id", "created_at")
+
+
 @query("feedback_page", "T1", """
 SELECT feedback_id, created_at, n((SELECT count(*) FROM feedback WHERE status = 'open')) AS total, 100 < (SELECT count(*) FROM feedback WHERE status = 'open') AS has_next
 FROM feedback WHERE status = 'open' ORDER BY created_at DESC, feedback_id LIMIT 50 OFFSET 50""")

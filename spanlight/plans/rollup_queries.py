@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import catalogs
 
+from ..functions import text
 from ..operators import alerts, anomaly, budget, metrics, quality, rollups, slo
 from .registry import Context, query
 from .reliability import _BURN, _DAILY, _matched
@@ -273,6 +274,27 @@ def _(c: Context):
     return out
 
 
+@query("top_lists", "T3 Q16", """
+(SELECT 'expensive agents' AS list, agent_id AS name, r6(sum(estimated_cost_usd)) AS measure FROM costed GROUP BY agent_id ORDER BY sum(estimated_cost_usd) DESC, name LIMIT 5)
+UNION ALL (SELECT 'empty knowledge bases', rag_id, dbl(count(*) FILTER (event_type = 'RAG_NO_RESULT')) AS m FROM costed WHERE event_type LIKE 'RAG%' GROUP BY rag_id ORDER BY m DESC, rag_id LIMIT 5)
+UNION ALL (SELECT 'failed queries', q, dbl(count(*)) AS m FROM (SELECT substr(sha256(concat(prompt_template_id, error_message)), 1, 16) AS q FROM costed WHERE status = 'failed' AND event_type LIKE 'LLM%') x
+  GROUP BY q ORDER BY m DESC, q LIMIT 5)""")
+def _(c: Context):
+    e = c.costed
+    query_hash = text.short_hash(F.concat("prompt_template_id", "error_message"))
+    lists = {
+        "expensive agents": e.groupBy(F.col("agent_id").alias("name")).agg(F.sum("estimated_cost_usd").alias("measure")),
+        "empty knowledge bases": e.where("event_type LIKE 'RAG%'").groupBy(F.col("rag_id").alias("name")).agg(
+            F.count_if(F.col("event_type") == "RAG_NO_RESULT").alias("measure")),
+        "failed queries": e.where("status = 'failed' AND event_type LIKE 'LLM%'").groupBy(query_hash.alias("name")).agg(F.count(F.lit(1)).alias("measure")),
+    }
+    out = None
+    for name, df in lists.items():
+        rows = rollups.top_n(df, "measure", "name").select(F.lit(name).alias("list"), "name", F.col("measure").cast("double").alias("measure"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query("prompt_comparison", "A35 J11", """
 WITH r AS (SELECT * FROM costed WHERE event_type IN ('LLM_CALL_COMPLETED', 'LLM_CALL_FAILED'))
 SELECT r.prompt_template_id, r.prompt_version, n(count(*)) AS calls, r6(100.0 * count(*) FILTER (event_type = 'LLM_CALL_FAILED') / count(*)) AS failure_pct,

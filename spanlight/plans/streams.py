@@ -13,6 +13,7 @@ from ..session import shared_dir
 from ..sources import tables
 from ..streaming import jobs
 from . import reliability
+from .enrichment import _ENRICHED, _GOOD
 from .registry import QUERIES, Context, query
 
 del reliability  # imported for its registered SQL
@@ -142,24 +143,41 @@ def _(c: Context):
                         F.when(moved, F.substr("pointer", F.lit(len(archive) + 2))).alias("archive_key"), "bytes")
 
 
-@query("stream_enrichment", "R1 R2 S1 S2 S3", """
-SELECT 'dead' AS kind, 'stage1-validate' AS label, n(count(*)) AS messages FROM raw_checked r WHERE NOT is_json OR root <> 'OBJECT'
-UNION ALL SELECT 'known application', coalesce(json_extract_string(value, '$.application_id'), ''), n(count(*)) FROM raw_checked
-WHERE is_json AND root = 'OBJECT' AND seq % 45 <> 0 AND seq % 46 <> 0 AND seq % 50 <> 0 AND seq % 55 <> 0 AND seq % 60 <> 0 AND seq % 65 <> 0 AND seq % 75 <> 0
-  AND seq % 80 <> 0 AND seq % 85 <> 0 AND seq % 90 <> 0 AND seq % 95 <> 0 AND seq % 100 <> 0 GROUP BY ALL""")
+@query("stream_enrichment", "R1 R2 S1 S2 S3", f"""
+WITH {_ENRICHED}
+SELECT 'dead' AS kind, 'stage1-validate' AS label, n(count(*)) AS messages, CAST(NULL AS BIGINT) AS coded, CAST(NULL AS DOUBLE) AS cost_usd, CAST(NULL AS BIGINT) AS redacted
+FROM raw_checked WHERE NOT coalesce({_GOOD}, FALSE)
+UNION ALL SELECT 'processed', coalesce(application_id, ''), n(count(*)), n(count(error_code)), r6(sum(estimated_cost_usd)), n(count(note)) FROM e GROUP BY ALL""")
 def _(c: Context):
     run = _run_folder(c)
     messages = StreamContext(c.spark, c.sf_dir).raw_events.select(F.lit("").alias("key"), "value")
     dims = lambda _: enrich.Dimensions(c.app_registry, c.prices, catalogs.error_rules())
     _finish(jobs.enrichment(messages, dims, f"{run}/processed", f"{run}/dead", f"{run}/checkpoint", available_now=True))
-    done = c.spark.read.parquet(f"{run}/processed").withColumn("_d", F.try_parse_json("value"))
-    app = F.coalesce(F.try_variant_get("_d", "$.application_id", "string"), F.lit(""))
-    known = done.groupBy(F.lit("known application").alias("kind"), app.alias("label")).agg(F.count(F.lit(1)).alias("messages"))
-    reason = F.try_variant_get(F.try_parse_json("value"), "$.reason", "string")
-    unread = reason.contains("not JSON") | reason.contains("not an object")
-    dead = c.spark.read.parquet(f"{run}/dead").where(unread).groupBy(
-        F.lit("dead").alias("kind"), F.split_part(reason, F.lit(":"), F.lit(1)).alias("label")).agg(F.count(F.lit(1)).alias("messages"))
-    return known.unionByName(dead)
+    doc = F.try_parse_json("value")
+    read = lambda path, kind="string": F.try_variant_get(doc, path, kind)
+    done = c.spark.read.parquet(f"{run}/processed").select(
+        F.coalesce(read("$.application_id"), F.lit("")).alias("label"), read("$.error_code").alias("error_code"),
+        read("$.payload.estimated_cost_usd", "decimal(20,8)").alias("cost"), read("$.payload.note").alias("note"))
+    processed = done.groupBy(F.lit("processed").alias("kind"), "label").agg(
+        F.count(F.lit(1)).alias("messages"), F.count("error_code").alias("coded"), F.sum("cost").cast("double").alias("cost_usd"),
+        F.count_if(F.col("note").contains("[REDACTED:email]") & ~F.col("note").contains("@")).alias("redacted"))
+    dead = c.spark.read.parquet(f"{run}/dead").groupBy(
+        F.lit("dead").alias("kind"), F.split_part(read("$.reason"), F.lit(":"), F.lit(1)).alias("label")).agg(F.count(F.lit(1)).alias("messages"))
+    return processed.unionByName(dead, allowMissingColumns=True)
+
+
+@query("stream_slo_compliance", "R1 A24", QUERIES["daily_slo_compliance"].sql)
+def _(c: Context):
+    """Every day noted as touched, one after the other half of the month, and rebuilt from the event table."""
+    run = _run_folder(c)
+    stored = _usage_events(c).withColumns({"payload": F.lit("{}"), "emitted_at": F.col("event_ts"), "event_month": F.date_format("event_ts", "yyyy-MM")})
+    covered = -1
+    for batch, part in enumerate((F.col("event_date") < F.lit("2024-01-15").cast("date"), F.col("event_date") >= F.lit("2024-01-15").cast("date"))):
+        rows = stored.where(part)
+        tables.append_events(rows.drop("model_name", "input_tokens", "output_tokens", "estimated_cost_usd"), f"{run}/events")
+        tables.write_batch(rows.select(F.date_trunc("hour", "event_ts").cast("timestamp_ntz").alias("hour")).distinct(), f"{run}/touched", batch)
+        covered = jobs.rebuild_compliance(c.spark, f"{run}/events", f"{run}/touched", c.slos, f"{run}/compliance", covered)
+    return tables.latest_rows(c.spark, f"{run}/compliance", ["slo_id", "application_id", "day"])
 
 
 @query("stream_event_store", "R4 S5 S6 S8 S11", """

@@ -19,6 +19,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from ..functions import money
 from ..operators import alerts, budget, enrich, slo, store, validate
 from ..operators.rollups import hourly_application
+from ..session import small_side
 from ..sources import tables
 
 WATERMARK = "10 minutes"
@@ -169,6 +170,26 @@ def rebuild_minute_rates(spark: SparkSession, events_path: str, touched_path: st
                     lambda rows: _rates(rows.withColumn("_at", F.col("event_ts").cast("timestamp"))))
 
 
+def rebuild_compliance(spark: SparkSession, events_path: str, touched_path: str, definitions: DataFrame, out: str,
+                       after_batch: int = -1) -> int:
+    """Daily compliance of the days touched since a batch; read with `tables.latest_rows`.
+
+    A burn rate looks back six hours, so the day before is read along, and the first hours of the day after a
+    touched one are judged anew with it.
+    """
+    notes = spark.read.option("basePath", touched_path).parquet(touched_path).where(F.col("batch") > after_batch)
+    last = notes.agg(F.max("batch")).first()[0]
+    if last is None:
+        return after_batch
+    touched = notes.select(F.col("hour").cast("date").alias("day")).distinct()
+    judged = touched.select(F.explode(F.array("day", F.date_add("day", 1))).alias("day")).distinct()
+    needed = judged.select(F.explode(F.array("day", F.date_sub("day", 1))).alias("event_date")).distinct()
+    rows = spark.read.parquet(events_path).join(small_side(needed), "event_date", "left_semi")
+    daily = slo.daily_compliance(slo.burn_rates(rows, definitions))
+    tables.write_batch(daily.join(small_side(judged), "day", "left_semi"), out, last)
+    return last
+
+
 def current_rows(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
     """Rows of a windowed table: a rebuilt row is made from all stored events and goes before a streamed one."""
     streamed = tables.latest_rows(spark, out, keys)

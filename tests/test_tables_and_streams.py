@@ -207,4 +207,4 @@ def test_weekly_digest_scans_the_events_twice(spark, data_dir):
     df = run("weekly_digest", spark, data_dir)
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    assert final.count("Scan parquet") + final.count("FileScan parquet") <= 2
+    assert final.count("FileScan parquet") == 2
