@@ -273,3 +273,37 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     bad = written(matches(seen, benchmark, **how).select("doc_row").distinct())
     kept = numbered.join(small_side(bad), "doc_row", "left_anti").select("row.*")
     return kept
+
+
+def sql(window: int = WINDOW, literals: int = LITERALS, coverage: float = COVERAGE) -> str:
+    """`leaks` of documents against benchmark without hashes and prefilters, as DuckDB SQL."""
+    quoted = lambda text: "'" + text.replace("'", "''") + "'"
+    white = r"[\s\x0b\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+    cut = "array_to_string(toks[spot + 1:spot + n], ' ') AS win, fills[spot + 1:spot + n] AS slots"
+    enough = f"list_sum(list_transform(plain[spot + 1:spot + n], lambda x: CAST(x AS INT))) >= {literals}"
+    return f"""
+WITH src AS (SELECT 'd' AS side, row_number() OVER () AS r, doc_id AS id, text FROM documents
+  UNION ALL SELECT 'i', row_number() OVER (), item_id, text FROM benchmark),
+raw AS (SELECT side, r, id, unnest(w) AS raw, generate_subscripts(w, 1) AS pos FROM (
+  SELECT *, list_filter(regexp_split_to_array(replace(coalesce(text, ''), chr(10), ' ' || chr(2) || ' '), '{white}'), lambda x: x <> '') AS w FROM src)),
+f AS (SELECT *, trim(raw, {quoted(_SIGNS)}) AS word, raw = chr(2) OR right(rtrim(raw, {quoted(_CLOSERS)}), 1) IN ('.', '!', '?', ':') AS ends FROM raw),
+g AS (SELECT *, lower(word) AS low, word = '' OR raw = chr(2) AS sign,
+  coalesce(sum(CAST(ends AS INT)) OVER (PARTITION BY side, r ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS eb FROM f),
+k AS (SELECT side, r, id, word, low, eb, row_number() OVER (PARTITION BY side, r ORDER BY pos) AS spot,
+  regexp_full_match(word, '[$€£]?[+-]?[0-9][0-9.,:/]*%?') AS num, low IN ({", ".join(quoted(u) for u in sorted(UNITS))}) AS is_unit,
+  length(word) > 1 AND substr(word, 1, 1) <> substr(low, 1, 1) AND substr(word, 2) = substr(low, 2) AS capital FROM g WHERE NOT sign),
+t AS (SELECT *, NOT num AND is_unit AND coalesce(lag(num) OVER o, FALSE) AS unit, coalesce(eb - lag(eb) OVER o, 1) > 0 AS starts
+  FROM k WINDOW o AS (PARTITION BY side, r ORDER BY spot)),
+p AS (SELECT *, NOT num AND NOT unit AND capital AND NOT starts AS name FROM t),
+a AS (SELECT side, r, id, list(CASE WHEN num THEN '<1>' WHEN unit THEN '<2>' WHEN name THEN '<3>' ELSE low END ORDER BY spot) AS toks,
+  list(CASE WHEN num OR unit OR name THEN trim(word, '$€£%') ELSE '' END ORDER BY spot) AS fills, list(NOT (num OR unit OR name) ORDER BY spot) AS plain FROM p GROUP BY ALL),
+sizes AS (SELECT DISTINCT least({window}, len(toks)) AS n FROM a WHERE side = 'i'),
+iw AS (SELECT r, id, n, spot, {cut} FROM (SELECT *, unnest(generate_series(0, len(toks) - n)) AS spot FROM (SELECT *, least({window}, len(toks)) AS n FROM a WHERE side = 'i')) WHERE {enough}),
+ic AS (SELECT *, count(*) OVER (PARTITION BY r) AS n_windows FROM iw),
+dw AS (SELECT r, id, n, spot, {cut} FROM (SELECT *, unnest(generate_series(0, len(toks) - n)) AS spot FROM (SELECT * FROM a, sizes WHERE side = 'd' AND len(toks) >= n)) WHERE {enough}),
+b AS (SELECT d.r AS dr, d.id AS doc_id, i.r AS ir, i.id AS item_id, i.n_windows, d.spot - i.spot AS away, i.spot AS item_at, list_zip(i.slots, d.slots) AS pairs
+  FROM dw d JOIN ic i ON d.win = i.win AND d.n = i.n),
+c AS (SELECT dr, doc_id, ir, item_id, n_windows, count(DISTINCT item_at) AS n, list_distinct(flatten(list(pairs))) AS pairs FROM b GROUP BY dr, doc_id, ir, item_id, n_windows, away)
+SELECT doc_id, item_id, round(max(n / n_windows), 6) AS coverage, bool_and(len(list_filter(pairs, lambda x: x[1] <> x[2])) > 0) AS reparameterised, count(*) AS n_occurrences
+FROM c WHERE n / n_windows >= {coverage} AND len(list_distinct(list_transform(pairs, lambda x: x[1]))) = len(pairs)
+  AND len(list_distinct(list_transform(pairs, lambda x: x[2]))) = len(pairs) GROUP BY dr, doc_id, ir, item_id"""

@@ -49,12 +49,12 @@ def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
-@_query("op5_url_filter")
+@_query("op5_url_filter", url_filter.sql())
 def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
-@_query("op6_benchmark_decontamination")
+@_query("op6_benchmark_decontamination", decontaminate.sql())
 def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 

@@ -102,7 +102,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, id_col: st
     host, path = host_and_path(F.coalesce(F.col(f"`{url_col}`"), F.lit("")))
     urls = pages.select(F.col(f"`{id_col}`").alias("page_id"), host.alias("host"), path.alias("path"))
     rule, decided = matching_rule(F.col("host"), F.col("path"), rules)
-    fold = F.crc32(F.concat("host", "path").cast("binary")) % FOLDS == 0
+    fold = F.conv(F.substring(F.sha2(F.concat("host", "path"), 256), 1, 7), 16, 10).cast("long") % FOLDS == 0
     urls = written(urls.select("page_id", "host", "path", rule.alias("rule"), decided.alias("decided"),
                                (decided.isNotNull() & fold).alias("held_back"), F.monotonically_increasing_id().alias("n")))
     places = urls.select("n", "decided", "held_back", F.explode(_grams(F.concat("host", "path"), order)).alias("gram"))
@@ -119,3 +119,34 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, id_col: st
     by_model = F.when(F.col("score") >= limit, "allow").otherwise("block")
     return scored.select("page_id", "host", "path", "rule", F.coalesce("decided", by_model).alias("verdict"),
                          F.when(F.col("decided").isNull(), F.round("score", 6)).alias("score"))
+
+
+def sql(rules: Sequence[tuple[str, str]] = RULES, order: int = ORDER) -> str:
+    """`judge` over pages as DuckDB SQL."""
+    rule = verdict = "NULL"
+    for text, what in sorted(rules, key=lambda r: (len(r[0]), r[0])):
+        at, _, rest = text.partition("/")
+        fits = f"(host = '{at}' OR ends_with(host, '.{at}')) AND starts_with(path, '/{rest}')"
+        rule, verdict = f"CASE WHEN {fits} THEN '{text}' ELSE {rule} END", f"CASE WHEN {fits} THEN '{what}' ELSE {verdict} END"
+    levels = [f"""p0 AS (SELECT ''::VARCHAR AS shorter, {1.0 / ALPHABET}::DOUBLE AS pa, {1.0 / ALPHABET}::DOUBLE AS pr)"""]
+    for k in range(order + 1):
+        known = "CROSS JOIN p0" if k == 0 else f"JOIN p{k} ON p{k}.shorter = substr(g, 2, {k})"
+        side = lambda n, p: f"CASE WHEN sum({n}) OVER w > 0 THEN ({n} + count(*) FILTER ({n} > 0) OVER w * {p}) / (sum({n}) OVER w + count(*) FILTER ({n} > 0) OVER w) ELSE {p} END"
+        levels.append(f"""p{k + 1} AS (SELECT g AS shorter, {side('a', 'pa')} AS pa, {side('b', 'pr')} AS pr
+  FROM (SELECT substr(gram, {order + 1 - k}, {k + 1}) AS g, sum(a) AS a, sum(b) AS b FROM counts GROUP BY g) x {known} WINDOW w AS (PARTITION BY substr(g, 1, {k})))""")
+    return f"""
+WITH tails AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS tail FROM (SELECT page_id, coalesce(url, '') AS url FROM pages)),
+parts AS (SELECT page_id, row_number() OVER () AS n, translate(regexp_extract(tail, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(tail, '^[^/?#]*([^?#]*)', 1) AS path FROM tails),
+u AS (SELECT *, {rule} AS rule, {verdict} AS decided, CAST(('0x' || substr(sha256(host || path), 1, 7)) AS BIGINT) % {FOLDS} = 0 AS fold FROM parts),
+places AS (SELECT n, decided, decided IS NOT NULL AND fold AS held, substr(t, CAST(i AS INT), {order + 1}) AS gram
+  FROM (SELECT *, repeat(chr(2), {order}) || host || path || chr(3) AS t, unnest(generate_series(1, length(host || path) + 1)) AS i FROM u)),
+counts AS (SELECT gram, count(*) FILTER (decided = 'allow' AND NOT held) AS a, count(*) FILTER (decided = 'block' AND NOT held) AS b FROM places GROUP BY gram),
+{", ".join(levels)},
+scores AS (SELECT n, sum(log10(pa) - log10(pr)) / count(*) AS score FROM places JOIN p{order + 1} ON shorter = gram WHERE decided IS NULL OR held GROUP BY n),
+bins AS (SELECT round(score, 3) AS t, count(*) FILTER (decided = 'allow') AS good, count(*) FILTER (decided = 'block') AS bad FROM u JOIN scores USING (n) WHERE decided IS NOT NULL GROUP BY ALL),
+accuracy AS (SELECT t, (sum(good) OVER () - coalesce(sum(good) OVER below, 0)) / nullif(sum(good) OVER (), 0) + coalesce(sum(bad) OVER below, 0) / nullif(sum(bad) OVER (), 0) AS a
+  FROM bins WINDOW below AS (ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+best AS (SELECT coalesce((SELECT t FROM accuracy WHERE a IS NOT NULL ORDER BY round(a, 9) DESC, abs(t), t LIMIT 1), 0.0) AS t)
+SELECT page_id, host, path, rule, coalesce(decided, CASE WHEN score >= (SELECT t FROM best) THEN 'allow' ELSE 'block' END) AS verdict,
+  CASE WHEN decided IS NULL THEN round(score, 6) END AS score FROM u LEFT JOIN scores USING (n)"""

@@ -1,10 +1,13 @@
 """Licence scan, URL filter and decontamination: SQL, brute force, defined cases."""
 
+import hashlib
 import math
 import random
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 
 from spanlight.llm import decontaminate, license_scan, queries, url_filter
@@ -77,13 +80,12 @@ def test_rules(spark):
 
 
 def test_url_scores_against_brute_force(spark, data_dir):
-    import zlib
     got = queries.QUERIES["op5_url_filter"](spark, data_dir).collect()
     assert len(got) == spark.read.parquet(f"{data_dir}/pages.parquet").count()
     k, sides = url_filter.ORDER, ("allow", "block")
     rule_verdict = dict(url_filter.RULES)
     grams = lambda t: [("\x02" * k + t + "\x03")[i:i + k + 1] for i in range(len(t) + 1)]
-    held = lambda r: r.rule is not None and zlib.crc32((r.host + r.path).encode()) % url_filter.FOLDS == 0
+    held = lambda r: r.rule is not None and int(hashlib.sha256((r.host + r.path).encode()).hexdigest()[:7], 16) % url_filter.FOLDS == 0
     counts = {s: Counter() for s in sides}
     for r in got:
         if r.rule and not held(r):
@@ -118,6 +120,11 @@ def test_url_scores_against_brute_force(spark, data_dir):
             assert abs(r.score - limit) < 1e-5 or r.verdict == ("allow" if r.score >= limit else "block")
 
 
+def test_urls_match_sql(spark, duck, data_dir):
+    got = queries.QUERIES["op5_url_filter"](spark, data_dir).toPandas()
+    assert _rows(got) == _rows(duck.sql(queries.ORACLE_SQL["op5_url_filter"]).df())
+
+
 def test_url_defined_cases(spark):
     kind = "page_id long, url string, n int, gram string, score double"
     rows = [(1, None), (1, None), (None, "http://a.b/" + "x" * 20_000), (3, "http://é.b/ü")]
@@ -172,6 +179,22 @@ def test_planted_passages_against_brute_force(spark):
         assert len(grams[i] & {tuple(w[k:k + 8]) for k in range(len(w) - 7)}) >= 0.5 * len(grams[i])
 
 
+def test_leaks_match_sql(spark, documents):
+    """The SQL knows no hashes, anchors or vocabulary; on the small data and on re-parameterised items."""
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '/root/testdata/sf0.01/{t}.parquet'")
+    got = queries.QUERIES["op6_benchmark_decontamination"](spark, "/root/testdata/sf0.01").toPandas()
+    assert len(got) and _rows(got) == _rows(con.sql(decontaminate.sql()).df())
+    rows = [(1, "x\n%s\ny" % ITEM), (2, AGAIN), (3, TWISTED), (4, None), (5, AGAIN + " " + ITEM), (6, ITEM.upper()), (7, "a short item of words, (Bob) 3 kg.")]
+    items = pd.DataFrame({"item_id": [0, 1, 2], "text": [ITEM, None, "a short item of words, (Eve) 5 kg."]})  # noqa: F841
+    small = pd.DataFrame({"doc_id": [r[0] for r in rows], "text": [r[1] for r in rows]})  # noqa: F841
+    con.execute("CREATE OR REPLACE VIEW documents AS SELECT * FROM small")
+    con.execute("CREATE OR REPLACE VIEW benchmark AS SELECT * FROM items")
+    got = decontaminate.leaks(documents(rows), _items(spark, ITEM, None, "a short item of words, (Eve) 5 kg.")).toPandas()
+    assert len(got) == 4 and _rows(got) == _rows(con.sql(decontaminate.sql()).df())
+
+
 def test_decontamination_defined_cases(spark, documents):
     rows = [(1, None), (2, ""), (3, ITEM), (3, ITEM), (None, ITEM), (6, "word " * 60_000 + ITEM), (7, "a clean text of plain words")]
     bench = _items(spark, ITEM, None, "", "one two", "a single short item of words", ITEM)
