@@ -23,7 +23,7 @@ an empty table gives no rows.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,7 +41,7 @@ BITS_PER_ITEM = HASHES / math.log(2)
 FILTER_BYTES = 128 * 1024 * 1024
 BUCKET_NGRAMS = 2_000_000
 HOT_WORDS = 200_000
-CHUNK_TOKENS = 1_500_000
+CHUNK_TOKENS = 600_000
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -105,13 +105,15 @@ def build_bits(keys: np.ndarray, counts: np.ndarray) -> bytes:
 class Filter:
     """The buckets of one group, as the workers hold them."""
 
-    def __init__(self, parts: dict[int, bytes], first: int, buckets: int):
-        self.size = np.array([int.from_bytes(parts[first + i][:8], "little") if first + i in parts else 0
-                              for i in range(buckets)], dtype=np.uint64)
-        bits = [parts.get(first + i, b"")[8:] for i in range(buckets)]
-        self.start = np.concatenate([[0], np.cumsum([len(b) for b in bits])]).astype(np.uint64)
-        self.bits = np.frombuffer(b"".join(bits), dtype=np.uint8)
+    def __init__(self, parts: Iterable[tuple[int, bytes]], first: int, buckets: int):
         self.first = first
+        self.size, lengths, bits = np.zeros(buckets, dtype=np.uint64), np.zeros(buckets, dtype=np.int64), []
+        for bucket, part in sorted(parts):
+            self.size[bucket - first] = int.from_bytes(part[:8], "little")
+            lengths[bucket - first] = len(part) - 8
+            bits.append(memoryview(part)[8:])
+        self.start = np.concatenate([[0], np.cumsum(lengths)]).astype(np.uint64)
+        self.bits = np.frombuffer(b"".join(bits), dtype=np.uint8)
 
     def counts(self, keys: np.ndarray, buckets: np.ndarray) -> np.ndarray:
         """Counts by repeated probes: level after level until one is missing."""
@@ -241,15 +243,26 @@ _SCORED = ("n long, doc_id long, held_out boolean, n_tokens long, known long, ba
            "rare array<struct<word:string,tf:long>>")
 
 
-def _score_pass(docs: DataFrame, parts: dict[int, bytes], layout: Layout, group: int, hot: dict[str, int] | None,
+def _hot_words(counts: DataFrame, most: int) -> dict[str, int]:
+    """The most frequent words, at most so many, by whole steps of count (about one in a hundred each)."""
+    step = F.floor(F.log(F.col("n")) * 100).cast("long")
+    steps = counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words")).orderBy(F.col("step").desc()).collect()
+    taken, least = 0, None
+    for s in steps:  # a few thousand steps at any size
+        taken += s.words
+        if taken > most:
+            break
+        least = s.step
+    return {} if least is None else {r.word: r.n for r in counts.where(step >= least).collect()}
+
+
+def _score_pass(docs: DataFrame, bits: Filter, layout: Layout, group: int, hot: dict[str, int] | None,
                 total: int, kinds: int) -> DataFrame:
     """Partial scores of all documents from one group; with `hot` also the base score of its words and the rare words."""
-    held = docs.sparkSession.sparkContext.broadcast((parts, hot))
+    held = docs.sparkSession.sparkContext.broadcast((bits, hot))
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, frequent = held.value
-        first = group * layout.buckets
-        counts = Filter(bits, first, layout.buckets)
+        counts, frequent = held.value
         room = total + kinds + 1
         for c in chunks(batches):
             n_docs = len(c.rows)
@@ -305,11 +318,11 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     groups = max(1, math.ceil(1.5 * facts.total * BITS_PER_ITEM / 8 / filter_bytes))
     layout = Layout(groups, max(8, math.ceil(facts.total / groups / BUCKET_NGRAMS)))
     parts = written(filter_parts(bigram_buckets(training, layout).unionByName(word_buckets(counts, layout))))
-    hot = {r.word: r.n for r in counts.orderBy(F.col("n").desc(), "word").limit(hot_words).collect()}  # a fixed number of words
+    hot = _hot_words(counts, hot_words)
     passes = None
     for group in range(groups):
         of_group = F.col("bucket").between(group * layout.buckets, (group + 1) * layout.buckets - 1)
-        bits = {r.bucket: bytes(r.bits) for r in parts.where(of_group).collect()}  # about filter_bytes at most
+        bits = Filter(map(tuple, parts.where(of_group).toLocalIterator()), group * layout.buckets, layout.buckets)  # about filter_bytes
         part = _score_pass(rows, bits, layout, group, hot if group == 0 else None, facts.total, facts.kinds)
         passes = part if passes is None else passes.unionByName(part)
 

@@ -174,7 +174,7 @@ def test_filter_has_no_false_negatives_and_few_false_positives():
     rng = np.random.default_rng(5)
     keys = rng.integers(0, 2**63, 20_000).astype(np.uint64)
     counts = np.minimum(rng.geometric(0.3, len(keys)) ** 3, 5000).astype(np.uint64)
-    part = lm_score.Filter({0: lm_score.build_bits(keys, counts)}, 0, 1)
+    part = lm_score.Filter([(0, lm_score.build_bits(keys, counts))], 0, 1)
     read = part.counts(keys, np.zeros(len(keys), np.int64))
     exact = lm_score.stands_for(lm_score.level(counts))
     assert (read >= exact).all() and (read > exact).mean() < 0.1
