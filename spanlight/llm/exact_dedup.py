@@ -72,29 +72,30 @@ def _seams(runs: DataFrame) -> DataFrame:
             .where("joined").select("pid", F.col("open.pid").alias("head_pid"), F.col("open.run").alias("head_run")))
 
 
-def _across(runs: DataFrame) -> DataFrame:
-    """Runs renamed to where they began: columns gp, gr, and `heads` = first row of its whole group."""
-    seams = F.broadcast(_seams(runs))  # at most one row of 20 bytes per shuffle partition
-    out = runs.join(seams, "pid", "left")
-    moved = F.col("head_pid").isNotNull() & (F.col("run") == 0)
-    return out.select(
-        F.when(moved, F.col("head_pid")).otherwise(F.col("pid")).alias("gp"),
-        F.when(moved, F.col("head_run")).otherwise(F.col("run")).alias("gr"),
-        (F.col("first") & ~moved).alias("heads"), *[c for c in runs.columns if c not in ("pid", "run", "first")])
+def _continued(rows: DataFrame, seams: DataFrame) -> DataFrame:
+    """`moved`: the row's run began in an earlier task, at (head_pid, head_run)."""
+    # At most one row of 20 bytes per shuffle partition, whatever the size of the data.
+    out = rows.join(F.broadcast(seams), "pid", "left")
+    return out.withColumn("moved", F.col("head_pid").isNotNull() & (F.col("run") == 0))
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
     rows = written(_sorted_runs(docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")),
                                 "doc_id", "text").drop("row"))
-    rows = _across(rows)
-    groups = rows.groupBy("gp", "gr").agg(F.min("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    return rows.join(groups, ["gp", "gr"]).select(
-        F.col("id").alias("doc_id"), "keep_id", "group_size", F.col("heads").alias("kept"),
+    seams = _seams(rows)
+    # Rows are counted by run, runs by group, and the rows look up their run, so no key holds more than one task had.
+    runs = _continued(rows.groupBy("pid", "run").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")), seams)
+    runs = runs.withColumns({"gp": F.when(F.col("moved"), F.col("head_pid")).otherwise(F.col("pid")),
+                             "gr": F.when(F.col("moved"), F.col("head_run")).otherwise(F.col("run"))})
+    groups = runs.groupBy("gp", "gr").agg(F.min("least").alias("keep_id"), F.sum("n").alias("group_size"))
+    known = runs.select("pid", "run", "gp", "gr", "moved").join(groups, ["gp", "gr"]).drop("gp", "gr")
+    return rows.join(known, ["pid", "run"]).select(
+        F.col("id").alias("doc_id"), "keep_id", "group_size", (F.col("first") & ~F.col("moved")).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"))
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all their columns."""
     firsts = written(_sorted_runs(docs, id_col, text_col).where("first"))
-    return _across(firsts).where("heads").select("row.*")
+    return _continued(firsts, _seams(firsts)).where("NOT moved").select("row.*")
