@@ -36,7 +36,13 @@ class DocumentStream(StreamContext):
 
 
 def _run_folder(c: Context) -> str:
-    return f"{shared_dir(c.spark)}/spanlight-runs/{uuid.uuid4().hex}"
+    """A folder of this run in the shared place; it goes when the session ends."""
+    folder = f"{shared_dir(c.spark)}/spanlight-runs/{uuid.uuid4().hex}"
+    path = c.spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(c.spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return folder
 
 
 def _finish(q) -> None:
