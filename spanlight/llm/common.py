@@ -17,6 +17,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Texts are large rows: let Spark hand at most so many of them to Python at a time. A lower setting stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def ascii_lower(c: Column) -> Column:
     """A-Z only; other letters keep their case in every engine alike."""
     return F.translate(c, _UPPER, _LOWER)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, decontaminate, exact_dedup, language_id, license_scan, lm_score, packing, quality, simhash, url_filter
-from .common import crc_mod, table
+from .common import crc_mod, small_batches, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -16,7 +16,11 @@ ORACLE_SQL: dict[str, str] = {}
 
 def _query(name: str, sql: str | None = None):
     def keep(build):
-        QUERIES[name] = build
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            small_batches(spark)
+            return build(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE_SQL[name] = sql
         return build
