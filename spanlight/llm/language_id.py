@@ -32,6 +32,7 @@ WINDOW = 256
 EMBEDDING = 8
 WIDTHS = (2, 3, 4)
 FILTERS = 8
+MAX_LANGUAGES = 500  # the most frequent ones are learned
 DOCS_PER_LANGUAGE = 800
 WINDOWS_PER_DOC = 3
 EPOCHS = 5
@@ -146,17 +147,24 @@ def sample(docs: DataFrame, learn: Column, id_col: str, text_col: str, lang_col:
            docs_per_language: int = DOCS_PER_LANGUAGE, windows_per_doc: int = WINDOWS_PER_DOC) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """Bounded training windows: (windows, label numbers, languages), in a fixed order."""
     order = F.xxhash64(F.col(f"`{id_col}`"), F.lit(11))
-    rows = (docs.where(learn & F.col(f"`{lang_col}`").isNotNull() & F.col(f"`{text_col}`").rlike(r"\p{L}"))
-            .select(F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text"), order.alias("o")))
-    # The rank limit is applied in every task before the shuffle, so a task sends this many rows of a language at most.
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("o", F.xxhash64("text")))
+    learned = docs.where(learn & F.col(f"`{lang_col}`").isNotNull()).select(
+        F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text"), order.alias("o"))
+    counts = {r.lang: r.n for r in learned.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+              .orderBy(F.col("n").desc(), "lang").limit(MAX_LANGUAGES).collect()}
+    if not counts:
+        return np.zeros((0, WINDOW), np.uint8), np.zeros(0, int), []
+    # Of each language only hashes below twice its share are looked at, so a handful of rows is left for the ranking
+    # however many documents there are.
+    share = F.create_map(*[F.lit(v) for lang, n in counts.items() for v in (lang, min(1.0, 2.0 * docs_per_language / n))])
+    rows = learned.where((F.pmod("o", F.lit(1 << 40)) < F.element_at(share, F.col("lang")) * float(1 << 40)) & F.col("text").rlike(r"\p{L}"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("o", F.lit(1 << 40)), "o", F.xxhash64("text")))
     offset = lambda i: F.pmod(F.xxhash64("o", F.lit(i)), F.greatest(F.length("text") - F.lit(WINDOW // 2), F.lit(1)))
     parts = F.array(*[F.substr("text", (offset(i) + 1).cast("int"), F.lit(WINDOW)) for i in range(windows_per_doc)])
     chosen = (rows.withColumn("rank", rank).where(F.col("rank") <= docs_per_language)
               .select("lang", "rank", F.posexplode(F.array_distinct(parts)).alias("i", "part"))
               .orderBy("lang", "rank", "i").select("lang", "part").toPandas())
     languages = sorted(set(chosen["lang"]))
-    if not languages:
+    if not languages:  # no text with a letter
         return np.zeros((0, WINDOW), np.uint8), np.zeros(0, int), []
     windows = np.concatenate([as_windows(p.encode())[0][:1] for p in chosen["part"]])
     number = {lang: i for i, lang in enumerate(languages)}
