@@ -36,6 +36,7 @@ RULES = [
 ORDER = 4
 ALPHABET = 256
 FOLDS = 5
+BROADCAST_BYTES = 8 * 1024 * 1024  # as written; a multiple of it in memory
 _START, _END = "\u0002", "\u0003"
 
 
@@ -111,7 +112,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, id_col: st
         F.sum(F.when(trains & (F.col("decided") == "allow"), 1).otherwise(0)).alias("accepted"),
         F.sum(F.when(trains & (F.col("decided") == "block"), 1).otherwise(0)).alias("rejected")))
     ratios = written(gram_ratios(counts, order))
-    judged = places.where(F.col("decided").isNull() | F.col("held_back")).join(small_side(ratios), "gram")
+    judged = places.where(F.col("decided").isNull() | F.col("held_back")).join(small_side(ratios, BROADCAST_BYTES), "gram")
     scores = written(judged.groupBy("n").agg((F.sum("ratio") / F.count(F.lit(1))).alias("score")))
     dropped(counts)
     scored = urls.join(scores, "n", "left")
