@@ -185,7 +185,7 @@ def decode(ids: Column, ranks: Broadcast) -> Column:
     @F.arrow_udf(BinaryType())
     def of(packed: pa.Array) -> pa.Array:
         vocab = vocabulary(ranks.value)
-        return pa.array([None if p is None else vocab.decode(np.frombuffer(p, "<u4").tolist()) for p in packed.to_pylist()],
+        return pa.array([vocab.decode(np.frombuffer(p.as_buffer(), "<u4").tolist()) if p.is_valid else None for p in packed],
                         pa.binary())
 
     return of(ids)
