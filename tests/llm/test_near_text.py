@@ -1,0 +1,98 @@
+"""The pipeline's near-dedup stage against brute-force Jaccard similarity of 5-word shingles."""
+
+import random
+from collections import Counter, defaultdict
+
+import corpus_pipeline
+from pyspark.sql import functions as F
+
+from spanlight.llm import exact_dedup, near_text
+from spanlight.llm.common import written
+
+
+def _shingles(text):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def _brute_kept(texts):
+    """Smallest id of each group; texts by id."""
+    sets = {i: _shingles(t) for i, t in texts.items()}
+    holders, both = defaultdict(list), Counter()
+    for i in sorted(sets):
+        for s in sets[i]:
+            both.update((j, i) for j in holders[s])
+            holders[s].append(i)
+    root = {i: i for i in texts}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    pairs = [p for p, n in both.items() if n / (len(sets[p[0]]) + len(sets[p[1]]) - n) >= 0.8]
+    for a, b in pairs:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    return {find(i) for i in texts}, pairs
+
+
+def _stage(spark, docs):
+    return dict(corpus_pipeline.STAGES)["SimHash near-dedup"](spark, docs, None)
+
+
+def test_stage_matches_brute_force_on_given_documents(spark):
+    docs = written(exact_dedup.dedup(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")))
+    want, pairs = _brute_kept({r.doc_id: r.text for r in docs.collect()})
+    assert len(pairs) >= 5
+    got = _stage(spark, docs)
+    assert got.columns == docs.columns
+    assert sorted(r.doc_id for r in got.collect()) == sorted(want)
+
+
+def test_clouds_chains_and_borders(spark, documents):
+    rng = random.Random(5)
+    word = lambda: rng.choice("alpha beta gamma delta omega sigma".split()) + str(rng.randrange(500))
+    texts = {}
+
+    def put(words):
+        texts[len(texts)] = " ".join(words)
+
+    for n_words, n_copies, n_changes in ((200, 60, 2), (200, 60, 6), (60, 40, 1), (400, 30, 12)):  # clouds, many pairs below the border
+        base = [word() for _ in range(n_words)]
+        for _ in range(n_copies):
+            copy = list(base)
+            for at in rng.sample(range(n_words), n_changes):
+                copy[at] = word()
+            put(copy)
+    chain = [word() for _ in range(300)]  # each near the next, the ends far apart
+    for _ in range(25):
+        put(chain)
+        at = rng.randrange(280)
+        chain = chain[:at] + [word() for _ in range(12)] + chain[at + 12:]
+    exact = [word() for _ in range(22)]  # 18 shingles; 2 fewer of 20 etc.
+    put(exact)
+    put(exact[:-2])
+    put(exact[:18])  # 14 of 18, below 0.8
+    ids = list(texts)
+    rng.shuffle(ids)
+    texts = {i: texts[k] for i, k in enumerate(ids)}
+    want, pairs = _brute_kept(texts)
+    assert len(pairs) > 1000 and 5 < len(want) < len(texts) - 100
+    got = _stage(spark, documents(list(texts.items())).repartition(8))
+    assert sorted(r.doc_id for r in got.collect()) == sorted(want)
+
+
+def test_defined_cases(spark, documents):
+    rows = [(1, None), (2, ""), (3, " \n"), (4, "two words"), (5, "Two  words"), (None, "two words"), (6, "two other"), (7, "word " * 60_000),
+            (8, "one two three four five"), (9, "one two three four five"), (9, "one two three four five")]
+    got = near_text.near_dedup(documents(rows))
+    assert got.columns == documents(rows).columns
+    assert sorted(r.doc_id for r in got.collect()) == [1, 4, 6, 7, 8]
+    assert near_text.near_dedup(documents(rows).where(F.lit(False))).count() == 0
+
+
+def test_pipeline_runs_to_its_end(spark):
+    out = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
+    assert len(out) > 100 and all(r.round_trip for r in out)
+    assert not {145, 177} & {r.doc_id for r in out}
