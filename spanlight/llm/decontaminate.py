@@ -8,6 +8,13 @@ must cover the item, and its slots must be consistent, that is one filler of the
 same filler in the document and two fillers never became one. So a question asked again with other
 numbers and names is found, while a text that only has the same shape is left alone.
 
+`leaks` (op6) reads names strictly: a name that starts a sentence is a plain word there, each capitalised word is a slot of its
+own, and names go by their case, so an item whose names start its sentences can be missed when it is asked again, and
+a copy in lower case or in capitals is missed. `decontaminate` (the pipeline) removes what `leaks` finds and what two more readings
+find: "folded", in which names are plain words and case does not count, and "wide", in which a capitalised word that
+is a name elsewhere in the same text is one at the start of a sentence too and a run of name words is one slot. In both one
+occurrence also joins offsets within NEAR of each other, so a word put in or left out does not part it.
+
 Documents stream through the workers. As long as the benchmark has at most MAX_HASHES windows the workers
 hold their hashes (8 bytes each) and let pass only windows that are among them; a text that holds none of the
 words of which a match needs one is not cut into windows at all. A larger benchmark is joined with all windows
@@ -52,6 +59,8 @@ _SIGNS = "!\"#&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„‘’‚–—…·•¡
 _CLOSERS = "\"')]}»”’"
 _IS_NUMBER = re.compile(r"[$€£]?\d[\d.,:/]*%?$")
 _BREAK = "\x02"  # stands for a line feed among the words
+READINGS = ("strict", "folded", "wide")
+NEAR = 8
 _IS_NUM, _IS_UNIT, _IS_CAPITAL, _IS_END, _IS_SIGN, _IS_FOREIGN = 1, 2, 4, 8, 16, 32
 _NUMBER, _UNIT, _NAME = 1, 2, 3  # tokens of the placeholders; a plain word's token is its hash
 _FACTOR = 0x9E3779B97F4A7C15
@@ -92,12 +101,13 @@ class Words(dict):
         return packed
 
 
-def canonical(text: str, facts: Words) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+def canonical(text: str, facts: Words, reading: str = "strict") -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
     """(raw words, places, tokens, foreign): the places of the words that are not mere signs, their template
     tokens (1, 2 and 3 are number, unit and name), and which are plain words outside the vocabulary.
 
     A name is a capitalised word of two or more letters, the rest in lower case, that does not start a
-    sentence or line; a unit is a unit word right after a number.
+    sentence or line; a unit is a unit word right after a number. Other readings see the module's text; in the wide one
+    the raw word of a run's first place holds the whole run.
     """
     raw = text.replace("\n", f" {_BREAK} ").split()
     packed = np.fromiter(map(facts.__getitem__, raw), dtype=np.int64, count=len(raw))
@@ -112,10 +122,26 @@ def canonical(text: str, facts: Words) -> tuple[list[str], np.ndarray, np.ndarra
     unit = (flags & _IS_UNIT) > 0
     unit[1:] &= number[:-1]
     unit[:1] = False
-    name = ((flags & _IS_CAPITAL) > 0) & ~starts & ~unit
+    capital = ((flags & _IS_CAPITAL) > 0) & ~unit
+    name = capital & ~starts if reading != "folded" else np.zeros(len(kept), dtype=bool)
+    if reading == "wide":
+        names = {bare(raw[k]) for k in kept[name]}
+        for i in np.flatnonzero(capital & starts):
+            name[i] = bare(raw[kept[i]]) in names
     tokens = packed[kept] & ~np.int64(63)
     tokens[number], tokens[unit], tokens[name] = _NUMBER, _UNIT, _NAME
     foreign = ((flags & _IS_FOREIGN) > 0) & ~(number | unit | name)
+    if reading == "wide":
+        on = np.zeros(len(kept), dtype=bool)  # goes on with the run of the word before it
+        on[1:] = name[1:] & name[:-1] & ~starts[1:]
+        head = 0
+        for i in np.flatnonzero(on):
+            if raw[kept[i] - 1][-1:] in _SIGNS:  # a sign parts two names
+                on[i] = False
+                continue
+            head = head if on[i - 1] else i - 1
+            raw[kept[head]] = f"{raw[kept[head]]} {raw[kept[i]]}"
+        kept, tokens, foreign = kept[~on], tokens[~on], foreign[~on]
     return raw, kept, tokens, foreign
 
 
@@ -151,14 +177,14 @@ def _anchors(found: list[list[str]], coverage: float) -> dict[int, str]:
 
 
 def item_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW,
-                 coverage: float = COVERAGE) -> DataFrame:
+                 coverage: float = COVERAGE, reading: str = "strict") -> DataFrame:
     """(item_row, item_id, size, n_windows, item_at, hash, item_slots, words, anchor): all windows of all items."""
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         facts = Words()
         for batch in batches:
             out = []
             for row, item, text in zip(*[c.to_pylist() for c in batch.columns]):
-                raw, kept, tokens, foreign = canonical(text or "", facts)
+                raw, kept, tokens, foreign = canonical(text or "", facts, reading)
                 n = min(window, len(tokens))
                 at, hashes = windows(tokens, foreign, n)
                 words = [bare(raw[k]).lower() for k in kept]
@@ -195,7 +221,7 @@ def _may_match(known: Known | None):
     return lambda text: next(search.iter(text.lower()), None) is not None
 
 
-def document_windows(docs: DataFrame, sizes: list[int], known: Known | None) -> DataFrame:
+def document_windows(docs: DataFrame, sizes: list[int], known: Known | None, reading: str = "strict") -> DataFrame:
     """(doc_row, doc_id, doc_at, hash, doc_slots) from (doc_row, doc_id, text); only known hashes if these are given."""
     held = docs.sparkSession.sparkContext.broadcast(known)
 
@@ -208,7 +234,7 @@ def document_windows(docs: DataFrame, sizes: list[int], known: Known | None) ->
             for row, doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 if not text.is_valid or not may_match(text.as_py()):
                     continue
-                raw, kept, tokens, foreign = canonical(text.as_py(), facts)
+                raw, kept, tokens, foreign = canonical(text.as_py(), facts, reading)
                 for n in sizes:
                     at, hashes = windows(tokens, foreign, n)
                     if wanted is not None and len(at):
@@ -230,10 +256,11 @@ def document_windows(docs: DataFrame, sizes: list[int], known: Known | None) ->
         of, "doc_row long, doc_id long, doc_at int, hash long, doc_slots array<string>")
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, window: int = WINDOW) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, window: int = WINDOW,
+            reading: str = "strict") -> DataFrame:
     """One row per document row and item found in it: doc_row, doc_id, item_id, coverage, reparameterised,
     n_occurrences. Takes (doc_row, doc_id, text)."""
-    items = written(item_windows(benchmark, window=window, coverage=coverage))
+    items = written(item_windows(benchmark, window=window, coverage=coverage, reading=reading))
     facts = items.agg(F.count_distinct("hash").alias("n"), F.collect_set("size").alias("sizes")).first()
     if not facts.n:
         return docs.sparkSession.createDataFrame(
@@ -243,9 +270,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, w
         each = lambda c: [r.v for r in items.select(c.alias("v")).where("v IS NOT NULL").distinct().collect()]
         known = Known(np.sort(np.array(each(F.col("hash")), dtype=np.int64)), frozenset(each(F.explode("words"))),
                       frozenset(each(F.col("anchor"))))
-    found = document_windows(docs, sorted(facts.sizes), known)
+    found = document_windows(docs, sorted(facts.sizes), known, reading)
     both = found.join(small_side(items.drop("words", "anchor")), "hash")
-    occurrence = both.groupBy("doc_row", "doc_id", "item_row", "item_id", "n_windows", (F.col("doc_at") - F.col("item_at")).alias("offset")).agg(
+    offset = F.struct(F.lit(0).alias("grid"), (F.col("doc_at") - F.col("item_at")).cast("long").alias("cell"))
+    if reading != "strict":  # each offset by itself and two grids of cells, so offsets within NEAR share a cell
+        cells = [F.struct(F.lit(g).alias("grid"), F.floor((offset["cell"] + (g - 1) * NEAR) / (2 * NEAR)).alias("cell")) for g in (1, 2)]
+        both = both.withColumn("offset", F.explode(F.array(offset, *cells)))
+        offset = F.col("offset")
+    occurrence = both.groupBy("doc_row", "doc_id", "item_row", "item_id", "n_windows", offset.alias("offset")).agg(
         F.count_distinct("item_at").alias("n"),
         F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("item_slots", "doc_slots")))).alias("slots"))  # at most the item's words
     side = lambda name: F.size(F.array_distinct(F.transform("slots", lambda s: s[name])))
@@ -270,7 +302,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     numbered = written(docs.select(row.alias("row"), F.monotonically_increasing_id().alias("doc_row")))
     seen = numbered.select("doc_row", F.col("row")[id_col].cast("long").alias("doc_id"), F.col("row")[text_col].alias("text"))
-    bad = written(matches(seen, benchmark, **how).select("doc_row").distinct())
+    bad = None
+    for reading in READINGS:  # what an earlier reading found is not read again
+        left = seen if bad is None else seen.join(small_side(bad), "doc_row", "left_anti")
+        found = matches(left, benchmark, reading=reading, **how).select("doc_row").distinct()
+        bad = written(found if bad is None else bad.unionByName(found))
     kept = numbered.join(small_side(bad), "doc_row", "left_anti").select("row.*")
     return kept
 
