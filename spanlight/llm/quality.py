@@ -189,14 +189,18 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     parts = [known.where(F.col("label") == v).orderBy(order, "id").limit(sample_docs) for v in (0, 1)]
     ids = docs.select(F.col(f"`{id_col}`").alias("id")).where("id IS NOT NULL")
     # As many again, some of which turn out to be labelled: the pool of unlabelled documents.
-    pool = ids.orderBy(order, "id").limit(2 * sample_docs).distinct().join(known.select("id"), "id", "left_anti")
+    pool = ids.distinct().orderBy(order, "id").limit(2 * sample_docs).join(known.select("id"), "id", "left_anti")
     chosen = parts[0].unionByName(parts[1]).unionByName(pool.select("id", F.lit(-1).alias("label")))
     text, source, lang, n_chars = _meta_columns(docs)
     few = docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("text"), source.alias("source"), lang.alias("lang"),
                       n_chars.alias("n_chars")).join(F.broadcast(chosen), "id")  # at most 4 * sample_docs rows of 12 bytes
+    # Of repeated ids one row stays, before any feature is made.
+    content = F.xxhash64("text", "source", "lang", "n_chars")
+    few = (few.groupBy("id", "label").agg(F.min_by(F.struct("text", "source", "lang", "n_chars"), content).alias("row"))
+           .select("id", "label", "row.*"))
     return (few.select("id", "label", _features(F.col("text"), F.col("source"), F.col("lang"), F.col("n_chars")).alias("x"))
             .toPandas().assign(o=lambda d: [zlib.crc32(str(i).encode()) for i in d["id"]])
-            .sort_values(["o", "id"], kind="stable").drop_duplicates("id"))
+            .sort_values(["o", "id"], kind="stable"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality",
