@@ -6,7 +6,8 @@ windows, all of them are scored in batches, and the probabilities are averaged b
 
 The network is fitted on the driver on a bounded sample: at most `docs_per_language` documents of each
 language, chosen by a hash of their identifier, and at most `windows_per_doc` windows of each. Only
-text and language are learned from.
+text and language are learned from. At most MAX_LANGUAGES languages are learned, those with the most documents; documents of a
+rarer language always get one of these.
 
 At prediction the responses come from tables: an embedded byte times a slice of a filter is a constant
 of that byte, and two neighbours share one table of 65,536 rows, so a filter of width 4 costs two
