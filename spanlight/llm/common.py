@@ -35,6 +35,15 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new path in the shared folder; what is put there goes when the session ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/spanlight-llm/{uuid.uuid4().hex}"
+    fs, hadoop = _file_system(spark, path)
+    fs.mkdirs(hadoop.getParent())
+    fs.deleteOnExit(hadoop)
+    return path
+
+
 def written(df: DataFrame) -> DataFrame:
     """Write once to a Parquet table in the shared folder and read it back.
 
@@ -43,10 +52,8 @@ def written(df: DataFrame) -> DataFrame:
     the session ends, or earlier by `dropped`.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/spanlight-llm/{uuid.uuid4().hex}"
+    path = scratch(spark)
     df.write.parquet(path)
-    fs, hadoop = _file_system(spark, path)
-    fs.deleteOnExit(hadoop)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_path = path
     return out

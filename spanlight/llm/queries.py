@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, language_id, license_scan, lm_score, packing, quality, simhash, url_filter
+from . import (bpe, decontaminate, exact_dedup, language_id, license_scan, lm_score, packing, quality, simhash, url_filter,
+               warc)
 from .common import crc_mod, small_batches, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +93,10 @@ FROM t WINDOW g AS (PARTITION BY text_sha256)"""
 @_query("op10_exact_dedup", EXACT_SQL)
 def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
+@_query("op13_warc", warc.sql())
+def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = warc.archived(table(spark, sf_dir, "pages"))
+    return back.select(warc.identifier(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                       warc.identifier(F.col("refers_to")).alias("refers_to"))
