@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, decontaminate, exact_dedup, language_id, license_scan, lm_score, packing, quality, simhash, url_filter,
-               warc)
+from . import (bpe, decontaminate, exact_dedup, language_id, license_scan, lm_score, packing, prefix_trie, quality, simhash,
+               url_filter, warc)
 from .common import crc_mod, small_batches, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,6 +95,11 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+@_query("op12_prefix_trie", prefix_trie.sql())
+def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.shared_trie(table(spark, sf_dir, "conversations"))
+
+
 @_query("op13_warc", warc.sql())
 def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = warc.archived(table(spark, sf_dir, "pages"))
