@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, decontaminate, exact_dedup, language_id, license_scan, lm_score, packing, prefix_trie, quality, simhash,
-               url_filter, warc)
+from . import (bpe, decontaminate, exact_dedup, hard_negatives, language_id, license_scan, lm_score, packing, prefix_trie,
+               quality, simhash, url_filter, warc)
 from .common import crc_mod, small_batches, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,6 +95,13 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+@_query("op11_hard_negatives", hard_negatives.sql())
+def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    label = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(hard_negatives.stored(table(spark, sf_dir, "embeddings"), label=label), F.col("id") % 100 == 0)
+
+
 @_query("op12_prefix_trie", prefix_trie.sql())
 def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.shared_trie(table(spark, sf_dir, "conversations"))
