@@ -11,7 +11,7 @@ from .. import catalogs
 from ..operators import enrich, slo
 from ..session import shared_dir
 from ..sources import tables
-from ..streaming import jobs
+from ..streaming import jobs, state
 from . import reliability
 from .enrichment import _ENRICHED, _GOOD
 from .registry import QUERIES, Context, query
@@ -113,6 +113,55 @@ def _(c: Context):
     return jobs.crossings(c.spark, f"{run}/ledger")
 
 
+def _in_parts(c: Context, rows: DataFrame, arrived: str, run: str, closing: DataFrame, job) -> DataFrame:
+    """Feed rows in the order of arrival in two parts and a closing row that only lets time pass, with a restart
+    from the checkpoint before each; returns what the job has told."""
+    early, feed = F.col(arrived) < F.lit("2024-01-16").cast("timestamp"), f"{run}/feed"
+    for part in (rows.where(early), rows.where(~early), closing):
+        part.write.mode("append").parquet(feed)
+        stream = c.spark.readStream.schema(rows.schema).parquet(feed)
+        _finish(state.run_to(job(stream), f"{run}/out", f"{run}/checkpoint", available_now=True))
+    return c.spark.read.parquet(f"{run}/out")
+
+
+def _closing(rows: DataFrame, **times: str) -> DataFrame:
+    """One row of nulls but for the times given."""
+    return rows.sparkSession.range(1).select(*[
+        F.lit(times.get(f.name)).cast(f.dataType).alias(f.name) for f in rows.schema.fields])
+
+
+def spend_feed(spend: DataFrame) -> DataFrame:
+    """Every twentieth event comes twice, the second time three minutes later, every seventh event eight minutes late,
+    every fiftieth also with a date far ahead."""
+    one = lambda mark, ts, minutes: F.struct(F.lit(mark).alias("mark"), ts.alias("ts"), F.lit(minutes).alias("minutes"))
+    ts, late = F.col("event_ts"), F.when(F.col("seq") % 7 == 0, 8).otherwise(0)
+    plain = F.struct(F.lit("").alias("mark"), ts.alias("ts"), late.alias("minutes"))
+    none = F.slice(F.array(plain), 1, 0)
+    copies = F.concat(F.array(plain), F.when(F.col("seq") % 20 == 0, F.array(one("", ts, 3))).otherwise(none),
+                      F.when(F.col("seq") % 50 == 0, F.array(one("-ahead", F.lit("2099-01-01").cast("timestamp_ntz"), 0))).otherwise(none))
+    arrival = (ts.cast("timestamp") + F.make_dt_interval(mins=F.col("_c.minutes"))).alias("arrived")
+    return spend.select("event_id", "event_ts", "seq", "application_id", "model_name", "cost_usd", F.explode(copies).alias("_c")).select(
+        F.concat("event_id", "_c.mark").alias("event_id"), F.col("_c.ts").alias("event_ts"), "application_id", "model_name", "cost_usd", arrival)
+
+
+@query("stream_budget_state", "R7 W2", QUERIES["budget_crossings"].sql)
+def _(c: Context):
+    run, feed = _run_folder(c), spend_feed(c.spend)
+    told = _in_parts(c, feed, "arrived", run, _closing(feed, event_ts="2024-06-01", arrived="2024-06-01"),
+                     lambda stream: state.spend_crossings(stream, c.budgets, F.col("arrived")))
+    return told.where("kind IN ('alert', 'cap')")
+
+
+@query("stream_alert_life", "R8 W11 K2", QUERIES["held_error_rate_alerts"].sql.split("SELECT service_name, TIMESTAMP")[0] + """
+SELECT service_name, 'pending' AS state, TIMESTAMP '1970-01-01' + to_minutes(a) AS at, TIMESTAMP '1970-01-01' + to_minutes(a) AS since FROM s
+UNION ALL SELECT service_name, 'firing', TIMESTAMP '1970-01-01' + to_minutes(a + 10), TIMESTAMP '1970-01-01' + to_minutes(a) FROM s WHERE z - a >= 10
+UNION ALL SELECT service_name, CASE WHEN z - a >= 10 THEN 'resolved' ELSE 'cleared' END, TIMESTAMP '1970-01-01' + to_minutes(z + 1), TIMESTAMP '1970-01-01' + to_minutes(a) FROM s""")
+def _(c: Context):
+    run = _run_folder(c)
+    rows = c.obs.select("event_id", "event_ts", "service_name", "http_status", F.col("event_ts").cast("timestamp").alias("arrived"))
+    return _in_parts(c, rows, "arrived", run, _closing(rows, event_ts="2024-06-01", arrived="2024-06-01"), state.alert_transitions)
+
+
 @query("stream_held_alerts", "R8 W11", QUERIES["held_error_rate_alerts"].sql)
 def _(c: Context):
     run = _run_folder(c)
