@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..catalogs import LIFECYCLE_POLICIES, TIERING_BY_PREFIX, TIERING_DEFAULT
 from ..contract import CHECK_RULES
 from ..functions.text import short_hash
-from ..session import small_side
+from ..session import cut_lineage, small_side
 
 
 def check_report(tables: dict[str, DataFrame], rules: Sequence[tuple[str, str, str]] = CHECK_RULES) -> DataFrame:
@@ -115,3 +115,48 @@ def reconcile(source: DataFrame, target: DataFrame, key: str = "event_id") -> Da
         target.select(key, F.lit(0).alias("s"), F.lit(1).alias("t")))
     seen = both.groupBy(key).agg(F.max("s").alias("s"), F.max("t").alias("t"))
     return seen.where("s <> t").select(key, F.when(F.col("s") == 1, "target").otherwise("source").alias("missing_in"))
+
+
+DIGEST_BUCKETS = 4096
+
+
+def _digests(rows: DataFrame, at: str) -> DataFrame:
+    """(bucket, digest): count, exclusive or and two sums of the row hashes; equal for equal multisets of rows."""
+    low = F.col("_h").bitwiseAND(F.lit(0xFFFFFFFF))
+    high = F.shiftrightunsigned("_h", 32)
+    return rows.groupBy(at).agg(F.struct(F.count(F.lit(1)), F.bit_xor("_h"), F.sum(low), F.sum(high)).alias("digest"))
+
+
+def _unequal(source: DataFrame, target: DataFrame, at: str) -> DataFrame:
+    """The buckets in which the two sides differ."""
+    both = _digests(source, at).withColumnRenamed("digest", "s").join(_digests(target, at).withColumnRenamed("digest", "t"), at, "full_outer")
+    return both.where(~F.col("s").eqNullSafe(F.col("t"))).select(at)
+
+
+def reconcile_rows(source: DataFrame, target: DataFrame, key: str, values: Sequence[str] = (), buckets: int = DIGEST_BUCKETS) -> DataFrame:
+    """Keys whose rows differ between two stores: (key, state, source_rows, target_rows), state `missing in target`,
+    `missing in source`, `repeated` (the same rows, other numbers of them) or `changed`.
+
+    Both sides are first compared by the digests of `buckets` hash ranges of the key, summed in the tasks, so a range
+    travels as one row per task; then the unequal ranges by `buckets` finer ones. Rows are shuffled only
+    from finer ranges that differ: for equal stores none.
+    """
+    def side(df: DataFrame) -> DataFrame:
+        kept = df.select(key, *values)
+        spread = F.xxhash64(F.col(key).cast("string"), F.lit(7))
+        return kept.withColumns({"_h": F.xxhash64(*[F.col(c) for c in [key, *values]]), "_b": F.pmod(spread, F.lit(buckets)),
+                                 "_f": F.pmod(F.shiftrightunsigned(spread, 20), F.lit(buckets))})
+
+    s, t = side(source), side(target)
+    coarse = cut_lineage(_unequal(s, t, "_b"))  # `buckets` rows at most
+    s, t = (x.join(F.broadcast(coarse), "_b", "left_semi").withColumn("_bf", F.col("_b") * buckets + F.col("_f")) for x in (s, t))
+    fine = cut_lineage(_unequal(s, t, "_bf"))
+    s, t = (x.join(small_side(fine), "_bf", "left_semi") for x in (s, t))
+    rows = s.select(key, "_h", F.lit(1).alias("s"), F.lit(0).alias("t")).unionByName(t.select(key, "_h", F.lit(0).alias("s"), F.lit(1).alias("t")))
+    kinds = rows.groupBy(key, "_h").agg(F.sum("s").alias("s"), F.sum("t").alias("t"))
+    keys = kinds.groupBy(key).agg(
+        F.sum("s").alias("source_rows"), F.sum("t").alias("target_rows"),
+        F.max(F.col("s") != F.col("t")).alias("differ"), F.max((F.col("s") == 0) | (F.col("t") == 0)).alias("changed"))
+    state = F.when(F.col("target_rows") == 0, "missing in target").when(F.col("source_rows") == 0, "missing in source").when(
+        F.col("changed"), "changed").otherwise("repeated")
+    return keys.where("differ").select(key, state.alias("state"), "source_rows", "target_rows")

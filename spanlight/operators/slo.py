@@ -129,10 +129,17 @@ def minute_counts(events: DataFrame, definitions: DataFrame) -> DataFrame:
 def sliding_counts(minutes: DataFrame, length: int) -> DataFrame:
     """Counts in windows of `length` minutes that slide by one minute, from counts per minute.
 
-    Minutes, not events, are copied into the windows that cover them.
+    Swept by differences: a minute's counts come in with the first window that holds it and go out behind the last, two
+    rows whatever the length. Running sums per objective (minutes, not events) hold between two changes, and only after
+    the shuffle is each stretch spelled out minute by minute.
     """
-    spread = minutes.withColumn("_m", F.explode(F.sequence(F.col("minute") - (length - 1), F.col("minute"))))
+    change = lambda at, sign: F.struct(at.alias("m"), (sign * F.col("good")).alias("good"), (sign * F.col("total")).alias("total"))
+    changes = minutes.select("slo_id", F.explode(F.array(change(F.col("minute") - (length - 1), 1), change(F.col("minute") + 1, -1))).alias("c"))
+    net = changes.groupBy("slo_id", F.col("c.m").alias("_m")).agg(F.sum("c.good").alias("g"), F.sum("c.total").alias("t"))
+    order = Window.partitionBy("slo_id").orderBy("_m")
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    runs = net.select("slo_id", "_m", F.lead("_m").over(order).alias("_next"), F.sum("g").over(upto).alias("good"), F.sum("t").over(upto).alias("total"))
+    each = runs.where("total > 0").select("slo_id", F.explode(F.sequence(F.col("_m"), F.col("_next") - 1)).alias("_m"), "good", "total")
     start = F.timestamp_seconds(F.col("_m") * 60).cast("timestamp_ntz")
     end = F.timestamp_seconds((F.col("_m") + length) * 60).cast("timestamp_ntz")
-    return spread.groupBy("slo_id", "_m").agg(F.sum("good").alias("good"), F.sum("total").alias("total")).select(
-        "slo_id", start.alias("window_start"), end.alias("window_end"), "good", "total")
+    return each.select("slo_id", start.alias("window_start"), end.alias("window_end"), "good", "total")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import catalogs, contract
 from ..functions import ids, money, sampling, text, times
-from ..operators import enrich, lookups, store, validate
+from ..operators import enrich, lookups, rule_index, store, validate
 from .registry import Context, query
 from .reliability import _matched
 
@@ -175,6 +175,23 @@ def _(c: Context):
     return c.coded.select("event_id", "error_code", "raw_error_code", "error_category", "error_retryable")
 
 
+@query("error_normalisation_indexed", "J4 T4", """
+SELECT event_id, error_code, CASE WHEN rule_code IS NOT NULL AND rule_code IS DISTINCT FROM given_code THEN given_code END AS raw_error_code,
+  error_category, error_retryable FROM full_events""")
+def _(c: Context):
+    """The seed and a rule for every supplier and part, by name and in last place, matched by the index."""
+    cols = ["error_code", "category", "pattern", "priority", "retryable"]
+    seed = c.spark.createDataFrame([(r.error_code, r.category, r.pattern, r.priority, r.retryable) for r in catalogs.error_rules()],
+                                   "error_code string, category string, pattern string, priority int, retryable boolean")
+
+    def named(t, name):
+        return t.select(F.col(name).alias("error_code"), F.lit("named").alias("category"), F.concat(F.lit("failed for "), F.col(name), F.lit("[.!]?")).alias("pattern"),
+                        F.lit(9999).alias("priority"), F.lit(False).alias("retryable"))
+
+    rules = seed.unionByName(named(c.supplier, "s_name")).unionByName(named(c.part, "p_name").distinct())
+    return rule_index.with_error_code(c.obs, rules.select(*cols)).select("event_id", "error_code", "raw_error_code", "error_category", "error_retryable")
+
+
 @query("trace_context", "C1", """
 SELECT event_id, CASE WHEN seq % 5 = 0 THEN 'given' WHEN seq % 3 = 0 THEN NULL ELSE repeat('a', 32) END AS trace_id,
   CASE WHEN seq % 3 = 0 THEN NULL ELSE concat('b', CAST(seq AS VARCHAR)) END AS parent_span_id FROM obs""")

@@ -8,9 +8,9 @@ from .. import catalogs, contract
 from ..catalogs import MODEL_PRICES
 from ..functions import text, vectors
 from ..operators import feedback, governance, lookups, metrics, quality, rca, store, traces
-from ..sources import logs
+from ..sources import logs, lookup, tables
 from . import pages
-from .registry import Context, query
+from .registry import Context, query, run_folder
 from .reliability import _SCORES
 
 def _n():
@@ -165,6 +165,37 @@ def _(c: Context):
     return governance.reconcile(c.obs.where("seq % 41 <> 0"), c.obs.where("seq % 37 <> 0"))
 
 
+@query("dual_write_digests", "U3", """
+WITH s AS (SELECT event_id, latency_ms, status FROM obs WHERE seq % 41 <> 0),
+t AS (SELECT event_id, CASE WHEN seq % 53 = 0 THEN coalesce(latency_ms, 0) + 1 ELSE latency_ms END AS latency_ms, status FROM obs, range(0, 2) r(k) WHERE seq % 37 <> 0 AND (k = 0 OR seq % 59 = 0)),
+a AS (SELECT event_id, count(*) AS n, list_sort(list(DISTINCT concat(coalesce(latency_ms, -1), '|', status))) AS v FROM s GROUP BY ALL),
+b AS (SELECT event_id, count(*) AS n, list_sort(list(DISTINCT concat(coalesce(latency_ms, -1), '|', status))) AS v FROM t GROUP BY ALL)
+SELECT event_id, CASE WHEN b.n IS NULL THEN 'missing in target' WHEN a.n IS NULL THEN 'missing in source' WHEN a.v <> b.v THEN 'changed' ELSE 'repeated' END AS state,
+  n(coalesce(a.n, 0)) AS source_rows, n(coalesce(b.n, 0)) AS target_rows FROM a FULL JOIN b USING (event_id) WHERE a.n IS DISTINCT FROM b.n OR a.v IS DISTINCT FROM b.v""")
+def _(c: Context):
+    """The second store lacks some events, holds some twice and some with another latency."""
+    rows = c.obs.select("seq", "event_id", "latency_ms", "status")
+    latency = F.when(F.col("seq") % 53 == 0, F.coalesce("latency_ms", F.lit(0)) + 1).otherwise(F.col("latency_ms"))
+    copies = F.when(F.col("seq") % 59 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    other = rows.where("seq % 37 <> 0").withColumn("latency_ms", latency).select("*", F.explode(copies)).drop("col")
+    return governance.reconcile_rows(rows.where("seq % 41 <> 0"), other, "event_id", ["latency_ms", "status"])
+
+
+@query("trace_lookup", "U1 Q8 S15", """
+WITH ids AS (SELECT DISTINCT correlation_id FROM obs WHERE event_type = 'REQUEST_FAILED' AND latency_ms > 3000)
+SELECT correlation_id, event_id, event_type, event_ts, status FROM obs WHERE correlation_id IN (SELECT correlation_id FROM ids)""")
+def _(c: Context):
+    """The events of failed slow requests, by the index of an event table that was stored in two batches."""
+    run = run_folder(c)
+    stored = c.obs.select("event_id", "event_type", "event_ts", "event_date", "status", "correlation_id", "application_id", F.col("event_ts").alias("emitted_at"),
+                          F.date_format("event_ts", "yyyy-MM").alias("event_month"), "seq")
+    for part in (stored.where("seq % 3 <> 0"), stored.where("seq % 3 = 0")):
+        tables.append_events(part, f"{run}/events")
+        lookup.update(c.spark, f"{run}/events", f"{run}/index")
+    ids = c.obs.where("event_type = 'REQUEST_FAILED' AND latency_ms > 3000").select("correlation_id")
+    return lookup.events_of(c.spark, f"{run}/events", f"{run}/index", ids).select("correlation_id", "event_id", "event_type", "event_ts", "status")
+
+
 @query("incident_export", "S15", """
 WITH ids AS (SELECT DISTINCT correlation_id FROM obs WHERE event_type = 'REQUEST_FAILED' AND latency_ms > 3000)
 SELECT 'events' AS table_name, correlation_id, n(count(*)) AS rows FROM obs WHERE correlation_id IN (SELECT correlation_id FROM ids) GROUP BY ALL

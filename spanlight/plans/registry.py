@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import catalogs, fixtures
 from ..operators import enrich, lookups, validate
+from ..session import shared_dir
 
 
 class Context(fixtures.Tables):
@@ -49,6 +51,16 @@ class Context(fixtures.Tables):
             validate.good(self.validated), enrich.Dimensions(self.app_registry, self.prices, catalogs.error_rules()))
 
 
+def run_folder(c: Context) -> str:
+    """A folder of this run in the shared place; it goes when the session ends."""
+    folder = f"{shared_dir(c.spark)}/spanlight-runs/{uuid.uuid4().hex}"
+    path = c.spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(c.spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return folder
+
+
 @dataclass(frozen=True)
 class Query:
     name: str

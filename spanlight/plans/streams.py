@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import catalogs
 from ..operators import enrich, slo
-from ..session import shared_dir
 from ..sources import tables
 from ..streaming import jobs, state
 from . import reliability
 from .enrichment import _ENRICHED, _GOOD
-from .registry import QUERIES, Context, query
+from .registry import QUERIES, Context, query, run_folder
 
 del reliability  # imported for its registered SQL
 
@@ -35,16 +32,6 @@ class DocumentStream(StreamContext):
     streamed = "documents"
 
 
-def _run_folder(c: Context) -> str:
-    """A folder of this run in the shared place; it goes when the session ends."""
-    folder = f"{shared_dir(c.spark)}/spanlight-runs/{uuid.uuid4().hex}"
-    path = c.spark._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(c.spark._jsc.hadoopConfiguration())
-    fs.mkdirs(path)
-    fs.deleteOnExit(path)
-    return folder
-
-
 def _finish(q) -> None:
     q.awaitTermination()
 
@@ -75,7 +62,7 @@ SELECT application_id, date_trunc('hour', event_ts) AS hour, n(count(*)) AS even
   n(sum(input_tokens + output_tokens) FILTER (event_type LIKE 'LLM%')) AS tokens, dbl(sum(estimated_cost_usd)) AS cost_usd,
   r6(list_sort(list(latency_ms))[CAST(ceil(0.95 * count(*)) AS INT)]) AS p95_latency_ms FROM costed GROUP BY ALL""")
 def _(c: Context):
-    run, out = _run_folder(c), "usage"
+    run, out = run_folder(c), "usage"
     _late(c, _usage_events(c), run,
           lambda stream: jobs.hourly_usage(stream, f"{run}/{out}", f"{run}/checkpoint", available_now=True),
           lambda events, touched: jobs.rebuild_usage(c.spark, events, touched, f"{run}/{out}"))
@@ -89,7 +76,7 @@ _SLIDING = QUERIES["sliding_slo_counts"].sql
 SELECT 60 AS minutes, * FROM ({_SLIDING}) a UNION ALL
 SELECT 360 AS minutes, * FROM ({_SLIDING.replace("range(0, 60)", "range(0, 360)").replace("INTERVAL 1 HOUR", "INTERVAL 6 HOUR")}) b""")
 def _(c: Context):
-    run = _run_folder(c)
+    run = run_folder(c)
     _late(c, _usage_events(c), run,
           lambda stream: jobs.slo_minutes(stream, c.slos, f"{run}/out", f"{run}/checkpoint", available_now=True),
           lambda events, touched: jobs.rebuild_slo_minutes(c.spark, events, touched, c.slos, f"{run}/out"))
@@ -101,7 +88,7 @@ def _(c: Context):
 @query("stream_budget_crossings", "R7 W2", QUERIES["budget_crossings"].sql)
 def _(c: Context):
     """Every twentieth event comes twice and every fiftieth also with a date far ahead; neither changes the result."""
-    run = _run_folder(c)
+    run = run_folder(c)
     spend = StreamContext(c.spark, c.sf_dir).spend
     ahead = F.struct(F.lit("-ahead").alias("mark"), F.lit("2099-01-01").cast("timestamp_ntz").alias("ts"))
     plain = F.struct(F.lit("").alias("mark"), F.col("event_ts").alias("ts"))
@@ -146,7 +133,7 @@ def spend_feed(spend: DataFrame) -> DataFrame:
 
 @query("stream_budget_state", "R7 W2", QUERIES["budget_crossings"].sql)
 def _(c: Context):
-    run, feed = _run_folder(c), spend_feed(c.spend)
+    run, feed = run_folder(c), spend_feed(c.spend)
     told = _in_parts(c, feed, "arrived", run, _closing(feed, event_ts="2024-06-01", arrived="2024-06-01"),
                      lambda stream: state.spend_crossings(stream, c.budgets, F.col("arrived")))
     return told.where("kind IN ('alert', 'cap')")
@@ -157,14 +144,14 @@ SELECT service_name, 'pending' AS state, TIMESTAMP '1970-01-01' + to_minutes(a)
 UNION ALL SELECT service_name, 'firing', TIMESTAMP '1970-01-01' + to_minutes(a + 10), TIMESTAMP '1970-01-01' + to_minutes(a) FROM s WHERE z - a >= 10
 UNION ALL SELECT service_name, CASE WHEN z - a >= 10 THEN 'resolved' ELSE 'cleared' END, TIMESTAMP '1970-01-01' + to_minutes(z + 1), TIMESTAMP '1970-01-01' + to_minutes(a) FROM s""")
 def _(c: Context):
-    run = _run_folder(c)
+    run = run_folder(c)
     rows = c.obs.select("event_id", "event_ts", "service_name", "http_status", F.col("event_ts").cast("timestamp").alias("arrived"))
     return _in_parts(c, rows, "arrived", run, _closing(rows, event_ts="2024-06-01", arrived="2024-06-01"), state.alert_transitions)
 
 
 @query("stream_held_alerts", "R8 W11", QUERIES["held_error_rate_alerts"].sql)
 def _(c: Context):
-    run = _run_folder(c)
+    run = run_folder(c)
     _late(c, _usage_events(c), run,
           lambda stream: jobs.minute_rates(stream, f"{run}/out", f"{run}/checkpoint", available_now=True),
           lambda events, touched: jobs.rebuild_minute_rates(c.spark, events, touched, f"{run}/out"))
@@ -179,7 +166,7 @@ SELECT concat('doc-', CAST(doc_id AS VARCHAR)) AS event_id, sha256(body) AS body
 def _(c: Context):
     """Texts of documents as prompts (without digits and @, so that nothing in them is redacted): what is left in
     the event and what its pointer leads to, together again."""
-    run = _run_folder(c)
+    run = run_folder(c)
     body = F.to_json(F.struct(
         F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("event_id"), F.lit("REQUEST_RECEIVED").alias("event_type"),
         F.lit("gssp-gs").alias("service_name"), F.lit("dev").alias("environment"), F.lit("success").alias("status"),
@@ -204,7 +191,7 @@ SELECT 'dead' AS kind, 'stage1-validate' AS label, n(count(*)) AS messages, CAST
 FROM raw_checked WHERE NOT coalesce({_GOOD}, FALSE)
 UNION ALL SELECT 'processed', coalesce(application_id, ''), n(count(*)), n(count(error_code)), r6(sum(estimated_cost_usd)), n(count(note)) FROM e GROUP BY ALL""")
 def _(c: Context):
-    run = _run_folder(c)
+    run = run_folder(c)
     messages = StreamContext(c.spark, c.sf_dir).raw_events.select(F.lit("").alias("key"), "value")
     dims = lambda _: enrich.Dimensions(c.app_registry, c.prices, catalogs.error_rules())
     _finish(jobs.enrichment(messages, dims, f"{run}/processed", f"{run}/dead", f"{run}/checkpoint", available_now=True))
@@ -224,7 +211,7 @@ def _(c: Context):
 @query("stream_slo_compliance", "R1 A24", QUERIES["daily_slo_compliance"].sql)
 def _(c: Context):
     """Every day noted as touched, one after the other half of the month, and rebuilt from the event table."""
-    run = _run_folder(c)
+    run = run_folder(c)
     stored = _usage_events(c).withColumns({"payload": F.lit("{}"), "emitted_at": F.col("event_ts"), "event_month": F.date_format("event_ts", "yyyy-MM")})
     covered = -1
     for batch, part in enumerate((F.col("event_date") < F.lit("2024-01-15").cast("date"), F.col("event_date") >= F.lit("2024-01-15").cast("date"))):
@@ -238,7 +225,7 @@ def _(c: Context):
 @query("stream_event_store", "R4 S5 S6 S8 S11", """
 SELECT application_id, date_trunc('day', event_ts) AS day, n(count(*)) AS events, n(count(*) FILTER (event_type = 'REQUEST_COMPLETED')) AS completed FROM obs GROUP BY ALL""")
 def _(c: Context):
-    run = _run_folder(c)
+    run = run_folder(c)
     stream = StreamContext(c.spark, c.sf_dir).obs
     body = F.to_json(F.struct(
         "event_id", "event_type", "service_name", F.lit("dev").alias("environment"), "status", "application_id", "latency_ms",

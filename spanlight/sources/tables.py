@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from datetime import date
 
@@ -25,6 +26,8 @@ def storable(df: DataFrame) -> DataFrame:
 
 
 ROWS_PER_FILE = 2_000_000
+# Row groups without a wanted correlation id are skipped inside the files that `lookup` has found.
+BLOOM = {"parquet.bloom.filter.enabled#correlation_id": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
 # Dates come from messages. So many distinct days of a batch are listed by value; beyond, days share files by hash.
 MAX_LISTED_DAYS = 400
 
@@ -73,7 +76,7 @@ def append_events(events: DataFrame, path: str, files: dict | None = None, keys:
             fresh[1] = not_yet_stored(fresh[1], stored.where("NOT time_given"), ["event_id"])
     batch = fresh[0] if dated else fresh[0].unionByName(fresh[1])
     (laid_out(batch, "event_date", files).sortWithinPartitions("event_date", "application_id", "event_ts")
-     .write.mode("append").partitionBy("event_month", "event_date").parquet(path))
+     .write.mode("append").options(**BLOOM).partitionBy("event_month", "event_date").parquet(path))
 
 
 def stored_batch(spark: SparkSession, path: str, batch_id: int, days: Sequence) -> DataFrame:
@@ -142,15 +145,62 @@ def expired_months(spark: SparkSession, path: str, today: date, keep_months: int
     return [n for n in names if n.startswith("event_month=") and n < cutoff]
 
 
-def archive_and_drop(spark: SparkSession, path: str, archive: str, today: date, keep_months: int = 3) -> list[str]:
-    """Copy expired months to the archive, then remove them; returns their names."""
-    dropped = expired_months(spark, path, today, keep_months)
-    jvm = spark._jvm
-    for name in dropped:
-        spark.read.parquet(f"{path}/{name}").write.mode("overwrite").parquet(f"{archive}/{name}")
-        old = jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
-        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
-    return dropped
+def _content(df: DataFrame) -> str:
+    """Count and digest of rows, whatever their order: equal for equal multisets of rows."""
+    h = F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns)])
+    low = lambda c: c.bitwiseAND(F.lit(0xFFFFFFFF))  # noqa: E731  sums of 32 bits cannot overflow
+    n, x, a, b = df.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(h), F.lit(0)), F.coalesce(F.sum(low(h)), F.lit(0)),
+                        F.coalesce(F.sum(low(F.shiftrightunsigned(h, 32))), F.lit(0))).first()
+    return f"{n}-{x & (1 << 64) - 1:016x}-{a:x}-{b:x}"
+
+
+def archive_and_drop(spark: SparkSession, path: str, archive: str, today: date, keep_months: int = 3,
+                     step: Callable[[str], None] = lambda name: None) -> list[str]:
+    """Move expired months to `{archive}/{month}/move={content}`; returns the names of those moved.
+
+    A month leaves the table by one rename, is copied to a staging folder, compared with its copy by count and digest,
+    published by a rename, and taken out of the way by a rename before it is deleted. A run that stops anywhere
+    is taken up by the next one: nothing is lost, and as a copy is named by its content nothing is there twice.
+    Late rows of a month that is gone are a move of their own. Renames must be atomic, as on HDFS or a local disk.
+    `step` is told the name of each step before it is taken.
+    """
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    fs = hadoop(path).getFileSystem(conf)
+
+    def move(old: str, new: str) -> None:
+        fs.mkdirs(hadoop(new).getParent())
+        if not fs.rename(hadoop(old), hadoop(new)):
+            raise OSError(f"{old} could not be renamed to {new}")
+
+    def inside(folder: str) -> list[str]:
+        return sorted(s.getPath().getName() for s in fs.listStatus(hadoop(folder))) if fs.exists(hadoop(folder)) else []
+
+    moving, dropping, done = f"{path}/_moving", f"{path}/_dropping", []
+    left = [(name, run) for name in inside(moving) for run in inside(f"{moving}/{name}")]
+    for name in expired_months(spark, path, today, keep_months):
+        run = uuid.uuid4().hex
+        step("take")
+        move(f"{path}/{name}", f"{moving}/{name}/{run}")
+        left.append((name, run))
+    for name, run in left:
+        source = f"{moving}/{name}/{run}"
+        rows = spark.read.parquet(source)
+        content = _content(rows)
+        target, staged = f"{archive}/{name}/move={content}", f"{archive}/_staging/{name}/{run}"
+        if not exists(spark, target):
+            step("copy")
+            rows.write.mode("overwrite").parquet(staged)
+            step("compare")
+            if _content(spark.read.schema(rows.schema).parquet(staged)) != content:
+                raise OSError(f"the copy of {source} differs from it")
+            step("publish")
+            move(staged, target)
+        step("set aside")
+        move(source, f"{dropping}/{name}/{run}")
+        done.append(name)
+    step("delete")
+    fs.delete(hadoop(dropping), True)
+    return sorted(set(done))
 
 
 def read_archived(spark: SparkSession, archive: str, pointers: DataFrame, pointer: str = "pointer") -> DataFrame:
