@@ -28,53 +28,52 @@ def assemble(span_events: DataFrame) -> DataFrame:
     })
 
 
-def _doubled(start: DataFrame, rounds: int | None, merge: dict[str, Column]) -> DataFrame:
-    """Pointer doubling: every span takes over its ancestor's ancestor until none is left, or for `rounds` rounds.
+def _doubled(start: DataFrame, merge: dict[str, Column]) -> DataFrame:
+    """Pointer doubling: every span takes over its ancestor's ancestor until no further span meets a root.
 
-    `start` has the keys, `up` (null at a root) and the columns that `merge` combines; in `merge` the
-    ancestor's value of a column c is named a_c.
+    `start` has the keys, `up` (null at a root) and the columns that `merge` combines; in `merge` the ancestor's value of a
+    column c is named a_c. Round r ends for the spans at depths from 2^(r-1) up to 2^r, so once a round ends for
+    none, what still moves is on a cycle or below one.
     """
     keys = ["correlation_id", "span_id"]
     state = cut_lineage(start)
     finished, moving = state.where("up IS NULL"), state.where("up IS NOT NULL")
-    done = 0
-    while (rounds is None or done < rounds) and not moving.isEmpty():
+    left, before = moving.count(), None
+    while left and left != before:
         above = finished.unionByName(moving).select(
             "correlation_id", F.col("span_id").alias("up"), F.col("up").alias("a_up"), *[F.col(c).alias(f"a_{c}") for c in merge])
         # Only spans still moving are joined and written again; finished ones stay where they are.
         moved = cut_lineage(moving.join(above, ["correlation_id", "up"]).select(
             *keys, F.col("a_up").alias("up"), *[v.alias(c) for c, v in merge.items()]))
         finished, moving = finished.unionByName(moved.where("up IS NULL")), moved.where("up IS NOT NULL")
-        done += 1
+        left, before = moving.count(), left
     return finished.unionByName(moving)
 
 
 def tree(spans: DataFrame, with_path: bool = False) -> DataFrame:
     """depth, root_span_id, child_count, self time and, if asked for, the path of every span.
 
-    A span whose parent is missing becomes a root. No chain is longer than its trace, so a span that
-    has not met a root once its hops exceed the size of the largest trace never will: it is on a
-    cycle or below one, is flagged `on_cycle` and has no root, depth or path. Paths are made afterwards, for
-    spans with a root only, so a cycle cannot blow them up.
+    A span whose parent is missing becomes a root. A span that never meets a root is on a cycle or below one, is
+    flagged `on_cycle` and has no root, depth or path. Doubling ends with the deepest span that has a root, so what a
+    cycle gathers on the way is no longer than twice the longest path.
     """
     keys = ["correlation_id", "span_id"]
     ids = spans.select(*keys).distinct().withColumnRenamed("span_id", "parent_span_id").withColumn("_known", F.lit(True))
-    linked = cut_lineage(spans.select(*keys, "parent_span_id").join(ids, ["correlation_id", "parent_span_id"], "left").select(
-        *keys, F.when(F.col("_known"), F.col("parent_span_id")).alias("up")))
-    largest = linked.groupBy("correlation_id").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
-    start = linked.select(*keys, "up", F.col("up").isNotNull().cast("long").alias("hops"), F.coalesce("up", "span_id").alias("top"))
-    done = _doubled(start, max(1, int(largest).bit_length()), {"hops": F.col("hops") + F.col("a_hops"), "top": F.col("a_top")})
+    linked = spans.select(*keys, "parent_span_id").join(ids, ["correlation_id", "parent_span_id"], "left").select(
+        *keys, F.when(F.col("_known"), F.col("parent_span_id")).alias("up"))
+    start = linked.select(*keys, "up", F.col("up").isNotNull().cast("long").alias("hops"), F.coalesce("up", "span_id").alias("top"),
+                          *([F.col("span_id").alias("path")] if with_path else []))
+    merge = {"hops": F.col("hops") + F.col("a_hops"), "top": F.col("a_top")}
+    if with_path:
+        merge["path"] = F.concat("a_path", F.lit("/"), "path")
     rooted = F.col("up").isNull()
-    done = done.select(*keys, F.when(rooted, F.col("hops")).alias("depth"), F.when(rooted, F.col("top")).alias("root_span_id"),
-                       (~rooted).alias("on_cycle"))
+    done = _doubled(start, merge).select(
+        *keys, F.when(rooted, F.col("hops")).alias("depth"), F.when(rooted, F.col("top")).alias("root_span_id"), (~rooted).alias("on_cycle"),
+        *([F.when(rooted, F.col("path")).alias("path")] if with_path else []))
     children = spans.where(F.col("parent_span_id").isNotNull()).groupBy(
         "correlation_id", F.col("parent_span_id").alias("span_id")).agg(
         F.count(F.lit(1)).alias("child_count"), F.sum(F.col("latency_ms").cast("decimal(18,3)")).alias("_child_ms"))
     out = spans.join(done, keys).join(children, keys, "left")
-    if with_path:
-        chains = linked.join(done.where("NOT on_cycle").select(*keys), keys, "left_semi").withColumn("path", F.col("span_id"))
-        paths = _doubled(chains, None, {"path": F.concat("a_path", F.lit("/"), "path")})
-        out = out.join(paths.select(*keys, "path"), keys, "left")
     own = F.col("latency_ms").cast("decimal(18,3)") - F.coalesce("_child_ms", F.lit(0))
     return out.withColumns({
         "child_count": F.coalesce("child_count", F.lit(0)), "self_ms": own.cast("double"),
