@@ -65,7 +65,8 @@ def put_all(events: DataFrame, values: dict[str, Column]) -> DataFrame:
     named = computed_once(events, _new=new)
     named = computed_once(named, _names=F.transform("_new", lambda e: e["key"]))
     kept = F.map_filter("payload", lambda k, _: ~F.array_contains("_names", k))
-    return named.withColumn("payload", F.map_concat(kept, F.map_from_entries("_new"))).drop("_new", "_names")
+    # Readers of several keys would each rebuild the map.
+    return computed_once(named, payload=F.map_concat(kept, F.map_from_entries("_new"))).drop("_new", "_names")
 
 
 def hash_prompts(events: DataFrame, field: str = "prompt_text") -> DataFrame:
