@@ -132,11 +132,12 @@ def error_rules(rows: Iterable[Sequence] = ERROR_RULES) -> list[ErrorRule]:
     return sorted((ErrorRule(*r) for r in rows), key=lambda r: (r.priority, r.error_code))
 
 
-MAX_RULES = 1000
+# Rules beyond this number are not folded into an expression but matched by the index of `rule_index`; the result is the same.
+FOLDED_RULES = 200
 
 
-def error_rules_from_table(df: DataFrame) -> list[ErrorRule]:
-    """Active rules of a catalog table (configuration: tens of rows reach the driver)."""
+def error_rules_from_table(df: DataFrame) -> list[ErrorRule] | DataFrame:
+    """Active rules of a catalog table: as a list if they are few, else as a table, both fit for enrichment."""
     cols = ["error_code", "category", "pattern", "priority", "severity", "retryable"]
     active = df.where("status = 'active'") if "status" in df.columns else df
     compiler = df.sparkSession._jvm.java.util.regex.Pattern
@@ -148,9 +149,9 @@ def error_rules_from_table(df: DataFrame) -> list[ErrorRule]:
         except IllegalArgumentException:
             return False
 
-    rows = active.select(*cols).limit(MAX_RULES + 1).collect()
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} active error rules: they are folded into one expression")
+    rows = active.select(*cols).limit(FOLDED_RULES + 1).collect()
+    if len(rows) > FOLDED_RULES:
+        return active.select(*cols)
     return error_rules(tuple(r) for r in rows if usable(r["pattern"]))
 
 

@@ -11,7 +11,7 @@ from .. import catalogs
 from ..functions import ids, money, sampling, text
 from ..contract import ENVELOPE_FIELDS, TERMINAL_REQUEST_EVENTS
 from ..session import computed_once, small_side
-from . import budget, lookups
+from . import budget, lookups, rule_index
 
 VARIANT_MAP = "map<string,variant>"
 
@@ -22,7 +22,8 @@ class Dimensions:
 
     apps: DataFrame | None = None
     prices: DataFrame | None = None
-    rules: list[catalogs.ErrorRule] = field(default_factory=list)
+    # A list, or a table of any size (`catalogs.error_rules_from_table`), for which each batch is gone through twice.
+    rules: list[catalogs.ErrorRule] | DataFrame = field(default_factory=list)
 
 
 @dataclass
@@ -150,8 +151,8 @@ def enrich(valid: DataFrame, dims: Dimensions, settings: Settings | None = None,
             "app_criticality": F.when(known, F.col("app_criticality")),
             "app_registered": F.when(~known, F.lit(False)),
         }
-    if dims.rules:
-        out = lookups.with_error_code(out, dims.rules)
+    if dims.rules is not None and (isinstance(dims.rules, DataFrame) or dims.rules):
+        out = rule_index.with_error_code(out, dims.rules) if isinstance(dims.rules, DataFrame) else lookups.with_error_code(out, dims.rules)
         updates |= {c: F.col(c) for c in ("raw_error_code", "error_category", "error_retryable")}
     if dims.prices is not None:
         out = lookups.with_prices(out, dims.prices)

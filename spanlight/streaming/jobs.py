@@ -20,7 +20,7 @@ from ..functions import money
 from ..operators import alerts, budget, enrich, slo, store, validate
 from ..operators.rollups import hourly_application
 from ..session import small_side
-from ..sources import tables
+from ..sources import lookup, tables
 
 WATERMARK = "10 minutes"
 FLUSH = "5 seconds"
@@ -97,14 +97,15 @@ def enrichment(messages: DataFrame, dims: Callable[[SparkSession], enrich.Dimens
 
 
 def storage(processed: DataFrame, events_path: str, domain_root: str, touched_path: str, checkpoint: str,
-            watermark: str = WATERMARK, available_now: bool = False) -> StreamingQuery:
+            watermark: str = WATERMARK, available_now: bool = False, index_path: str | None = None) -> StreamingQuery:
     """Processed messages into the event table and the domain tables, noting the hours they touch.
 
     Copies that arrive within the watermark are dropped by the state store, older ones by the keys
     already stored. The watermark follows arrival, not event time, so a late event is stored all the same.
     A message without a time gets its arrival, and as that moves with every delivery its copies are told
     by their identifier alone. Domain tables are projected from what this batch left in the event table, so
-    they never hold a copy that the event table refused, and a repeated batch finds the same rows.
+    they never hold a copy that the event table refused, and a repeated batch finds the same rows. With an `index_path`
+    the files of the batch's days are entered in the look-up index of correlation ids.
     """
     arrival = F.col("timestamp") if dict(processed.dtypes).get("timestamp") == "timestamp" else F.current_timestamp()
     arrived = processed.select("value", arrival.alias("_at")).withWatermark("_at", watermark)
@@ -123,6 +124,8 @@ def storage(processed: DataFrame, events_path: str, domain_root: str, touched_pa
             if files:
                 kept = tables.stored_batch(rows.sparkSession, events_path, batch_id, list(files))
                 tables.write_domain_tables(kept, domain_root, batch_id, files)
+                if index_path:
+                    lookup.update(rows.sparkSession, events_path, index_path, days=list(files) if len(files) <= tables.MAX_LISTED_DAYS else None)
             hours = rows.select(F.date_trunc("hour", "event_ts").cast("timestamp_ntz").alias("hour")).distinct()
             tables.write_batch(hours, touched_path, batch_id)
         finally:

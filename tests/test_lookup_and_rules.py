@@ -1,5 +1,6 @@
 """Look-up by correlation id, the rule index, reconciliation by digests, retention that survives a stop, swept windows."""
 
+import json
 import random
 import re
 from datetime import date
@@ -7,8 +8,9 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from spanlight import catalogs
 from spanlight.catalogs import error_rules
-from spanlight.operators import governance, lookups, rule_index, slo
+from spanlight.operators import enrich, governance, lookups, rule_index, slo, validate
 from spanlight.sources import lookup, tables
 
 
@@ -117,6 +119,19 @@ def test_rule_index_equals_the_seed(spark):
     assert rows(rule_index.with_error_code(events, catalogue.where("false"))) == rows(lookups.with_error_code(events, []))
 
 
+def test_large_catalogue_in_enrichment(spark):
+    """A catalogue of more rules than are folded comes back as a table, and enrichment takes it as it takes a list."""
+    rows = [(f"R{i}", "x", f"fault {i}[.!]?$", 5, "error", True, "active") for i in range(catalogs.FOLDED_RULES + 50)]
+    table = spark.createDataFrame(rows, "error_code string, category string, pattern string, priority int, severity string, retryable boolean, status string")
+    known = catalogs.error_rules_from_table(table)
+    assert not isinstance(known, list) and isinstance(catalogs.error_rules_from_table(table.limit(20)), list)
+    raw = [json.dumps({"event_type": "LLM_CALL_FAILED", "service_name": "gssp-gs", "environment": "dev", "status": "failed", "event_id": f"e{i}",
+                       "payload": {"error_message": f"Fault {i * 40}!"}}) for i in range(8)]
+    good = validate.good(validate.validate(spark.createDataFrame([(r,) for r in raw], "value string")))
+    found = {r.event_id: r.error_code for r in enrich.enrich(good, enrich.Dimensions(rules=known)).collect()}
+    assert found == {f"e{i}": f"R{i * 40}" if i * 40 < len(rows) else None for i in range(8)}
+
+
 def test_reconcile_rows(spark):
     rnd = random.Random(2)
     rows = [(f"k{i}", rnd.choice([None, 1, 2]), "v") for i in range(2000)] + [(None, 1, "v"), ("twice", 1, "v"), ("twice", 1, "v"), ("pair", 1, "v"), ("pair", 2, "v")]
