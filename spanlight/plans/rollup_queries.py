@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from .. import catalogs
 
 from ..functions import text
-from ..operators import alerts, anomaly, budget, metrics, quality, rollups, slo
-from .registry import Context, query
+from ..operators import alerts, anomaly, budget, metrics, quality, rollups, sketches, slo
+from .registry import Context, query, run_folder
 from .reliability import _BURN, _DAILY, _matched
 
 _WORDS = r"list_distinct(list_filter(regexp_split_to_array(lower({}), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda t: t <> ''))"
@@ -326,6 +326,21 @@ def _(c: Context):
     return rollups.ingestion(jobs)
 
 
+@query("weekly_adoption_from_hours", "A39 A43 Q26", """
+WITH a AS (SELECT application_id, count(DISTINCT user_id) AS n FROM obs WHERE seq % 3 = 0 GROUP BY ALL),
+u AS (SELECT application_id, CAST(date_trunc('week', event_ts) AS DATE) AS period_start, count(*) AS events, count(DISTINCT user_id) AS users,
+  count(DISTINCT user_id) FILTER (user_id IN (SELECT user_id FROM obs i WHERE i.seq % 3 = 0 AND i.application_id = obs.application_id)) AS shared
+  FROM obs GROUP BY ALL)
+SELECT u.application_id, period_start, n(events) AS events, n(users) AS active_users, n(a.n) AS users_with_access, CASE WHEN a.n IS NOT NULL THEN n(shared) END AS active_with_access,
+  r6(100.0 * shared / a.n) AS adoption_pct FROM u LEFT JOIN a ON a.application_id = u.application_id""")
+def _(c: Context):
+    """Weekly users of an application, and those among the users with access, from stored hourly sketches."""
+    path = f"{run_folder(c)}/hourly"
+    sketches.hourly_sketches(c.obs.where("application_id IS NOT NULL"), ["application_id"]).write.parquet(path)
+    access = sketches.user_set(c.obs.where("seq % 3 = 0 AND application_id IS NOT NULL"), ["application_id"])
+    return sketches.adoption(sketches.over_period(c.spark.read.parquet(path), ["application_id"], "week"), access, ["application_id"])
+
+
 @query("adoption", "A39 Q26", """
 WITH a AS (SELECT n_name AS country, count(*) AS users_with_access FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL),
 u AS (SELECT n_name AS country, count(DISTINCT o_custkey) AS active_users FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
