@@ -1,6 +1,6 @@
 """Byte-level BPE encoding and decoding by monoid tree reduction.
 
-A text is halved until its parts are small; each part is encoded alone, and neighbours are joined by
+A text is halved until its parts are small; the pieces of each part are merged alone, and neighbours are joined by
 re-encoding a window around the seam. The window grows until what lies outside is proven stable:
 
 * Between pieces of the split pattern: a place where a space or line feed follows a character that is
@@ -27,15 +27,16 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
-import tiktoken
 from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructType
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-LEAF_CHARS = 4096  # a text part this short is encoded at once
+LEAF_CHARS = 1024  # a text part this short is a leaf: its pieces are merged one by one
 LEAF_BYTES = 64  # and a part of one long piece
+LEAF_TOKENS = 4096  # ids that are decoded at once
+CACHED_PIECES = 200_000  # short pieces whose ids a worker keeps
 WINDOW_CHARS = 32
 WINDOW_TOKENS = 4
 _SYNC = re.compile(r"(?<=[^\s\x1c-\x1f\x85])[ \n]")
@@ -52,18 +53,50 @@ def vocabulary(content: bytes, pattern: str = public_tokenizers.PATTERN) -> "Voc
     return Vocabulary(content, pattern)
 
 
+class Pieces(dict):
+    """Packed ids of pieces met before. Holds a bounded number of short pieces; others are encoded each time."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = np.array(self.encode(piece.encode()), dtype="<u4").tobytes()
+        if len(self) < CACHED_PIECES and len(piece) <= LEAF_BYTES:
+            self[piece] = ids
+        return ids
+
+
 class Vocabulary:
-    """Ranks of a vocabulary, with the encoder of small parts, the joins and the decoder."""
+    """Ranks of a vocabulary, with the encoder of pieces, the joins and the decoder."""
 
     def __init__(self, content: bytes, pattern: str = public_tokenizers.PATTERN):
         self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, content.splitlines()) if a}
         self.bytes_of = {rank: token for token, rank in self.ranks.items()}
         self.pattern = regex.compile(pattern)
-        self.small = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=self.ranks, special_tokens={})
+        self.no_rank = max(self.ranks.values(), default=0) + 1
+        self.pieces = Pieces(self.piece)
 
     # one piece ----------------------------------------------------------
     def merged(self, piece: bytes) -> list[int]:
         """Merge neighbours by lowest rank, leftmost first, until no two can merge."""
+        return self._merged_short(piece) if len(piece) <= LEAF_BYTES else self._merged_long(piece)
+
+    def _merged_short(self, piece: bytes) -> list[int]:
+        get, none = self.ranks.get, self.no_rank
+        parts = [piece[i:i + 1] for i in range(len(piece))]
+        pair = [get(piece[i:i + 2], none) for i in range(len(piece) - 1)]  # of each part and its right neighbour
+        while pair and (least := min(pair)) < none:
+            i = pair.index(least)
+            parts[i] += parts.pop(i + 1)
+            del pair[i]
+            if i < len(pair):
+                pair[i] = get(parts[i] + parts[i + 1], none)
+            if i:
+                pair[i - 1] = get(parts[i - 1] + parts[i], none)
+        return [self.ranks[part] for part in parts]
+
+    def _merged_long(self, piece: bytes) -> list[int]:
         n, ranks = len(piece), self.ranks
         if n == 1:
             return [ranks[piece]]
@@ -122,9 +155,7 @@ class Vocabulary:
 
     # a text -------------------------------------------------------------
     def _leaf(self, text: str) -> np.ndarray:
-        if len(text) <= LEAF_CHARS:
-            return np.array(self.small.encode_ordinary(text), dtype=np.uint32)
-        return np.array([i for m in self.pattern.finditer(text) for i in self.piece(m.group().encode())], dtype=np.uint32)
+        return np.frombuffer(b"".join(map(self.pieces.__getitem__, self.pattern.findall(text))), dtype="<u4")
 
     def _without(self, ids: np.ndarray, n_bytes: int, last: bool) -> np.ndarray:
         """ids without the tokens of the last (or first) n_bytes, which end at a token's edge."""
@@ -160,7 +191,7 @@ class Vocabulary:
         return self.join_texts(text[:half], self.encode(text[:half]), text[half:], self.encode(text[half:]))
 
     def decode(self, ids: list[int]) -> bytes:
-        if len(ids) <= LEAF_CHARS:
+        if len(ids) <= LEAF_TOKENS:
             return self._text(ids)
         half = len(ids) // 2
         return self.decode(ids[:half]) + self.decode(ids[half:])

@@ -3,6 +3,8 @@
 import re
 
 import corpus_pipeline
+import public_tokenizers
+import tiktoken
 from spanlight.llm import bpe, quality
 from spanlight.llm.common import written
 from spanlight.llm.simhash import fingerprint
@@ -52,7 +54,8 @@ def test_stages_and_run(spark, tmp_path):
 
     out = corpus_pipeline.run(spark, sf).collect()
     assert {r.doc_id for r in out} == set(kept) and all(r.round_trip for r in out)
-    library = bpe.vocabulary(bpe.rank_file(spark).value).small
+    ranks = bpe.vocabulary(bpe.rank_file(spark).value).ranks
+    library = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     assert all(r.n_tokens == len(library.encode_ordinary(kept[r.doc_id].text or "")) for r in out)
 
 
