@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import catalogs, contract
 from ..catalogs import MODEL_PRICES
 from ..functions import text, vectors
-from ..operators import feedback, governance, lookups, metrics, quality, rca, store, traces
+from ..operators import feedback, governance, lookups, metrics, quality, rca, store, traces, vector_search
 from ..sources import logs, lookup, tables
 from . import pages
 from .registry import Context, query, run_folder
@@ -455,6 +455,25 @@ def _(c: Context):
     return quality.recall_at_k(retrieved, relevant, 3)
 
 
+@query("nearest_vectors", "A23", """
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s AS (SELECT q.vec_id AS query_id, r.vec_id AS neighbour_id, round(list_cosine_similarity(q.e, r.e), 9) AS similarity
+  FROM v q JOIN v r ON r.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0),
+t AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, neighbour_id) AS rank FROM s)
+SELECT n(query_id) AS query_id, n(neighbour_id) AS neighbour_id, r6(similarity) AS similarity, n(rank) AS rank FROM t WHERE rank <= 10""")
+def _(c: Context):
+    v = vector_search.usable(c.embeddings)
+    centres = vector_search.fit_cells(v)
+    return vector_search.nearest(vector_search.index(v, centres), centres, v.where("id % 100 = 0"), 10, len(centres))
+
+
+@query("vector_search_recall", "A23")
+def _(c: Context):
+    keys = c.embeddings.select(F.concat(F.lit("corpus-"), (F.col("label") % 4).cast("string")).alias("corpus"), F.col("vec_id").alias("query_id"))
+    return vector_search.search_recall(vector_search.usable(c.embeddings), F.col("id") % 100 == 0, keys)
+
+
 @query("daily_rag_quality", "A20", """
 SELECT rag_id, event_date AS day, r6(davg(avg_relevance_score)) AS avg_faithfulness, r6(davg(citation_coverage)) AS avg_precision, n(count(*)) AS sample_count
 FROM obs WHERE event_type = 'RAG_RETRIEVAL_COMPLETED' GROUP BY ALL""")
