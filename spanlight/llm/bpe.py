@@ -21,6 +21,7 @@ from __future__ import annotations
 import base64
 import heapq
 import re
+import struct
 from functools import lru_cache
 
 import numpy as np
@@ -61,7 +62,8 @@ class Pieces(dict):
         self.encode = encode
 
     def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.encode(piece.encode()), dtype="<u4").tobytes()
+        ranks = self.encode(piece.encode())
+        ids = struct.pack(f"<{len(ranks)}I", *ranks)
         if len(self) < CACHED_PIECES and len(piece) <= LEAF_BYTES:
             self[piece] = ids
         return ids
