@@ -8,22 +8,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import small_side
-from .order_stats import percentiles, ratio
+from .order_stats import ratio, trailing_percentiles
 
 BASELINE_DAYS = 7
 _PROBS = {"p50": 0.50, "p95": 0.95, "p99": 0.99}
 
 
 def baselines(values: DataFrame, keys: Sequence[str], value: str, days: int = BASELINE_DAYS) -> DataFrame:
-    """Per key and day: p50, p95, p99 of the `days` days before it, element int(n*p) of the sorted values.
-
-    Values are compacted to counts per (key, day, value) before they are spread over the days whose
-    baseline they belong to.
-    """
-    compact = values.where(F.col(value).isNotNull()).groupBy(
-        *keys, F.col("event_ts").cast("date").alias("_d"), F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    spread = compact.select(*keys, F.explode(F.sequence(F.date_add("_d", 1), F.date_add("_d", days))).alias("day"), "v", "c")
-    return percentiles(spread, [*keys, "day"], "v", _PROBS, method="index", weight="c")
+    """Per key and day: p50, p95, p99 of the `days` days before it, element int(n*p) of the sorted values."""
+    return trailing_percentiles(values, keys, F.col("event_ts").cast("date"), value, _PROBS, days, method="index")
 
 
 def score(value: Column, p95: Column, p99: Column) -> Column:

@@ -51,6 +51,50 @@ def percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str,
         .withColumn("_bin", value_bin(F.col("_v")))
     )
     histogram = counted.groupBy(*keys, "_bin").agg(F.sum("_c").alias("_bc"))
+    wanted = _wanted_bins(histogram, keys, probs, method).select(
+        *[F.col(k).alias(f"_w_{k}") for k in keys], F.col("_bin").alias("_w_bin"), "_n", "_base")
+    # Null-safe equality keeps Spark from adding a filter to one use of `counted` only; both uses then
+    # share one scan and one shuffle.
+    hits = counted.join(wanted, _same([*keys, "_bin"], "_w_", {"_bin": "_w_bin"})).select(*keys, "_bin", "_v", "_c", "_n", "_base")
+    return _at_ranks(hits, keys, probs, method)
+
+
+def trailing_percentiles(df: DataFrame, keys: Sequence[str], day: Column, value: str, probs: dict[str, float],
+                         days: int, method: str = "continuous") -> DataFrame:
+    """Exact percentiles per key and day of the values of the `days` days before it.
+
+    A value is not copied into the days it counts for. Only the daily histograms are, whose size per key and day is
+    bounded; together they tell the bins that hold the wanted ranks, and a value follows a day only if it lies in such
+    a bin, which is 0.4 % wide. Days without values before them give no row; null and NaN values do not count.
+    """
+    keys = list(keys)
+    counted = (
+        df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
+        .groupBy(*keys, day.alias("_d"), F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+        .withColumn("_bin", value_bin(F.col("_v")))
+    )
+    later = F.explode(F.sequence(F.date_add("_d", 1), F.date_add("_d", days))).alias("day")
+    histogram = counted.groupBy(*keys, "_d", "_bin").agg(F.sum("_c").alias("_dc")).select(*keys, later, "_bin", "_dc")
+    histogram = histogram.groupBy(*keys, "day", "_bin").agg(F.sum("_dc").alias("_bc"))
+    earlier = F.explode(F.sequence(F.date_sub("day", days), F.date_sub("day", 1))).alias("_w__d")
+    wanted = _wanted_bins(histogram, [*keys, "day"], probs, method).select(
+        *[F.col(k).alias(f"_w_{k}") for k in keys], "day", F.col("_bin").alias("_w_bin"), "_n", "_base", earlier)
+    hits = counted.join(wanted, _same([*keys, "_d", "_bin"], "_w_", {"_bin": "_w_bin"}))
+    hits = hits.groupBy(*keys, "day", "_bin", "_v", "_n", "_base").agg(F.sum("_c").alias("_c"))
+    return _at_ranks(hits, [*keys, "day"], probs, method)
+
+
+def _same(names: Sequence[str], prefix: str, named: dict[str, str]) -> Column:
+    """Null-safe equality of columns with their prefixed namesakes."""
+    condition = F.lit(True)
+    for name in names:
+        condition = condition & F.col(name).eqNullSafe(F.col(named.get(name, f"{prefix}{name}")))
+    return condition
+
+
+def _wanted_bins(histogram: DataFrame, keys: Sequence[str], probs: dict[str, float], method: str) -> DataFrame:
+    """(keys, _bin, _n, _base): of a histogram (keys, _bin, _bc) the bins in which a wanted rank lies, the number of all
+    values of the key and of those below the bin."""
     part = [F.col(k) for k in keys] or [F.lit(1)]
     by_bin = Window.partitionBy(*part).orderBy("_bin")
     upto = by_bin.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -63,14 +107,11 @@ def percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str,
         low, high, _ = _positions(p, F.col("_n"), method)
         for rank in (low, high):
             inside = inside | ((rank >= F.col("_base")) & (rank < F.col("_base") + F.col("_bc")))
-    wanted = binned.where(inside).select(
-        *[F.col(k).alias(f"_w_{k}") for k in keys], F.col("_bin").alias("_w_bin"), "_n", "_base")
-    # Null-safe equality keeps Spark from adding a filter to one use of `counted` only; both uses then
-    # share one scan and one shuffle.
-    condition = F.col("_bin").eqNullSafe(F.col("_w_bin"))
-    for k in keys:
-        condition = condition & F.col(k).eqNullSafe(F.col(f"_w_{k}"))
-    hits = counted.join(wanted, condition).select(*keys, "_bin", "_v", "_c", "_n", "_base")
+    return binned.where(inside).select(*keys, "_bin", "_n", "_base")
+
+
+def _at_ranks(hits: DataFrame, keys: Sequence[str], probs: dict[str, float], method: str) -> DataFrame:
+    """The values at the wanted ranks, from the counted values (keys, _bin, _v, _c, _n, _base) of the wanted bins."""
     within = Window.partitionBy(*keys, "_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = hits.withColumn("_last", F.col("_base") + F.sum("_c").over(within) - 1).withColumn(
         "_first", F.col("_last") - F.col("_c") + 1

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 from .order_stats import running_sums
 
+FEW_SPANS = 50_000  # so many spans of chosen traces are walked level by level
+FEW_LEVELS = 64  # and no deeper than this
+
 
 def assemble(span_events: DataFrame) -> DataFrame:
     """Started and terminal events of a span as one row: start, end, status; open spans have no end."""
@@ -70,16 +73,51 @@ def tree(spans: DataFrame, with_path: bool = False) -> DataFrame:
     done = _doubled(start, merge).select(
         *keys, F.when(rooted, F.col("hops")).alias("depth"), F.when(rooted, F.col("top")).alias("root_span_id"), (~rooted).alias("on_cycle"),
         *([F.when(rooted, F.col("path")).alias("path")] if with_path else []))
+    return _with_children(spans, done)
+
+
+def _with_children(spans: DataFrame, placed: DataFrame) -> DataFrame:
+    """The spans with their places in the tree, number of children and self time."""
+    keys = ["correlation_id", "span_id"]
     children = spans.where(F.col("parent_span_id").isNotNull()).groupBy(
         "correlation_id", F.col("parent_span_id").alias("span_id")).agg(
         F.count(F.lit(1)).alias("child_count"), F.sum(F.col("latency_ms").cast("decimal(18,3)")).alias("_child_ms"))
-    out = spans.join(done, keys).join(children, keys, "left")
+    out = spans.join(placed, keys).join(children, keys, "left")
     own = F.col("latency_ms").cast("decimal(18,3)") - F.coalesce("_child_ms", F.lit(0))
     return out.withColumns({
         "child_count": F.coalesce("child_count", F.lit(0)), "self_ms": own.cast("double"),
     }).drop("_child_ms")
 
 
+def tree_of(spans: DataFrame, ids: DataFrame, with_path: bool = False) -> DataFrame:
+    """`tree` of a few traces, those whose correlation_id is in `ids`: a recursive query from the roots down.
+
+    Their spans are read once and kept; a level then is one small join, and a shallow trace needs no rounds of
+    checkpoints. The recursion stops by itself at the deepest span; spans it does not meet are on a cycle or below one. Traces of
+    more than FEW_SPANS spans together, or with a span below FEW_LEVELS, are left to `tree`, whose result is the same.
+    """
+    keys = ["correlation_id", "span_id"]
+    few = cut_lineage(spans.join(ids.select("correlation_id").distinct(), "correlation_id", "left_semi"))
+    if few.limit(FEW_SPANS + 1).count() > FEW_SPANS:
+        return tree(few, with_path)
+    known = few.select(*keys).distinct().withColumnRenamed("span_id", "parent_span_id").withColumn("_known", F.lit(True))
+    linked = cut_lineage(few.select(*keys, "parent_span_id").join(known, ["correlation_id", "parent_span_id"], "left").select(
+        *keys, F.when(F.col("_known"), F.col("parent_span_id")).alias("up")))
+    reached = cut_lineage(few.sparkSession.sql(f"""
+        WITH RECURSIVE walk(correlation_id, span_id, depth, root_span_id, path) MAX RECURSION LEVEL {FEW_LEVELS + 2} AS (
+          SELECT correlation_id, span_id, 0L, span_id, span_id FROM {{linked}} WHERE up IS NULL
+          UNION ALL
+          SELECT l.correlation_id, l.span_id, w.depth + 1, w.root_span_id, concat(w.path, '/', l.span_id)
+          FROM walk w JOIN {{linked}} l ON l.correlation_id = w.correlation_id AND l.up = w.span_id WHERE w.depth < {FEW_LEVELS})
+        SELECT * FROM walk""", linked=linked))
+    deep = reached.where(F.col("depth") == FEW_LEVELS).select("correlation_id", F.col("span_id").alias("up"))
+    if not linked.join(deep, ["correlation_id", "up"], "left_semi").isEmpty():
+        return tree(few, with_path)
+    placed = linked.select(*keys).join(reached if with_path else reached.drop("path"), keys, "left").withColumn(
+        "on_cycle", F.col("depth").isNull())
+    return _with_children(few, placed)
+
+
 def waterfall(spans: DataFrame) -> DataFrame:
     """Offset from the trace start, position in the trace, running tokens."""
     starts = spans.groupBy("correlation_id").agg(F.min("event_ts").alias("_t0"))

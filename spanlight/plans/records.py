@@ -243,6 +243,22 @@ def _(c: Context):
     return traces.tree(c.spans, with_path=True).select("correlation_id", "span_id", "depth", "root_span_id", "path", "child_count", "self_ms")
 
 
+@query("trace_tree", "W8 Q8", """
+WITH RECURSIVE ids AS (SELECT DISTINCT correlation_id FROM obs WHERE event_type = 'REQUEST_FAILED' AND latency_ms > 3000),
+chosen AS (SELECT * FROM spans WHERE correlation_id IN (SELECT correlation_id FROM ids)),
+linked AS (SELECT s.correlation_id, s.span_id, p.span_id AS parent FROM chosen s
+    LEFT JOIN chosen p ON p.correlation_id = s.correlation_id AND p.span_id = s.parent_span_id),
+t AS (SELECT correlation_id, span_id, 0 AS depth, span_id AS root_span_id, span_id AS path FROM linked WHERE parent IS NULL
+  UNION ALL SELECT l.correlation_id, l.span_id, t.depth + 1, t.root_span_id, t.path || '/' || l.span_id FROM t JOIN linked l ON l.correlation_id = t.correlation_id AND l.parent = t.span_id),
+k AS (SELECT correlation_id, parent, count(*) AS c FROM linked WHERE parent IS NOT NULL GROUP BY ALL)
+SELECT t.correlation_id, t.span_id, n(t.depth) AS depth, t.root_span_id, t.path, n(coalesce(k.c, 0)) AS child_count
+FROM t LEFT JOIN k ON k.correlation_id = t.correlation_id AND k.parent = t.span_id""")
+def _(c: Context):
+    """The trees of the traces of failed slow requests, walked from their roots."""
+    ids = c.obs.where("event_type = 'REQUEST_FAILED' AND latency_ms > 3000").select("correlation_id")
+    return traces.tree_of(c.spans, ids, with_path=True).select("correlation_id", "span_id", "depth", "root_span_id", "path", "child_count")
+
+
 @query("waterfall", "W10 Q8", """
 SELECT correlation_id, event_id, r6((epoch_us(event_ts) - epoch_us(min(event_ts) OVER (PARTITION BY correlation_id))) / 1000.0e0) AS offset_ms,
   n(row_number() OVER w) AS position, n(sum(input_tokens + output_tokens) OVER w) AS running_tokens

@@ -119,3 +119,30 @@ def test_baseline_uses_only_earlier_days(spark):
     df = spark.createDataFrame(rows, "k string, ts string, v double").withColumn("event_ts", F.col("ts").cast("timestamp_ntz"))
     got = {str(r["day"]): r["p50"] for r in anomaly.baselines(df, ["k"], "v").collect()}
     assert got["2026-01-02"] == 1.0 and got["2026-01-11"] == 7.0 and "2026-01-01" not in got
+
+
+def test_trailing_percentiles_copy_histograms_not_values(spark):
+    rnd = random.Random(9)
+    rows = [("hot" if rnd.random() < 0.7 else rnd.choice(["b", None]), f"2026-01-{rnd.choice([1, 2, 3, 5, 14, 25]):02d}",
+             rnd.choice([-1, 1]) * round(rnd.expovariate(0.01), 3) if rnd.random() > 0.05 else rnd.choice([None, float("nan"), 0.0])) for _ in range(4000)]
+    df = spark.createDataFrame(rows, "k string, d string, v double").withColumn("d", F.col("d").cast("date"))
+    probs = {"p0": 0.0, "p50": 0.5, "p95": 0.95, "p99": 0.99}
+    out = order_stats.trailing_percentiles(df, ["k"], F.col("d"), "v", probs, 7)
+    got = {(r["k"], r["day"].day + 31 * (r["day"].month - 1)): r for r in out.collect()}
+    expected = {}
+    for k, d, v in rows:
+        if v is not None and v == v:
+            for ahead in range(1, 8):
+                expected.setdefault((k, int(d[-2:]) + ahead), []).append(v)
+    assert set(got) == set(expected)
+    for key, values in expected.items():
+        for name, q in probs.items():
+            assert abs(got[key][name] - np.quantile(values, q)) < 1e-9, (key, name)
+    # The rows that are copied into later days carry bins, not values.
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert all("_v#" not in line.split("[")[1] for line in plan.splitlines() if "Generate explode" in line and "_dc#" in line)
+
+
+def test_trailing_percentiles_of_nothing(spark):
+    df = spark.createDataFrame([], "k string, d date, v double")
+    assert order_stats.trailing_percentiles(df, ["k"], F.col("d"), "v", {"p50": 0.5}, 7).count() == 0

@@ -18,6 +18,23 @@ def test_deep_chain_orphan_and_cycle(spark):
     assert got["s0"]["child_count"] == 1 and got["s0"]["self_ms"] == 0.0
 
 
+def test_few_traces_walk_to_the_same_trees(spark):
+    def edges(t, pairs):
+        return [(t, s, p, 2.0) for s, p in pairs]
+
+    shallow = [("a", None), ("b", "a"), ("c", "a"), ("d", "c"), ("o", "lost"), ("x", "y"), ("y", "x"), ("z", "x"), ("self", "self")]
+    deep = [("s0", None)] + [(f"s{i}", f"s{i - 1}") for i in range(1, 2 * traces.FEW_LEVELS)]
+    at_limit = deep[:traces.FEW_LEVELS + 1]
+    rows = edges("t1", shallow) + edges("t2", shallow[:4]) + edges("far", deep) + edges("edge", at_limit) + edges(None, shallow[:2])
+    spans = spark.createDataFrame(rows, "correlation_id string, span_id string, parent_span_id string, latency_ms double")
+    columns = ["correlation_id", "span_id", "depth", "root_span_id", "path", "on_cycle", "child_count", "self_ms"]
+    for chosen in (["t1"], ["t1", "t2", "t2"], ["far"], ["edge", "t1"], ["none"]):
+        ids = spark.createDataFrame([(c,) for c in chosen], "correlation_id string")
+        got = sorted(map(tuple, traces.tree_of(spans, ids, with_path=True).select(columns).collect()))
+        whole = traces.tree(spans.where(F.col("correlation_id").isin(chosen)), with_path=True)
+        assert got == sorted(map(tuple, whole.select(columns).collect())) and len(got) == sum(r[0] in chosen for r in rows)
+
+
 def test_started_and_terminal_share_a_span(spark):
     rows = [("t", "a", None, "e1", "STARTED", "2026-01-01 00:00:00", None), ("t", "a", None, "e2", "TERMINAL", "2026-01-01 00:00:02", "failed"),
             ("t", "b", "a", "e3", "STARTED", "2026-01-01 00:00:01", None)]
