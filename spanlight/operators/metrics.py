@@ -136,7 +136,7 @@ def document_metrics(events: DataFrame, application: DataFrame, scores: DataFram
 
     Ratios of sums need no rollup in between and come from one pass over the events. `application` is the
     hourly application rollup (mean and worst hourly latency), `scores` has (faithfulness), `spend` is `budget.totals`,
-    `compliance` the daily compliance of objectives.
+    `compliance` the daily counts of objectives (`slo.daily_counts`, or `slo.daily_compliance` where it is stored anyway).
     """
     t = F.col("event_type")
 

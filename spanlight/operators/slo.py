@@ -78,6 +78,15 @@ def daily_compliance(rates: DataFrame) -> DataFrame:
     )
 
 
+def daily_counts(events: DataFrame, definitions: DataFrame) -> DataFrame:
+    """Good and total events and sli_pct per objective and day, as in `daily_compliance`, without its burn rates: one
+    pass over the events and no order among them."""
+    keys = ["slo_id", "application_id", "target_pct", "window_days", day("event_ts").alias("day")]
+    return slo_events(events, definitions).groupBy(*keys).agg(
+        F.sum("good").alias("good_events"), F.count(F.lit(1)).alias("total_events"),
+        ratio(F.sum("good"), F.count(F.lit(1)), 100.0).alias("sli_pct"))
+
+
 def error_budget(compliance: DataFrame) -> DataFrame:
     """Share of the error budget used over the rolling window of days, what is left, and when it runs out."""
     epoch_day = F.datediff("day", F.lit("1970-01-01").cast("date"))

@@ -195,7 +195,7 @@ def _(c: Context):
     e = c.costed
     return metrics.document_metrics(
         e, rollups.hourly_application(e), quality.answer_quality(c.qa_pairs), budget.totals(c.spend, c.budgets),
-        slo.daily_compliance(slo.burn_rates(c.obs, c.slos)))
+        slo.daily_counts(c.obs, c.slos))
 
 
 @query("guardrail_block_rate", "A18", """

@@ -96,6 +96,17 @@ def test_failed_request_and_full_target(spark):
     assert full["total_events"] == 1 and full["burn_rate_1h"] is None and full["breached"] is False
 
 
+def test_daily_counts_equal_daily_compliance(spark):
+    rnd = random.Random(11)
+    rows = [_request(i, f"2026-01-0{1 + rnd.randrange(3)} {rnd.randrange(24):02d}:{rnd.randrange(60):02d}:00", rnd.choice(["success", "success", "failed"]),
+                     rnd.choice([50.0, 150.0, None]), rnd.choice(["app-1234", "other"])) for i in range(300)]
+    columns = ["slo_id", "application_id", "target_pct", "window_days", "day", "good_events", "total_events", "sli_pct"]
+    for objectives in (_slos(spark), _slos(spark, "latency", 100)):
+        events = _requests(spark, rows)
+        counts = sorted(map(tuple, slo.daily_counts(events, objectives).select(columns).collect()))
+        assert len(counts) == 3 and counts == sorted(map(tuple, slo.daily_compliance(slo.burn_rates(events, objectives)).select(columns).collect()))
+
+
 def test_no_objective_no_rows(spark):
     assert slo.burn_rates(_requests(spark, [_request(1, "2026-01-01 10:00:00", app="other")]), _slos(spark)).count() == 0
 
