@@ -1,14 +1,16 @@
 """Exact dedup by content sort.
 
 Normalised texts are sorted over the whole cluster: sampled splitters range-partition the rows, the
-external sort of each task places equal texts next to each other, and each text is compared in full
-with its neighbour. A splitter is (first 64 bytes, SHA-256, identifier), about 100 bytes, so the
-sample that the driver sees stays small however long the texts are, and a group that fills more than
-one task is split by its identifiers. What meets at the seams of tasks is one row per task: the
-digests of its first and last text.
+external sort of each task orders them by content, which places equal texts next to each other, and each
+text is compared in full with its neighbour. A splitter is (first 64 characters, SHA-256, identifier), about
+100 bytes, so the sample that the driver sees stays small however long the texts are, and a group that
+fills more than one task is split by its identifiers. A task holds a range of these keys, so a group that goes
+on in another task is that of its least or of its greatest key, wherever its content stands in the order of the
+task. These two meet their neighbours at the seams by one row per task, which holds the digests of both.
 
 Defined cases: a null text counts as empty; null identifiers sort last and are never preferred; of
-fully repeated rows exactly one stays; an empty table gives an empty table.
+fully repeated rows exactly one stays; texts of any length are compared whole, a very long one is moved and sorted as one
+row; columns of any name are kept as they are; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -48,35 +50,38 @@ def _runs(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
 
 
 def _sorted_runs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(pid, run, first, sha, id, row) in content order; `row` holds every column of the input."""
+    """(pid, run, first, prefix, sha, id, row) in content order within each task; `row` holds every column of the input."""
     norm = normalised(F.col("row")[text_col])
     keyed = (docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
              .select("row", F.col("row")[id_col].alias("id"), norm.alias("norm"))
              .select("row", "id", F.substring("norm", 1, PREFIX_CHARS).alias("prefix"),
                      F.unhex(F.sha2(F.col("norm").cast("binary"), 256)).alias("sha")))
-    order = [F.col("prefix"), F.col("sha"), F.col("id").asc_nulls_last()]
-    placed = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
-    return (placed.withColumn("at", _runs(norm))
-            .select(F.spark_partition_id().alias("pid"), "at.run", "at.first", "sha", "id", "row"))
+    least_first = F.col("id").asc_nulls_last()
+    # The text is normalised again behind the exchange, so that it travels once.
+    placed = keyed.repartitionByRange(F.col("prefix"), F.col("sha"), least_first).withColumn("norm", norm)
+    ordered = placed.sortWithinPartitions(F.col("norm"), least_first)
+    return (ordered.withColumn("at", _runs(F.col("norm")))
+            .select(F.spark_partition_id().alias("pid"), "at.run", "at.first", "prefix", "sha", "id", "row"))
 
 
 def _seams(runs: DataFrame) -> DataFrame:
-    """(pid, head_pid, head_run) of tasks whose first run began in an earlier task; one row per task."""
+    """(pid, run, head_pid, head_run): of tasks whose group of the least key began in an earlier task that group's run, and the
+    task and run in which it began; one row per task."""
+    key = F.struct("prefix", "sha")
     ends = runs.groupBy("pid").agg(
-        F.min_by("sha", "run").alias("head"), F.max_by("sha", "run").alias("tail"), F.max("run").alias("last_run"))
+        F.min_by(F.struct("sha", "run"), key).alias("head"), F.max_by(F.struct("sha", "run"), key).alias("tail"))
     by_task = Window.orderBy("pid")  # one row per shuffle partition, whatever the size of the data
-    joined = F.coalesce(F.col("head") == F.lag("tail").over(by_task), F.lit(False))
-    starts = F.when(~F.col("joined") | (F.col("last_run") > 0), F.struct("pid", F.col("last_run").alias("run")))
+    joined = F.coalesce(F.col("head.sha") == F.lag("tail.sha").over(by_task), F.lit(False))
+    starts = F.when(~F.col("joined") | (F.col("tail.run") != F.col("head.run")), F.struct("pid", F.col("tail.run").alias("run")))
     return (ends.withColumn("joined", joined).withColumn("start", starts)
             .withColumn("open", F.last("start", ignorenulls=True).over(by_task.rowsBetween(Window.unboundedPreceding, -1)))
-            .where("joined").select("pid", F.col("open.pid").alias("head_pid"), F.col("open.run").alias("head_run")))
+            .where("joined").select("pid", F.col("head.run").alias("run"), F.col("open.pid").alias("head_pid"), F.col("open.run").alias("head_run")))
 
 
 def _continued(rows: DataFrame, seams: DataFrame) -> DataFrame:
     """`moved`: the row's run began in an earlier task, at (head_pid, head_run)."""
-    # At most one row of 20 bytes per shuffle partition, whatever the size of the data.
-    out = rows.join(F.broadcast(seams), "pid", "left")
-    return out.withColumn("moved", F.col("head_pid").isNotNull() & (F.col("run") == 0))
+    # At most one row of 30 bytes per shuffle partition, whatever the size of the data.
+    return rows.join(F.broadcast(seams), ["pid", "run"], "left").withColumn("moved", F.col("head_pid").isNotNull())
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

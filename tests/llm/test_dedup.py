@@ -48,6 +48,31 @@ def test_exact_hot_group_over_many_tasks(spark, documents):
         assert got[i].text_sha256 == hashlib.sha256(t.encode()).hexdigest()
 
 
+def test_exact_groups_that_cross_tasks_amid_one_prefix(spark, documents):
+    """All texts begin alike, so the keys that split tasks go by digest while a task sorts by content."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    given = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        ends = [i % 7 if i % 3 else 100 for i in range(1200)] + [1000 + i for i in range(200)]
+        rows = [(i, "same start " * 10 + f"{end:04d}") for i, end in enumerate(ends)]
+        docs = documents(rows).repartition(8)
+        assert exact_dedup._sorted_runs(docs, "doc_id", "text").groupBy("sha").agg({"pid": "max"}).count() == len(set(ends))
+        parts = exact_dedup._sorted_runs(docs, "doc_id", "text").where("id % 3 = 0 AND id < 1200").select("pid").distinct().count()
+        assert parts > 1  # the largest group fills several tasks
+        members = {}
+        for i, end in enumerate(ends):
+            members.setdefault(end, []).append(i)
+        got = {r.doc_id: r for r in exact_dedup.exact_groups(docs).collect()}
+        assert len(got) == len(rows)
+        for i, end in enumerate(ends):
+            r, least = got[i], min(members[end])
+            assert (r.keep_id, r.group_size, r.kept) == (least, len(members[end]), i == least)
+        assert sorted(r.doc_id for r in exact_dedup.dedup(docs).collect()) == sorted(map(min, members.values()))
+    finally:
+        spark.conf.set(key, given)
+
+
 def test_exact_defined_cases(spark, documents):
     rows = [(1, None), (2, ""), (3, " "), (4, "\t\n"), (5, "a b"), (5, "a b"), (None, "a b"), (7, "x" * 300_000), (8, "x" * 300_000)]
     got = exact_dedup.exact_groups(documents(rows)).collect()
