@@ -244,7 +244,7 @@ def _(c: Context):
 
 
 @query("trace_tree", "W8 Q8", """
-WITH RECURSIVE ids AS (SELECT DISTINCT correlation_id FROM obs WHERE event_type = 'REQUEST_FAILED' AND latency_ms > 3000),
+WITH RECURSIVE ids AS (SELECT DISTINCT correlation_id FROM spans WHERE latency_ms > 6500),
 chosen AS (SELECT * FROM spans WHERE correlation_id IN (SELECT correlation_id FROM ids)),
 linked AS (SELECT s.correlation_id, s.span_id, p.span_id AS parent FROM chosen s
     LEFT JOIN chosen p ON p.correlation_id = s.correlation_id AND p.span_id = s.parent_span_id),
@@ -254,8 +254,8 @@ k AS (SELECT correlation_id, parent, count(*) AS c FROM linked WHERE parent IS N
 SELECT t.correlation_id, t.span_id, n(t.depth) AS depth, t.root_span_id, t.path, n(coalesce(k.c, 0)) AS child_count
 FROM t LEFT JOIN k ON k.correlation_id = t.correlation_id AND k.parent = t.span_id""")
 def _(c: Context):
-    """The trees of the traces of failed slow requests, walked from their roots."""
-    ids = c.obs.where("event_type = 'REQUEST_FAILED' AND latency_ms > 3000").select("correlation_id")
+    """The trees of the traces with a very slow span, walked from their roots."""
+    ids = c.spans.where("latency_ms > 6500").select("correlation_id")
     return traces.tree_of(c.spans, ids, with_path=True).select("correlation_id", "span_id", "depth", "root_span_id", "path", "child_count")
 
 
