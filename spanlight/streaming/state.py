@@ -1,15 +1,17 @@
 """Streaming operators with keyed state and event-time timers: spend per budget, life of an alert.
 
-State lives in the state store (RocksDB under `build_session`), is versioned with the checkpoint and restored from it,
-so a restart neither repeats nor forgets a result; the file sink takes each batch once. A batch costs what it brings
-and what is due, not what came before.
+State lives in a RocksDB state store, which `run_to` sets for these jobs whatever the session has; it is versioned with
+the checkpoint and restored from it, so a restart neither repeats nor forgets a result; the file sink takes each batch
+once. A batch costs what it brings and what is due, not what came before.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
@@ -18,10 +20,17 @@ from pyspark.sql.streaming.query import StreamingQuery
 from ..functions.times import NTZ
 from ..operators import budget
 
+# Processors are sent by value: the worker that Spark starts for them beside the driver may not find this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Money in state is a whole number of 10^-8 dollars.
 _UNIT = 100_000_000
 _DAY_MS = 86_400_000
 
+# Several states under one key need column families, which Spark's default store does not have.
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 SPEND_OUT = ("application_id string, limit_model string, period string, period_day int, kind string, event_id string, "
              "ts long, spend long, cap long")
 ALERT_OUT = "service_name string, state string, minute long, since long"
@@ -234,4 +243,14 @@ def alert_transitions(events: DataFrame, share: float = 0.05, rate_minutes: int
 def run_to(rows: DataFrame, out: str, checkpoint: str, available_now: bool = False, interval: str = "5 seconds") -> StreamingQuery:
     """Into a table of files; the sink's log takes each batch once, also after a restart."""
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
-    return rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).outputMode("append").trigger(**trigger).start()
+    writer = rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).outputMode("append").trigger(**trigger)
+    conf = rows.sparkSession.conf
+    before = conf.get(_PROVIDER, None)
+    conf.set(_PROVIDER, _ROCKSDB)
+    try:
+        return writer.start()  # the query takes a copy of the settings here
+    finally:
+        if before is None:
+            conf.unset(_PROVIDER)
+        else:
+            conf.set(_PROVIDER, before)
