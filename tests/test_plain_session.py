@@ -28,7 +28,7 @@ assert spark.conf.get(store, None) == before, "the session's own setting has cha
 """
 
 
-@pytest.mark.parametrize("name", ["stream_budget_state"])
+@pytest.mark.parametrize("name", ["stream_budget_state", "stream_alert_life"])
 def test_state_needs_no_setting_of_the_session(name, data_dir, tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     run = subprocess.run([sys.executable, "-c", SCRIPT, ROOT, data_dir, name, str(tmp_path)], cwd=tmp_path, env=env,
