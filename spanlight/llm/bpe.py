@@ -1,6 +1,7 @@
 """Byte-level BPE encoding and decoding by monoid tree reduction.
 
-A text is halved until its parts are small; the pieces of each part are merged alone, and neighbours are joined by
+A text is halved until its parts are small; the pieces of each part are merged alone (new short ones of many parts a
+round at a time in numpy, as each takes the same steps), and neighbours are joined by
 re-encoding a window around the seam. The window grows until what lies outside is proven stable:
 
 * Between pieces of the split pattern: a place where a space or line feed follows a character that is
@@ -22,7 +23,9 @@ import base64
 import heapq
 import re
 import struct
-from functools import lru_cache
+from collections.abc import Iterable, Iterator
+from functools import cached_property, lru_cache
+from itertools import chain, repeat, tee
 
 import numpy as np
 import public_tokenizers
@@ -36,11 +39,16 @@ from pyspark.sql.types import BinaryType, LongType, StructType
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 LEAF_CHARS = 1024  # a text part this short is a leaf: its pieces are merged one by one
 LEAF_BYTES = 64  # and a part of one long piece
+GROUP_CHARS = 1 << 20  # leaves whose pieces are looked up, and merged if new, together
+MERGED_AT_ONCE = 1024  # short pieces merged together
 LEAF_TOKENS = 4096  # ids that are decoded at once
-CACHED_PIECES = 200_000  # short pieces whose ids a worker keeps
+CACHED_PIECES = 1_000_000  # short pieces whose ids a worker keeps
 WINDOW_CHARS = 32
 WINDOW_TOKENS = 4
 _SYNC = re.compile(r"(?<=[^\s\x1c-\x1f\x85])[ \n]")
+# The public pattern, written so that each alternative starts with other characters than the one before can.
+_SPLIT = {r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+":
+          " ?[{L}]+|'(?:[stmd]|re|ve|ll)| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"}
 
 
 def rank_file(spark: SparkSession, path: str | None = None) -> Broadcast:
@@ -49,23 +57,47 @@ def rank_file(spark: SparkSession, path: str | None = None) -> Broadcast:
         return spark.sparkContext.broadcast(f.read())
 
 
+def narrow_pattern(pattern: str) -> re.Pattern | None:
+    """The split pattern for texts of characters below U+0100, where a class is a small table and `re` is faster.
+
+    The classes hold the characters that `regex` gives them, so both split alike. None if the pattern has no such form.
+    """
+    if pattern not in _SPLIT:
+        return None
+    low = "".join(map(chr, range(256)))
+    members = {name: "".join(map(re.escape, regex.findall(kind, low))) for name, kind in (("L", r"\p{L}"), ("N", r"\p{N}"), ("S", r"\s"))}
+    return re.compile(_SPLIT[pattern].format(**members))
+
+
 @lru_cache(maxsize=2)
 def vocabulary(content: bytes, pattern: str = public_tokenizers.PATTERN) -> "Vocabulary":
     return Vocabulary(content, pattern)
 
 
 class Pieces(dict):
-    """Packed ids of pieces met before. Holds a bounded number of short pieces; others are encoded each time."""
+    """Packed ids of pieces met before. Holds a bounded number of short pieces; others are encoded each time, or
+    kept in `passing` for as long as one group of leaves lasts.
+    """
 
-    def __init__(self, encode):
+    def __init__(self, encode, encode_many):
         super().__init__()
-        self.encode = encode
+        self.encode, self.encode_many = encode, encode_many
+        self.passing: dict[str, bytes] = {}
+
+    def learn(self, pieces: set[str]) -> None:
+        """Encode the short pieces that are new, all together."""
+        new = [p for p in pieces if p not in self and len(p) <= LEAF_BYTES]
+        found = dict(zip(new, self.encode_many([p.encode() for p in new])))
+        room = len(self) + len(found) <= CACHED_PIECES
+        self.passing = {} if room else found
+        if room:
+            self.update(found)
 
     def __missing__(self, piece: str) -> bytes:
-        ranks = self.encode(piece.encode())
-        ids = struct.pack(f"<{len(ranks)}I", *ranks)
-        if len(self) < CACHED_PIECES and len(piece) <= LEAF_BYTES:
-            self[piece] = ids
+        ids = self.passing.get(piece)
+        if ids is None:
+            ranks = self.encode(piece.encode())
+            ids = struct.pack(f"<{len(ranks)}I", *ranks)
         return ids
 
 
@@ -76,8 +108,86 @@ class Vocabulary:
         self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, content.splitlines()) if a}
         self.bytes_of = {rank: token for token, rank in self.ranks.items()}
         self.pattern = regex.compile(pattern)
+        self.narrow = narrow_pattern(pattern)
         self.no_rank = max(self.ranks.values(), default=0) + 1
-        self.pieces = Pieces(self.piece)
+        self.pieces = Pieces(self.piece, self.packed_pieces)
+
+    # many short pieces ---------------------------------------------------
+    @cached_property
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Every two tokens that merge, as (left << 32 | right) in order, and what they merge to."""
+        get, found = self.ranks.get, {}
+        for token, rank in self.ranks.items():
+            for i in range(1, len(token)):
+                if (a := get(token[:i])) is not None and (b := get(token[i:])) is not None:
+                    found[a << 32 | b] = rank
+        keys = np.fromiter(found.keys(), np.int64, len(found))
+        order = np.argsort(keys)
+        return keys[order], np.fromiter(found.values(), np.int64, len(found))[order]
+
+    def _ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """What two tokens merge to, `no_rank` if they do not."""
+        keys, merged = self.pairs
+        if not len(keys):
+            return np.full(left.shape, self.no_rank)
+        wanted = left << 32 | right
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        return np.where(keys[at] == wanted, merged[at], self.no_rank)
+
+    def _merged_together(self, pieces: list[bytes]) -> list[bytes]:
+        """Packed ids of short pieces by the steps of `merged`, in every piece one merge a round."""
+        width, none = max(map(len, pieces)) + 1, self.no_rank
+        sizes = np.array([len(p) for p in pieces])
+        given = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8).reshape(-1, width)
+        first = np.array([self.ranks[bytes([c])] for c in range(256)])
+        # no_rank also fills what is behind a piece's end.
+        parts = np.where(np.arange(width) < sizes[:, None], first[given], none)
+        pair = self._ranks_of(parts[:, :-1], parts[:, 1:])
+        which, columns = np.arange(len(pieces)), np.arange(width)
+        out: list[bytes] = [b""] * len(pieces)
+        while len(which):
+            at = pair.argmin(1)
+            least = np.take_along_axis(pair, at[:, None], 1)[:, 0]
+            done = least == none
+            if done.any():
+                packed, row = parts[done].astype("<u4").tobytes(), 4 * width
+                for k, (i, n) in enumerate(zip(which[done].tolist(), (4 * sizes[done]).tolist())):
+                    out[i] = packed[k * row:k * row + n]
+                parts, pair, at, least, which, sizes = (x[~done] for x in (parts, pair, at, least, which, sizes))
+            rows = np.arange(len(which))
+            behind = np.minimum(columns + (columns > at[:, None]), width - 1)
+            parts = np.take_along_axis(parts, behind, 1)
+            parts[rows, at] = least
+            parts[:, -1] = none
+            pair = np.take_along_axis(pair, np.minimum(behind[:, :-1], width - 2), 1)
+            pair[:, -1] = none
+            sizes = sizes - 1
+            pair[rows, at] = self._ranks_of(least, parts[rows, at + 1])
+            inner = rows[at > 0]
+            before = at[inner] - 1
+            pair[inner, before] = self._ranks_of(parts[inner, before], least[inner])
+        return out
+
+    def packed_pieces(self, pieces: list[bytes]) -> list[bytes]:
+        """Packed ids of each piece, as `piece` gives them; short ones are merged together.
+
+        A vocabulary without a token for every byte has merges of parts that are no tokens, so `pairs` is not enough for it.
+        """
+        alone = not all(bytes([c]) in self.ranks for c in range(256))
+        out: list[bytes] = [b""] * len(pieces)
+        short: list[int] = []
+        for i, p in enumerate(pieces):
+            if alone or p in self.ranks or not 1 < len(p) <= LEAF_BYTES:
+                ranks = self.piece(p)
+                out[i] = struct.pack(f"<{len(ranks)}I", *ranks)
+            else:
+                short.append(i)
+        short.sort(key=lambda i: len(pieces[i]))
+        for k in range(0, len(short), MERGED_AT_ONCE):
+            part = short[k:k + MERGED_AT_ONCE]
+            for i, ids in zip(part, self._merged_together([pieces[i] for i in part])):
+                out[i] = ids
+        return out
 
     # one piece ----------------------------------------------------------
     def merged(self, piece: bytes) -> list[int]:
@@ -156,8 +266,18 @@ class Vocabulary:
         return [whole] if whole is not None else self._piece_tree(piece)
 
     # a text -------------------------------------------------------------
+    def split(self, text: str) -> list[str]:
+        """The matches of the pattern, one after the other."""
+        if self.narrow is not None:
+            try:
+                text.encode("latin-1")
+                return self.narrow.findall(text)
+            except UnicodeEncodeError:
+                pass
+        return self.pattern.findall(text)
+
     def _leaf(self, text: str) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.pieces.__getitem__, self.pattern.findall(text))), dtype="<u4")
+        return np.frombuffer(b"".join(map(self.pieces.__getitem__, self.split(text))), dtype="<u4")
 
     def _without(self, ids: np.ndarray, n_bytes: int, last: bool) -> np.ndarray:
         """ids without the tokens of the last (or first) n_bytes, which end at a token's edge."""
@@ -186,11 +306,48 @@ class Vocabulary:
         return np.concatenate([self._without(left_ids, len(left[a:].encode()), True), window,
                                self._without(right_ids, len(right[:b].encode()), False)])
 
-    def encode(self, text: str) -> np.ndarray:
+    def _cut(self, text: str) -> int:
+        """Where a text is halved, at a start of a piece if one is near; 0 if it is a leaf."""
         if len(text) <= LEAF_CHARS or not _SYNC.search(text):
-            return self._leaf(text)
+            return 0
         half = len(text) // 2
-        return self.join_texts(text[:half], self.encode(text[:half]), text[half:], self.encode(text[half:]))
+        return m.start() if (m := _SYNC.search(text, half, half + WINDOW_CHARS)) else half
+
+    def _leaves(self, text: str) -> Iterator[str]:
+        if at := self._cut(text):
+            yield from self._leaves(text[:at])
+            yield from self._leaves(text[at:])
+        else:
+            yield text
+
+    def _encoded(self, leaves: Iterable[str]) -> Iterator[np.ndarray]:
+        """The ids of leaves, group by group."""
+        group, chars = [], 0
+        for last, leaf in chain(zip(repeat(False), leaves), [(True, "")]):
+            group.append(leaf)
+            chars += len(leaf)
+            if last or chars >= GROUP_CHARS:
+                split = [self.split(x) for x in (group[:-1] if last else group)]
+                self.pieces.learn(set().union(*split))
+                for pieces in split:
+                    yield np.frombuffer(b"".join(map(self.pieces.__getitem__, pieces)), dtype="<u4")
+                group, chars = [], 0
+
+    def _tree(self, text: str, leaves: Iterator[np.ndarray]) -> np.ndarray:
+        if not (at := self._cut(text)):
+            return next(leaves)
+        left = self._tree(text[:at], leaves)
+        return self.join_texts(text[:at], left, text[at:], self._tree(text[at:], leaves))
+
+    def encode_many(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
+        """The ids of each text; leaves of several texts are encoded together, so `texts` is read one group ahead."""
+        ahead, texts = tee(texts)
+        leaves = self._encoded(leaf for text in ahead for leaf in self._leaves(text))
+        for text in texts:
+            yield self._tree(text, leaves)
+
+    def encode(self, text: str) -> np.ndarray:
+        return next(self.encode_many([text]))
 
     def decode(self, ids: list[int]) -> bytes:
         if len(ids) <= LEAF_TOKENS:
@@ -206,7 +363,7 @@ def encode(text: Column, ranks: Broadcast) -> Column:
     @F.arrow_udf(kind)
     def of(texts: pa.Array) -> pa.Array:
         vocab = vocabulary(ranks.value)
-        packed = [vocab.encode(t.as_py()).astype("<u4").tobytes() for t in texts]
+        packed = [ids.astype("<u4").tobytes() for ids in vocab.encode_many(t.as_py() for t in texts)]
         return pa.StructArray.from_arrays(
             [pa.array(packed, pa.binary()), pa.array([len(p) // 4 for p in packed], pa.int64())], ["ids", "n_tokens"])
 

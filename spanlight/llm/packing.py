@@ -118,8 +118,9 @@ def pack(docs: DataFrame, ranks: Broadcast, id_col: str = "doc_id", text_col: st
                 yield rows_of([[held[j] for j in row] for row in rows[i:i + 1024]])
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = vocab.encode(text.as_py()).astype(dtype) if text.is_valid else ()
+            texts = (text.as_py() or "" for text in batch.column(1))
+            for doc, ids in zip(batch.column(0).to_pylist(), vocab.encode_many(texts)):
+                ids = ids.astype(dtype)
                 whole = len(ids) // row_tokens * row_tokens
                 for i in range(0, whole, row_tokens * 1024):
                     upto = min(whole, i + row_tokens * 1024)
