@@ -38,9 +38,8 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids (packed, little-endian), round_trip: whether decoding gives back the text."""
     small_batches(spark)
     ranks = bpe.rank_file(spark)
-    tokens = docs.select("doc_id", "text", bpe.encode(F.col("text"), ranks).alias("e"))
-    return tokens.select("doc_id", F.col("e.n_tokens").alias("n_tokens"), F.col("e.ids").alias("ids"),
-                         (bpe.decode(F.col("e.ids"), ranks) == F.coalesce("text", F.lit("")).cast("binary")).alias("round_trip"))
+    return docs.select("doc_id", bpe.encode(F.col("text"), ranks, checked=True).alias("e")).select(
+        "doc_id", "e.n_tokens", "e.ids", "e.round_trip")
 
 
 STAGES = [

@@ -34,7 +34,7 @@ import regex
 from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, LongType, StructType
+from pyspark.sql.types import BinaryType, BooleanType, LongType, StructType
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 LEAF_CHARS = 1024  # a text part this short is a leaf: its pieces are merged one by one
@@ -356,16 +356,27 @@ class Vocabulary:
         return self.decode(ids[:half]) + self.decode(ids[half:])
 
 
-def encode(text: Column, ranks: Broadcast) -> Column:
-    """struct<ids: binary of little-endian unsigned 32-bit integers, n_tokens: long>."""
+def encode(text: Column, ranks: Broadcast, checked: bool = False) -> Column:
+    """struct<ids: binary of little-endian unsigned 32-bit integers, n_tokens: long>, if `checked` also round_trip: boolean,
+    whether the ids decode to the bytes of the text.
+
+    `decode` behind `encode` runs in a second Python worker of the same task. Idle workers serve either function, so in
+    time all of them keep pieces and a vocabulary; the check in the same call needs no second one.
+    """
     kind = StructType().add("ids", BinaryType()).add("n_tokens", LongType())
+    if checked:
+        kind = kind.add("round_trip", BooleanType())
 
     @F.arrow_udf(kind)
     def of(texts: pa.Array) -> pa.Array:
         vocab = vocabulary(ranks.value)
-        packed = [ids.astype("<u4").tobytes() for ids in vocab.encode_many(t.as_py() for t in texts)]
-        return pa.StructArray.from_arrays(
-            [pa.array(packed, pa.binary()), pa.array([len(p) // 4 for p in packed], pa.int64())], ["ids", "n_tokens"])
+        packed, same = [], []
+        for text, ids in zip(texts, vocab.encode_many(t.as_py() for t in texts)):
+            packed.append(ids.astype("<u4").tobytes())
+            if checked:
+                same.append(vocab.decode(ids.tolist()) == text.as_py().encode())
+        out = [pa.array(packed, pa.binary()), pa.array([len(p) // 4 for p in packed], pa.int64())]
+        return pa.StructArray.from_arrays(out + [pa.array(same, pa.bool_())] * checked, kind.names)
 
     return of(F.coalesce(text, F.lit("")))
 

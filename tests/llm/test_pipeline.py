@@ -1,10 +1,13 @@
 """The pipeline's stages, one after another, against brute force on each stage's own input."""
 
+import base64
 import re
 
 import corpus_pipeline
 import public_tokenizers
 import tiktoken
+from pyspark.sql import functions as F
+
 from spanlight.llm import bpe, quality
 from spanlight.llm.common import written
 from spanlight.llm.simhash import fingerprint
@@ -64,3 +67,20 @@ def test_empty_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = written(stage(spark, docs, "/root/testdata/sf0.001"))
         assert docs.count() == 0
+
+
+def test_one_python_worker_encodes_and_checks(spark, documents):
+    """A second function of the same task would double the workers, and with them the vocabularies and pieces they hold."""
+    out = corpus_pipeline.encoded(spark, documents([(1, "Ein Wort, 12 words"), (2, None), (3, "漢字 \U0001f600")]), "")
+    assert out._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert out.columns == ["doc_id", "n_tokens", "ids", "round_trip"]
+    got = {r.doc_id: r for r in out.collect()}
+    assert set(got) == {1, 2, 3} and all(r.round_trip and len(r.ids) == 4 * r.n_tokens for r in got.values())
+    assert got[2].n_tokens == 0 < got[3].n_tokens
+
+
+def test_check_finds_ids_that_decode_to_another_text(spark, documents):
+    ranks = [(bytes([i]), i) for i in range(256) if i != 98] + [(b"b", 97)]  # "a" and "b" share an id
+    content = spark.sparkContext.broadcast(b"\n".join(base64.b64encode(t) + b" %d" % r for t, r in ranks))
+    rows = documents([(1, "c"), (2, "a"), (3, "b")]).select("doc_id", bpe.encode(F.col("text"), content, checked=True).alias("e"))
+    assert {r.doc_id: (r.e.n_tokens, r.e.round_trip) for r in rows.collect()} == {1: (1, True), 2: (1, False), 3: (1, True)}
