@@ -111,10 +111,11 @@ def _in_parts(c: Context, rows: DataFrame, arrived: str, run: str, closing: Data
     return c.spark.read.parquet(f"{run}/out")
 
 
-def _closing(rows: DataFrame, **times: str) -> DataFrame:
-    """One row of nulls but for the times given."""
-    return rows.sparkSession.range(1).select(*[
-        F.lit(times.get(f.name)).cast(f.dataType).alias(f.name) for f in rows.schema.fields])
+def _closing(rows: DataFrame) -> DataFrame:
+    """One row of nulls but for its times, which lie 120 days behind the last arrival, wherever in time that is."""
+    end = (F.coalesce(F.max("arrived"), F.lit("2024-01-31").cast("timestamp")) + F.make_dt_interval(days=F.lit(120))).alias("_end")
+    return rows.agg(end).select(*[
+        (F.col("_end") if f.name in ("event_ts", "arrived") else F.lit(None)).cast(f.dataType).alias(f.name) for f in rows.schema.fields])
 
 
 def spend_feed(spend: DataFrame) -> DataFrame:
@@ -134,7 +135,7 @@ def spend_feed(spend: DataFrame) -> DataFrame:
 @query("stream_budget_state", "R7 W2", QUERIES["budget_crossings"].sql)
 def _(c: Context):
     run, feed = run_folder(c), spend_feed(c.spend)
-    told = _in_parts(c, feed, "arrived", run, _closing(feed, event_ts="2024-06-01", arrived="2024-06-01"),
+    told = _in_parts(c, feed, "arrived", run, _closing(feed),
                      lambda stream: state.spend_crossings(stream, c.budgets, F.col("arrived")))
     return told.where("kind IN ('alert', 'cap')")
 
@@ -146,7 +147,7 @@ UNION ALL SELECT service_name, CASE WHEN z - a >= 10 THEN 'resolved' ELSE 'clear
 def _(c: Context):
     run = run_folder(c)
     rows = c.obs.select("event_id", "event_ts", "service_name", "http_status", F.col("event_ts").cast("timestamp").alias("arrived"))
-    return _in_parts(c, rows, "arrived", run, _closing(rows, event_ts="2024-06-01", arrived="2024-06-01"), state.alert_transitions)
+    return _in_parts(c, rows, "arrived", run, _closing(rows), state.alert_transitions)
 
 
 @query("stream_held_alerts", "R8 W11", QUERIES["held_error_rate_alerts"].sql)

@@ -170,19 +170,24 @@ class AlertLife(StatefulProcessor):
         recent.update({m: c for m, c in given.items() if judged is None or m > judged})
         out = []
         if recent:
-            minute = min(recent) if judged is None else judged + 1
+            minutes = sorted(recent)
+            minute = minutes[0] if judged is None else judged + 1
+            first = upto = failed = total = 0  # minutes[first:upto] are those of the last `rate`; their sums
             while minute <= to:
-                recent = {m: c for m, c in recent.items() if m > minute - self.rate}
-                inside = [c for m, c in recent.items() if m <= minute]
+                while upto < len(minutes) and minutes[upto] <= minute:
+                    f, t = recent[minutes[upto]]
+                    failed, total, upto = failed + f, total + t, upto + 1
+                while first < upto and minutes[first] <= minute - self.rate:
+                    f, t = recent[minutes[first]]
+                    failed, total, first = failed - f, total - t, first + 1
+                inside = first < upto
                 if not inside and state == "ok":
-                    ahead = [m for m in recent if m <= to]
-                    if not ahead:
+                    if upto == len(minutes) or minutes[upto] > to:
                         break
-                    minute = min(ahead)
+                    minute = minutes[upto]
                     continue
-                failed, total = sum(c[0] for c in inside), sum(c[1] for c in inside)
                 # The floor on the total keeps an idle service from dividing by zero.
-                over = bool(inside) and failed / max(float(total), 0.001 * self.rate * 60) > self.share
+                over = inside and failed / max(float(total), 0.001 * self.rate * 60) > self.share
                 if over and state == "ok":
                     state, since = "pending", minute
                     out.append((key[0], state, minute, since))
@@ -194,6 +199,7 @@ class AlertLife(StatefulProcessor):
                     state = "ok"
                 judged = minute
                 minute += 1
+            recent = {m: recent[m] for m in minutes[first:]}
         if state == "ok" and not any(m > to - self.rate + 1 for m in recent):
             # Nothing is open: only what has been judged is kept, so that no minute is judged twice.
             recent, judged = {}, max(to, judged if judged is not None else to)

@@ -1,11 +1,15 @@
 """Keyed streaming state: spend per budget and the life of an alert, over restarts."""
 
+import time
 from datetime import datetime, timedelta
 from decimal import Decimal
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
+from test_registry import rows as plain_rows
 
+from spanlight.plans.registry import oracle, run
 from spanlight.streaming import state
 
 START = datetime(2026, 3, 2, 10)  # a Monday
@@ -109,3 +113,44 @@ def test_alert_life_over_restarts(spark, tmp_path):
     assert where[3] == [("a", "resolved", 18, 0)]
     assert where[4] == [("c", "pending", 60, 60)]
     assert where[5] == [("c", "cleared", 65, 60)]
+
+
+class _Held:
+    """The state and the timers of one key, outside a query."""
+
+    value = None
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def registerTimer(self, at):
+        self.timer = at
+
+
+def test_alert_life_costs_as_many_steps_as_minutes():
+    """A month of one busy service in one batch; each minute looked through all later ones, a minute or more in all."""
+    life = state.AlertLife(0.05, 5, 10)
+    life.now = life.handle = _Held()
+    began = time.process_time()
+    told = life._advance(("a",), {m: (m // 100 % 2, 10) for m in range(43_200)}, 43_199)
+    assert time.process_time() - began < 10
+    # Three failures among the fifty requests of five minutes are over the share, two are not.
+    assert told[:3] == [("a", "pending", 102, 102), ("a", "firing", 112, 102), ("a", "resolved", 202, 102)]
+    assert [t[1] for t in told].count("firing") == 216
+    assert life.now.value[:3] == ("firing", 43_102, 43_199) and life.now.value[3] == list(range(43_195, 43_200))
+
+
+@pytest.mark.parametrize("days", [0, 400])
+def test_alert_life_wherever_the_events_lie_in_time(spark, data_dir, tmp_path, days):
+    """The closing row ends the alerts of events of any year."""
+    duckdb.sql(f"COPY (SELECT * REPLACE (ts + INTERVAL {days} DAY AS ts) FROM '{data_dir}/events.parquet') TO '{tmp_path}/events.parquet' (FORMAT parquet)")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet'")
+    got = run("stream_alert_life", spark, str(tmp_path))
+    assert plain_rows(got.toPandas()) == plain_rows(con.sql(oracle("stream_alert_life")).df())
