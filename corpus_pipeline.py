@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from spanlight.llm import bpe, decontaminate, exact_dedup, quality, simhash
 from spanlight.llm.common import small_batches, table, written
 
+KEPT_PIECES = 300_000  # a worker of the last stage holds some 100 MB of pieces less than by default
+
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
@@ -38,7 +40,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids (packed, little-endian), round_trip: whether decoding gives back the text."""
     small_batches(spark)
     ranks = bpe.rank_file(spark)
-    return docs.select("doc_id", bpe.encode(F.col("text"), ranks, checked=True).alias("e")).select(
+    return docs.select("doc_id", bpe.encode(F.col("text"), ranks, checked=True, kept=KEPT_PIECES).alias("e")).select(
         "doc_id", "e.n_tokens", "e.ids", "e.round_trip")
 
 

@@ -70,8 +70,8 @@ def narrow_pattern(pattern: str) -> re.Pattern | None:
 
 
 @lru_cache(maxsize=2)
-def vocabulary(content: bytes, pattern: str = public_tokenizers.PATTERN) -> "Vocabulary":
-    return Vocabulary(content, pattern)
+def vocabulary(content: bytes, pattern: str = public_tokenizers.PATTERN, kept: int | None = None) -> "Vocabulary":
+    return Vocabulary(content, pattern, kept)
 
 
 class Pieces(dict):
@@ -79,16 +79,16 @@ class Pieces(dict):
     kept in `passing` for as long as one group of leaves lasts.
     """
 
-    def __init__(self, encode, encode_many):
+    def __init__(self, encode, encode_many, kept: int | None = None):
         super().__init__()
-        self.encode, self.encode_many = encode, encode_many
+        self.encode, self.encode_many, self.kept = encode, encode_many, kept
         self.passing: dict[str, bytes] = {}
 
     def learn(self, pieces: set[str]) -> None:
         """Encode the short pieces that are new, all together."""
         new = [p for p in pieces if p not in self and len(p) <= LEAF_BYTES]
         found = dict(zip(new, self.encode_many([p.encode() for p in new])))
-        room = len(self) + len(found) <= CACHED_PIECES
+        room = len(self) + len(found) <= (CACHED_PIECES if self.kept is None else self.kept)
         self.passing = {} if room else found
         if room:
             self.update(found)
@@ -104,13 +104,13 @@ class Pieces(dict):
 class Vocabulary:
     """Ranks of a vocabulary, with the encoder of pieces, the joins and the decoder."""
 
-    def __init__(self, content: bytes, pattern: str = public_tokenizers.PATTERN):
+    def __init__(self, content: bytes, pattern: str = public_tokenizers.PATTERN, kept: int | None = None):
         self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, content.splitlines()) if a}
         self.bytes_of = {rank: token for token, rank in self.ranks.items()}
         self.pattern = regex.compile(pattern)
         self.narrow = narrow_pattern(pattern)
         self.no_rank = max(self.ranks.values(), default=0) + 1
-        self.pieces = Pieces(self.piece, self.packed_pieces)
+        self.pieces = Pieces(self.piece, self.packed_pieces, kept)
 
     # many short pieces ---------------------------------------------------
     @cached_property
@@ -356,12 +356,13 @@ class Vocabulary:
         return self.decode(ids[:half]) + self.decode(ids[half:])
 
 
-def encode(text: Column, ranks: Broadcast, checked: bool = False) -> Column:
+def encode(text: Column, ranks: Broadcast, checked: bool = False, kept: int | None = None) -> Column:
     """struct<ids: binary of little-endian unsigned 32-bit integers, n_tokens: long>, if `checked` also round_trip: boolean,
     whether the ids decode to the bytes of the text.
 
     `decode` behind `encode` runs in a second Python worker of the same task. Idle workers serve either function, so in
-    time all of them keep pieces and a vocabulary; the check in the same call needs no second one.
+    time all of them keep pieces and a vocabulary; the check in the same call needs no second one. `kept`: the most pieces
+    that a worker keeps, CACHED_PIECES if not given; others are merged anew.
     """
     kind = StructType().add("ids", BinaryType()).add("n_tokens", LongType())
     if checked:
@@ -369,7 +370,7 @@ def encode(text: Column, ranks: Broadcast, checked: bool = False) -> Column:
 
     @F.arrow_udf(kind)
     def of(texts: pa.Array) -> pa.Array:
-        vocab = vocabulary(ranks.value)
+        vocab = vocabulary(ranks.value, kept=kept)
         packed, same = [], []
         for text, ids in zip(texts, vocab.encode_many(t.as_py() for t in texts)):
             packed.append(ids.astype("<u4").tobytes())

@@ -63,3 +63,11 @@ def test_vocabulary_without_all_bytes():
     assert vocab.encode("abca").tolist() == [2, 0]
     with pytest.raises(KeyError):
         vocab.encode("abx")
+
+
+def test_pieces_kept_as_asked(content, library):
+    texts = [" ".join(f"wort{i}" for i in range(k, k + 60)) for k in range(0, 600, 60)]
+    few, many = bpe.vocabulary(content, kept=25), bpe.vocabulary(content)
+    for vocab in (few, many):
+        assert [vocab.encode(t).tolist() for t in texts] == [library.encode_ordinary(t) for t in texts]
+    assert len(few.pieces) <= 25 < len(many.pieces)
