@@ -25,7 +25,8 @@ import re
 import struct
 from collections.abc import Iterable, Iterator
 from functools import cached_property, lru_cache
-from itertools import chain, repeat, tee
+from itertools import chain, compress, count, repeat, tee
+from operator import not_
 
 import numpy as np
 import public_tokenizers
@@ -85,8 +86,8 @@ class Pieces(dict):
         self.passing: dict[str, bytes] = {}
 
     def learn(self, pieces: set[str]) -> None:
-        """Encode the short pieces that are new, all together."""
-        new = [p for p in pieces if p not in self and len(p) <= LEAF_BYTES]
+        """Encode the short ones of new pieces, all together."""
+        new = [p for p in pieces if len(p) <= LEAF_BYTES]
         found = dict(zip(new, self.encode_many([p.encode() for p in new])))
         room = len(self) + len(found) <= (CACHED_PIECES if self.kept is None else self.kept)
         self.passing = {} if room else found
@@ -125,6 +126,16 @@ class Vocabulary:
         order = np.argsort(keys)
         return keys[order], np.fromiter(found.values(), np.int64, len(found))[order]
 
+    @cached_property
+    def single(self) -> np.ndarray:
+        """The token of every byte."""
+        return np.array([self.ranks[bytes([c])] for c in range(256)])
+
+    @cached_property
+    def single_pairs(self) -> np.ndarray:
+        """What every two bytes merge to."""
+        return self._ranks_of(*np.broadcast_arrays(self.single[:, None], self.single))
+
     def _ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """What two tokens merge to, `no_rank` if they do not."""
         keys, merged = self.pairs
@@ -135,38 +146,46 @@ class Vocabulary:
         return np.where(keys[at] == wanted, merged[at], self.no_rank)
 
     def _merged_together(self, pieces: list[bytes]) -> list[bytes]:
-        """Packed ids of short pieces by the steps of `merged`, in every piece one merge a round."""
-        width, none = max(map(len, pieces)) + 1, self.no_rank
+        """Packed ids of short pieces by the steps of `merged`, in every piece one merge a round.
+
+        A piece is a column of cells between two that hold no token; a cell knows the cells before and behind it, so a
+        merge moves nothing. Where a part starts, `pair` is (what it and the next one merge to) << 8 | row, so that the
+        least of a column is the lowest rank, leftmost first (LEAF_BYTES keeps rows below 256). `no_rank` stands for no
+        token and for no merge.
+        """
+        n, none = len(pieces), self.no_rank
+        height = max(map(len, pieces)) + 2
         sizes = np.array([len(p) for p in pieces])
-        given = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8).reshape(-1, width)
-        first = np.array([self.ranks[bytes([c])] for c in range(256)])
-        # no_rank also fills what is behind a piece's end.
-        parts = np.where(np.arange(width) < sizes[:, None], first[given], none)
-        pair = self._ranks_of(parts[:, :-1], parts[:, 1:])
-        which, columns = np.arange(len(pieces)), np.arange(width)
-        out: list[bytes] = [b""] * len(pieces)
-        while len(which):
-            at = pair.argmin(1)
-            least = np.take_along_axis(pair, at[:, None], 1)[:, 0]
-            done = least == none
-            if done.any():
-                packed, row = parts[done].astype("<u4").tobytes(), 4 * width
-                for k, (i, n) in enumerate(zip(which[done].tolist(), (4 * sizes[done]).tolist())):
-                    out[i] = packed[k * row:k * row + n]
-                parts, pair, at, least, which, sizes = (x[~done] for x in (parts, pair, at, least, which, sizes))
-            rows = np.arange(len(which))
-            behind = np.minimum(columns + (columns > at[:, None]), width - 1)
-            parts = np.take_along_axis(parts, behind, 1)
-            parts[rows, at] = least
-            parts[:, -1] = none
-            pair = np.take_along_axis(pair, np.minimum(behind[:, :-1], width - 2), 1)
-            pair[:, -1] = none
-            sizes = sizes - 1
-            pair[rows, at] = self._ranks_of(least, parts[rows, at + 1])
-            inner = rows[at > 0]
-            before = at[inner] - 1
-            pair[inner, before] = self._ranks_of(parts[inner, before], least[inner])
-        return out
+        given = np.frombuffer(b"".join(p.ljust(height - 2, b"\0") for p in pieces), np.uint8).reshape(n, -1).T
+        numbers = np.arange(height)[:, None]
+        parts = np.full((height, n), none)
+        parts[1:-1] = np.where(numbers[:-2] < sizes, self.single[given], none)
+        pair = np.full((height, n), none << 8)
+        pair[1:-2] = np.where(numbers[1:-2] < sizes, self.single_pairs[given[:-1], given[1:]], none) << 8
+        pair |= numbers
+        behind = np.arange(height * n) + n
+        before = behind - 2 * n
+        parts, flat, columns = parts.ravel(), pair.ravel(), np.arange(n)
+        while True:
+            least = pair.min(0)[columns]
+            merges = least < none << 8
+            if not merges.all():
+                columns, least = columns[merges], least[merges]
+            if not len(columns):
+                break
+            token, at = least >> 8, (least & 255) * n + columns
+            gone, left = behind[at], before[at]
+            right = behind[gone]
+            parts[at], parts[gone] = token, none
+            behind[at], before[right] = right, at
+            flat[gone] = none << 8
+            places = np.concatenate([left, at])
+            flat[places] = self._ranks_of(parts[places], np.concatenate([token, parts[right]])) << 8 | places // n
+        table = parts.reshape(height, n).T
+        left_over = table != none
+        ends = np.cumsum(left_over.sum(1) * 4).tolist()
+        packed = table[left_over].astype("<u4").tobytes()
+        return [packed[a:b] for a, b in zip([0, *ends], ends)]
 
     def packed_pieces(self, pieces: list[bytes]) -> list[bytes]:
         """Packed ids of each piece, as `piece` gives them; short ones are merged together.
@@ -182,7 +201,8 @@ class Vocabulary:
                 out[i] = struct.pack(f"<{len(ranks)}I", *ranks)
             else:
                 short.append(i)
-        short.sort(key=lambda i: len(pieces[i]))
+        lengths = list(map(len, pieces))
+        short.sort(key=lengths.__getitem__)
         for k in range(0, len(short), MERGED_AT_ONCE):
             part = short[k:k + MERGED_AT_ONCE]
             for i, ids in zip(part, self._merged_together([pieces[i] for i in part])):
@@ -324,13 +344,16 @@ class Vocabulary:
         """The ids of leaves, group by group."""
         group, chars = [], 0
         for last, leaf in chain(zip(repeat(False), leaves), [(True, "")]):
-            group.append(leaf)
+            pieces = self.split(leaf)
+            found = list(map(self.pieces.get, pieces))  # looked up while at hand; the new ones wait for the group
+            group.append((found, list(compress(pieces, map(not_, found))), list(compress(count(), map(not_, found)))))
             chars += len(leaf)
             if last or chars >= GROUP_CHARS:
-                split = [self.split(x) for x in (group[:-1] if last else group)]
-                self.pieces.learn(set().union(*split))
-                for pieces in split:
-                    yield np.frombuffer(b"".join(map(self.pieces.__getitem__, pieces)), dtype="<u4")
+                self.pieces.learn(set().union(*(new for _, new, _ in group)))
+                for found, new, places in group[:-1] if last else group:
+                    for i, piece in zip(places, new):
+                        found[i] = self.pieces[piece]
+                    yield np.frombuffer(b"".join(found), dtype="<u4")
                 group, chars = [], 0
 
     def _tree(self, text: str, leaves: Iterator[np.ndarray]) -> np.ndarray:

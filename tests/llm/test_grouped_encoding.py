@@ -71,3 +71,25 @@ def test_pieces_kept_as_asked(content, library):
     for vocab in (few, many):
         assert [vocab.encode(t).tolist() for t in texts] == [library.encode_ordinary(t) for t in texts]
     assert len(few.pieces) <= 25 < len(many.pieces)
+
+
+def test_only_new_pieces_are_learned(content, monkeypatch):
+    """Pieces are looked up once where they are split off; the set of a group holds the new ones alone."""
+    asked, learn = [], bpe.Pieces.learn
+    monkeypatch.setattr(bpe.Pieces, "learn", lambda self, pieces: (asked.append(set(pieces)), learn(self, pieces))[1])
+    vocab = bpe.Vocabulary(content)
+    first = vocab.encode("aufenthal ciónjaja 42").tolist()
+    assert vocab.encode("aufenthal ciónjaja 42 neuwortig").tolist()[:len(first)] == first
+    assert asked == [{"aufenthal", " ciónjaja", " 42"}, {" neuwortig"}]
+
+
+def test_a_merge_looks_up_two_pairs(content, monkeypatch):
+    """Merging together asks for the two new pairs of each merge only; pairs of single bytes come from a table."""
+    vocab, rng, asked = bpe.Vocabulary(content), random.Random(6), []
+    pieces = [p for n in range(500) if (p := bytes(rng.choice(b"aehinrst") for _ in range(2 + n % 60))) not in vocab.ranks]
+    expected = [vocab.piece(p) for p in pieces]
+    vocab.packed_pieces([b"zzxqv"])  # makes the tables
+    ranks_of = vocab._ranks_of
+    monkeypatch.setattr(vocab, "_ranks_of", lambda left, right: (asked.append(left.size), ranks_of(left, right))[1])
+    assert [memoryview(p).cast("I").tolist() for p in vocab.packed_pieces(pieces)] == expected
+    assert sum(asked) <= 2 * sum(len(p) - len(ids) for p, ids in zip(pieces, expected))
