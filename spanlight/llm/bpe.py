@@ -334,11 +334,13 @@ class Vocabulary:
         return m.start() if (m := _SYNC.search(text, half, half + WINDOW_CHARS)) else half
 
     def _leaves(self, text: str) -> Iterator[str]:
-        if at := self._cut(text):
-            yield from self._leaves(text[:at])
-            yield from self._leaves(text[at:])
-        else:
-            yield text
+        ahead = [text]
+        while ahead:
+            text = ahead.pop()
+            if at := self._cut(text):
+                ahead += [text[at:], text[:at]]
+            else:
+                yield text
 
     def _encoded(self, leaves: Iterable[str]) -> Iterator[np.ndarray]:
         """The ids of leaves, group by group."""
@@ -346,11 +348,12 @@ class Vocabulary:
         for last, leaf in chain(zip(repeat(False), leaves), [(True, "")]):
             pieces = self.split(leaf)
             found = list(map(self.pieces.get, pieces))  # looked up while at hand; the new ones wait for the group
-            group.append((found, list(compress(pieces, map(not_, found))), list(compress(count(), map(not_, found)))))
+            places = list(compress(count(), map(not_, found)))
+            group.append((found, places, [pieces[i] for i in places]))
             chars += len(leaf)
             if last or chars >= GROUP_CHARS:
-                self.pieces.learn(set().union(*(new for _, new, _ in group)))
-                for found, new, places in group[:-1] if last else group:
+                self.pieces.learn(set().union(*(new for _, _, new in group)))
+                for found, places, new in group[:-1] if last else group:
                     for i, piece in zip(places, new):
                         found[i] = self.pieces[piece]
                     yield np.frombuffer(b"".join(found), dtype="<u4")

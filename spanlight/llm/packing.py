@@ -89,6 +89,7 @@ def pack(docs: DataFrame, ranks: Broadcast, id_col: str = "doc_id", text_col: st
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(ranks.value)
         dtype = "<u2" if max(len(vocab.ranks), pad_id + 1, row_tokens) <= 1 << 16 else "<u4"
+        steps = np.arange(row_tokens, dtype=dtype)
         made = TaskContext.get().partitionId() << 33
         held: list[tuple] = []
         waiting = 0
@@ -103,7 +104,7 @@ def pack(docs: DataFrame, ranks: Broadcast, id_col: str = "doc_id", text_col: st
                 ends = np.cumsum(lengths)
                 for (_, _, ids), end in zip(segments, ends):
                     row[end - len(ids):end] = ids
-                    position[end - len(ids):end] = np.arange(len(ids), dtype=dtype)
+                    position[end - len(ids):end] = steps[:len(ids)]
                 for col, v in zip(cols, (made, int(ends[-1]), row.tobytes(), [0, *ends.tolist()], position.tobytes(),
                                          [d for d, _, _ in segments], [s for _, s, _ in segments])):
                     col.append(v)
